@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from fieldglass.llm.language_id import op9_language_id
+from fieldglass.llm.ngram_join import op8_ngram_join
 from fieldglass.llm.secret_scan import op2_secret_scan
 from fieldglass.llm.source_mix import SEED, TARGETS, op4_source_mix
 
-QUERIES = {f.__name__: f for f in (op2_secret_scan, op4_source_mix, op9_language_id)}
+QUERIES = {f.__name__: f for f in (op2_secret_scan, op4_source_mix, op8_ngram_join, op9_language_id)}
 
 _targets = ", ".join(f"('{s}', {w!r}::DOUBLE)" for s, w in TARGETS.items())
 ORACLE_SQL = {
