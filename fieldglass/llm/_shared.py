@@ -54,3 +54,64 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
 def texts(column: pa.Array) -> list[str]:
     """The texts, null as empty."""
     return [x or "" for x in column.to_pylist()]
+
+
+def create(uri: str) -> pa.NativeFile:
+    """A new file in the shared folder, its folder made if there is none.  Names are unique, so that a task that is run
+    again leaves the file of its first run alone; which files count is for the caller's table of them to say."""
+    from pyarrow import fs
+
+    system, path = fs.FileSystem.from_uri(uri)
+    system.create_dir(path.rpartition("/")[0], recursive=True)
+    return system.open_output_stream(path)
+
+
+def opened(uri: str) -> pa.NativeFile:
+    from pyarrow import fs
+
+    system, path = fs.FileSystem.from_uri(uri)
+    return system.open_input_stream(path, buffer_size=1 << 16)
+
+
+class ChunkIds:
+    """Ids of chunks of text, each encoded once and kept until LIMIT chunks are held, then the memory is begun anew."""
+
+    LIMIT = 400_000
+
+    def __init__(self, encode) -> None:
+        """encode: from a list of chunks to a list of their lists of ids."""
+        self.encode = encode
+        self.clear()
+
+    def clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.flat, self.used = np.zeros(1 << 16, np.int32), 0
+        self.start = np.zeros(1 << 14, np.int64)
+        self.length = np.zeros(1 << 14, np.int64)
+
+    def learn(self, fresh: list[str]) -> None:
+        got = self.encode(fresh)
+        sizes = np.fromiter(map(len, got), np.int64, len(got))
+        have, need = len(self.index), int(sizes.sum())
+        for name, least in (("flat", self.used + need), ("start", have + len(fresh)), ("length", have + len(fresh))):
+            old = getattr(self, name)
+            if least > len(old):
+                setattr(self, name, np.concatenate((old, np.zeros(max(least - len(old), len(old)), old.dtype))))
+        self.flat[self.used : self.used + need] = np.fromiter((x for ids in got for x in ids), np.int32, need)
+        self.start[have : have + len(fresh)] = self.used + np.cumsum(sizes) - sizes
+        self.length[have : have + len(fresh)] = sizes
+        self.used += need
+        self.index.update(zip(fresh, range(have, have + len(fresh)), strict=True))
+
+    def __call__(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks one after another, how many each has)."""
+        fresh = set(chunks).difference(self.index)
+        if len(self.index) + len(fresh) > self.LIMIT and self.index:
+            self.clear()
+            fresh = set(chunks)
+        if fresh:
+            self.learn(sorted(fresh))
+        k = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
+        length = self.length[k]
+        ends = np.cumsum(length)
+        return self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.start[k] - ends + length, length)], length
