@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from fieldglass.llm.fingerprint import op7_fingerprint
 from fieldglass.llm.language_id import op9_language_id
 from fieldglass.llm.ngram_join import op8_ngram_join
 from fieldglass.llm.secret_scan import op2_secret_scan
@@ -10,7 +11,7 @@ from fieldglass.llm.source_mix import SEED, TARGETS, op4_source_mix
 from fieldglass.llm.token_ids import op10_token_ids
 from fieldglass.llm.warc import op6_warc
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_secret_scan, op4_source_mix, op6_warc, op8_ngram_join, op9_language_id, op10_token_ids)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_secret_scan, op4_source_mix, op6_warc, op7_fingerprint, op8_ngram_join, op9_language_id, op10_token_ids)}
 
 _targets = ", ".join(f"('{s}', {w!r}::DOUBLE)" for s, w in TARGETS.items())
 ORACLE_SQL = {
