@@ -53,27 +53,36 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, at - at[0]
 
 
+#: All ASCII but letters and digits.
+PUNCTUATION = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
+
+
+def word_spans(data: np.ndarray, at: np.ndarray, spaces: np.ndarray = _SPACES) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of bytes that spaces is false for; none goes over a text's end."""
+    n = len(data)
+    inside = ~spaces[data]
+    first = np.zeros(n + 1, dtype=bool)
+    first[at] = True
+    before = np.append(False, inside[:-1])
+    after = np.append(inside[1:], False)
+    return np.flatnonzero(inside & (~before | first[:-1])), np.flatnonzero(inside & (~after | first[1:])) + 1
+
+
+def span_hashes(data: np.ndarray, *spans: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
+    """Hashes of spans of data, A-Z lower-cased: differences of running sums, brought to the same power."""
+    total = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[_LOWER[data]] * powers(_BASE, len(data)), out=total[1:])
+    back = powers(_BASE_INVERSE, len(data))
+    return [mix((total[end] - total[start]) * back[start] + (end - start).astype(np.uint64)) for start, end in spans]
+
+
 def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words [^\\x20\\x09-\\x0D]+ of every text, A-Z lower-cased, and n + 1 offsets of the texts in them."""
     data, at = text_bytes(column)
-    n = len(data)
-    if not n:
+    if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(column) + 1, np.int64)
-    inside = ~_SPACES[data]
-    first = np.zeros(n + 1, dtype=bool)
-    first[at] = True
-    before = np.empty(n, dtype=bool)
-    before[0] = False
-    before[1:] = inside[:-1]
-    start = np.flatnonzero(inside & (~before | first[:-1]))
-    after = np.empty(n, dtype=bool)
-    after[-1] = False
-    after[:-1] = inside[1:]
-    end = np.flatnonzero(inside & (~after | first[1:])) + 1
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[_LOWER[data]] * powers(_BASE, n), out=total[1:])
-    h = (total[end] - total[start]) * powers(_BASE_INVERSE, n)[start]
-    return mix(h + (end - start).astype(np.uint64)), np.searchsorted(start, at)
+    start, end = word_spans(data, at)
+    return span_hashes(data, (start, end))[0], np.searchsorted(start, at)
 
 
 def shingles(hashes: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -9,12 +9,24 @@ from fieldglass.llm.secret_scan import op2_secret_scan
 from fieldglass.llm.sentencepiece_codec import op1_sentencepiece
 from fieldglass.llm.source_mix import SEED, TARGETS, op4_source_mix
 from fieldglass.llm.token_ids import op10_token_ids
+from fieldglass.llm.topk_search import op5_topk_search
+from fieldglass.llm.toxicity import op3_toxicity
 from fieldglass.llm.warc import op6_warc
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_secret_scan, op4_source_mix, op6_warc, op7_fingerprint, op8_ngram_join, op9_language_id, op10_token_ids)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_secret_scan, op3_toxicity, op4_source_mix, op5_topk_search, op6_warc, op7_fingerprint, op8_ngram_join, op9_language_id, op10_token_ids)}
 
 _targets = ", ".join(f"('{s}', {w!r}::DOUBLE)" for s, w in TARGETS.items())
 ORACLE_SQL = {
+    "op5_topk_search": """
+WITH good AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, x.vec_id, list_dot_product(q.v::DOUBLE[], x.v::DOUBLE[])::BIGINT AS score
+  FROM good q JOIN good x ON x.vec_id <> q.vec_id AND len(x.v) = len(q.v) WHERE q.vec_id % 20 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+""",
     "op4_source_mix": f"""
 WITH targets(source, weight) AS (VALUES {_targets}),
 sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source),

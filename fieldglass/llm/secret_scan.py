@@ -122,6 +122,8 @@ def redact(docs: DataFrame, mark: str = "<SECRET>") -> DataFrame:
     numbered = stored(docs.withColumn("_doc", F.monotonically_increasing_id()), "secret-input") if "_doc" not in docs.columns else docs
     cuts = scan(numbered, ["_doc"]).select("_doc", F.filter("spans", lambda s: s["class"] != "example").alias("_cuts")).where(F.size("_cuts") > 0)
 
+    columns = docs.columns
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -132,7 +134,7 @@ def redact(docs: DataFrame, mark: str = "<SECRET>") -> DataFrame:
                         parts += [text[at:start], mark]
                     at = max(at, end)
                 out.append("".join([*parts, text[at:]]) if parts else text)
-            yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(out, pa.string())).select(docs.columns)
+            yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(out, pa.string())).select(columns)
 
     marked = numbered.join(cuts, "_doc", "left")
     # Only rows with a span go through Python.
