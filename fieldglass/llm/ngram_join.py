@@ -20,9 +20,9 @@ The boundary comes from the cost: a set is light while the subsets to enumerate
 to enter.
 
 A list never yields all its pairs.  In each, every member is checked against one leader; links join classes to groups,
-and a list whose members are all in one group is done with.  Only lists with members of several groups go on: another
-round chooses other leaders, the last one compares what is still apart, group against group.  Checks are exact
-intersections of the hash sets.  The groups are thus those of all links, without a cap on lists, pairs or sizes.
+and a list whose members are all in one group is done with.  What is still apart in the other lists is compared in blocks
+of sets, which yield the links that join groups and not pairs.  Checks are exact intersections of the hash sets.  The
+groups are thus those of all links, without a cap on lists, pairs or sizes.
 
 Defined results: null or empty texts, and texts of white space, have no shingles and link with nothing; texts of fewer
 words than a shingle have one; repeated rows are exact copies; a null id takes part, and its row gets the least id of its
@@ -50,7 +50,9 @@ from fieldglass.llm.components import components
 SCAN_COST = 4
 #: Bits of the map by which a later pass skips texts that cannot be a candidate: 8 MB, at any size of the corpus.
 MAP_BITS = 26
-LEADER_ROUNDS = 2
+#: Sets, and bytes of their hashes, in a block of a cluster that is compared as a whole.
+BLOCK = 256
+BLOCK_BYTES = 1 << 22
 
 
 class Sizes:
@@ -269,35 +271,76 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return right.join(sets.select(F.col("set").alias("a"), F.col("hashes").alias("x")), "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _block_links(table: pa.Table, percent: int) -> pa.Table:
+    """Links between members of different groups in one or two blocks of a cluster: as many as join their groups."""
+    block = table.column("block").to_numpy()
+    raw = table.column("hashes").combine_chunks()
+    own = [np.frombuffer(raw[i].as_buffer(), np.uint64) for i in range(len(raw))]
+    n = np.array([len(x) for x in own])
+    name, group = table.column("set").to_numpy(), table.column("group").to_numpy()
+    left = np.flatnonzero(block == block.min())
+    right = np.flatnonzero(block == block.max())
+    # Columns: the shingles that two members hold at least.  Products of 0/1 matrices count what rows have in common.
+    element, column, times = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(own)), n)
+    common = np.zeros((len(left), len(right)), np.float32)
+    order = np.argsort(column, kind="stable")
+    order = order[times[column[order]] > 1]
+    place = np.cumsum(times > 1)[column[order]] - 1
+    for low in range(0, int(place[-1]) + 1 if len(place) else 0, 4096):
+        own_part = order[np.searchsorted(place, low) : np.searchsorted(place, low + 4096)]
+        cells = np.zeros((len(own), 4096), np.float32)
+        cells[row[own_part], np.cumsum(times > 1)[column[own_part]] - 1 - low] = 1
+        common += cells[left] @ cells[right].T
+    either = n[left][:, None] + n[right][None, :] - common
+    hit = (100 * common.astype(np.int64) >= percent * either.astype(np.int64)) & (group[left][:, None] != group[right][None, :])
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    out = []
+    for i, j in zip(*np.nonzero(hit), strict=True):
+        p, q = root(int(group[left[i]])), root(int(group[right[j]]))
+        if p != q:
+            parent[p] = q
+            out.append((int(name[left[i]]), int(name[right[j]])))
+    return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
+
+
+def _compared(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different groups in the lists apart (key, set, group).
+
+    Lists that share members are a cluster.  A cluster's sets are dealt to blocks of about BLOCK by hash, and every two
+    blocks are compared by a product of matrices, so a set travels as often as there are blocks and no pair is a row."""
+    least = apart.withColumn("a", F.min("set").over(Window.partitionBy("key"))).where("a <> set").select("a", F.col("set").alias("b"))
+    cluster = components(least).withColumnsRenamed({"node": "set", "label": "cluster"})
+    member = apart.select("set", "group").distinct().join(cluster, "set")
+    full = stored(member.join(sets, "set"), "clusters")
+    blocks = full.groupBy("cluster").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum(F.octet_length("hashes")) / BLOCK_BYTES)).cast("int").alias("blocks"))
+    dealt = full.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
+    other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keyed = other.select("set", "group", "hashes", "cluster", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    return keyed.groupBy("cluster", "low", "high").applyInArrow(lambda table: _block_links(table, percent), "a long, b long")
+
+
 def groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(set, group): the sets with a link to another one, and the least set that links lead to."""
     list_ = Window.partitionBy("key")
-    shared = entries(docs, words, percent).withColumn("low", F.min("set").over(list_)).withColumn("high", F.max("set").over(list_)).where("low <> high")
-    shared = stored(shared.select("key", "set"), "shared-lists")
+    every = entries(docs, words, percent).withColumn("low", F.min("set").over(list_)).withColumn("high", F.max("set").over(list_))
+    shared = stored(every.where("low <> high").select("key", "set", F.count(F.lit(1)).over(list_).alias("members")), "shared-lists")
     sets = stored(candidate_sets(docs, shared.select("set").distinct(), words), "candidate-sets")
-    links = labels = None
-    for turn in range(LEADER_ROUNDS + 1):
-        if labels is None:
-            apart = shared.withColumn("group", F.col("set"))
-        else:
-            apart = shared.join(labels.select(F.col("node").alias("set"), "label"), "set", "left").withColumn("group", F.coalesce("label", "set")).drop("label")
-            # Lists within one group are done with.
-            apart = apart.withColumn("low", F.min("group").over(list_)).withColumn("high", F.max("group").over(list_)).where("low <> high").drop("low", "high")
-        apart = stored(apart, "apart-lists")
-        if labels is not None and apart.isEmpty():
-            break
-        if turn < LEADER_ROUNDS:
-            drawn = (F.xxhash64("group", F.lit(turn)), F.xxhash64("set", F.lit(turn))) if turn else ()
-            order = F.struct(*(x.alias(f"by{k}") for k, x in enumerate(drawn)), "set", "group")
-            led = apart.withColumn("leader", F.min(order).over(list_))
-            pairs = led.where("group <> leader.group").select(F.least("set", "leader.set").alias("a"), F.greatest("set", "leader.set").alias("b")).distinct()
-        else:
-            apart = apart.distinct()
-            other = apart.select("key", F.col("set").alias("b"), F.col("group").alias("group_b"))
-            pairs = apart.select("key", F.col("set").alias("a"), "group").join(other, "key").where("group < group_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = stored(_linked(pairs, sets, percent), "links")
-        links = found if links is None else links.union(found)
-        labels = components(links)
+    # The leader of a list is the member that meets most others in all its lists: an original rather than an edited copy.
+    weight = shared.groupBy("set").agg(F.sum("members").alias("weight"))
+    led = shared.join(weight, "set").withColumn("leader", F.max_by("set", F.struct("weight", "set")).over(list_))
+    pairs = led.where("set <> leader").select(F.least("set", "leader").alias("a"), F.greatest("set", "leader").alias("b")).distinct()
+    links = stored(_linked(pairs, sets, percent), "links")
+    labels = components(links)
+    apart = shared.select("key", "set").join(labels.select(F.col("node").alias("set"), "label"), "set", "left").withColumn("group", F.coalesce("label", "set")).drop("label")
+    apart = apart.withColumn("low", F.min("group").over(list_)).withColumn("high", F.max("group").over(list_)).where("low <> high").drop("low", "high")
+    labels = components(links.union(stored(_compared(stored(apart, "apart-lists"), sets, percent), "links")))
     return labels.select(F.col("node").alias("set"), F.col("label").alias("group"))
 
 
