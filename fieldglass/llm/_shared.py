@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that a numpy kernel works on at once; temporaries take some tens of bytes per byte.
 SLICE_BYTES = 1 << 20
@@ -73,6 +74,38 @@ def opened(uri: str) -> pa.NativeFile:
     return system.open_input_stream(path, buffer_size=1 << 16)
 
 
+class IdMap:
+    """A map of 2 ** BITS bits, one set for the hash of each id held: 8 MB, whatever the number of ids.
+
+    It tells most ids that aren't held from the others before their rows travel; a join has the last word.  The more ids,
+    the fewer it tells apart, which costs time and changes no result."""
+
+    BITS = 26
+
+    def __init__(self, ids: DataFrame) -> None:
+        """ids: one column of longs.  The driver gets a row for each word of the map at most."""
+
+        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                word, bit = IdMap.place(batch.column(0).drop_null().to_numpy())
+                yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bit.view(np.int64))], ["word", "bits"])
+
+        rows = ids.mapInArrow(place, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+        self.bits = np.zeros(1 << (self.BITS - 6), np.uint64)
+        self.bits[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
+
+    @classmethod
+    def place(cls, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        from fieldglass.llm._kernels import mix
+
+        k = mix(ids.view(np.uint64)) & np.uint64((1 << cls.BITS) - 1)
+        return (k >> np.uint64(6)).astype(np.int64), np.uint64(1) << (k & np.uint64(63))
+
+    def may_hold(self, ids: np.ndarray) -> np.ndarray:
+        word, bit = self.place(ids)
+        return self.bits[word] & bit != 0
+
+
 class ChunkIds:
     """Ids of chunks of text, each encoded once and kept until LIMIT chunks are held, then the memory is begun anew."""
 

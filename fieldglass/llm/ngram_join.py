@@ -43,13 +43,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from fieldglass.llm import _kernels as K
-from fieldglass.llm._shared import slices, stored
+from fieldglass.llm._shared import IdMap, slices, stored
 from fieldglass.llm.components import components
 
 #: Rows of subsets that cost as much as one entry in a list and its share of the scan.
 SCAN_COST = 4
-#: Bits of the map by which a later pass skips texts that cannot be a candidate: 8 MB, at any size of the corpus.
-MAP_BITS = 26
 #: Sets, and bytes of their hashes, in a block of a cluster that is compared as a whole.
 BLOCK = 256
 BLOCK_BYTES = 1 << 22
@@ -213,34 +211,17 @@ def entries(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "key long, set long")
 
 
-def _bits(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word and bit of the map for each set."""
-    k = K.mix(names) & np.uint64((1 << MAP_BITS) - 1)
-    return (k >> np.uint64(6)).astype(np.int64), np.uint64(1) << (k & np.uint64(63))
-
-
 def candidate_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(set, hashes): the hashes of each wanted set, once.  The map drops most other texts before their sets travel;
     the join settles the rest."""
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            word, bit = _bits(batch.column("set").to_numpy().view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(word), K.i64(bit)], ["word", "bits"])
-
-    # As many rows as the map has words at most: its size is fixed.
-    rows = wanted.mapInArrow(place, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    bits = np.zeros(1 << (MAP_BITS - 6), np.uint64)
-    bits[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
-    bits = docs.sparkSession.sparkContext.broadcast(bits)
+    held = docs.sparkSession.sparkContext.broadcast(IdMap(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
             for _, h, at, name in _sets(batch, words):
-                word, bit = _bits(name)
                 out, names = [], []
-                for i in np.flatnonzero((bits.value[word] & bit != 0) & (np.diff(at) > 0)):
+                for i in np.flatnonzero(held.value.may_hold(name) & (np.diff(at) > 0)):
                     if (x := int(name[i])) not in seen:
                         seen.add(x)
                         out.append(h[at[i] : at[i + 1]].tobytes())
