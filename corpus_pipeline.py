@@ -1,6 +1,82 @@
-"""A corpus pipeline of five stages over documents."""
+"""A corpus pipeline of five stages over documents: each is a function (spark, docs, sf_dir) that returns a DataFrame,
+which is written as Parquet and read again as the next stage's docs.
+
+1. language ID: documents whose language is undecided (no letter, or a score under ``LEAST_SCORE``) go; the model learns
+   from the labelled documents of the stage's input.
+2. n-gram Jaccard join: of each group of near-duplicates (five-word shingles, a Jaccard similarity of 0.8 or more) the
+   document with the least doc_id stays.  Documents without shingles or without a doc_id stay.
+3. secret scan: credentials, but for widely copied examples, are replaced in the texts; all documents stay.
+4. mixing sources: documents are repeated or left out by Poisson counts, to the target weights.
+5. SentencePiece: the texts' ids, and whether they decode to the texts.
+
+Rows with a null text go in the first stage; extra columns are kept up to the fourth; an empty table passes through all.
+"""
+
 from __future__ import annotations
-STAGES = []
+
+import numpy as np
+import pandas as pd
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fieldglass.llm import language_id, ngram_join, secret_scan, sentencepiece_codec, source_mix
+from fieldglass.llm._shared import IdMap, stored
+
+#: A score below one half means that no language has the odds on its side.
+LEAST_SCORE = 0.5
+WORDS, PERCENT = 5, 80
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    judged = language_id.identify(docs, *language_id.train(docs))
+    return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    groups = stored(ngram_join.join(docs, WORDS, PERCENT), "pipeline-groups")
+    spare = groups.where("doc_id <> component_id").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    repeated = groups.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).count().where("count > 1").select("doc_id")
+    held = spark.sparkContext.broadcast(IdMap(spare.union(repeated)))
+
+    @F.pandas_udf("boolean")
+    def touched(ids: pd.Series) -> pd.Series:
+        return pd.Series(held.value.may_hold(ids.fillna(0).to_numpy(np.int64)) & ids.notna().to_numpy())
+
+    # Only rows that the map holds are joined; texts of the others stay where they are.
+    marked = docs.withColumn("_touched", touched(F.col("doc_id").cast("long")))
+    loose = marked.where("NOT _touched").select(docs.columns)
+    kept = marked.where("_touched").withColumn("_id", F.col("doc_id").cast("long")).join(spare.withColumnRenamed("doc_id", "_id"), "_id", "left_anti")
+    # A repeated row is an exact copy with the same doc_id: one of them stays.
+    return loose.unionByName(kept.dropDuplicates(["_id"]).select(docs.columns))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secret_scan.redact(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return source_mix.mix(docs, source_mix.TARGETS).select(docs.columns)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.checked(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+STAGES = [
+    ("language ID", known_language),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("secret scan", without_secrets),
+    ("mixing sources", mixed),
+    ("SentencePiece", encoded),
+]
+
+#: Not SQL's work: the stages are tested against brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{k}")
+    return docs
