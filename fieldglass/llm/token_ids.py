@@ -34,10 +34,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldglass.llm._shared import ChunkIds, create, new_path, opened, slices, stored, texts
+from fieldglass.llm import _kernels as K
+from fieldglass.llm._shared import create, new_path, opened, slices, stored
 
 END_ID = 2
 BLOCK_IDS = 1 << 21
@@ -46,44 +48,121 @@ _HEAD = struct.Struct("<4sIQIQ")
 LENGTHS = np.array([[(c >> 2 * j & 3) + 1 for j in range(4)] for c in range(256)], dtype=np.uint8)
 PRESENT = np.arange(4)[None, None, :] < LENGTHS[:, :, None]
 
-_loaded: dict[str, ChunkIds] = {}
 
+class WordIds:
+    """Ids of words by hash, each word encoded once and kept until LIMIT are held, then the memory is begun anew.
 
-def tokenizer(path: str) -> ChunkIds:
-    """The words' ids by the tokenizer in a file, once a process."""
-    if path not in _loaded:
+    White space is dropped and separates words for the tokenizer, and it lower-cases A-Z, so words that differ in that
+    alone share an entry, unless they have a "|" and could be a special token."""
+
+    LIMIT = 1_500_000
+
+    def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        encoder = Tokenizer.from_file(path)
-        _loaded[path] = ChunkIds(lambda chunks: [x.ids for x in encoder.encode_batch_fast(chunks, add_special_tokens=False)])
+        self.encoder = Tokenizer.from_file(path)
+        self.ends_word = np.array([(self.encoder.id_to_token(i) or "").endswith("</w>") for i in range(self.encoder.get_vocab_size())])
+        self.clear()
+
+    def clear(self) -> None:
+        self.known = np.zeros(0, np.uint64)
+        self.start = self.length = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.int32)
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words one after another, how many each has).  A word of letters alone is one run for the tokenizer,
+        whose last id and no other marks a word's end, so many of them are one call."""
+        out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
+        letters = [k for k, x in enumerate(words) if x.lower().isalpha()]
+        rest = set(range(len(words))).difference(letters)
+        for low in range(0, len(letters), 4096):
+            part = letters[low : low + 4096]
+            ids = np.array(self.encoder.encode_batch_fast([" ".join(words[k] for k in part)], add_special_tokens=False)[0].ids, np.int32)
+            cut = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(cut) != len(part):
+                rest.update(part)
+                continue
+            for k, a, b in zip(part, [0, *cut[:-1].tolist()], cut.tolist(), strict=True):
+                out[k] = ids[a:b]
+        others = sorted(rest)
+        for k, got in zip(others, self.encoder.encode_batch_fast([words[k] for k in others], add_special_tokens=False), strict=True):
+            out[k] = np.array(got.ids, np.int32)
+        return np.concatenate([*out, np.zeros(0, np.int32)]), np.fromiter(map(len, out), np.int64, len(out))
+
+    def learn(self, h: np.ndarray, words: list[str]) -> None:
+        """h: ascending, none of them known."""
+        if len(self.known) + len(h) > self.LIMIT:
+            self.clear()
+        ids, length = self.encode(words)
+        at = np.searchsorted(self.known, h)
+        self.start = np.insert(self.start, at, len(self.flat) + np.cumsum(length) - length)
+        self.length = np.insert(self.length, at, length)
+        self.known = np.insert(self.known, at, h)
+        self.flat = np.concatenate((self.flat, ids))
+
+    def __call__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the words at these spans of data one after another, how many each has)."""
+        if not len(start):
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        (h,) = K.span_hashes(data, (start, end))
+        pipes = np.append(0, np.cumsum(data == ord("|")))
+        special = np.flatnonzero(pipes[end] > pipes[start])
+        h[special] = [xxhash.xxh3_64_intdigest(data[a:b].tobytes()) for a, b in zip(start[special], end[special], strict=True)]
+        distinct, first, which = np.unique(h, return_index=True, return_inverse=True)
+        for _ in range(2):  # a second time if the memory was begun anew
+            at = np.minimum(np.searchsorted(self.known, distinct), max(len(self.known) - 1, 0))
+            fresh = np.flatnonzero(self.known[at] != distinct) if len(self.known) else np.arange(len(distinct))
+            if not len(fresh):
+                break
+            if len(self.known) + len(fresh) > self.LIMIT:
+                self.clear()
+                fresh = np.arange(len(distinct))
+            k = first[fresh]
+            self.learn(distinct[fresh], [data[a:b].tobytes().decode() for a, b in zip(start[k].tolist(), end[k].tolist(), strict=True)])
+        length = self.length[at][which]
+        return K.gather(self.flat, self.start[at][which], length), length
+
+
+_loaded: dict[str, WordIds] = {}
+
+
+def tokenizer(path: str) -> WordIds:
+    """The words' ids by the tokenizer in a file, once a process."""
+    if path not in _loaded:
+        _loaded[path] = WordIds(path)
     return _loaded[path]
 
 
-_OTHER_SPACES = str.maketrans(dict.fromkeys(range(0x1C, 0x20), None))
-
-
-def chunks(text: str) -> list[str]:
-    """The text's words.  str.split() takes four control characters for spaces that the tokenizer doesn't."""
-    if text.isascii() and text.isprintable() or text.translate(_OTHER_SPACES) == text:
-        return text.split()
-    return [x for x in text.replace("\t", " ").replace("\n", " ").replace("\r", " ").replace("\v", " ").replace("\f", " ").split(" ") if x]
+_MARK = np.isin(np.arange(256), list(b".,;:!?"))
+_ALNUM = np.array([i < 128 and chr(i).isalnum() for i in range(256)])
 
 
-def encode_texts(docs: list[str], ids_of: ChunkIds) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all docs one after another, each followed by END_ID; how many each has)."""
-    each = [chunks(x) for x in docs]
-    ids, length = ids_of([w for x in each for w in x])
-    ends = np.concatenate(([0], np.cumsum(length)))[np.cumsum([0, *map(len, each)])]
+def encode_texts(column: pa.Array, ids_of: WordIds) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts one after another, each followed by END_ID; how many each has)."""
+    data, at = K.text_bytes(column)
+    start, end = K.word_spans(data, at) if len(data) else (np.zeros(0, np.int64),) * 2
+    if len(start):
+        # A mark after a letter or digit is a run of its own for the tokenizer, so the word before it is a word.
+        cut = np.flatnonzero((end - start > 1) & _MARK[data[end - 1]] & _ALNUM[data[end - 2]])
+        start, end = np.insert(start, cut + 1, end[cut] - 1), np.insert(end - np.isin(np.arange(len(end)), cut), cut + 1, end[cut])
+    ids, length = ids_of(data, start, end)
+    ends = np.append(0, np.cumsum(length))[np.searchsorted(start, at)]
     return np.insert(ids, ends[1:], END_ID).astype(np.uint32), np.diff(ends) + 1
 
 
 def block(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray) -> bytes:
-    distinct, inverse, n = np.unique(ids, return_inverse=True, return_counts=True)
+    if len(ids) and ids.max() < 1 << 22:
+        n = np.bincount(ids)
+        distinct, which = np.flatnonzero(n), ids
+        n = n[distinct]
+        rank = np.empty(int(ids.max()) + 1, np.uint32)
+    else:
+        distinct, which, n = np.unique(ids, return_inverse=True, return_counts=True)
+        rank = np.empty(len(distinct), np.uint32)
     order = np.argsort(-n, kind="stable")
-    rank = np.empty(len(order), np.uint32)
-    rank[order] = np.arange(len(order), dtype=np.uint32)
-    ranks = rank[inverse]
+    rank[distinct[order] if which is ids else order] = np.arange(len(order), dtype=np.uint32)
+    ranks = rank[which]
     code = (ranks >= 1 << 8).astype(np.uint8) + (ranks >= 1 << 16) + (ranks >= 1 << 24)
     four = np.concatenate((code, np.zeros(-len(code) % 4, np.uint8))).reshape(-1, 4)
     control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
@@ -142,8 +221,8 @@ def write(docs: DataFrame, tokenizer_path: str, partitions: int | None = None) -
             held.clear()
 
         for batch in batches:
-            for part in slices(batch, "text"):
-                ids, counts = encode_texts(texts(part.column("text")), ids_of)
+            for part in slices(batch, "text", 1 << 21):
+                ids, counts = encode_texts(part.column("text"), ids_of)
                 held.append((part.column("doc_id").to_pylist(), counts, ids))
                 if sum(len(x[2]) for x in held) >= BLOCK_IDS:
                     flush()

@@ -4,13 +4,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from fieldglass.llm import token_ids as T
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
-ODD = ["", None, "a", "Ünïcode  é  x", "\x1cab\x1d c", "<|endoftext|> x<|startoftext|>", "it's we'll 123", " wide　", "😀 😀", "a\x85b"]
+ODD = ["", None, "a", "Ünïcode  é  x", "\x1cab\x1d c", "<|endoftext|> x<|startoftext|>", "it's we'll 123", " wide　", "😀 😀", "a\x85b", "<|ENDOFTEXT|> <|endoftext|>", "İ ǅ Σς", "it's. a.. b!? 5. é. x'. don't, 's", ". , a"]
 
 
 def expected(rows):
@@ -26,10 +27,19 @@ def test_words_alone_give_the_same_ids_as_whole_texts():
     spaces = [f"a{chr(i)}b" for i in range(sys.maxunicode + 1) if chr(i).isspace()]
     encoder, ids_of = Tokenizer.from_file(PATH), T.tokenizer(PATH)
     for text in [*ODD, *spaces]:
-        ids, _ = T.encode_texts([text or ""], ids_of)
+        ids, _ = T.encode_texts(pa.array([text], pa.string()), ids_of)
         assert ids.tolist() == [*encoder.encode(text or "", add_special_tokens=False).ids, T.END_ID], text
 
 
+def test_memory_begun_anew_gives_the_same_ids():
+    ids_of = T.WordIds(PATH)
+    text = pa.array([" ".join(f"w{k % 700} É{k}" for k in range(3000))])
+    want, _ = T.encode_texts(text, ids_of)
+    ids_of.LIMIT = 100
+    for _ in range(2):
+        assert (T.encode_texts(text, ids_of)[0] == want).all()
+
+
 def test_files_give_back_what_was_written(spark, documents, monkeypatch):
     texts = [*ODD, "word " * 5000, *["the same text"] * 5]
     docs = documents(texts).repartition(3)
