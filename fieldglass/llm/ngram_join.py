@@ -48,8 +48,8 @@ from fieldglass.llm.components import components
 
 #: Rows of subsets that cost as much as one entry in a list and its share of the scan.
 SCAN_COST = 4
-#: Sets, and bytes of their hashes, in a block of a cluster that is compared as a whole.
-BLOCK = 256
+#: Sets, and bytes of their hashes, in a block that is compared as a whole.
+BLOCK = 512
 BLOCK_BYTES = 1 << 22
 
 
@@ -253,7 +253,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _block_links(table: pa.Table, percent: int) -> pa.Table:
-    """Links between members of different groups in one or two blocks of a cluster: as many as join their groups."""
+    """Links between members of different groups in one or two blocks of a leader's lists: as many as join their groups."""
     block = table.column("block").to_numpy()
     raw = table.column("hashes").combine_chunks()
     own = [np.frombuffer(raw[i].as_buffer(), np.uint64) for i in range(len(raw))]
@@ -292,19 +292,19 @@ def _block_links(table: pa.Table, percent: int) -> pa.Table:
 
 
 def _compared(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between different groups in the lists apart (key, set, group).
-
-    Lists that share members are a cluster.  A cluster's sets are dealt to blocks of about BLOCK by hash, and every two
-    blocks are compared by a product of matrices, so a set travels as often as there are blocks and no pair is a row."""
-    least = apart.withColumn("a", F.min("set").over(Window.partitionBy("key"))).where("a <> set").select("a", F.col("set").alias("b"))
-    cluster = components(least).withColumnsRenamed({"node": "set", "label": "cluster"})
-    member = apart.select("set", "group").distinct().join(cluster, "set")
-    full = stored(member.join(sets, "set"), "clusters")
-    blocks = full.groupBy("cluster").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum(F.octet_length("hashes")) / BLOCK_BYTES)).cast("int").alias("blocks"))
-    dealt = full.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
+    """Links between different groups in the lists apart (leader, set, group).
+
+    Sets that share a list share its leader, so what a leader's lists hold is compared together.  It is dealt to blocks of
+    about BLOCK sets by hash, and every two blocks are compared by a product of matrices: a set travels as often as its
+    leaders have blocks, and no pair is a row."""
+    member = apart.distinct().join(sets.select("set", F.octet_length("hashes").alias("bytes")), "set")
+    blocks = member.groupBy("leader").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    dealt = member.join(blocks, "leader").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
     other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keyed = other.select("set", "group", "hashes", "cluster", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    return keyed.groupBy("cluster", "low", "high").applyInArrow(lambda table: _block_links(table, percent), "a long, b long")
+    keyed = other.select("set", "group", "leader", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    # Dealt out anew: by leader, all blocks of one would be in one task.
+    full = keyed.join(sets, "set").repartition("leader", "low", "high")
+    return full.groupBy("leader", "low", "high").applyInArrow(lambda table: _block_links(table, percent), "a long, b long")
 
 
 def groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -316,11 +316,12 @@ def groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
     # The leader of a list is the member that meets most others in all its lists: an original rather than an edited copy.
     weight = shared.groupBy("set").agg(F.sum("members").alias("weight"))
     led = shared.join(weight, "set").withColumn("leader", F.max_by("set", F.struct("weight", "set")).over(list_))
+    led = stored(led.select("key", "set", "leader"), "led-lists")
     pairs = led.where("set <> leader").select(F.least("set", "leader").alias("a"), F.greatest("set", "leader").alias("b")).distinct()
     links = stored(_linked(pairs, sets, percent), "links")
     labels = components(links)
-    apart = shared.select("key", "set").join(labels.select(F.col("node").alias("set"), "label"), "set", "left").withColumn("group", F.coalesce("label", "set")).drop("label")
-    apart = apart.withColumn("low", F.min("group").over(list_)).withColumn("high", F.max("group").over(list_)).where("low <> high").drop("low", "high")
+    apart = led.join(labels.select(F.col("node").alias("set"), "label"), "set", "left").withColumn("group", F.coalesce("label", "set")).drop("label")
+    apart = apart.withColumn("low", F.min("group").over(list_)).withColumn("high", F.max("group").over(list_)).where("low <> high").select("leader", "set", "group")
     labels = components(links.union(stored(_compared(stored(apart, "apart-lists"), sets, percent), "links")))
     return labels.select(F.col("node").alias("set"), F.col("label").alias("group"))
 
