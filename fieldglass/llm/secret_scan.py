@@ -22,11 +22,14 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fieldglass.llm._shared import stored, texts
+from fieldglass.llm._shared import IdMap, stored, texts
 
 # The kinds in their order, their patterns and least lengths.
 KINDS = ("assign", "access", "hex", "owned")
@@ -118,12 +121,20 @@ def summary(scanned: DataFrame, key: list[str]) -> DataFrame:
 
 def redact(docs: DataFrame, mark: str = "<SECRET>") -> DataFrame:
     """docs with the value of every span that isn't a widely copied example replaced by mark in text, and n_chars, where
-    there is one, set anew.  All rows stay, with their columns."""
-    numbered = stored(docs.withColumn("_doc", F.monotonically_increasing_id()), "secret-input") if "_doc" not in docs.columns else docs
-    cuts = scan(numbered, ["_doc"]).select("_doc", F.filter("spans", lambda s: s["class"] != "example").alias("_cuts")).where(F.size("_cuts") > 0)
-
+    there is one, set anew.  All rows stay, with their columns.
+
+    Rows are known again by a hash of their doc_id and text.  Those without a span never travel: a map of fixed size holds
+    the others' hashes, and only what it holds is joined to its spans."""
+    key = F.xxhash64("doc_id", "text")
+    found = scan(docs.withColumn("_key", key), ["_key"]).select("_key", F.filter("spans", lambda s: s["class"] != "example").alias("_cuts")).where(F.size("_cuts") > 0)
+    cuts = stored(found.dropDuplicates(["_key"]), "secret-cuts")
+    held = docs.sparkSession.sparkContext.broadcast(IdMap(cuts.select("_key")))
     columns = docs.columns
 
+    @F.pandas_udf(T.BooleanType())
+    def touched(keys: pd.Series) -> pd.Series:
+        return pd.Series(held.value.may_hold(keys.to_numpy(np.int64)))
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -136,12 +147,11 @@ def redact(docs: DataFrame, mark: str = "<SECRET>") -> DataFrame:
                 out.append("".join([*parts, text[at:]]) if parts else text)
             yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(out, pa.string())).select(columns)
 
-    marked = numbered.join(cuts, "_doc", "left")
-    # Only rows with a span go through Python.
-    changed = marked.where("_cuts IS NOT NULL").select(*docs.columns, "_cuts").mapInArrow(cut, docs.schema)
-    if "n_chars" in docs.columns:
+    marked = docs.withColumn("_key", key).withColumn("_touched", touched(F.col("_key")))
+    changed = marked.where("_touched").join(cuts, "_key", "left").select(*columns, "_cuts").mapInArrow(cut, docs.schema)
+    if "n_chars" in columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return marked.where("_cuts IS NULL").select(*docs.columns).unionByName(changed.select(*docs.columns))
+    return marked.where("NOT _touched").select(columns).unionByName(changed.select(columns))
 
 
 def op2_secret_scan(spark, sf_dir: str) -> DataFrame:
