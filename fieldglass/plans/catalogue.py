@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from fieldglass.plans import merging, models, seasons, service, windows  # noqa: F401  registers them
+from fieldglass.plans import merging, models, seasons, service, streams, windows  # noqa: F401  registers them
 from fieldglass.plans.registry import ORACLE_SQL, QUERIES  # noqa: F401

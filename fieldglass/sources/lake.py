@@ -107,19 +107,23 @@ def manifest(df: DataFrame, season: str, entity: str) -> DataFrame:
     return by.agg(F.to_json(F.array_sort(F.collect_list(F.struct(season, "rows", "entities")))).alias("manifest"))
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """df written once in the folder that the cluster shares (spark.checkpoint.dir) and read from there: rounds of an
-    iteration neither repeat each other's work nor depend on the executors that did it."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster shares, from spark.checkpoint.dir; a temporary one in local mode only."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not at:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="fieldglass-")
         spark.sparkContext.setCheckpointDir(at)
-    path = f"{at.rstrip('/')}/fieldglass/{uuid.uuid4().hex}"
+    return at.rstrip("/")
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df written once in the shared folder and read from there: rounds of an iteration neither repeat each other's work
+    nor depend on the executors that did it."""
+    path = f"{shared_folder(df.sparkSession)}/fieldglass/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def flattened(df: DataFrame, column: str, schema: T.StructType | str) -> DataFrame:
