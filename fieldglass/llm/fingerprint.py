@@ -157,8 +157,8 @@ def in_order(docs: DataFrame, partitions: int) -> DataFrame:
     firsts = sorted((r["range"], None if r["none"] else r["first"]) for r in ranged.groupBy("range").agg(F.min("doc_id").alias("first"), F.bool_or(F.col("doc_id").isNull()).alias("none")).collect())
     to = {firsts[k][0]: firsts[k - 1][0] for k in range(len(firsts))}
     is_first = F.lit(False)
-    for r, x in firsts:
-        is_first = is_first | ((F.col("range") == r) & F.col("doc_id").eqNullSafe(F.lit(x).cast("long")))
+    if firsts:
+        is_first = F.col("doc_id").eqNullSafe(F.create_map(*(F.lit(v).cast("long") for pair in firsts for v in pair))[F.col("range").cast("long")])
     place = F.struct(F.col("range").alias("range"), F.lit(False).alias("guest"))
     if firsts:
         before = F.create_map(*(F.lit(v) for pair in to.items() for v in pair))[F.col("range")]
