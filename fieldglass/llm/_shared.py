@@ -107,13 +107,11 @@ class IdMap:
 
 
 class ChunkIds:
-    """Ids of chunks of text, each encoded once and kept until LIMIT chunks are held, then the memory is begun anew."""
+    """Ids of chunks of text, each encoded once and kept until limit chunks are held, then the memory is begun anew."""
 
-    LIMIT = 400_000
-
-    def __init__(self, encode) -> None:
+    def __init__(self, encode, limit: int = 400_000) -> None:
         """encode: from a list of chunks to a list of their lists of ids."""
-        self.encode = encode
+        self.encode, self.limit = encode, limit
         self.clear()
 
     def clear(self) -> None:
@@ -139,7 +137,7 @@ class ChunkIds:
     def __call__(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all chunks one after another, how many each has)."""
         fresh = set(chunks).difference(self.index)
-        if len(self.index) + len(fresh) > self.LIMIT and self.index:
+        if len(self.index) + len(fresh) > self.limit and self.index:
             self.clear()
             fresh = set(chunks)
         if fresh:

@@ -30,6 +30,10 @@ from fieldglass.llm._shared import ChunkIds, slices, texts
 
 SPACE = "▁"
 UNKNOWN = 10.0
+#: Bytes of text encoded at once; chunks and their lists of ids take some 70 bytes per byte.
+ENCODED_BYTES = 1 << 18
+#: Chunks whose ids a process holds, some 250 bytes each.
+HELD_CHUNKS = 150_000
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -58,7 +62,7 @@ class Model:
         self.automaton.make_automaton()
         self.unknown_score = min(s for _, s in self.pieces.values()) - UNKNOWN
         self.by_chunk = not any(re.search(f"[^{SPACE}]{SPACE}", x) for x in self.pieces)
-        self.ids = ChunkIds(lambda chunks: [self.search(x) for x in chunks])
+        self.ids = ChunkIds(lambda chunks: [self.search(x) for x in chunks], HELD_CHUNKS)
 
     def search(self, chunk: str) -> list[int]:
         """The ids on the best path."""
@@ -134,41 +138,45 @@ def model(path: str) -> Model:
     return _loaded[path]
 
 
-def encode(docs: DataFrame, path: str, keep: list[str] | None = None) -> DataFrame:
-    """docs' columns, or those in keep, with ids (array<int>) added; a column of that name is replaced."""
-    rest = [c for c in keep or docs.columns if c != "ids"]
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, rest: list[str]) -> Iterator[pa.RecordBatch]:
+    own = model(path)
+    for batch in batches:
+        for part in slices(batch, "text", ENCODED_BYTES):
+            ids, at = own.encode(texts(part.column("text")))
+            lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), lists], [*rest, "ids"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = model(path)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                ids, at = own.encode(texts(part.column("text")))
-                lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), lists], [*rest, "ids"])
 
-    return docs.select(*dict.fromkeys([*rest, "text"])).mapInArrow(run, docs.select(*rest).schema.add("ids", T.ArrayType(T.IntegerType())))
+def _decoded(batches: Iterator[pa.RecordBatch], path: str, rest: list[str]) -> Iterator[pa.RecordBatch]:
+    own = model(path)
+    for batch in batches:
+        column = batch.column("ids")
+        flat, at = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+        out = [own.decode(flat[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(out, pa.string())], [*rest, "decoded"])
+
+
+def encode(docs: DataFrame, path: str) -> DataFrame:
+    """docs' columns with ids (array<int>) added; a column of that name is replaced."""
+    rest = [c for c in docs.columns if c != "ids"]
+    return docs.select(*dict.fromkeys([*rest, "text"])).mapInArrow(lambda x: _encoded(x, path, rest), docs.select(*rest).schema.add("ids", T.ArrayType(T.IntegerType())))
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """encoded's columns with decoded (string) added, the text of ids."""
     rest = [c for c in encoded.columns if c != "decoded"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = model(path)
-        for batch in batches:
-            column = batch.column("ids")
-            flat, at = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-            out = [own.decode(flat[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(out, pa.string())], [*rest, "decoded"])
-
-    return encoded.select(*rest).mapInArrow(run, encoded.select(*rest).schema.add("decoded", "string"))
+    return encoded.select(*rest).mapInArrow(lambda x: _decoded(x, path, rest), encoded.select(*rest).schema.add("decoded", "string"))
 
 
 def checked(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids, n_ids, decoded_sha256, round_trip): each text's ids, and whether they decode to the text."""
+    """(doc_id, ids, n_ids, decoded_sha256, round_trip): each text's ids, and whether they decode to the text.
+
+    Both ways in one Python process, so that a task holds one model and not two."""
     want = F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), SPACE, " "), 256)
-    coded = encode(docs.select("doc_id", "text", want.alias("want")), path, keep=["doc_id", "want"])
-    got = decode(coded, path).withColumn("decoded_sha256", F.sha2("decoded", 256))
+    given = docs.select("doc_id", want.alias("want"), "text")
+    schema = given.drop("text").schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
+    got = given.mapInArrow(lambda x: _decoded(_encoded(x, path, ["doc_id", "want"]), path, ["doc_id", "want", "ids"]), schema)
+    got = got.withColumn("decoded_sha256", F.sha2("decoded", 256))
     return got.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), "decoded_sha256", (F.col("decoded_sha256") == F.col("want")).alias("round_trip"))
 
 
