@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a numpy kernel works on at once; temporaries take some tens of bytes per byte.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -148,7 +148,8 @@ def redact(docs: DataFrame, mark: str = "<SECRET>") -> DataFrame:
             yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(out, pa.string())).select(columns)
 
     marked = docs.withColumn("_key", key).withColumn("_touched", touched(F.col("_key")))
-    changed = marked.where("_touched").join(cuts, "_key", "left").select(*columns, "_cuts").mapInArrow(cut, docs.schema)
+    # A merge join, so that marking and cutting are in different tasks: in one they would hold a Python process each.
+    changed = marked.where("_touched").join(cuts.hint("merge"), "_key", "left").select(*columns, "_cuts").mapInArrow(cut, docs.schema)
     if "n_chars" in columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return marked.where("NOT _touched").select(columns).unionByName(changed.select(columns))

@@ -30,8 +30,6 @@ from fieldglass.llm._shared import ChunkIds, slices, texts
 
 SPACE = "▁"
 UNKNOWN = 10.0
-#: Bytes of text encoded at once; chunks and their lists of ids take some 70 bytes per byte.
-ENCODED_BYTES = 1 << 18
 #: Chunks whose ids a process holds, some 250 bytes each.
 HELD_CHUNKS = 150_000
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -141,10 +139,11 @@ def model(path: str) -> Model:
 def _encoded(batches: Iterator[pa.RecordBatch], path: str, rest: list[str]) -> Iterator[pa.RecordBatch]:
     own = model(path)
     for batch in batches:
-        for part in slices(batch, "text", ENCODED_BYTES):
+        for part in slices(batch, "text"):
             ids, at = own.encode(texts(part.column("text")))
             lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), lists], [*rest, "ids"])
+    own.ids.clear()  # the process is used again, by other stages too
 
 
 def _decoded(batches: Iterator[pa.RecordBatch], path: str, rest: list[str]) -> Iterator[pa.RecordBatch]:
