@@ -6,8 +6,8 @@ no piece covers alone can be taken as unknown, at the lowest score less ``UNKNOW
 path of the highest total score is the encoding; of equal scores the one with the longer last piece.
 
 No piece of the models meant here has a space mark behind another character, so the best path of a text is the best path
-of each of its chunks (space marks, then others), one after another.  Each distinct chunk is searched once a task and
-its ids are gathered for every occurrence.  A model with other pieces is run over whole texts.
+of each of its chunks (space marks, then others), one after another.  The ids of
+chunks are held in memory of a fixed size and gathered for every occurrence.  A model with other pieces is run over whole texts.
 
 Pieces and scores are read from a model file by the sentencepiece library, once a process; its path is a parameter.
 
@@ -31,7 +31,7 @@ from fieldglass.llm._shared import ChunkIds, slices, texts
 SPACE = "▁"
 UNKNOWN = 10.0
 #: Chunks whose ids a process holds, some 250 bytes each.
-HELD_CHUNKS = 150_000
+HELD_CHUNKS = 400_000
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
@@ -143,7 +143,6 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str, rest: list[str]) -> I
             ids, at = own.encode(texts(part.column("text")))
             lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), lists], [*rest, "ids"])
-    own.ids.clear()  # the process is used again, by other stages too
 
 
 def _decoded(batches: Iterator[pa.RecordBatch], path: str, rest: list[str]) -> Iterator[pa.RecordBatch]:
