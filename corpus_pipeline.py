@@ -4,7 +4,8 @@ which is written as Parquet and read again as the next stage's docs.
 1. language ID: documents whose language is undecided (no letter, or a score under ``LEAST_SCORE``) go; the model learns
    from the labelled documents of the stage's input.
 2. n-gram Jaccard join: of each group of near-duplicates (five-word shingles, a Jaccard similarity of 0.8 or more) the
-   document with the least doc_id stays.  Documents without shingles or without a doc_id stay.
+   document with the least doc_id stays, of several texts of that doc_id one.  Documents without shingles or without a
+   doc_id stay; rows with the same doc_id and set are one.
 3. secret scan: credentials, but for widely copied examples, are replaced in the texts; all documents stay.
 4. mixing sources: documents are repeated or left out by Poisson counts, to the target weights.
 5. SentencePiece: the texts' ids, and whether they decode to the texts.
@@ -34,10 +35,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = stored(ngram_join.join(docs, WORDS, PERCENT), "pipeline-groups")
-    spare = groups.where("doc_id <> component_id").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    repeated = groups.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).count().where("count > 1").select("doc_id")
-    held = spark.sparkContext.broadcast(IdMap(spare.union(repeated)))
+    own = F.col("doc_id").cast("long").alias("_id")
+    groups = stored(ngram_join.classes(docs, WORDS, PERCENT).where("doc_id IS NOT NULL"), "pipeline-groups")
+    spare = groups.where("set IS NOT NULL AND NOT (doc_id <=> component_id AND set <=> keeper)").select(own, F.col("set").alias("_set")).distinct()
+    repeated = groups.groupBy(own).count().where("count > 1").select("_id")
+    held = spark.sparkContext.broadcast(IdMap(spare.select("_id").union(repeated)))
 
     @F.pandas_udf("boolean")
     def touched(ids: pd.Series) -> pd.Series:
@@ -46,9 +48,13 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     # Only rows that the map holds are joined; texts of the others stay where they are.
     marked = docs.withColumn("_touched", touched(F.col("doc_id").cast("long")))
     loose = marked.where("NOT _touched").select(docs.columns)
-    kept = marked.where("_touched").withColumn("_id", F.col("doc_id").cast("long")).join(spare.withColumnRenamed("doc_id", "_id"), "_id", "left_anti")
-    # A repeated row is an exact copy with the same doc_id: one of them stays.
-    return loose.unionByName(kept.dropDuplicates(["_id"]).select(docs.columns))
+    # Rows of one doc_id can have different texts: what goes is decided by doc_id and set.
+    named = ngram_join.with_sets(marked.where("_touched").withColumn("_id", F.col("doc_id").cast("long")), WORDS, "_set")
+    kept = named.join(spare, ["_id", "_set"], "left_anti")
+    # Rows with the same doc_id and set are copies, without shingles those with the same text: the one of the least hash stays.
+    hashed = F.xxhash64(*(f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()))
+    single = kept.groupBy("_id", F.coalesce("_set", F.xxhash64("text")).alias("_set")).agg(F.min_by(F.struct(*docs.columns), hashed).alias("_row"))
+    return loose.unionByName(single.select("_row.*"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

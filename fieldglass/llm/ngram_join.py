@@ -40,6 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from fieldglass.llm import _kernels as K
@@ -326,16 +327,35 @@ def groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return labels.select(F.col("node").alias("set"), F.col("label").alias("group"))
 
 
-def join(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, component_id): every row of docs with the size of its set and the least doc_id that links
-    lead to."""
+def classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(doc_id, n_shingles, set, component_id, keeper): every row of docs with the name of its set, the least doc_id that
+    links lead to, and the set that stands for the group: the least of those with that doc_id."""
     each = stored(members(docs, words), "members")
     named = each.where("set IS NOT NULL").groupBy("set").agg(F.min("doc_id").alias("first"))
     grouped = named.join(groups(docs, words, percent), "set", "left").withColumn("group", F.coalesce("group", "set"))
     least = stored(grouped.select("set", "group", "first"), "groups")
-    root = least.groupBy("group").agg(F.min("first").alias("component_id"))
-    of = least.join(root, "group").select("set", "component_id")
-    return each.join(of, "set", "left").select("doc_id", "n_shingles", F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    root = least.groupBy("group").agg(F.min(F.when(F.col("first").isNotNull(), F.struct("first", "set"))).alias("root"))
+    of = least.join(root, "group").select("set", F.col("root.first").alias("component_id"), F.col("root.set").alias("keeper"))
+    alone = F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return each.join(of, "set", "left").select("doc_id", "n_shingles", "set", alone.alias("component_id"), "keeper")
+
+
+def join(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(doc_id, n_shingles, component_id): every row of docs with the size of its set and the least doc_id that links
+    lead to."""
+    return classes(docs, words, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def with_sets(docs: DataFrame, words: int, column: str) -> DataFrame:
+    """docs with the name of each text's set in column, null where the set is empty."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, _, at, name in _sets(batch, words):
+                own = pa.array(name.view(np.int64), mask=np.diff(at) == 0)
+                yield pa.RecordBatch.from_arrays([*part.columns, own], [*part.schema.names, column])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(column, LongType())]))
 
 
 def op8_ngram_join(spark, sf_dir: str) -> DataFrame:

@@ -45,3 +45,15 @@ def test_whole_run_and_empty_table(spark, documents, rows, tmp_path):
     assert got and all(r["round_trip"] for r in got)
     documents([]).write.parquet(f"file://{tmp_path}/none/documents.parquet")
     assert P.run(spark, f"file://{tmp_path}/none").count() == 0
+
+
+def test_texts_that_share_a_doc_id_are_kept_apart(spark, documents, tmp_path):
+    rng = random.Random(2)
+    one, two, three, four = (" ".join(f"{name}{rng.randrange(10**6)}" for _ in range(60)) for name in "abcd")
+    rows = [(1, one), (5, one + " more"), (5, two), (5, two), (6, three), (6, four), (7, four + " more"), (8, three), (8, three + " more"), (None, one), (9, ""), (9, " ")]
+    documents([(k, x, "en", "s", 0) for k, x in rows]).write.parquet(f"file://{tmp_path}/a")
+    got = [(r["doc_id"], r["text"]) for r in P.one_of_each_group(spark, spark.read.parquet(f"file://{tmp_path}/a"), "").collect()]
+    assert sorted(got, key=repr) == sorted([(1, one), (5, two), (6, three), (6, four), (None, one), (9, ""), (9, " ")], key=repr)
+    near = [(3, one), (3, one + " more"), (4, one)]
+    got = [r["doc_id"] for r in P.one_of_each_group(spark, documents([(k, x, "en", "s", 0) for k, x in near]), "").collect()]
+    assert got == [3]
