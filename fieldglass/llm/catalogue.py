@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from fieldglass.llm.fingerprint import op7_fingerprint
 from fieldglass.llm.language_id import op9_language_id
-from fieldglass.llm.ngram_join import op8_ngram_join
+from fieldglass.llm.ngram_join import op8_ngram_join, op8_ngram_links
 from fieldglass.llm.secret_scan import op2_secret_scan
 from fieldglass.llm.sentencepiece_codec import op1_sentencepiece
 from fieldglass.llm.source_mix import SEED, TARGETS, op4_source_mix
@@ -13,7 +13,7 @@ from fieldglass.llm.topk_search import op5_topk_search
 from fieldglass.llm.toxicity import op3_toxicity
 from fieldglass.llm.warc import op6_warc
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_secret_scan, op3_toxicity, op4_source_mix, op5_topk_search, op6_warc, op7_fingerprint, op8_ngram_join, op9_language_id, op10_token_ids)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_secret_scan, op3_toxicity, op4_source_mix, op5_topk_search, op6_warc, op7_fingerprint, op8_ngram_join, op8_ngram_links, op9_language_id, op10_token_ids)}
 
 _targets = ", ".join(f"('{s}', {w!r}::DOUBLE)" for s, w in TARGETS.items())
 ORACLE_SQL = {

@@ -41,7 +41,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
-from pyspark.sql.window import Window
 
 from fieldglass.llm import _kernels as K
 from fieldglass.llm._shared import IdMap, slices, stored
@@ -191,8 +190,10 @@ def members(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, set long")
 
 
-def entries(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(key, set): subsets of the light sets and lists of the heavy ones; a task enters each set once."""
+def entries(docs: DataFrame, words: int, percent: int, wanted: DataFrame | None = None) -> DataFrame:
+    """(key, set): subsets of the light sets and lists of the heavy ones; a task enters each set once.  Of the keys that
+    aren't among wanted, if it is given, the map drops most."""
+    held = docs.sparkSession.sparkContext.broadcast(IdMap(wanted)) if wanted is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes, seen = Sizes(percent), set()
@@ -207,6 +208,9 @@ def entries(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 length = np.diff(at)[keep]
                 own, own_at, own_name = K.gather(h, at[:-1][keep], length), np.concatenate(([0], np.cumsum(length))), name[keep]
                 for keys, owner in (_light(own, own_at, sizes), _lists(own, own_at, sizes)):
+                    if held is not None:
+                        may = held.value.may_hold(keys)
+                        keys, owner = keys[may], owner[may]
                     yield pa.RecordBatch.from_arrays([K.i64(keys), K.i64(own_name[owner])], ["key", "set"])
 
     return docs.select("text").mapInArrow(run, "key long, set long")
@@ -253,18 +257,11 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return right.join(sets.select(F.col("set").alias("a"), F.col("hashes").alias("x")), "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _block_links(table: pa.Table, percent: int) -> pa.Table:
-    """Links between members of different groups in one or two blocks of a leader's lists: as many as join their groups."""
-    block = table.column("block").to_numpy()
-    raw = table.column("hashes").combine_chunks()
-    own = [np.frombuffer(raw[i].as_buffer(), np.uint64) for i in range(len(raw))]
-    n = np.array([len(x) for x in own])
-    name, group = table.column("set").to_numpy(), table.column("group").to_numpy()
-    left = np.flatnonzero(block == block.min())
-    right = np.flatnonzero(block == block.max())
-    # Columns: the shingles that two members hold at least.  Products of 0/1 matrices count what rows have in common.
+def _common(own: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many elements each of the rows left has in common with each of the rows right."""
+    # Columns: the elements that two rows hold at least.  Products of 0/1 matrices count what rows have in common.
     element, column, times = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
-    row = np.repeat(np.arange(len(own)), n)
+    row = np.repeat(np.arange(len(own)), [len(x) for x in own])
     common = np.zeros((len(left), len(right)), np.float32)
     order = np.argsort(column, kind="stable")
     order = order[times[column[order]] > 1]
@@ -274,6 +271,49 @@ def _block_links(table: pa.Table, percent: int) -> pa.Table:
         cells = np.zeros((len(own), 4096), np.float32)
         cells[row[own_part], np.cumsum(times > 1)[column[own_part]] - 1 - low] = 1
         common += cells[left] @ cells[right].T
+    return common
+
+
+def _opened(table: pa.Table, column: str, kind: type) -> list[np.ndarray]:
+    raw = table.column(column).combine_chunks()
+    return [np.frombuffer(raw[i].as_buffer(), kind) for i in range(len(raw))]
+
+
+def _block_counts(table: pa.Table, percent: int) -> pa.Table:
+    """(set, links): how many links each set has in one or two blocks of a leader's lists, but for the pairs that also
+    meet under a lower leader: there they are counted."""
+    block, leader = table.column("block").to_numpy(), table.column("leader")[0].as_py()
+    own = _opened(table, "hashes", np.uint64)
+    lower = [np.array([y for y in x if y < leader], np.int64) for x in table.column("leaders").to_pylist()]
+    n, name = np.array([len(x) for x in own]), table.column("set").to_numpy()
+    left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+    one = block.min() == block.max()
+    # A block against another is a table of both; where one of them is empty, a block against itself has its own table.
+    if one and table.column("low")[0].as_py() != table.column("high")[0].as_py():
+        return pa.table({"set": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
+    common = _common(own, left, right)
+    either = n[left][:, None] + n[right][None, :] - common
+    hit = 100 * common.astype(np.int64) >= percent * either.astype(np.int64)
+    hit &= name[left][:, None] != name[right][None, :]
+    if hit.any():
+        hit &= _common(lower, left, right) == 0
+    count = np.zeros(len(own), np.int64)
+    count[left] += hit.sum(axis=1)
+    if not one:
+        count[right] += hit.sum(axis=0)
+    held = count > 0
+    return pa.table({"set": pa.array(name[held], pa.int64()), "links": pa.array(count[held], pa.int64())})
+
+
+def _block_links(table: pa.Table, percent: int) -> pa.Table:
+    """Links between members of different groups in one or two blocks of a leader's lists: as many as join their groups."""
+    block = table.column("block").to_numpy()
+    own = _opened(table, "hashes", np.uint64)
+    n = np.array([len(x) for x in own])
+    name, group = table.column("set").to_numpy(), table.column("group").to_numpy()
+    left = np.flatnonzero(block == block.min())
+    right = np.flatnonzero(block == block.max())
+    common = _common(own, left, right)
     either = n[left][:, None] + n[right][None, :] - common
     hit = (100 * common.astype(np.int64) >= percent * either.astype(np.int64)) & (group[left][:, None] != group[right][None, :])
     parent: dict[int, int] = {}
@@ -292,37 +332,53 @@ def _block_links(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
 
 
-def _compared(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between different groups in the lists apart (leader, set, group).
+def _dealt(member: DataFrame, sets: DataFrame) -> DataFrame:
+    """member (leader, set, ...), distinct, with hashes, once for each pair of blocks (low, high) of its leader.
 
     Sets that share a list share its leader, so what a leader's lists hold is compared together.  It is dealt to blocks of
     about BLOCK sets by hash, and every two blocks are compared by a product of matrices: a set travels as often as its
     leaders have blocks, and no pair is a row."""
-    member = apart.distinct().join(sets.select("set", F.octet_length("hashes").alias("bytes")), "set")
-    blocks = member.groupBy("leader").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
-    dealt = member.join(blocks, "leader").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
+    sized = member.join(sets.select("set", F.octet_length("hashes").alias("bytes")), "set")
+    blocks = sized.groupBy("leader").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    dealt = sized.drop("bytes").join(blocks, "leader").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
     other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keyed = other.select("set", "group", "leader", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    keyed = other.select("*", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")).drop("blocks", "other")
     # Dealt out anew: by leader, all blocks of one would be in one task.
-    full = keyed.join(sets, "set").repartition("leader", "low", "high")
+    return keyed.join(sets, "set").repartition("leader", "low", "high")
+
+
+def _compared(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different groups in the lists apart (leader, set, group)."""
+    full = _dealt(apart.distinct(), sets)
     return full.groupBy("leader", "low", "high").applyInArrow(lambda table: _block_links(table, percent), "a long, b long")
 
 
-def groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(set, group): the sets with a link to another one, and the least set that links lead to."""
-    list_ = Window.partitionBy("key")
-    every = entries(docs, words, percent).withColumn("low", F.min("set").over(list_)).withColumn("high", F.max("set").over(list_))
-    shared = stored(every.where("low <> high").select("key", "set", F.count(F.lit(1)).over(list_).alias("members")), "shared-lists")
+def _led(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(key, set, leader): the lists of several sets; (set, hashes): the sets in them.
+
+    What a list needs to know of itself is an aggregate, added up before the shuffle, and joined back: a list's rows need
+    not be in one task, as a window over it would have them."""
+    ends = entries(docs, words, percent).groupBy("key").agg(F.min("set").alias("low"), F.max("set").alias("high"))
+    keys = stored(ends.where("low <> high").select("key"), "shared-keys")
+    # Entered again rather than kept: most lists have one set, and their entries are not worth a table.
+    shared = stored(entries(docs, words, percent, keys).join(keys, "key"), "shared-lists")
     sets = stored(candidate_sets(docs, shared.select("set").distinct(), words), "candidate-sets")
     # The leader of a list is the member that meets most others in all its lists: an original rather than an edited copy.
-    weight = shared.groupBy("set").agg(F.sum("members").alias("weight"))
-    led = shared.join(weight, "set").withColumn("leader", F.max_by("set", F.struct("weight", "set")).over(list_))
-    led = stored(led.select("key", "set", "leader"), "led-lists")
+    members_ = shared.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+    weight = shared.join(members_, "key").groupBy("set").agg(F.sum("members").alias("weight"))
+    first = shared.join(weight, "set").groupBy("key").agg(F.max(F.struct("weight", "set")).alias("most")).select("key", F.col("most.set").alias("leader"))
+    return stored(shared.join(first, "key"), "led-lists"), sets
+
+
+def groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(set, group): the sets with a link to another one, and the least set that links lead to."""
+    led, sets = _led(docs, words, percent)
     pairs = led.where("set <> leader").select(F.least("set", "leader").alias("a"), F.greatest("set", "leader").alias("b")).distinct()
     links = stored(_linked(pairs, sets, percent), "links")
     labels = components(links)
     apart = led.join(labels.select(F.col("node").alias("set"), "label"), "set", "left").withColumn("group", F.coalesce("label", "set")).drop("label")
-    apart = apart.withColumn("low", F.min("group").over(list_)).withColumn("high", F.max("group").over(list_)).where("low <> high").select("leader", "set", "group")
+    open_ = apart.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("key")
+    apart = apart.join(open_, "key").select("leader", "set", "group")
     labels = components(links.union(stored(_compared(stored(apart, "apart-lists"), sets, percent), "links")))
     return labels.select(F.col("node").alias("set"), F.col("label").alias("group"))
 
@@ -358,5 +414,25 @@ def with_sets(docs: DataFrame, words: int, column: str) -> DataFrame:
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(column, LongType())]))
 
 
+def link_counts(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(doc_id, class_id, n_links): every row of docs with the name of its class of equal sets, null where the set is
+    empty, and the number of other classes that link to it.
+
+    Linked sets share a list and thus a leader; all that a leader's lists hold is compared, and a pair is counted under the
+    least of the leaders that its sets share."""
+    led, sets = _led(docs, words, percent)
+    member = led.select("leader", "set").distinct()
+    leaders = member.groupBy("set").agg(F.sort_array(F.collect_list("leader")).alias("leaders"))
+    full = _dealt(stored(member.join(leaders, "set"), "members-of-leaders"), sets)
+    counted = full.groupBy("leader", "low", "high").applyInArrow(lambda table: _block_counts(table, percent), "set long, links long")
+    links = stored(counted, "link-counts").groupBy("set").agg(F.sum("links").alias("n_links"))
+    each = members(docs, words).select("doc_id", F.col("set").alias("class_id"))
+    return each.join(links.withColumnRenamed("set", "class_id"), "class_id", "left").select("doc_id", "class_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+
+
 def op8_ngram_join(spark, sf_dir: str) -> DataFrame:
     return join(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=4, percent=85)
+
+
+def op8_ngram_links(spark, sf_dir: str) -> DataFrame:
+    return link_counts(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=4, percent=85)

@@ -86,3 +86,29 @@ def test_empty_table_and_clashing_columns(spark, documents):
     assert N.join(documents([]), 4, 85).count() == 0
     docs = documents(["a b c d e"] * 3).withColumn("set", F.lit(1)).withColumn("component_id", F.lit(9))
     assert {tuple(r) for r in N.join(docs, 4, 85).collect()} == {(0, 2, 0), (1, 2, 0), (2, 2, 0)}
+
+
+@pytest.mark.parametrize("words, percent", [(4, 85), (1, 50)])
+def test_links_are_those_of_all_pairs(spark, documents, monkeypatch, words, percent):
+    monkeypatch.setattr(N, "BLOCK", 40)
+    rows = corpus(words)
+    docs = documents([(k, x, "en", "s", 0) for k, x in rows]).repartition(3)
+    sets = []
+    for _, text in rows:
+        own = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets.append(frozenset(tuple(own[i : i + words]) for i in range(max(1, len(own) - words + 1))) if own else frozenset())
+    distinct = sorted({x for x in sets if x}, key=len)
+    links = Counter()
+    for i, a in enumerate(distinct):
+        for b in distinct[:i]:
+            if 100 * len(a & b) >= percent * len(a | b):
+                links.update((a, b))
+    got = N.link_counts(docs, words, percent).collect()
+    assert sorted(((r["doc_id"], r["n_links"]) for r in got), key=repr) == sorted(((k, links[x]) for (k, _), x in zip(rows, sets)), key=repr)
+    assert len({r["class_id"] for r in got if r["class_id"] is not None}) == len(distinct) and sum(links.values()) > 1000
+
+
+def test_no_window_holds_a_whole_list(spark, documents):
+    import inspect
+
+    assert "Window" not in inspect.getsource(N)
