@@ -57,6 +57,32 @@ def nearest(left: DataFrame, right: DataFrame, key: list[str], left_id: list[str
     return ranked.where((F.col("place") == 1) & (F.col("distance") <= most) & clear).drop("place", "second")
 
 
+def nearest_sorted(left: DataFrame, right: DataFrame, key: list[str], left_id: list[str], right_id: str, left_value: str, right_value: str, most: float, apart: float) -> DataFrame:
+    """As nearest, without a product: the two values on either side of a left row's come from sorted streams by key.
+
+    Right rows of one value are one, with their least id and their number; of left rows with the same key and value, one
+    is looked up for all.  Left rows with the same ids are one, as in nearest."""
+    asked = left.where(F.col(left_value).isNotNull()).select(*key, F.col(left_value).alias("_v")).distinct()
+    values = right.where(F.col(right_value).isNotNull()).groupBy(*key, F.col(right_value).alias("_v")).agg(F.min(right_id).alias("id"), F.count(F.lit(1)).alias("n"))
+    one = F.struct(F.col("_v").alias("v"), "id", "n")
+    by = Window.partitionBy(*key)
+    known = values.select(*key, "_v", one.alias("_own"), F.lag(one).over(by.orderBy("_v")).alias("_below"), F.lead(one).over(by.orderBy("_v")).alias("_above"))
+    nothing = F.lit(None).cast(known.schema["_own"].dataType)
+    both = known.select("*", F.lit(0).alias("_side")).unionByName(asked.select(*key, "_v", *(nothing.alias(c) for c in ("_own", "_below", "_above")), F.lit(1).alias("_side")))
+    up = by.orderBy("_v", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    down = by.orderBy(F.col("_v").desc(), F.col("_side").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = lambda other, w: F.last(F.when(F.col("_side") == 0, F.array("_own", other)), ignorenulls=True).over(w)
+    around = both.select(*key, "_v", "_side", seen("_below", up).alias("_low"), seen("_above", down).alias("_high")).where("_side = 1")
+    near = F.filter(F.concat(F.coalesce("_low", F.array(nothing)), F.coalesce("_high", F.array(nothing))), lambda x: x.isNotNull())
+    ranked = F.array_sort(F.transform(near, lambda x: F.struct(F.abs(F.col("_v") - x["v"]).alias("distance"), x["id"].alias("id"), x["n"].alias("n"))))
+    found = around.select(*key, F.col("_v").alias(left_value), ranked.alias("_near")).where(F.size("_near") > 0)
+    joined = left.join(found, [*key, left_value]).groupBy(*left_id).agg(F.array_sort(F.flatten(F.collect_list("_near"))).alias("_near"))
+    best = F.get("_near", F.lit(0))
+    second = F.when((best["n"] > 1), best["distance"]).otherwise(F.get("_near", F.lit(1))["distance"])
+    out = joined.select(*left_id, best["id"].alias(right_id), best["distance"].alias("distance"), second.alias("_second"))
+    return out.where((F.col("distance") <= most) & (F.col("_second").isNull() | (F.col("_second") - F.col("distance") >= apart))).drop("_second")
+
+
 def during(facts: DataFrame, spells: DataFrame, key: list[str], day: str, start: str, end: str, how: str = "inner") -> DataFrame:
     """Facts joined to the spells of their key that hold on the day: start <= day and (end null or day < end)."""
     on = [facts[k] == spells[k] for k in key] + [facts[day] >= spells[start], spells[end].isNull() | (facts[day] < spells[end])]

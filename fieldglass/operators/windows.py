@@ -29,6 +29,23 @@ def spells(days: DataFrame, key: list[str], calendar: list[str], day: str) -> Da
     return own.groupBy(*key, "_run").agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"), F.max_by("_next", day).alias("until_day"), F.count(F.lit(1)).alias("days")).drop("_run")
 
 
+def membership(spells: DataFrame, probes: DataFrame, first: str, until: str, probe: str, sums: dict[str, str]) -> DataFrame:
+    """Each probe's number of members, the spells with first <= probe and (until null or probe < until), and sums by name
+    of their columns; probes that nobody holds are left out.
+
+    A spell is +1 at its first day and -1 at its until day.  These are added up by day, and the days' sums, a row for each
+    day and no spell against a day, are accumulated over the calendar."""
+    cells = [F.lit(1).cast("long").alias("members"), *(F.col(c).alias(n) for n, c in sums.items())]
+    names = ["members", *sums]
+    begin = spells.select(F.col(first).alias(probe), *cells)
+    end = spells.where(F.col(until).isNotNull()).select(F.col(until).alias(probe), *cells).select(probe, *((-F.col(n)).alias(n) for n in names))
+    days = begin.unionByName(end).groupBy(probe).agg(*(F.sum(n).alias(n) for n in names))
+    w = Window.orderBy(probe).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    asked = probes.select(probe).distinct().withColumn("_asked", F.lit(True))
+    run = days.join(asked, probe, "full").select(probe, "_asked", *(F.sum(F.coalesce(n, F.lit(0))).over(w).alias(n) for n in names))
+    return run.where("_asked AND members > 0").drop("_asked")
+
+
 def change_points(df: DataFrame, key: list[str], order: list[str], values: list[str]) -> DataFrame:
     """Rows whose values differ from the key's row before, the first ones with them."""
     w = Window.partitionBy(*key).orderBy(*order)
