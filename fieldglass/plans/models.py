@@ -185,7 +185,7 @@ def name_normalise_letters(t):
 
 @query()
 def name_normalise_folded(t):
-    d = t("documents").select("doc_id", F.substring("text", 1, 40).alias("name"))
+    d = t("documents").select("doc_id", F.col("text").alias("name"))
     return d.select("doc_id", T.name_key(F.col("name")).alias("key"), T.name_bare(F.col("name")).alias("bare"), T.name_base(F.col("name")).alias("base"))
 
 

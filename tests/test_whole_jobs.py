@@ -47,3 +47,10 @@ def test_all_players_look_for_a_nearest_part(spark):
     got = QUERIES["nearest_with_separation_all"](spark, FOLDER).collect()
     some = QUERIES["nearest_with_separation"](spark, FOLDER).collect()
     assert any(r["player"] % 20 for r in got) and set(map(tuple, some)) == {tuple(r) for r in got if r["player"] % 20 == 0}
+
+
+def test_whole_texts_are_normalised(spark, tmp_path):
+    text = "Nikola Jokić " * 10 + "O'Neal Jr."
+    spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    (got,) = QUERIES["name_normalise_folded"](spark, f"file://{tmp_path}").collect()
+    assert got["key"] == "nikola jokic " * 10 + "oneal jr" and got["base"] == "nikola jokic " * 10 + "oneal" and got["bare"].endswith("oneal jr")
