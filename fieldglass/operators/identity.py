@@ -28,6 +28,37 @@ def suffix_verdict(a: Column, b: Column) -> Column:
     return F.when(a.eqNullSafe(b), "same").when(a.isNull() | b.isNull(), "ambiguous").otherwise("conflict")
 
 
+def candidate_pairs(people: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Pairs of people and candidates (columns with c_ before) with the same name key, or birthdates at most a day apart:
+    every pair that score can propose or link, once.  Joins on the evidence alone, whose hot keys adaptive execution
+    splits."""
+    key = lambda x: F.concat(F.lit("n:"), T.name_base(F.col(x)))
+    day = lambda x, k: F.concat(F.lit("b:"), F.date_add(F.col(x), k).cast("string"))
+    a = people.withColumn("_a", key("name")).withColumn("_block", F.explode(F.array("_a", day("birthdate", 0))))
+    b = candidates.withColumn("_b", key("c_name")).withColumn("_block", F.explode(F.array("_b", *(day("c_birthdate", k) for k in (-1, 0, 1)))))
+    # A pair that meets by both is kept where it meets by name.
+    once = F.col("_block").startswith("n:") | ~F.col("_a").eqNullSafe(F.col("_b"))
+    return a.join(b, "_block").where(once).drop("_a", "_b", "_block")
+
+
+def token_pairs(df: DataFrame, id_: str, text: str, least: float) -> DataFrame:
+    """(a, b, jaccard): all pairs a < b whose distinct tokens have a Jaccard similarity of least or more; of 0,
+    those that share a token.
+
+    Each text is blocked by so many of its rarest tokens that two such texts share one of them."""
+    own = df.select(F.col(id_).alias("id"), F.col(text).alias("s"), F.array_distinct(F.split(text, " ")).alias("tokens"))
+    each = own.select("id", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    often = each.groupBy("token").agg(F.count(F.lit(1)).alias("often"))
+    ordered = each.join(often, "token").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("often", "token"))).alias("tokens"))
+    # A little below least, so that rounding takes no token away.
+    prefix = F.slice("tokens", F.lit(1), (F.col("n") - F.ceil(F.col("n") * (least - 1e-9)) + 1).cast("int"))
+    block = ordered.select("id", F.explode(F.transform(prefix, lambda x: x["token"])).alias("token"))
+    pairs = block.select(F.col("id").alias("a"), "token").join(block.select(F.col("id").alias("b"), "token"), "token").where("a < b").select("a", "b").distinct()
+    texts = lambda i, s: own.select(F.col("id").alias(i), F.col("s").alias(s))
+    both = pairs.join(texts("a", "s1"), "a").join(texts("b", "s2"), "b")
+    return both.select("a", "b", T.token_jaccard(F.col("s1"), F.col("s2")).alias("jaccard")).where(F.col("jaccard") >= least)
+
+
 def score(pairs: DataFrame) -> DataFrame:
     """Candidate pairs with sim, score and decision: block, review, propose or auto_link.
 

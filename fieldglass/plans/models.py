@@ -191,21 +191,28 @@ def name_normalise_folded(t):
 
 @query("WITH w AS (SELECT item_id AS id, list_distinct(string_split(lower(text), ' ')) AS s, item_id % 10 AS b FROM benchmark) SELECT a.id AS a, b.id AS b, round(len(list_intersect(a.s, b.s)) / len(list_distinct(list_concat(a.s, b.s)))::DOUBLE, 6) AS jaccard FROM w a JOIN w b ON a.b = b.b AND a.id < b.id")
 def identity_jaccard(t):
-    """Token overlap of candidate pairs in blocks."""
+    """Token overlap of the pairs in the blocks of the SQL."""
     w = t("benchmark").select(F.col("item_id").alias("id"), F.lower("text").alias("s"), (F.col("item_id") % 10).alias("block"))
     b = w.select(F.col("id").alias("other"), F.col("s").alias("s2"), "block")
     return w.join(b, "block").where("id < other").select(F.col("id").alias("a"), F.col("other").alias("b"), F.round(T.token_jaccard(F.col("s"), F.col("s2")), 6).alias("jaccard"))
 
 
+@query()
+def identity_jaccard_tokens(t):
+    """All pairs that share a token; no pair of these passages has more than a tenth of its tokens in common."""
+    w = t("benchmark").select(F.col("item_id").alias("id"), F.lower("text").alias("s"))
+    return I.token_pairs(w, "id", "s", 0.0).withColumn("jaccard", F.round("jaccard", 6))
+
+
 def _people(t, prefix: str):
-    c = t("customer").where("c_custkey % 3 = 0")
+    c = t("customer")
     name = F.concat(F.lit("Ann "), F.translate(F.right("c_name", F.lit(4)), "0123456789", "abcdefghij"), F.when(F.col("c_custkey") % 5 == 0, " Jr.").otherwise(""))
     born = F.date_add(F.lit("1980-01-01").cast("date"), (F.col("c_custkey") % 3000).cast("int"))
-    return c.select(F.col("c_custkey").alias(f"{prefix}id"), name.alias(f"{prefix}name"), born.alias(f"{prefix}birthdate"), (F.col("c_custkey") % 9).alias(f"{prefix}draft"), F.lit(None).cast("string").alias(f"{prefix}school"), (F.col("c_custkey") % 12 + 70).alias(f"{prefix}height"), F.col("c_nationkey").alias("block"))
+    return c.select(F.col("c_custkey").alias(f"{prefix}id"), name.alias(f"{prefix}name"), born.alias(f"{prefix}birthdate"), (F.col("c_custkey") % 9).alias(f"{prefix}draft"), F.lit(None).cast("string").alias(f"{prefix}school"), (F.col("c_custkey") % 12 + 70).alias(f"{prefix}height"))
 
 
 def _scored(t):
-    pairs = _people(t, "").join(_people(t, "c_"), "block").where("abs(id - c_id) <= 300").withColumn("confirmed", F.col("c_id") % 2 == 0)
+    pairs = I.candidate_pairs(_people(t, ""), _people(t, "c_")).withColumn("confirmed", F.col("c_id") % 2 == 0)
     return I.score(pairs)
 
 

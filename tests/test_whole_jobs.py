@@ -3,6 +3,7 @@
 import random
 from collections import defaultdict
 
+from fieldglass.operators import identity as I
 from fieldglass.operators import joins as J
 from fieldglass.operators import windows as W
 from fieldglass.plans.catalogue import QUERIES
@@ -54,3 +55,37 @@ def test_whole_texts_are_normalised(spark, tmp_path):
     spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(f"file://{tmp_path}/documents.parquet")
     (got,) = QUERIES["name_normalise_folded"](spark, f"file://{tmp_path}").collect()
     assert got["key"] == "nikola jokic " * 10 + "oneal jr" and got["base"] == "nikola jokic " * 10 + "oneal" and got["bare"].endswith("oneal jr")
+
+
+def test_no_pair_that_can_be_linked_is_left_out(spark):
+    from pyspark.sql import functions as F
+
+    from fieldglass.plans import models
+
+    table = lambda name: spark.read.parquet(f"{FOLDER}/{name}.parquet")
+    every = models._people(table, "").crossJoin(models._people(table, "c_")).withColumn("confirmed", F.col("c_id") % 2 == 0)
+    every = every.where("abs(datediff(birthdate, c_birthdate)) <= 1 OR id % 7 = 0")
+    want = {tuple(r) for r in I.score(every).where("decision IN ('propose', 'auto_link')").select("id", "c_id", "score").collect()}
+    rows = QUERIES["identity_score"](spark, FOLDER).collect()
+    got = [(r["id"], r["c_id"]) for r in rows]
+    assert want <= {(r["id"], r["c_id"], r["score"]) for r in rows} and len(got) == len(set(got))
+    assert {i for i, _ in got} == {r[0] for r in table("customer").select("c_custkey").collect()}
+    far = spark.createDataFrame([(1, "Ann Lee", "1980-01-01"), (9000, "Ann Lee Jr.", None), (9001, "Bo", "1980-01-02")], "id long, name string, birthdate string").withColumn("birthdate", F.to_date("birthdate"))
+    other = far.select(*(F.col(c).alias(f"c_{c}") for c in far.columns))
+    pairs = sorted((r["id"], r["c_id"]) for r in I.candidate_pairs(far, other).collect())
+    assert pairs == [(1, 1), (1, 9000), (1, 9001), (9000, 1), (9000, 9000), (9001, 1), (9001, 9001)]
+
+
+def test_token_pairs_are_all_pairs_over_the_threshold(spark):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abcdefghijk") for _ in range(rng.randint(1, 9))) for _ in range(120)]
+    table = spark.createDataFrame(list(enumerate(texts)), "id long, s string")
+    for least in (0.0, 0.5):
+        want = []
+        for b, y in enumerate(texts):
+            for a, x in enumerate(texts[:b]):
+                p, q = set(x.split(" ")), set(y.split(" "))
+                if p & q and len(p & q) >= least * len(p | q):
+                    want.append((a, b))
+        got = I.token_pairs(table, "id", "s", least).collect()
+        assert sorted((r["a"], r["b"]) for r in got) == sorted(want)
