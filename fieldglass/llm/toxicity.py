@@ -8,12 +8,16 @@ An expression is a word (ASCII letters and digits, and all longer characters), l
 n_c are counts in the class, m_c(stem) the number of its distinct words with that stem (the first ``STEM`` bytes: the
 continuation count of Kneser-Ney), T_c and U_c the numbers of distinct words and stems.  The backoff P(stem) and
 P(word | stem) come from counts that both classes share: those of all documents, with labels or without.  A document's
-evidence is the mean over its words of the log-ratio of the two models beyond ``MARGIN``; ratios below are what rare words
-show by chance, and both models then count as the shared one.  A logistic curve in the evidence gives the score.
+evidence is the difference of the mean log-likelihoods of its words, and besides, what the words' log-ratios have beyond
+``MARGIN``, as a mean and as a sum over the root of the length.  A logistic curve in the three, with an offset, gives the
+score; by the difference alone, what rare words show by chance hides a few toxic ones (figures in the README).
 
 Counting is one pass: tasks count distinct words by hash and one shuffle adds them up, exactly and over all documents.
-Tables for scoring have a fixed width (``WORD_BITS``, ``STEM_BITS``), so what is broadcast is bounded at any size of the
-corpus.  Labels of at most ``LABELLED`` rows, those of the least hashes if there are more, are broadcast as sorted ids; a
+The backoff is the same in both models but for factors of the stem, so the log-ratio of a word that no labelled document
+has is that of its stem, and of such a stem a constant.  Scoring thus needs the words and stems of labelled documents
+alone, one number each, and no bucket is shared: what is broadcast grows with the vocabulary of at most ``LABELLED``
+documents.
+Labels of at most ``LABELLED`` rows, those of the least hashes if there are more, are broadcast as sorted ids; a
 sixteenth part of these rows, kept out of the counts, fits the curve.
 
 Defined results: null and empty texts have no evidence and get the curve's value there; repeated rows get the same score;
@@ -33,28 +37,23 @@ from fieldglass.llm import _kernels as K
 from fieldglass.llm._shared import slices, stored
 
 STEM = 6
-WORD_BITS = 21
-STEM_BITS = 20
 DISCOUNT = 0.75
 MARGIN = 2.0
 LABELLED = 1_000_000
 CUT = 0.3
-_COUNTS = "word long, stem int, total long, toxic long, ordinary long"
-_TYPES = [("word", pa.int64()), ("stem", pa.int32()), ("total", pa.int64()), ("toxic", pa.int64()), ("ordinary", pa.int64())]
+_CLASSES = ("toxic", "ordinary")
+_COUNTS = "word long, stem long, total long, toxic long, ordinary long"
+_TYPES = [("word", pa.int64()), ("stem", pa.int64()), ("total", pa.int64()), ("toxic", pa.int64()), ("ordinary", pa.int64())]
 
 
 def expressions(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the words, stem buckets, and the texts' offsets."""
+    """Hashes of the words and of their stems, and the texts' offsets."""
     data, at = K.text_bytes(column)
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(len(column) + 1, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(len(column) + 1, np.int64)
     start, end = K.word_spans(data, at, K.PUNCTUATION)
     word, stem = K.span_hashes(data, (start, end), (start, np.minimum(end, start + STEM)))
-    return word, (stem >> np.uint64(64 - STEM_BITS)).astype(np.int64), np.searchsorted(start, at)
-
-
-def bucket(word: np.ndarray) -> np.ndarray:
-    return (word >> np.uint64(64 - WORD_BITS)).astype(np.int64)
+    return word, stem, np.searchsorted(start, at)
 
 
 class Labels:
@@ -94,7 +93,7 @@ def counts(docs: DataFrame, labels: Labels) -> DataFrame:
             total = np.bincount(which, n, len(distinct))
             each = [np.bincount(which[kind == k], n[kind == k], len(distinct)) for k in (1, 0)]
             held.clear()
-            return pa.RecordBatch.from_arrays([K.i64(distinct), *(pa.array(x.astype(np.int64)).cast(t) for x, (_, t) in zip((stem[first], total, *each), _TYPES[1:], strict=True))], [x for x, _ in _TYPES])
+            return pa.RecordBatch.from_arrays([K.i64(distinct), K.i64(stem[first]), *(pa.array(x.astype(np.int64)) for x in (total, *each))], [x for x, _ in _TYPES])
 
         for batch in batches:
             for part in slices(batch, "text", 1 << 23):
@@ -115,43 +114,54 @@ def counts(docs: DataFrame, labels: Labels) -> DataFrame:
     return each.groupBy("word").agg(F.min("stem").alias("stem"), *(F.sum(c).alias(c) for c in ("total", "toxic", "ordinary")))
 
 
+def _sorted(got: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    key, value = got.column(0).to_numpy().view(np.uint64), got.column(1).to_numpy()
+    order = np.argsort(key)
+    return key[order], value[order]
+
+
+def _found(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(values of the keys, whether they are in the table)."""
+    at = np.minimum(np.searchsorted(table[0], keys), len(table[0]) - 1)
+    return table[1][at].astype(np.float64), table[0][at] == keys
+
+
 class Model:
-    """The two models as tables of fixed width, and the curve."""
+    """The log-ratios of the two models by word, exactly, and the curve."""
 
     def __init__(self, counted: DataFrame) -> None:
         kept = stored(counted, "word-counts")
-        place = F.shiftrightunsigned("word", 64 - WORD_BITS).cast("int")
-        by_word = kept.groupBy(place.alias("k")).agg(*(F.sum(c).alias(c) for c in ("total", "toxic", "ordinary"))).toArrow()
-        by_stem = kept.groupBy(F.col("stem").alias("k")).agg(F.sum("total").alias("total"), *(F.count_if(F.col(c) > 0).alias(c) for c in ("toxic", "ordinary"))).toArrow()
-
-        def table(got: pa.Table, name: str, bits: int) -> np.ndarray:
-            out = np.zeros(1 << bits)
-            out[got.column("k").to_numpy()] = got.column(name).to_numpy()
-            return out
-
-        word = {c: table(by_word, c, WORD_BITS) for c in ("total", "toxic", "ordinary")}
-        stem = {c: table(by_stem, c, STEM_BITS) for c in ("total", "toxic", "ordinary")}
-        share = (stem["total"] + 0.5) / (stem["total"].sum() + 0.5 * len(stem["total"]))
-        self.given = ((word["total"] + 0.5).astype(np.float32), (stem["total"] + 0.5).astype(np.float32))
-        self.known = word["toxic"].any() and word["ordinary"].any()
-        self.own, self.low = [], []
-        for c in ("toxic", "ordinary"):
-            n, distinct = max(word[c].sum(), 1), stem[c].sum()
-            continued = np.maximum(stem[c] - DISCOUNT, 0) / max(distinct, 1) + DISCOUNT * (stem[c] > 0).sum() / max(distinct, 1) * share
-            self.own.append((np.maximum(word[c] - DISCOUNT, 0) / n).astype(np.float32))
-            self.low.append((DISCOUNT * distinct / n * continued).astype(np.float32))
-        self.curve = np.array([-9.0, 0, 0])
+        by_stem = kept.groupBy("stem").agg(F.sum("total").alias("stem_total"), *(F.count_if(F.col(c) > 0).alias(f"stem_{c}") for c in _CLASSES))
+        stems = stored(by_stem.where("stem_toxic + stem_ordinary > 0"), "stem-counts")
+        n = kept.agg(F.sum("total").alias("total"), *(F.sum(c).alias(c) for c in _CLASSES), *(F.count_if(F.col(c) > 0).alias(f"{c}_words") for c in _CLASSES)).first()
+        u = stems.agg(*(F.count_if(F.col(f"stem_{c}") > 0).alias(c) for c in _CLASSES)).first()
+        self.known = bool(n["toxic"] and n["ordinary"])
+        self.curve = np.array([-9.0, 0, 0, 0])
+        if not self.known:
+            return
+        # Without the factor that a word or stem has in both models: what words and stems get that no label knows.
+        rest = {c: (DISCOUNT * n[f"{c}_words"] / n[c], DISCOUNT * u[c] / n[f"{c}_words"]) for c in _CLASSES}
+        self.other = float(np.log(np.prod(rest["toxic"]) / np.prod(rest["ordinary"])))
+        low = {c: rest[c][0] * (F.greatest(F.col(f"stem_{c}") - DISCOUNT, F.lit(0.0)) / n[f"{c}_words"] + rest[c][1] * F.col("stem_total") / n["total"]) for c in _CLASSES}
+        own = {c: F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / n[c] + low[c] * F.col("total") / F.col("stem_total") for c in _CLASSES}
+        ratio = lambda p: (F.log(p["toxic"]) - F.log(p["ordinary"])).cast("float").alias("ratio")
+        self.stems = _sorted(stems.select("stem", ratio(low)).toArrow())
+        self.words = _sorted(kept.where("toxic + ordinary > 0").join(stems, "stem").select("word", ratio(own)).toArrow())
+
+    def ratios(self, word: np.ndarray, stem: np.ndarray) -> np.ndarray:
+        """log P_toxic - log P_ordinary of each word."""
+        distinct, first, which = np.unique(word, return_index=True, return_inverse=True)
+        out, there = _found(self.words, distinct)
+        by_stem, held = _found(self.stems, stem[first])
+        return np.where(there, out, np.where(held, by_stem, self.other))[which]
 
     def evidence(self, column: pa.Array) -> np.ndarray:
-        """(texts, 2): the mean log-ratio beyond the margin, and the sum over the root of the length."""
+        """(texts, 3): the difference of the mean log-likelihoods of a text's words; of the ratios beyond the margin the
+        mean, and the sum over the root of the length."""
         word, stem, at = expressions(column)
-        k = bucket(word)
-        given = self.given[0][k] / np.maximum(self.given[1][stem], self.given[0][k])
-        p, q = ((own[k] + low[stem] * given).astype(np.float64) for own, low in zip(self.own, self.low, strict=True))
-        beyond = np.maximum(np.log(p + 1e-30) - np.log(q + 1e-30) - MARGIN, 0)
-        n = np.maximum(np.diff(at), 1)
-        total = K.runs(beyond, at)
-        return np.stack((total / n * 10, total / np.sqrt(n)), axis=1)
+        ratio, n = self.ratios(word, stem), np.maximum(np.diff(at), 1)
+        beyond = K.runs(np.maximum(ratio - MARGIN, 0), at)
+        return np.stack((K.runs(ratio, at) / n, beyond / n * 10, beyond / np.sqrt(n)), axis=1)
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.curve[0] + evidence @ self.curve[1:], -40, 40)))
@@ -159,11 +169,11 @@ class Model:
     def fit(self, evidence: np.ndarray, toxic: np.ndarray, times: np.ndarray) -> None:
         """A logistic curve by Newton's method, with a slight pull to 0."""
         x = np.column_stack((np.ones(len(evidence)), evidence))
-        w = np.zeros(3)
+        w = np.zeros(4)
         for _ in range(50):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
-            pull = np.diag([1e-6, 1e-2, 1e-2])
-            step = np.linalg.solve((x * (times * p * (1 - p))[:, None]).T @ x + pull + 1e-9 * np.eye(3), x.T @ (times * (toxic - p)) - pull @ w)
+            pull = np.diag([1e-6, 1e-2, 1e-2, 1e-2])
+            step = np.linalg.solve((x * (times * p * (1 - p))[:, None]).T @ x + pull + 1e-9 * np.eye(4), x.T @ (times * (toxic - p)) - pull @ w)
             w += step
             if np.abs(step).max() < 1e-8:
                 break
@@ -184,11 +194,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
                 own = batch.filter(pa.array(kind >= 0))
                 for part in slices(own, "text"):
                     x = model.evidence(part.column("text"))
-                    yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1]), pa.array(labels.of(part.column("doc_id")).astype(np.int32))], ["x", "y", "toxic"])
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, x.T.copy()), pa.array(labels.of(part.column("doc_id")).astype(np.int32))], ["x", "y", "z", "toxic"])
 
         # At most a row of numbers for each of LABELLED / 16 doc_ids: repeats are added up.
-        got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "x double, y double, toxic int").groupBy("x", "y", "toxic").count().toArrow()
-        model.fit(np.stack([got.column(c).to_numpy() for c in ("x", "y")], axis=1), got.column("toxic").to_numpy(), got.column("count").to_numpy())
+        got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "x double, y double, z double, toxic int").groupBy("x", "y", "z", "toxic").count().toArrow()
+        model.fit(np.stack([got.column(c).to_numpy() for c in ("x", "y", "z")], axis=1), got.column("toxic").to_numpy(), got.column("count").to_numpy())
     return model
 
 

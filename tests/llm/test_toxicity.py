@@ -48,3 +48,40 @@ def test_tables_without_documents_or_labels(spark, documents):
     assert X.rate(documents([]), X.train(documents([]), none)).count() == 0
     docs = documents(["a", "b"])
     assert [r["score"] for r in X.rate(docs, X.train(docs, none)).collect()] == [0, 0]
+
+
+def test_ratios_are_those_of_exact_counts(spark, documents):
+    import math
+    from collections import Counter
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(["common", "commonly", "commons", "rare", f"only{k}", "commonest", "z"]) for _ in range(20)) for k in range(60)]
+    model = X.Model(X.counts(documents(texts), X.Labels(np.arange(40), np.arange(40) % 4 == 0)))
+    words = {c: Counter(w for k in range(40) if (k % 4 == 0) == (c == "toxic") for w in texts[k].split()) for c in ("toxic", "ordinary")}
+    total = Counter(w for x in texts for w in x.split())
+    stems = Counter()
+    for w, n in total.items():
+        stems[w[:6]] += n
+
+    def p(c, w):
+        n, d = words[c], X.DISCOUNT
+        m = Counter(x[:6] for x in n)
+        low = max(m[w[:6]] - d, 0) / len(n) + d * len(m) / len(n) * stems[w[:6]] / sum(stems.values())
+        return max(n[w] - d, 0) / sum(n.values()) + d * len(n) / sum(n.values()) * low * total[w] / stems[w[:6]]
+
+    for w in total:
+        word, stem, _ = X.expressions(pa.array([w]))
+        assert model.ratios(word, stem)[0] == pytest.approx(math.log(p("toxic", w) / p("ordinary", w)), abs=1e-5), w
+
+
+def test_mild_words_count_for_and_ordinary_words_against(spark, documents):
+    import numpy as np
+    import pyarrow as pa
+
+    texts = ["mild " * 3 + "plain " * 2 + "both " * 5, "mild " * 1 + "plain " * 4 + "both " * 5] * 20
+    model = X.Model(X.counts(documents(texts), X.Labels(np.arange(40), np.arange(40) % 2 == 0)))
+    mild, plain, empty = model.evidence(pa.array(["mild mild both", "plain plain both", ""]))
+    assert 0 < mild[0] < X.MARGIN and plain[0] < 0 and empty[0] == 0
