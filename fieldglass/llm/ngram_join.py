@@ -51,6 +51,8 @@ SCAN_COST = 4
 #: Sets, and bytes of their hashes, in a block that is compared as a whole.
 BLOCK = 512
 BLOCK_BYTES = 1 << 22
+#: Entries of lists that a task adds up at a time.
+COMBINED = 1 << 20
 
 
 class Sizes:
@@ -353,12 +355,36 @@ def _compared(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return full.groupBy("leader", "low", "high").applyInArrow(lambda table: _block_links(table, percent), "a long, b long")
 
 
+def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, low, high): the least and the greatest set of each key, a row for each COMBINED entries that have it."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def rows() -> pa.RecordBatch:
+        key, name = (np.concatenate([x[k] for x in held]) for k in (0, 1))
+        held.clear()
+        order = np.lexsort((name, key))
+        key, name = key[order], name[order]
+        start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        end = np.append(start[1:], len(key)) - 1
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (key[start], name[start], name[end])], ["key", "low", "high"])
+
+    for batch in batches:
+        if batch.num_rows:
+            # Copies: the batch's own memory is given back.
+            held.append((batch.column("key").to_numpy().copy(), batch.column("set").to_numpy().copy()))
+        if sum(len(x) for x, _ in held) >= COMBINED:
+            yield rows()
+    if held:
+        yield rows()
+
+
 def _led(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(key, set, leader): the lists of several sets; (set, hashes): the sets in them.
 
     What a list needs to know of itself is an aggregate, added up before the shuffle, and joined back: a list's rows need
     not be in one task, as a window over it would have them."""
-    ends = entries(docs, words, percent).groupBy("key").agg(F.min("set").alias("low"), F.max("set").alias("high"))
+    # Dealt out before Spark aggregates: most keys occur once, and a map of them in each task would fill an executor.
+    ends = entries(docs, words, percent).mapInArrow(_ends, "key long, low long, high long").repartition("key").groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     keys = stored(ends.where("low <> high").select("key"), "shared-keys")
     # Entered again rather than kept: most lists have one set, and their entries are not worth a table.
     shared = stored(entries(docs, words, percent, keys).join(keys, "key"), "shared-lists")
