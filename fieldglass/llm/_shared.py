@@ -106,43 +106,56 @@ class IdMap:
         return self.bits[word] & bit != 0
 
 
-class ChunkIds:
-    """Ids of chunks of text, each encoded once and kept until limit chunks are held, then the memory is begun anew."""
-
-    def __init__(self, encode, limit: int = 400_000) -> None:
-        """encode: from a list of chunks to a list of their lists of ids."""
-        self.encode, self.limit = encode, limit
-        self.clear()
+class _Held:
+    """Ids of chunks, one after another in an array."""
 
-    def clear(self) -> None:
+    def __init__(self) -> None:
         self.index: dict[str, int] = {}
         self.flat, self.used = np.zeros(1 << 16, np.int32), 0
         self.start = np.zeros(1 << 14, np.int64)
         self.length = np.zeros(1 << 14, np.int64)
 
-    def learn(self, fresh: list[str]) -> None:
-        got = self.encode(fresh)
-        sizes = np.fromiter(map(len, got), np.int64, len(got))
-        have, need = len(self.index), int(sizes.sum())
-        for name, least in (("flat", self.used + need), ("start", have + len(fresh)), ("length", have + len(fresh))):
+    def add(self, chunks: list[str], flat: np.ndarray, length: np.ndarray) -> None:
+        have, to = len(self.index), self.used + len(flat)
+        for name, least in (("flat", to), ("start", have + len(chunks)), ("length", have + len(chunks))):
             old = getattr(self, name)
             if least > len(old):
                 setattr(self, name, np.concatenate((old, np.zeros(max(least - len(old), len(old)), old.dtype))))
-        self.flat[self.used : self.used + need] = np.fromiter((x for ids in got for x in ids), np.int32, need)
-        self.start[have : have + len(fresh)] = self.used + np.cumsum(sizes) - sizes
-        self.length[have : have + len(fresh)] = sizes
-        self.used += need
-        self.index.update(zip(fresh, range(have, have + len(fresh)), strict=True))
+        self.flat[self.used : to] = flat
+        self.start[have : have + len(chunks)] = self.used + np.cumsum(length) - length
+        self.length[have : have + len(chunks)] = length
+        self.used = to
+        self.index.update(zip(chunks, range(have, have + len(chunks)), strict=True))
 
-    def __call__(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def take(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all chunks one after another, how many each has)."""
-        fresh = set(chunks).difference(self.index)
-        if len(self.index) + len(fresh) > self.limit and self.index:
-            self.clear()
-            fresh = set(chunks)
-        if fresh:
-            self.learn(sorted(fresh))
         k = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
         length = self.length[k]
         ends = np.cumsum(length)
         return self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.start[k] - ends + length, length)], length
+
+
+class ChunkIds:
+    """Ids of chunks of text, each encoded once and kept: at most limit chunks, in two generations.  When the younger one
+    holds half of them it becomes the older one, and what is met of that again is taken over without being encoded."""
+
+    def __init__(self, encode, limit: int = 400_000) -> None:
+        """encode: from a list of chunks to a list of their lists of ids."""
+        self.encode, self.limit = encode, limit
+        self.young, self.old = _Held(), _Held()
+
+    def __call__(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks one after another, how many each has)."""
+        fresh = set(chunks).difference(self.young.index)
+        if self.young.index and len(self.young.index) + len(fresh) > self.limit // 2:
+            self.young, self.old = _Held(), self.young
+            fresh = set(chunks)
+        known = sorted(fresh.intersection(self.old.index))
+        if known:
+            self.young.add(known, *self.old.take(known))
+        new = sorted(fresh.difference(known))
+        for at in range(0, len(new), 4096):
+            got = self.encode(new[at : at + 4096])
+            length = np.fromiter(map(len, got), np.int64, len(got))
+            self.young.add(new[at : at + 4096], np.fromiter((x for ids in got for x in ids), np.int32, int(length.sum())), length)
+        return self.young.take(chunks)

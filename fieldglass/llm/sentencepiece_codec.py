@@ -31,7 +31,7 @@ from fieldglass.llm._shared import ChunkIds, slices, texts
 SPACE = "▁"
 UNKNOWN = 10.0
 #: Chunks whose ids a process holds, some 250 bytes each.
-HELD_CHUNKS = 400_000
+HELD_CHUNKS = 200_000
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
