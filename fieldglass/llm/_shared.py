@@ -31,15 +31,65 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/fieldglass/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df written once as a table in the shared folder and read from there: later plans neither repeat the work nor
-    depend on the executors that did it."""
+#: Spark drops a write's shuffle files when it ends, rather than when the driver next collects its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _written(df: DataFrame, at: str) -> DataFrame:
     spark = df.sparkSession
-    at = new_path(spark, name)
-    df.write.parquet(at)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(at)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(at)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written once as a table in the shared folder and read from there: later plans neither repeat the work nor
+    depend on the executors that did it.  It stays, for results that read it later; see Tables for those that don't."""
+    return _written(df, new_path(df.sparkSession, name))
+
+
+class Tables:
+    """Stored tables of a piece of work, deleted when it ends: ``with Tables(spark) as own``.  What leaves the work must
+    be stored elsewhere before.  A table stored under an earlier one's name replaces it."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.folder, self.paths = spark, new_path(spark, "work"), {}
+
+    def __enter__(self) -> Tables:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self._delete(self.folder)
+
+    def _delete(self, at: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        at = f"{self.folder}/{name}-{uuid.uuid4().hex}"
+        out = _written(df, at)
+        self.drop(name)
+        self.paths[name] = at
+        return out
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            if at := self.paths.pop(name, None):
+                self._delete(at)
+
+
+def free(df: DataFrame, name: str) -> str:
+    """A name that no column of df has: name, with as many underscores as it takes."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """batch in runs of rows whose text in column is about limit bytes; a longer text is a run of its own."""
     sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)

@@ -19,6 +19,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldglass.llm._shared import free
+
 SEED = 20
 #: The mixture that the registered query makes: an over-full source brought down, the next ones raised by rank.
 TARGETS = {"src0": 0.10} | {f"src{k}": 0.9 * w / sum(range(1, 20)) for k, w in zip(range(1, 20), range(19, 0, -1), strict=True)}
@@ -53,23 +55,28 @@ def uniform(*of: Column | str) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws(":", *of)), 1, 13), 16, 10).cast("double") / 2.0**52
 
 
-def mix(docs: DataFrame, targets: dict[str, float], seed: int = SEED, key: str = "doc_id", size: float | None = None, partitions: int | None = None) -> DataFrame:
-    """docs' columns, copy (from 0) and shuffle_key, by which the rows are dealt to partitions and sorted in them."""
+def mix(
+    docs: DataFrame, targets: dict[str, float], seed: int = SEED, key: str = "doc_id", size: float | None = None, partitions: int | None = None,
+    copy: str = "copy", shuffle_key: str = "shuffle_key",
+) -> DataFrame:
+    """docs' columns and those named copy (from 0) and shuffle_key, by which the rows are dealt to partitions and sorted in
+    them.  Columns of docs with these two names are replaced: give other names to keep them."""
     of = rates(docs, targets, size)
-    known = F.create_map(*(x for s, r in of.items() for x in (F.lit(s), F.array(*map(F.lit, steps(r))).cast("array<double>")))) if of else None
+    drawn = free(docs, "_u")
     id_ = F.coalesce(F.col(key).cast("string"), F.lit(""))
-    u = uniform(F.lit(str(seed)), id_)
-    count = F.size(F.filter(known[F.col("source")], lambda x: x <= F.col("_u"))) if of else F.lit(1)
-    listed = F.coalesce(F.col("source").isin(*targets), F.lit(False)) if targets else F.lit(False)
+    rest = [c for c in docs.columns if c not in (copy, shuffle_key)]
+    # A document's count is the number of steps that its uniform number reaches: as many copies as are left of the array.
+    reached = F.array(F.lit(0.0))
+    if of:
+        known = F.create_map(*(x for s, r in of.items() for x in (F.lit(s), F.array(*map(F.lit, steps(r))).cast("array<double>"))))
+        reached = F.when(F.col("source").isin(*of), F.filter(known[F.col("source")], lambda x: x <= F.col(drawn))).otherwise(reached)
     copies = (
-        docs.withColumn("_u", u)
-        .withColumn("copy", F.explode(F.sequence(F.lit(0), F.when(listed, count).otherwise(1)).cast("array<int>")))
-        .where(F.col("copy") < F.when(listed, count).otherwise(1))
-        .drop("_u")
-        .withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), id_, F.col("copy").cast("string"))))
+        docs.withColumn(drawn, uniform(F.lit(str(seed)), id_))
+        .select(*rest, F.posexplode(reached).alias(copy, drawn))
+        .select(*rest, copy, F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), id_, F.col(copy).cast("string"))).alias(shuffle_key))
     )
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return copies.repartition(n, "shuffle_key").sortWithinPartitions("shuffle_key")
+    return copies.repartition(n, shuffle_key).sortWithinPartitions(shuffle_key)
 
 
 def op4_source_mix(spark, sf_dir: str) -> DataFrame:

@@ -39,3 +39,11 @@ def test_weights_of_zero_and_empty_tables(documents):
     assert M.mix(documents([]), {"a": 1.0}).count() == 0
     assert M.mix(documents(["x", "y"]), {"src0": 0.0, "z": 1.0}).count() == 0
     assert M.mix(documents(["x", "y"]), {}).count() == 2
+
+
+def test_columns_of_the_same_names(spark, documents):
+    docs = documents([(k, "x", "en", "src0", 1) for k in range(50)]).withColumn("copy", F.lit(77)).withColumn("_u", F.lit(5))
+    got = M.mix(docs, {"src0": 1.0}, size=100)
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "_u", "copy", "shuffle_key"] and {r["_u"] for r in got.collect()} == {5}
+    kept = M.mix(docs, {"src0": 1.0}, size=100, copy="copy_", shuffle_key="k")
+    assert {r["copy"] for r in kept.collect()} == {77} and sorted((r["doc_id"], r["copy_"]) for r in kept.collect()) == sorted((r["doc_id"], r["copy"]) for r in got.collect())
