@@ -5,13 +5,15 @@ are shuffled.  Hashes are counted by distinct owners and repositories over the w
 repository) are made distinct first, so a credential that a third of all rows hold reaches the second count as one row
 for each owner and repository.  The counts go back by a join on the hash, which Spark splits where a hash is hot.
 
-Classes of a candidate, by the counts: ``example`` (``WIDELY`` owners or more: a widely copied sample), ``live`` (one
-owner and it looks random), ``unclear`` (the rest).  Kinds ``assign``, ``access`` and ``hex`` come from fixed patterns and
+Classes of a candidate, by the counts: ``example`` (``WIDELY`` owners or more, or several owners and ``REPOSITORIES``
+repositories or more: a widely copied sample), ``live`` (one owner, in however many repositories, and it looks random),
+``unclear`` (the rest).  Kinds ``assign``, ``access`` and ``hex`` come from fixed patterns and
 always stay.  The frequency adds the kind ``owned``: a random-looking token of ``OWNED_LENGTH`` characters or more in no
 span of the others, kept only where its class is live.
 
 Defined results: a null text is an empty one; no candidates give empty spans; a null owner or repository counts as an
-owner of its own; repeated rows are scanned each, and count as one holder; matches of a kind don't overlap.
+owner of its own; repeated rows are scanned each, and count as one holder; matches of a kind don't overlap; texts of any
+length are scanned whole; columns of any name pass through ``redact`` as they are.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldglass.llm._shared import IdMap, stored, texts
+from fieldglass.llm._shared import IdMap, Tables, free, stored, texts
 
 # The kinds in their order, their patterns and least lengths.
 KINDS = ("assign", "access", "hex", "owned")
@@ -47,7 +49,7 @@ _DIGIT, _ALPHA = re.compile("[0-9]"), re.compile("[A-Za-z]")
 ENTROPY = 3.0
 _STAND_IN = re.compile("(?i)example|sample|changeme|placeholder|dummy|your[-_]?(key|token|secret)|x{6}|1234567|abcdef")
 
-WIDELY = 3
+WIDELY, REPOSITORIES = 3, 6
 
 _SPAN = "kind int, start int, end int, vstart int, vend int, hash binary, random boolean"
 
@@ -85,17 +87,17 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(found, pa.list_(span))], [*rest, "spans"])
 
 
-def scan(docs: DataFrame, key: list[str], owner: str = "source", repository: tuple[str, ...] = ("source", "lang")) -> DataFrame:
+def scan(docs: DataFrame, key: list[str], owner: str = "source", repository: tuple[str, ...] = ("source", "lang"), store=stored) -> DataFrame:
     """A row for each of docs: its columns in key, and spans, an array of (start, kind, end, vstart, vend, class, owners,
-    repositories) by start, then kind; kind is an index of KINDS.  Positions are code points."""
+    repositories) by start, then kind; kind is an index of KINDS.  Positions are code points.  store keeps the candidates."""
     given = docs.select(*key, F.col(owner).cast("string").alias("_owner"), F.concat_ws("\0", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in repository)).alias("_repo"), "text")
     schema = given.drop("text").schema
-    found = stored(given.mapInArrow(_find, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema), f"spans array<struct<{', '.join(x.replace(' ', ':') for x in _SPAN.split(', '))}>>"])).withColumn("_row", F.monotonically_increasing_id()), "secret-candidates")
+    found = store(given.mapInArrow(_find, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema), f"spans array<struct<{', '.join(x.replace(' ', ':') for x in _SPAN.split(', '))}>>"])).withColumn("_row", F.monotonically_increasing_id()), "secret-candidates")
     each = found.where(F.size("spans") > 0).select("_row", "_owner", "_repo", F.explode("spans").alias("s"))
     holders = each.select("s.hash", F.coalesce("_owner", F.lit("")).alias("_owner"), "_repo").distinct()
     counts = holders.groupBy("hash").agg(F.count_distinct("_owner").alias("owners"), F.count_distinct("_repo").alias("repositories"))
     judged = each.select("_row", "s.*").join(counts, "hash").withColumn(
-        "class", F.when(F.col("owners") >= WIDELY, "example").when((F.col("owners") == 1) & F.col("random"), "live").otherwise("unclear")
+        "class", F.when((F.col("owners") >= WIDELY) | (F.col("owners") > 1) & (F.col("repositories") >= REPOSITORIES), "example").when((F.col("owners") == 1) & F.col("random"), "live").otherwise("unclear")
     ).where((F.col("kind") < len(KINDS) - 1) | (F.col("class") == "live"))
     spans = judged.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "vstart", "vend", "class", "owners", "repositories"))).alias("spans"))
     return found.drop("spans").join(spans, "_row", "left").select(*key, F.coalesce("spans", F.expr("cast(array() as " + spans.schema["spans"].dataType.simpleString() + ")")).alias("spans"))
@@ -125,10 +127,12 @@ def redact(docs: DataFrame, mark: str = "<SECRET>") -> DataFrame:
 
     Rows are known again by a hash of their doc_id and text.  Those without a span never travel: a map of fixed size holds
     the others' hashes, and only what it holds is joined to its spans."""
-    key = F.xxhash64("doc_id", "text")
-    found = scan(docs.withColumn("_key", key), ["_key"]).select("_key", F.filter("spans", lambda s: s["class"] != "example").alias("_cuts")).where(F.size("_cuts") > 0)
-    cuts = stored(found.dropDuplicates(["_key"]), "secret-cuts")
-    held = docs.sparkSession.sparkContext.broadcast(IdMap(cuts.select("_key")))
+    key, cuts_, touched_ = (free(docs, name) for name in ("_key", "_cuts", "_touched"))
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    with Tables(docs.sparkSession) as own:
+        found = scan(keyed, [key], store=lambda df, name: own.stored(df, name)).select(key, F.filter("spans", lambda s: s["class"] != "example").alias(cuts_)).where(F.size(cuts_) > 0)
+        cuts = stored(found.dropDuplicates([key]), "secret-cuts")
+    held = docs.sparkSession.sparkContext.broadcast(IdMap(cuts.select(key)))
     columns = docs.columns
 
     @F.pandas_udf(T.BooleanType())
@@ -138,7 +142,7 @@ def redact(docs: DataFrame, mark: str = "<SECRET>") -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("_cuts").to_pylist(), strict=True):
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column(cuts_).to_pylist(), strict=True):
                 at, parts = 0, []
                 for start, end in sorted((s["vstart"], s["vend"]) for s in spans or ()):
                     if start >= at:
@@ -147,12 +151,12 @@ def redact(docs: DataFrame, mark: str = "<SECRET>") -> DataFrame:
                 out.append("".join([*parts, text[at:]]) if parts else text)
             yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(out, pa.string())).select(columns)
 
-    marked = docs.withColumn("_key", key).withColumn("_touched", touched(F.col("_key")))
+    marked = keyed.withColumn(touched_, touched(F.col(key)))
     # A merge join, so that marking and cutting are in different tasks: in one they would hold a Python process each.
-    changed = marked.where("_touched").join(cuts.hint("merge"), "_key", "left").select(*columns, "_cuts").mapInArrow(cut, docs.schema)
+    changed = marked.where(touched_).join(cuts.hint("merge"), key, "left").select(*columns, cuts_).mapInArrow(cut, docs.schema)
     if "n_chars" in columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return marked.where("NOT _touched").select(columns).unionByName(changed.select(columns))
+    return marked.where(~F.col(touched_)).select(columns).unionByName(changed.select(columns))
 
 
 def op2_secret_scan(spark, sf_dir: str) -> DataFrame:

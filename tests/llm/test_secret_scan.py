@@ -45,6 +45,50 @@ def test_classes_follow_the_owners(documents):
     assert got[3][0]["class"] == "live" and got[4] == []
 
 
+def test_owned_spans_and_classes_against_brute_force(documents):
+    import random
+    from collections import defaultdict
+
+    rng = random.Random(5)
+    tokens = ["".join(rng.choice("abcdefghkmnpqrstuvwxyzABCDEFGH23456789") for _ in range(rng.randint(18, 30))) for _ in range(25)]
+    tokens += ["a" * 24 + "1", "justlettersandnodigitsatall", "EXAMPLE" + tokens[0], "0123456789" * 3]
+    rows = []
+    for k in range(150):
+        text = " ".join(rng.choice([rng.choice(tokens), "token=" + rng.choice(tokens), "plain words"]) for _ in range(rng.randint(0, 4)))
+        rows.append((k, text, rng.choice(["en", "de", "fr", "es"]), rng.choice(["a", "b", "c", "d"]) if rng.random() < 0.1 else "ab"[len(text) % 2], len(text)))
+    for k, x in enumerate(("Qw3rTy7uIoP9zXcVbN5m", "Mn8bVc2xZl4kJh6gFd1s", "Pl0oKm9iJn8uHb7yGv6t")):
+        # One owner; two owners with few repositories; two owners with many.
+        rows += [(1000 + 10 * k + j, x, "l%d" % (j // 2 if k == 2 else 0), "ab"[j % 2] if k else "a", 0) for j in range(6)]
+    owners, repositories, found = defaultdict(set), defaultdict(set), {}
+    for k, text, lang, source, _ in rows:
+        fixed = [(s, e) for _, s, e in base(text)]
+        own = [(n, s, e, text[s:e] if n != "assign" else re.search("[A-Za-z0-9+/_.=-]+$", text[s:e]).group().rpartition("=")[2]) for n, s, e in base(text)]
+        for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
+            if C.looks_random(m[0]) and re.search("[A-Za-z]", m[0]) and not any(s < m.end() and m.start() < e for s, e in fixed):
+                own.append(("owned", m.start(), m.end(), m[0]))
+        found[k] = own
+        for _, _, _, value in own:
+            owners[value].add(source)
+            repositories[value].add((source, lang))
+
+    def kind(value):
+        if len(owners[value]) >= 3 or len(owners[value]) == 2 and len(repositories[value]) >= 6:
+            return "example"
+        return "live" if len(owners[value]) == 1 and C.looks_random(value) else "unclear"
+
+    got = {r["doc_id"]: r["spans"] for r in C.scan(documents(rows).repartition(3), ["doc_id"]).collect()}
+    want = {k: sorted((s, C.KINDS.index(n), e, kind(v)) for n, s, e, v in own if n != "owned" or kind(v) == "live") for k, own in found.items()}
+    assert {k: [(s["start"], s["kind"], s["end"], s["class"]) for s in v] for k, v in got.items()} == want
+    assert {s["class"] for v in got.values() for s in v} == {"example", "live", "unclear"} and any(s["kind"] == 3 for v in got.values() for s in v)
+    assert [{s["class"] for j in range(6) for s in got[1000 + 10 * k + j]} for k in range(3)] == [{"live"}, set(), set()]
+
+
+def test_redaction_keeps_columns_of_any_name(documents):
+    docs = table(documents).withColumn("_key", F.lit(7)).withColumn("_touched", F.lit("t")).withColumn("_cuts", F.lit(1.5))
+    got = C.redact(docs)
+    assert got.columns == docs.columns and {(r["_key"], r["_touched"], r["_cuts"]) for r in got.collect()} == {(7, "t", 1.5)}
+
+
 def test_redaction_leaves_examples_and_clean_texts_alone(documents):
     got = {r["doc_id"]: r for r in C.redact(table(documents)).collect()}
     assert len(got) == len(ROWS) and got[4]["text"] is None
