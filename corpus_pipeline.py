@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldglass.llm import language_id, ngram_join, secret_scan, sentencepiece_codec, source_mix
-from fieldglass.llm._shared import IdMap, stored
+from fieldglass.llm._shared import IdMap, Tables, free, stored
 
 #: A score below one half means that no language has the odds on its side.
 LEAST_SCORE = 0.5
@@ -30,31 +30,33 @@ WORDS, PERCENT = 5, 80
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = language_id.identify(docs, *language_id.train(docs))
+    judged = language_id.identify(docs, language_id.train(docs))
     return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    own = F.col("doc_id").cast("long").alias("_id")
-    groups = stored(ngram_join.classes(docs, WORDS, PERCENT).where("doc_id IS NOT NULL"), "pipeline-groups")
-    spare = groups.where("set IS NOT NULL AND NOT (doc_id <=> component_id AND set <=> keeper)").select(own, F.col("set").alias("_set")).distinct()
-    repeated = groups.groupBy(own).count().where("count > 1").select("_id")
-    held = spark.sparkContext.broadcast(IdMap(spare.select("_id").union(repeated)))
+    id_, set_, touched_ = (free(docs, name) for name in ("_id", "_set", "_touched"))
+    own = F.col("doc_id").cast("long").alias(id_)
+    with Tables(spark) as work:
+        groups = work.stored(ngram_join.classes(docs, WORDS, PERCENT, work.stored).where("doc_id IS NOT NULL"), "groups")
+        spare = stored(groups.where("set IS NOT NULL AND NOT (doc_id <=> component_id AND set <=> keeper)").select(own, F.col("set").alias(set_)).distinct(), "pipeline-spare")
+        repeated = groups.groupBy(own).count().where("count > 1").select(id_)
+        ids_held = IdMap(spare.select(id_).union(repeated))
+        held = spark.sparkContext.broadcast(ids_held)
 
     @F.pandas_udf("boolean")
     def touched(ids: pd.Series) -> pd.Series:
         return pd.Series(held.value.may_hold(ids.fillna(0).to_numpy(np.int64)) & ids.notna().to_numpy())
 
     # Only rows that the map holds are joined; texts of the others stay where they are.
-    marked = docs.withColumn("_touched", touched(F.col("doc_id").cast("long")))
-    loose = marked.where("NOT _touched").select(docs.columns)
+    loose = docs.withColumn(touched_, touched(F.col("doc_id").cast("long"))).where(~F.col(touched_)).select(docs.columns)
     # Rows of one doc_id can have different texts: what goes is decided by doc_id and set.
-    named = ngram_join.with_sets(marked.where("_touched").withColumn("_id", F.col("doc_id").cast("long")), WORDS, "_set")
-    kept = named.join(spare, ["_id", "_set"], "left_anti")
+    named = ngram_join.with_sets(docs.withColumn(id_, F.col("doc_id").cast("long")), WORDS, set_, (id_, ids_held))
+    kept = named.join(spare, [id_, set_], "left_anti")
     # Rows with the same doc_id and set are copies, without shingles those with the same text: the one of the least hash stays.
     hashed = F.xxhash64(*(f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()))
-    single = kept.groupBy("_id", F.coalesce("_set", F.xxhash64("text")).alias("_set")).agg(F.min_by(F.struct(*docs.columns), hashed).alias("_row"))
-    return loose.unionByName(single.select("_row.*"))
+    single = kept.groupBy(id_, F.coalesce(set_, F.xxhash64("text")).alias(set_)).agg(F.min_by(F.struct(*docs.columns), hashed).alias("row"))
+    return loose.unionByName(single.select("row.*"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +64,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return source_mix.mix(docs, source_mix.TARGETS).select(docs.columns)
+    return source_mix.mix(docs, source_mix.TARGETS, copy=free(docs, "copy"), shuffle_key=free(docs, "shuffle_key")).select(docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -83,6 +85,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{k}")
+    with Tables(spark) as own:
+        for k, (_, stage) in enumerate(STAGES):
+            last = k + 1 == len(STAGES)
+            docs = stage(spark, docs, sf_dir)
+            # A stage's table takes the place of the one before it.
+            docs = stored(docs, "pipeline") if last else own.stored(docs, "stage")
     return docs

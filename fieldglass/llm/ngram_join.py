@@ -32,7 +32,7 @@ group, or null.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from itertools import combinations
 from math import ceil, comb, exp
 
@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from fieldglass.llm import _kernels as K
-from fieldglass.llm._shared import IdMap, slices, stored
+from fieldglass.llm._shared import IdMap, Tables, slices, stored
 from fieldglass.llm.components import components
 
 #: Rows of subsets that cost as much as one entry in a list and its share of the scan.
@@ -52,7 +52,9 @@ SCAN_COST = 4
 BLOCK = 512
 BLOCK_BYTES = 1 << 22
 #: Entries of lists that a task adds up at a time.
-COMBINED = 1 << 20
+COMBINED = 1 << 19
+#: Ranges of keys that are looked at one after another, a power of two: each shuffles its share of the entries.
+PASSES = 2
 
 
 class Sizes:
@@ -192,9 +194,10 @@ def members(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, set long")
 
 
-def entries(docs: DataFrame, words: int, percent: int, wanted: DataFrame | None = None) -> DataFrame:
+def entries(docs: DataFrame, words: int, percent: int, wanted: DataFrame | None = None, ends_of: int | None = None) -> DataFrame:
     """(key, set): subsets of the light sets and lists of the heavy ones; a task enters each set once.  Of the keys that
-    aren't among wanted, if it is given, the map drops most."""
+    aren't among wanted, if it is given, the map drops most.  With ends_of, one of the PASSES ranges of keys, the rows
+    are those of _ends for these."""
     held = docs.sparkSession.sparkContext.broadcast(IdMap(wanted)) if wanted is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,53 +213,96 @@ def entries(docs: DataFrame, words: int, percent: int, wanted: DataFrame | None
                 length = np.diff(at)[keep]
                 own, own_at, own_name = K.gather(h, at[:-1][keep], length), np.concatenate(([0], np.cumsum(length))), name[keep]
                 for keys, owner in (_light(own, own_at, sizes), _lists(own, own_at, sizes)):
+                    if ends_of is not None:
+                        own_range = keys >> np.uint64(32) & np.uint64(PASSES - 1) == ends_of
+                        keys, owner = keys[own_range], owner[own_range]
                     if held is not None:
                         may = held.value.may_hold(keys)
                         keys, owner = keys[may], owner[may]
                     yield pa.RecordBatch.from_arrays([K.i64(keys), K.i64(own_name[owner])], ["key", "set"])
 
-    return docs.select("text").mapInArrow(run, "key long, set long")
+    if ends_of is None:
+        return docs.select("text").mapInArrow(run, "key long, set long")
+    return docs.select("text").mapInArrow(lambda batches: _ends(run(batches)), "key long, low long, high long")
 
 
-def candidate_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(set, hashes): the hashes of each wanted set, once.  The map drops most other texts before their sets travel;
-    the join settles the rest."""
+def _sketch(h: np.ndarray) -> bytes:
+    """For each of B ranges of low bits, a power of two between 2 and 4 times the size of the set, whether its number of
+    elements is odd.  Of two sets' sketches, brought to one length, as many bits differ as the sets do, or fewer."""
+    bits = max(64, 1 << (2 * len(h) - 1).bit_length())
+    return np.packbits((np.bincount((h & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def _folded(sketch: np.ndarray, size: int) -> np.ndarray:
+    """The sketch of so many bytes of the same set."""
+    while len(sketch) > size:
+        sketch = sketch[: len(sketch) // 2] ^ sketch[len(sketch) // 2 :]
+    return sketch
+
+
+def candidate_sets(docs: DataFrame, wanted: DataFrame, words: int, make=np.ndarray.tobytes) -> DataFrame:
+    """(set, n, data): the size of each wanted set and what make keeps of its hashes, once.  The map drops most other
+    texts before their sets travel; the join settles the rest."""
     held = docs.sparkSession.sparkContext.broadcast(IdMap(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
             for _, h, at, name in _sets(batch, words):
-                out, names = [], []
+                out, which = [], []
                 for i in np.flatnonzero(held.value.may_hold(name) & (np.diff(at) > 0)):
                     if (x := int(name[i])) not in seen:
                         seen.add(x)
-                        out.append(h[at[i] : at[i + 1]].tobytes())
-                        names.append(name[i])
+                        out.append(make(h[at[i] : at[i + 1]]))
+                        which.append(i)
                 if out:
-                    yield pa.RecordBatch.from_arrays([K.i64(np.array(names, np.uint64)), pa.array(out, pa.binary())], ["set", "hashes"])
+                    yield pa.RecordBatch.from_arrays([K.i64(name[which]), pa.array(np.diff(at)[which]), pa.array(out, pa.binary())], ["set", "n", "data"])
 
-    each = docs.select("text").mapInArrow(run, "set long, hashes binary")
-    return each.join(wanted, "set", "left_semi").groupBy("set").agg(F.first("hashes").alias("hashes"))
+    each = docs.select("text").mapInArrow(run, "set long, n long, data binary")
+    return each.join(wanted, "set", "left_semi").groupBy("set").agg(F.first("n").alias("n"), F.first("data").alias("data"))
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of pairs (a, b) whose sets link."""
+def _pairs_of(pairs: DataFrame, sets: DataFrame, keep) -> DataFrame:
+    """Those of pairs (a, b) for which keep(size and data of a, size and data of b)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = np.zeros(batch.num_rows, dtype=bool)
+            m, n = (batch.column(c).to_numpy() for c in ("m", "n"))
             x, y = batch.column("x"), batch.column("y")
-            for i in range(batch.num_rows):
-                p, q = np.frombuffer(x[i].as_buffer(), np.uint64), np.frombuffer(y[i].as_buffer(), np.uint64)
-                both = np.concatenate((p, q))
-                both.sort(kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                ok[i] = 100 * common >= percent * (len(both) - common)
-            yield batch.select(["a", "b"]).filter(pa.array(ok))
+            ok = [keep(int(m[i]), x[i].as_buffer(), int(n[i]), y[i].as_buffer()) for i in range(batch.num_rows)]
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    of = lambda name, size, data: sets.select(F.col("set").alias(name), F.col("n").alias(size), F.col("data").alias(data))
+    both = pairs.join(of("b", "n", "y"), "b").join(of("a", "m", "x"), "a")
+    return both.select("a", "b", "m", "n", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def _may_link(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Those of pairs (a, b) that sizes and sketches leave possible; no link is lost."""
+
+    def keep(m: int, x: pa.Buffer, n: int, y: pa.Buffer) -> bool:
+        size = min(len(x), len(y))
+        apart = int(np.bitwise_count(_folded(np.frombuffer(x, np.uint8), size) ^ _folded(np.frombuffer(y, np.uint8), size)).sum())
+        return _near(m + n, max(apart, abs(m - n)), percent)
+
+    return _pairs_of(pairs, sketches, keep)
 
-    right = pairs.join(sets.select(F.col("set").alias("b"), F.col("hashes").alias("y")), "b")
-    return right.join(sets.select(F.col("set").alias("a"), F.col("hashes").alias("x")), "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+def _near(total, apart, percent: int):
+    """Whether sets of so many elements in total that differ in at least so many can link."""
+    return 100 * (total - apart) >= percent * (total + apart)
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of pairs (a, b) whose sets link."""
+
+    def keep(m: int, x: pa.Buffer, n: int, y: pa.Buffer) -> bool:
+        both = np.concatenate((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)))
+        both.sort(kind="stable")
+        common = int((both[1:] == both[:-1]).sum())
+        return 100 * common >= percent * (len(both) - common)
+
+    return _pairs_of(pairs, sets, keep)
 
 
 def _common(own: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -285,7 +331,7 @@ def _block_counts(table: pa.Table, percent: int) -> pa.Table:
     """(set, links): how many links each set has in one or two blocks of a leader's lists, but for the pairs that also
     meet under a lower leader: there they are counted."""
     block, leader = table.column("block").to_numpy(), table.column("leader")[0].as_py()
-    own = _opened(table, "hashes", np.uint64)
+    own = _opened(table, "data", np.uint64)
     lower = [np.array([y for y in x if y < leader], np.int64) for x in table.column("leaders").to_pylist()]
     n, name = np.array([len(x) for x in own]), table.column("set").to_numpy()
     left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
@@ -310,7 +356,7 @@ def _block_counts(table: pa.Table, percent: int) -> pa.Table:
 def _block_links(table: pa.Table, percent: int) -> pa.Table:
     """Links between members of different groups in one or two blocks of a leader's lists: as many as join their groups."""
     block = table.column("block").to_numpy()
-    own = _opened(table, "hashes", np.uint64)
+    own = _opened(table, "data", np.uint64)
     n = np.array([len(x) for x in own])
     name, group = table.column("set").to_numpy(), table.column("group").to_numpy()
     left = np.flatnonzero(block == block.min())
@@ -334,29 +380,52 @@ def _block_links(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
 
 
-def _dealt(member: DataFrame, sets: DataFrame) -> DataFrame:
-    """member (leader, set, ...), distinct, with hashes, once for each pair of blocks (low, high) of its leader.
+def _block_live(table: pa.Table, percent: int, apart: str) -> pa.Table:
+    """The rows of one or two blocks of a leader's lists, without data, that sizes and sketches leave a possible link to a
+    row of the other block that differs in the column apart."""
+    block, n, kind = (table.column(c).to_numpy() for c in ("block", "n", apart))
+    left, right = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+    sketches = _opened(table, "data", np.uint8)
+    size = np.array([len(x) for x in sketches])
+    shared = np.minimum(size[left][:, None], size[right][None, :])
+    differ = np.abs(n[left][:, None] - n[right][None, :])
+    for bytes_ in np.unique(shared):
+        # +1 and -1: products of rows count the bits that agree less those that differ.
+        signs = [1 - 2 * np.unpackbits(np.stack([_folded(sketches[i], bytes_) for i in side[size[side] >= bytes_]])).reshape(-1, 8 * bytes_).astype(np.float32) for side in (left, right)]
+        rows, columns = size[left] >= bytes_, size[right] >= bytes_
+        bits = np.zeros(shared.shape, np.int64)
+        bits[np.ix_(rows, columns)] = (8 * bytes_ - signs[0] @ signs[1].T) / 2
+        differ = np.where(shared == bytes_, np.maximum(differ, bits), differ)
+    may = _near(n[left][:, None] + n[right][None, :], differ, percent) & (kind[left][:, None] != kind[right][None, :])
+    live = np.union1d(left[may.any(axis=1)], right[may.any(axis=0)])
+    return table.drop_columns(["n", "data"]).take(pa.array(live))
+
+
+def _dealt(docs: DataFrame, words: int, member: DataFrame, sketches: DataFrame, percent: int, apart: str, own: Tables):
+    """member (leader, set, ...), distinct, with the sets' sizes and hashes, in groups (leader, low, high): those pairs of
+    blocks of a leader that can have links.
 
     Sets that share a list share its leader, so what a leader's lists hold is compared together.  It is dealt to blocks of
-    about BLOCK sets by hash, and every two blocks are compared by a product of matrices: a set travels as often as its
-    leaders have blocks, and no pair is a row."""
-    sized = member.join(sets.select("set", F.octet_length("hashes").alias("bytes")), "set")
-    blocks = sized.groupBy("leader").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
-    dealt = sized.drop("bytes").join(blocks, "leader").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
+    about BLOCK sets by hash, and every two blocks are compared by a product of matrices, first of sketches, then, of the
+    sets that these leave a possible link, of hashes: a set travels as often as its leaders have blocks, and no pair is a
+    row."""
+    sized = member.join(sketches.select("set", "n"), "set")
+    blocks = sized.groupBy("leader").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
+    # A table of their own: joined to it, the sets of one leader can be split between tasks.
+    blocks = own.stored(blocks.where("blocks > 1"), "blocks")
+    dealt = member.join(blocks, "leader", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
     other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     keyed = other.select("*", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")).drop("blocks", "other")
     # Dealt out anew: by leader, all blocks of one would be in one task.
-    return keyed.join(sets, "set").repartition("leader", "low", "high")
-
-
-def _compared(apart: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between different groups in the lists apart (leader, set, group)."""
-    full = _dealt(apart.distinct(), sets)
-    return full.groupBy("leader", "low", "high").applyInArrow(lambda table: _block_links(table, percent), "a long, b long")
+    full = keyed.join(sketches, "set").repartition("leader", "low", "high")
+    live = own.stored(full.groupBy("leader", "low", "high").applyInArrow(lambda table: _block_live(table, percent, apart), full.drop("n", "data").schema), "live-blocks")
+    sets = own.stored(candidate_sets(docs, live.select("set").distinct(), words), "live-sets")
+    return live.join(sets.drop("n"), "set").repartition("leader", "low", "high").groupBy("leader", "low", "high")
 
 
 def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, low, high): the least and the greatest set of each key, a row for each COMBINED entries that have it."""
+    """(key, low, high): the least and the greatest set of each key, a row for each COMBINED entries that have it; high is
+    null if it is low, as with most keys, which packs better."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
 
     def rows() -> pa.RecordBatch:
@@ -366,7 +435,8 @@ def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, name = key[order], name[order]
         start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         end = np.append(start[1:], len(key)) - 1
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (key[start], name[start], name[end])], ["key", "low", "high"])
+        low, high = name[start], name[end]
+        return pa.RecordBatch.from_arrays([pa.array(key[start]), pa.array(low), pa.array(high, mask=low == high)], ["key", "low", "high"])
 
     for batch in batches:
         if batch.num_rows:
@@ -378,48 +448,64 @@ def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows()
 
 
-def _led(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(key, set, leader): the lists of several sets; (set, hashes): the sets in them.
-
-    What a list needs to know of itself is an aggregate, added up before the shuffle, and joined back: a list's rows need
-    not be in one task, as a window over it would have them."""
-    # Dealt out before Spark aggregates: most keys occur once, and a map of them in each task would fill an executor.
-    ends = entries(docs, words, percent).mapInArrow(_ends, "key long, low long, high long").repartition("key").groupBy("key").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    keys = stored(ends.where("low <> high").select("key"), "shared-keys")
-    # Entered again rather than kept: most lists have one set, and their entries are not worth a table.
-    shared = stored(entries(docs, words, percent, keys).join(keys, "key"), "shared-lists")
-    sets = stored(candidate_sets(docs, shared.select("set").distinct(), words), "candidate-sets")
+def _led(docs: DataFrame, words: int, percent: int, own: Tables) -> tuple[DataFrame, DataFrame]:
+    """(key, set, leader): the lists of several sets; (set, n, data): sizes and sketches of the sets in them.
+
+    What a list needs to know of itself is an aggregate, added up before the shuffle, written, and joined back: a list's
+    rows need not be in one task.  Most lists have one set; which have more is found out range by range, so that no
+    shuffle holds all entries."""
+    several = []
+    for part in range(PASSES):
+        # Dealt out before Spark aggregates: most keys occur once, and a map of them in each task would fill an executor.
+        ends = entries(docs, words, percent, ends_of=part).repartition("key").groupBy("key").agg(F.min("low").alias("low"), F.max(F.coalesce("high", "low")).alias("high"))
+        several.append(own.stored(ends.where("low <> high").select("key"), f"shared-keys-{part}"))
+    keys = reduce(DataFrame.union, several)
+    # Entered again rather than kept: the entries of most lists are not worth a table.
+    shared = own.stored(entries(docs, words, percent, keys).join(keys, "key"), "shared-lists")
+    own.drop(*(f"shared-keys-{part}" for part in range(PASSES)))
+    sketches = own.stored(candidate_sets(docs, shared.select("set").distinct(), words, _sketch), "sketches")
     # The leader of a list is the member that meets most others in all its lists: an original rather than an edited copy.
-    members_ = shared.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
-    weight = shared.join(members_, "key").groupBy("set").agg(F.sum("members").alias("weight"))
+    members_ = own.stored(shared.groupBy("key").agg(F.count(F.lit(1)).alias("members")), "list-sizes")
+    weight = own.stored(shared.join(members_, "key").groupBy("set").agg(F.sum("members").alias("weight")), "weights")
     first = shared.join(weight, "set").groupBy("key").agg(F.max(F.struct("weight", "set")).alias("most")).select("key", F.col("most.set").alias("leader"))
-    return stored(shared.join(first, "key"), "led-lists"), sets
+    led = own.stored(shared.join(own.stored(first, "leaders"), "key"), "led-lists")
+    own.drop("shared-lists", "list-sizes", "weights", "leaders")
+    return led, sketches
 
 
-def groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(set, group): the sets with a link to another one, and the least set that links lead to."""
-    led, sets = _led(docs, words, percent)
+def groups(docs: DataFrame, words: int, percent: int, own: Tables) -> DataFrame:
+    """(set, group): the sets with a link to another one, and the least set that links lead to; stored among own."""
+    led, sketches = _led(docs, words, percent, own)
     pairs = led.where("set <> leader").select(F.least("set", "leader").alias("a"), F.greatest("set", "leader").alias("b")).distinct()
-    links = stored(_linked(pairs, sets, percent), "links")
-    labels = components(links)
-    apart = led.join(labels.select(F.col("node").alias("set"), "label"), "set", "left").withColumn("group", F.coalesce("label", "set")).drop("label")
-    open_ = apart.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("key")
-    apart = apart.join(open_, "key").select("leader", "set", "group")
-    labels = components(links.union(stored(_compared(stored(apart, "apart-lists"), sets, percent), "links")))
+    pairs = own.stored(_may_link(pairs, sketches, percent), "pairs")
+    sets = own.stored(candidate_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct(), words), "candidate-sets")
+    links = own.stored(_linked(pairs, sets, percent), "links")
+    own.drop("pairs", "candidate-sets")
+    labels = components(links, own, "first-labels")
+    apart = own.stored(led.join(labels.select(F.col("node").alias("set"), "label"), "set", "left").select("key", "set", "leader", F.coalesce("label", "set").alias("group")), "grouped-lists")
+    own.drop("led-lists")
+    open_ = own.stored(apart.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("key"), "open-keys")
+    apart = own.stored(apart.join(open_, "key").select("leader", "set", "group").distinct(), "apart-lists")
+    own.drop("grouped-lists", "open-keys")
+    compared = _dealt(docs, words, apart, sketches, percent, "group", own)
+    more = own.stored(compared.applyInArrow(lambda table: _block_links(table, percent), "a long, b long"), "more-links")
+    own.drop("apart-lists", "blocks", "sketches", "live-blocks", "live-sets")
+    labels = components(links.union(more), own)
     return labels.select(F.col("node").alias("set"), F.col("label").alias("group"))
 
 
-def classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
+def classes(docs: DataFrame, words: int, percent: int, store=stored) -> DataFrame:
     """(doc_id, n_shingles, set, component_id, keeper): every row of docs with the name of its set, the least doc_id that
-    links lead to, and the set that stands for the group: the least of those with that doc_id."""
-    each = stored(members(docs, words), "members")
-    named = each.where("set IS NOT NULL").groupBy("set").agg(F.min("doc_id").alias("first"))
-    grouped = named.join(groups(docs, words, percent), "set", "left").withColumn("group", F.coalesce("group", "set"))
-    least = stored(grouped.select("set", "group", "first"), "groups")
-    root = least.groupBy("group").agg(F.min(F.when(F.col("first").isNotNull(), F.struct("first", "set"))).alias("root"))
-    of = least.join(root, "group").select("set", F.col("root.first").alias("component_id"), F.col("root.set").alias("keeper"))
-    alone = F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return each.join(of, "set", "left").select("doc_id", "n_shingles", "set", alone.alias("component_id"), "keeper")
+    links lead to, and the set that stands for the group: the least of those with that doc_id; kept by store."""
+    with Tables(docs.sparkSession) as own:
+        each = own.stored(members(docs, words), "members")
+        named = each.where("set IS NOT NULL").groupBy("set").agg(F.min("doc_id").alias("first"))
+        grouped = named.join(groups(docs, words, percent, own), "set", "left").withColumn("group", F.coalesce("group", "set"))
+        least = own.stored(grouped.select("set", "group", "first"), "groups")
+        root = own.stored(least.groupBy("group").agg(F.min(F.when(F.col("first").isNotNull(), F.struct("first", "set"))).alias("root")), "roots")
+        of = least.join(root, "group").select("set", F.col("root.first").alias("component_id"), F.col("root.set").alias("keeper"))
+        alone = F.when(F.col("set").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+        return store(each.join(of, "set", "left").select("doc_id", "n_shingles", "set", alone.alias("component_id"), "keeper"), "classes")
 
 
 def join(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -428,11 +514,16 @@ def join(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return classes(docs, words, percent).select("doc_id", "n_shingles", "component_id")
 
 
-def with_sets(docs: DataFrame, words: int, column: str) -> DataFrame:
-    """docs with the name of each text's set in column, null where the set is empty."""
+def with_sets(docs: DataFrame, words: int, column: str, held: tuple[str, IdMap] | None = None) -> DataFrame:
+    """docs with the name of each text's set in column, null where the set is empty; with held, a column of longs and a
+    map, only the rows whose value there the map may hold."""
+    map_ = docs.sparkSession.sparkContext.broadcast(held[1]) if held else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if held:
+                ids = batch.column(held[0])
+                batch = batch.filter(pa.array(map_.value.may_hold(ids.fill_null(0).to_numpy()) & ids.is_valid().to_numpy(zero_copy_only=False)))
             for part, _, at, name in _sets(batch, words):
                 own = pa.array(name.view(np.int64), mask=np.diff(at) == 0)
                 yield pa.RecordBatch.from_arrays([*part.columns, own], [*part.schema.names, column])
@@ -446,14 +537,15 @@ def link_counts(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
     Linked sets share a list and thus a leader; all that a leader's lists hold is compared, and a pair is counted under the
     least of the leaders that its sets share."""
-    led, sets = _led(docs, words, percent)
-    member = led.select("leader", "set").distinct()
-    leaders = member.groupBy("set").agg(F.sort_array(F.collect_list("leader")).alias("leaders"))
-    full = _dealt(stored(member.join(leaders, "set"), "members-of-leaders"), sets)
-    counted = full.groupBy("leader", "low", "high").applyInArrow(lambda table: _block_counts(table, percent), "set long, links long")
-    links = stored(counted, "link-counts").groupBy("set").agg(F.sum("links").alias("n_links"))
-    each = members(docs, words).select("doc_id", F.col("set").alias("class_id"))
-    return each.join(links.withColumnRenamed("set", "class_id"), "class_id", "left").select("doc_id", "class_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    with Tables(docs.sparkSession) as own:
+        led, sketches = _led(docs, words, percent, own)
+        member = own.stored(led.select("leader", "set").distinct(), "members-of-leaders")
+        leaders = member.groupBy("set").agg(F.sort_array(F.collect_list("leader")).alias("leaders"))
+        compared = _dealt(docs, words, own.stored(member.join(leaders, "set"), "members-with-leaders"), sketches, percent, "set", own)
+        counted = compared.applyInArrow(lambda table: _block_counts(table, percent), "set long, links long")
+        links = own.stored(counted, "link-counts").groupBy("set").agg(F.sum("links").alias("n_links"))
+        each = members(docs, words).select("doc_id", F.col("set").alias("class_id"))
+        return stored(each.join(links.withColumnRenamed("set", "class_id"), "class_id", "left").select("doc_id", "class_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")), "link-counts")
 
 
 def op8_ngram_join(spark, sf_dir: str) -> DataFrame:

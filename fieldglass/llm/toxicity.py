@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldglass.llm import _kernels as K
-from fieldglass.llm._shared import slices, stored
+from fieldglass.llm._shared import Tables, slices
 
 STEM = 6
 DISCOUNT = 0.75
@@ -130,9 +130,13 @@ class Model:
     """The log-ratios of the two models by word, exactly, and the curve."""
 
     def __init__(self, counted: DataFrame) -> None:
-        kept = stored(counted, "word-counts")
+        with Tables(counted.sparkSession) as own:
+            self._learn(counted, own)
+
+    def _learn(self, counted: DataFrame, own: Tables) -> None:
+        kept = own.stored(counted, "word-counts")
         by_stem = kept.groupBy("stem").agg(F.sum("total").alias("stem_total"), *(F.count_if(F.col(c) > 0).alias(f"stem_{c}") for c in _CLASSES))
-        stems = stored(by_stem.where("stem_toxic + stem_ordinary > 0"), "stem-counts")
+        stems = own.stored(by_stem.where("stem_toxic + stem_ordinary > 0"), "stem-counts")
         n = kept.agg(F.sum("total").alias("total"), *(F.sum(c).alias(c) for c in _CLASSES), *(F.count_if(F.col(c) > 0).alias(f"{c}_words") for c in _CLASSES)).first()
         u = stems.agg(*(F.count_if(F.col(f"stem_{c}") > 0).alias(c) for c in _CLASSES)).first()
         self.known = bool(n["toxic"] and n["ordinary"])
@@ -143,10 +147,10 @@ class Model:
         rest = {c: (DISCOUNT * n[f"{c}_words"] / n[c], DISCOUNT * u[c] / n[f"{c}_words"]) for c in _CLASSES}
         self.other = float(np.log(np.prod(rest["toxic"]) / np.prod(rest["ordinary"])))
         low = {c: rest[c][0] * (F.greatest(F.col(f"stem_{c}") - DISCOUNT, F.lit(0.0)) / n[f"{c}_words"] + rest[c][1] * F.col("stem_total") / n["total"]) for c in _CLASSES}
-        own = {c: F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / n[c] + low[c] * F.col("total") / F.col("stem_total") for c in _CLASSES}
+        high = {c: F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / n[c] + low[c] * F.col("total") / F.col("stem_total") for c in _CLASSES}
         ratio = lambda p: (F.log(p["toxic"]) - F.log(p["ordinary"])).cast("float").alias("ratio")
         self.stems = _sorted(stems.select("stem", ratio(low)).toArrow())
-        self.words = _sorted(kept.where("toxic + ordinary > 0").join(stems, "stem").select("word", ratio(own)).toArrow())
+        self.words = _sorted(kept.where("toxic + ordinary > 0").join(stems, "stem").select("word", ratio(high)).toArrow())
 
     def ratios(self, word: np.ndarray, stem: np.ndarray) -> np.ndarray:
         """log P_toxic - log P_ordinary of each word."""
