@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 import pandas as pd
@@ -11,9 +12,12 @@ from pyspark.sql.window import Window
 
 from fieldglass.functions.shots import LIVE_TURNOVERS, is_clutch, is_garbage, score_state
 
-# Event types that open a possession, and those that say nothing.
+# Event types that open a possession, those that say nothing, those between a basket and its free throw, and
+# the part of a free throw's kind that tells its place.
 OPENERS = ("made shot", "missed shot", "turnover", "free throw", "rebound", "heave")
 SILENT = ("period", "timeout", "instant replay")
+PASSED_OVER = ("period", "timeout", "instant replay", "substitution", "foul", "jump ball", "ejection", "violation", "")
+_PLACE = re.compile(r"(\d+)\s+of\s+(\d+)")
 POSSESSION = "game_id string, period int, poss_num int, off_team string, start_action long, end_action long, start_secs double, end_secs double, points int, end_reason string, start_type string, orebs int, pts_first int, pts_after_oreb int"
 _AFTER = {"made_fg": "after_score", "made_ft": "after_score", "def_rebound": "def_rebound"}
 
@@ -43,11 +47,10 @@ class _Game:
         self.start_type = _AFTER.get(reason, live if reason == "turnover" else "period_start")
 
     def event(self, e, following) -> None:
-        """following: the next event that is neither silent nor a foul."""
-        if self.period is not None and e.period != self.period:
-            self.close(self.last, "period_end")
-            self.number, self.shooter = 0, None
-        self.period, self.last = e.period, e
+        """following: the next event that can go on with a possession or end it."""
+        if e.period != self.period:
+            self.close(e, "period_end")
+            self.period, self.number, self.shooter = e.period, 0, None
         kind = (e.kind or "").lower()
         if kind in SILENT:
             return
@@ -58,35 +61,34 @@ class _Game:
             self.shooter = e.team
             if ours:
                 self.score(int(e.value or 2))
-                and_one = following is not None and (following.kind or "").lower() == "free throw" and following.team == e.team
+                and_one = following is not None and following.kind.lower() == "free throw" and following.team == e.team
                 if not and_one:
                     self.close(e, "made_fg")
         elif kind in ("missed shot", "heave"):
             self.shooter = e.team
-        elif kind == "rebound" and self.shooter:
-            if e.team == self.shooter:
-                if self.now:
+        elif kind == "rebound":
+            # Without a team, or without a miss, it only ends the wait for a rebound.
+            if self.shooter and e.team == self.shooter:
+                if ours:
                     self.now["orebs"] += 1
-            else:
+            elif self.shooter and e.team:
                 self.close(e, "def_rebound")
-                if e.team:
-                    self.open(e)
+                self.open(e)
             self.shooter = None
         elif kind == "turnover":
-            self.live = e.sub_kind in LIVE_TURNOVERS
+            self.live, self.shooter = e.sub_kind in LIVE_TURNOVERS, None
             if ours:
                 self.close(e, "turnover")
         elif kind == "free throw":
-            made = e.result.lower() == "made" if e.result else "MISS" not in (e.text or "")
+            made = e.result.lower() == "made" if e.result else "MISS" not in (e.text or "").upper()
             if made and ours:
                 self.score(1)
             part = (e.sub_kind or "").lower()
-            n = [x for x in part.split() if x.isdigit()]
-            if "technical" in part or len(n) == 2 and n[0] == n[1]:
+            place = _PLACE.search(part)
+            if "technical" in part or place and place[1] == place[2]:
+                self.shooter = None if made else e.team
                 if made:
                     self.close(e, "made_ft")
-                else:
-                    self.shooter = e.team
 
 
 def fold_game(events: list) -> list[dict]:
@@ -94,7 +96,7 @@ def fold_game(events: list) -> list[dict]:
     following, ahead = [None] * len(events), None
     for k in range(len(events) - 1, -1, -1):
         following[k] = ahead
-        if (events[k].kind or "").lower() not in (*SILENT, "foul"):
+        if (events[k].kind or "").lower() not in PASSED_OVER:
             ahead = events[k]
     game = _Game(events[0].game_id)
     for e, after in zip(events, following, strict=True):

@@ -125,18 +125,19 @@ def let(value: Column, of) -> Column:
 
 
 def clamp_normalise(values: Column, weights: Column, target: float = 3.0, low: float = 1.0, high: float = 5.0, rounds: int = 12) -> Column:
-    """An array shifted and clamped, again and again, so many times, so that its weighted mean comes to target."""
-    add = lambda a, x: a + x
-    clamp = lambda v: F.greatest(F.lit(low), F.least(F.lit(high), v))
+    """An array shifted as a whole and clamped, so that its weighted mean comes to target.
 
-    def all_rounds(w: Column) -> Column:
-        def shifted(total: Column) -> Column:
-            def step(x: Column, _: Column) -> Column:
-                mean = F.aggregate(F.zip_with(x, w, lambda v, u: v * u), F.lit(0.0), add) / total
-                return let(F.lit(target) - mean, lambda d: F.transform(x, lambda v: clamp(v + d)))
+    One shift is built up, round by round, from what the mean of the clamped values lacks; the values themselves are
+    clamped once, at the end.  Weights without a sum count as a sum of 1."""
+    add = lambda a, x: a + x
+    clamped = lambda x, by: F.greatest(F.lit(low), F.least(F.lit(high), x + by))
 
-            return F.when(total > 0, F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), values, step)).otherwise(values)
+    def shifted(total: Column) -> Column:
+        def step(by: Column, _: Column) -> Column:
+            lacks = F.lit(target) - F.aggregate(F.zip_with(values, weights, lambda v, w: clamped(v, by) * w), F.lit(0.0), add) / total
+            # Within 1e-9 of the target it stays as it is.
+            return by + let(lacks, lambda x: F.when(F.abs(x) < 1e-9, F.lit(0.0)).otherwise(x))
 
-        return let(F.aggregate(w, F.lit(0.0), add), shifted)
+        return let(F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.lit(0.0), step), lambda by: F.transform(values, lambda v: clamped(v, by)))
 
-    return let(weights, all_rounds)
+    return let(F.aggregate(weights, F.lit(0.0), add), lambda total: shifted(F.when(total == 0, F.lit(1.0)).otherwise(total)))

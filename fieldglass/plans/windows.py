@@ -84,10 +84,9 @@ def gaps_islands_spells(t):
     return _spells(t)
 
 
-@query(f"{_SPELLS}, s AS (SELECT who, first_day, (SELECT min(d) FROM cal WHERE d > last_day) AS until_day FROM spells), probe AS (SELECT DISTINCT d + 1 AS probe_day FROM days WHERE d % 3 = 0) SELECT probe_day, count(*) AS members, sum(who)::BIGINT AS who_sum FROM probe JOIN s ON first_day <= probe_day AND (until_day IS NULL OR until_day > probe_day) GROUP BY 1")
+@query(f"{_SPELLS}, s AS (SELECT who, first_day, (SELECT min(d) FROM cal WHERE d > last_day) AS until_day FROM spells), probe AS (SELECT DISTINCT d + 1 AS probe_day FROM days) SELECT probe_day, count(*) AS members, sum(who)::BIGINT AS who_sum FROM probe JOIN s ON first_day <= probe_day AND (until_day IS NULL OR until_day > probe_day) GROUP BY 1")
 def membership_asof_day(t):
-    """Every third day: what the SQL probes."""
-    probe = user_days(t).where("d % 3 = 0").select((F.col("d") + 1).alias("probe_day"))
+    probe = user_days(t).select((F.col("d") + 1).alias("probe_day"))
     return W.membership(_spells(t), probe, "first_day", "until_day", "probe_day", {"who_sum": "who"})
 
 
@@ -168,10 +167,10 @@ def _nearest(t, lines):
     return J.nearest_sorted(left, right, ["size"], ["game", "line", "team", "player"], "part", "unit", "price", 9000, 300).select("game", "line", "team", "player", "part", "distance")
 
 
-@query(f"WITH {BOX}, p AS (SELECT p_partkey AS part, p_size::BIGINT AS size, round(p_retailprice * 100)::BIGINT AS price FROM part), l AS (SELECT game, line, team, player, mp AS size, pts // mp AS unit FROM box WHERE player % 20 = 0), d AS (SELECT game, line, team, player, part, abs(unit - price) AS distance FROM l JOIN p USING (size)), r AS (SELECT *, row_number() OVER w AS place, lead(distance) OVER w AS second FROM d WINDOW w AS (PARTITION BY game, line, team, player ORDER BY distance, part)) SELECT game, line, team, player, part, distance FROM r WHERE place = 1 AND distance <= 9000 AND (second IS NULL OR second - distance >= 300)")
+@query(f"WITH {BOX}, p AS (SELECT p_partkey AS part, p_size::BIGINT AS size, round(p_retailprice * 100)::BIGINT AS price FROM part), l AS (SELECT game, line, team, player, mp AS size, pts // mp AS unit FROM box), d AS (SELECT game, line, team, player, part, abs(unit - price) AS distance FROM l JOIN p USING (size)), r AS (SELECT *, row_number() OVER w AS place, lead(distance) OVER w AS second FROM d WINDOW w AS (PARTITION BY game, line, team, player ORDER BY distance, part)) SELECT game, line, team, player, part, distance FROM r WHERE place = 1 AND distance <= 9000 AND (second IS NULL OR second - distance >= 300)")
 def nearest_with_separation(t):
-    """Twentieth of the players, those of the SQL, against the parts of one size; repeated lines count once a window."""
-    return _nearest(t, box(t).where("player % 20 = 0"))
+    """All players against the parts of one size; lines with the same ids are one."""
+    return _nearest(t, box(t))
 
 
 @query()

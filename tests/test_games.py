@@ -51,6 +51,29 @@ def test_rebound_without_a_miss_dead_turnover_and_new_period(spark):
     assert got == [("A", 0, "turnover", "period_start", 0, 0, 0), ("B", 0, "period_end", "dead_turnover", 0, 0, 0), ("A", 2, "made_fg", "period_start", 0, 2, 0)]
 
 
+def test_rebound_without_a_team_or_after_a_turnover_or_a_made_free_throw(spark):
+    team_less = fold(spark, e("Missed Shot", "A"), e("Rebound"), e("Rebound", "B"), e("Made Shot", "A", value=2))
+    assert team_less == [("A", 2, "made_fg", "period_start", 0, 2, 0)]
+    turned = fold(spark, e("Missed Shot", "A"), e("Turnover", "A", "Traveling"), e("Rebound", "B"), e("Made Shot", "B", value=2))
+    assert turned == [("A", 0, "turnover", "period_start", 0, 0, 0), ("B", 2, "made_fg", "dead_turnover", 0, 2, 0)]
+    made = fold(spark, e("Missed Shot", "A"), e("Free Throw", "A", "1 of 1", text="x"), e("Rebound", "A"), e("Made Shot", "A", value=2))
+    assert made == [("A", 1, "made_ft", "period_start", 0, 1, 0), ("A", 2, "made_fg", "after_score", 0, 2, 0)]
+
+
+def test_what_stands_between_a_basket_and_its_free_throw(spark):
+    for kind in ("Substitution", "Jump Ball", "Violation", "Ejection", "Timeout", "", None):
+        got = fold(spark, e("Made Shot", "A", value=2), e(kind, "B"), e("Free Throw", "A", "Free Throw 1 of 1", text="miss x"), e("Rebound", "B"))
+        assert got == [("A", 2, "def_rebound", "period_start", 0, 2, 0), ("B", 0, "period_end", "def_rebound", 0, 0, 0)], kind
+
+
+def test_offensive_rebound_of_the_side_without_the_ball_and_ends_of_periods(spark):
+    got = fold(spark, e("Turnover", "B"), e("Free Throw", "A", "1 of 2", text="x"), e("Missed Shot", "B"), e("Rebound", "B"), e("Made Shot", "A", value=2))
+    assert got[1] == ("A", 3, "made_fg", "dead_turnover", 0, 3, 0)
+    rows = [("g", k, *x) for k, x in enumerate([e("Missed Shot", "A", secs=9.0), e("period", period=2, secs=720.0), e("Made Shot", "B", period=2, secs=700.0)])]
+    ended = games.possessions(spark.createDataFrame(rows, EVENT)).orderBy("period").first()
+    assert (ended["end_action"], ended["end_secs"], ended["end_reason"]) == (1, 720.0, "period_end")
+
+
 def test_context_edges(spark):
     rows = [("g", 4, 1, "A", 300.0, 5), ("g", 4, 2, "B", 300.0, 0), ("g", 4, 3, "A", 301.0, 0)]
     poss = spark.createDataFrame(rows, "game_id string, period int, poss_num int, off_team string, start_secs double, points int")
@@ -97,14 +120,21 @@ def test_reasons(spark):
 
 def test_clamped_means(spark):
     def slow(values, weights):
+        """The rule in plain words: a running shift, and the mean of the originals shifted and clamped."""
+        by = 0.0
         for _ in range(12):
-            mean = sum(v * w for v, w in zip(values, weights)) / sum(weights)
-            values = [max(1.0, min(5.0, v + 3.0 - mean)) for v in values]
-        return values
-
-    v, w = [1.2, 4.9, 6.0, -2.0, 3.3], [100.0, 900.0, 30.0, 5.0, 700.0]
-    df = spark.createDataFrame([(v, w)], "v array<double>, w array<double>")
-    assert df.select(models.clamp_normalise(F.col("v"), F.col("w"))).first()[0] == pytest.approx(slow(v, w), abs=1e-12)
+            lacks = 3.0 - sum(min(5.0, max(1.0, v + by)) * w for v, w in zip(values, weights)) / (sum(weights) or 1.0)
+            if abs(lacks) < 1e-9:
+                break
+            by += lacks
+        return [min(5.0, max(1.0, v + by)) for v in values]
+
+    cases = [([-1.0, 0.5, 2.0, 6.5, 7.0], [10.0, 20.0, 30.0, 5.0, 5.0]), ([1.2, 4.9, 6.0, -2.0, 3.3], [100.0, 900.0, 30.0, 5.0, 700.0]), ([3.0, 3.0], [1.0, 2.0]), ([9.0, 9.5], [0.0, 0.0])]
+    df = spark.createDataFrame([(k, v, w) for k, (v, w) in enumerate(cases)], "k int, v array<double>, w array<double>")
+    got = [r[0] for r in df.orderBy("k").select(models.clamp_normalise(F.col("v"), F.col("w"))).collect()]
+    for (v, w), x in zip(cases, got):
+        assert x == pytest.approx(slow(v, w), abs=1e-9)
+    assert got[0] == pytest.approx([1.0, 2.1, 3.6, 5.0, 5.0], abs=0.01)
 
 
 def test_box_plus_minus_adds_up_to_the_net_rating(spark):

@@ -47,7 +47,7 @@ def test_nearest_without_a_product_is_that_of_all_pairs(spark):
 def test_all_players_look_for_a_nearest_part(spark):
     got = QUERIES["nearest_with_separation_all"](spark, FOLDER).collect()
     some = QUERIES["nearest_with_separation"](spark, FOLDER).collect()
-    assert any(r["player"] % 20 for r in got) and set(map(tuple, some)) == {tuple(r) for r in got if r["player"] % 20 == 0}
+    assert any(r["player"] % 20 for r in got) and sorted(map(tuple, some)) == sorted(map(tuple, got))
 
 
 def test_whole_texts_are_normalised(spark, tmp_path):
