@@ -5,12 +5,13 @@ Spark splits where a digest is hot.  Each partition writes its records, one gzip
 all executors share; a file is closed at ``FILE_BYTES``.  The table of files, written when the job ends, names the files
 of the tasks that counted.
 
-Reading: a file is read in chunks, members are decompressed as they come, records are framed by Content-Length, and block
+Reading: a file is read in chunks of ``CHUNK`` bytes, members are decompressed as they come, records are framed by Content-Length, and block
 and payload digests are verified; a wrong one is an error.
 
 Defined results: a null html is an empty payload; payloads under ``least_bytes`` are always responses; of equal payloads
 the row with the least page_id is the response, and so are repeated rows with that same page_id; rows without a page_id
-are revisits of one that has it, and responses where none has.
+are revisits of one that has it, and responses where none has; payloads of any length are one record; other columns play
+no part; without rows there are no archives.
 """
 
 from __future__ import annotations
@@ -99,14 +100,14 @@ def write(pages: DataFrame, least_bytes: int = 0, level: int = 6) -> DataFrame:
 
 def members(file) -> Iterator[bytes]:
     """The decompressed gzip members of an open file, one after another."""
-    unpack, parts, chunk = zlib.decompressobj(31), [], b""
+    unpack, parts, chunk, begun = zlib.decompressobj(31), [], b"", False
     while chunk or (chunk := file.read(CHUNK)):
         parts.append(unpack.decompress(chunk))
-        chunk = b""
+        chunk, begun = b"", True
         if unpack.eof:
             yield b"".join(parts)
-            unpack, parts, chunk = zlib.decompressobj(31), [], unpack.unused_data
-    if any(parts):
+            unpack, parts, chunk, begun = zlib.decompressobj(31), [], unpack.unused_data, False
+    if begun:
         raise ValueError("the archive ends within a member")
 
 
@@ -131,7 +132,8 @@ def _verify(given: str | None, of: bytes) -> None:
 
 
 def read(files: DataFrame) -> DataFrame:
-    """A row for each record of the archives in files (path): _ROW."""
+    """A row for each record of the archives in files (path, records): _ROW.  An archive of more or fewer records than it
+    was written with is an error."""
 
     def row(member: bytes) -> tuple:
         fields, block = parse(member)
@@ -148,19 +150,22 @@ def read(files: DataFrame) -> DataFrame:
         kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
         names = [x.split()[0] for x in _ROW.split(", ")]
         for batch in batches:
-            for path in batch.column("path").to_pylist():
+            for path, records in zip(batch.column("path").to_pylist(), batch.column("records").to_pylist(), strict=True):
                 with opened(path) as file:
-                    rows = []
+                    rows, n = [], 0
                     for member in members(file):
                         rows.append(row(member))
+                        n += 1
                         if len(rows) == 4096:
                             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
                             rows = []
+                    if n != records:
+                        raise ValueError(f"{path} has {n} records instead of {records}")
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     n = max(1, files.count())
-    return files.select("path").repartition(n).mapInArrow(run, _ROW)
+    return files.select("path", "records").repartition(n).mapInArrow(run, _ROW)
 
 
 def op6_warc(spark, sf_dir: str) -> DataFrame:

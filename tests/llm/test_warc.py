@@ -4,6 +4,7 @@ import hashlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
 from fieldglass.llm import warc as A
 
@@ -36,5 +37,20 @@ def test_members_are_single_records_and_damage_is_found():
         list(A.members(io.BytesIO(one[:-20])))
 
 
+def test_every_cut_is_found():
+    one, two = A.record(1, "http://a", b"first" * 10, None), A.record(2, "http://a", b"second" * 300, None)
+    for cut in range(1, len(two)):
+        with pytest.raises(ValueError):
+            list(A.members(io.BytesIO(one + two[:-cut])))
+    assert len(list(A.members(io.BytesIO(one)))) == 1 and list(A.members(io.BytesIO(b""))) == []
+
+
+def test_a_lost_record_is_found(spark):
+    files = A.write(spark.createDataFrame(ROWS[:3], SCHEMA).withColumn("records", F.lit("clash")))
+    assert A.read(files).count() == 3
+    with pytest.raises(Exception, match="records instead of"):
+        A.read(files.withColumn("records", F.col("records") + 1)).collect()
+
+
 def test_empty_table(spark):
     assert A.read(A.write(spark.createDataFrame([], SCHEMA))).count() == 0
