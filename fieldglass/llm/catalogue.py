@@ -18,13 +18,13 @@ QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_secret_scan, op3_toxic
 _targets = ", ".join(f"('{s}', {w!r}::DOUBLE)" for s, w in TARGETS.items())
 ORACLE_SQL = {
     "op5_topk_search": """
-WITH good AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+WITH good AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, x.vec_id, list_dot_product(q.v::DOUBLE[], x.v::DOUBLE[])::BIGINT AS score
-  FROM good q JOIN good x ON x.vec_id <> q.vec_id AND len(x.v) = len(q.v) WHERE q.vec_id % 20 = 0)
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+  SELECT q.r, q.vec_id AS query_id, x.vec_id, list_dot_product(q.v::DOUBLE[], x.v::DOUBLE[])::BIGINT AS score
+  FROM good q JOIN good x ON x.r <> q.r AND len(x.v) = len(q.v) WHERE q.vec_id % 20 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
 FROM scored QUALIFY rank <= 20
 """,
     "op4_source_mix": f"""

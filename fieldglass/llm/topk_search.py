@@ -7,15 +7,17 @@ is left without the mean), and for two vectors
 
 which is the lower bound |q|^2 + |x|^2 - 2 * bound on their squared distance.  Coarse segments first, then fine ones: a
 candidate whose bound is under the k-th best score so far is done with, the survivors' products are computed exactly, in
-integers.
+integers.  In its first block, a query's k-th best score comes from the products of the k candidates of highest coarse
+bounds.
 
 Queries are a stated set and meet all rows in blocks: rows are packed into blocks, every block of queries meets every cell
 of candidate blocks in one task, in which the k best so far carry over from block to block.  A task holds one block of
 either at a time.  Cells number ``CELLS`` at most, so a query has at most ``CELLS * k`` rows left for the last ranking.
 
 Defined results: vectors that are null, or hold a null or a component that isn't finite, take no part, nor do rows without
-a vec_id; rows that repeat a vec_id count once, with the least vector; only vectors as long as the query's are compared;
-equal scores rank by vec_id.
+a vec_id; each of several rows with one vec_id is a query and a candidate of its own, against all rows but itself; only
+vectors as long as the query's are compared; equal scores rank by vec_id; components are meant to be under 2 ** 31 / 64 in
+size, so that products fit into longs; other columns play no part.
 """
 
 from __future__ import annotations
@@ -44,21 +46,21 @@ def integers(vectors: DataFrame) -> DataFrame:
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     good = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(~F.coalesce(bad, F.lit(True)))
     v = F.transform("embedding", lambda x: F.floor(F.lit(64.0) * x.cast("double")))
-    return good.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return good.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, vec_id, v) to blocks (key, dims, ids, values) of at most BLOCK rows."""
+    """Rows (key, row, vec_id, v) to blocks (key, dims, ids, values) of at most BLOCK rows; ids are pairs (row, vec_id)."""
     held: dict[tuple, list] = {}
 
     def block(key: tuple, rows: list) -> pa.RecordBatch:
-        ids = np.array([x for x, _ in rows], np.int64)
-        return pa.RecordBatch.from_pydict({"key": pa.array([key[0]], pa.int32()), "dims": pa.array([key[1]], pa.int32()), "ids": [ids.tobytes()], "data": [np.array([x for _, x in rows], np.int64).reshape(len(rows), key[1]).tobytes()]})
+        ids = np.array([x[:2] for x in rows], np.int64)
+        return pa.RecordBatch.from_pydict({"key": pa.array([key[0]], pa.int32()), "dims": pa.array([key[1]], pa.int32()), "ids": [ids.tobytes()], "data": [np.array([x[2] for x in rows], np.int64).reshape(len(rows), key[1]).tobytes()]})
 
     for batch in batches:
-        for key, vec_id, v in zip(*(batch.column(c).to_pylist() for c in ("key", "vec_id", "v")), strict=True):
+        for key, row, vec_id, v in zip(*(batch.column(c).to_pylist() for c in ("key", "row", "vec_id", "v")), strict=True):
             own = held.setdefault((key, len(v)), [])
-            own.append((vec_id, v))
+            own.append((row, vec_id, v))
             if len(own) == BLOCK:
                 yield block((key, len(v)), held.pop((key, len(v))))
     for key, rows in held.items():
@@ -95,14 +97,17 @@ class Best:
         self.computed = self.seen = 0
 
     def offer(self, ids: np.ndarray, v: np.ndarray) -> None:
+        """A block of candidates; ids are pairs (row, vec_id)."""
         rows, columns = np.arange(len(self.ids)), np.arange(len(ids))
-        alive = self.ids[:, None] != ids[None, :]
+        alive = self.ids[:, None, 0] != ids[None, :, 0]
         self.seen += int(alive.sum())
         floor = self.least.astype(np.float64)
         for (total, deviation, length), n in zip(self.levels, SEGMENTS, strict=False):  # none without components
             if len(columns) and len(rows):
                 other, spread, _ = statistics(v[columns], n)
                 bound = (total[rows] / length) @ other.T + deviation[rows] @ spread.T
+                if n == SEGMENTS[0] and len(columns) > 4 * self.k:
+                    floor = self.seeded(floor, bound, alive, v)
                 # Bounds are rounded: they get a little more than they can have lost.
                 alive = alive & (bound + 1e-9 * np.abs(bound) + 1e-6 >= floor[rows][:, None])
                 keep_row, keep_column = alive.any(axis=1), alive.any(axis=0)
@@ -110,14 +115,14 @@ class Best:
         if not len(rows) or not len(columns):
             return
         got = products(self.v[rows], v[columns])
-        self.computed += int(alive.sum())
+        self.computed += got.size
         got[~alive] = np.iinfo(np.int64).min
         floor = self.least[rows]
         if len(columns) > self.k:
             floor = np.maximum(floor, np.partition(got, len(columns) - self.k, axis=1)[:, len(columns) - self.k])
         i, j = np.nonzero(alive & (got >= floor[:, None]))
         self.query = np.concatenate((self.query, rows[i]))
-        self.vec = np.concatenate((self.vec, ids[columns[j]]))
+        self.vec = np.concatenate((self.vec, ids[columns[j], 1]))
         self.score = np.concatenate((self.score, got[i, j]))
         order = np.lexsort((self.vec, ~self.score, self.query))
         query = self.query[order]
@@ -127,16 +132,28 @@ class Best:
         last = place[place < self.k] == self.k - 1
         self.least[self.query[last]] = self.score[last]
 
+    def seeded(self, floor: np.ndarray, bound: np.ndarray, alive: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """floor, and for queries that have none yet the least product of the k candidates of highest bounds."""
+        new = np.flatnonzero(self.least == np.iinfo(np.int64).min)
+        if not len(new):
+            return floor
+        best = np.argpartition(np.where(alive[new], -bound[new], np.inf), self.k, axis=1)[:, : self.k]
+        got = np.stack([v[best[i]] @ self.v[q] for i, q in enumerate(new)])
+        self.computed += got.size
+        out = floor.copy()
+        out[new] = np.where(np.take_along_axis(alive[new], best, axis=1), got, np.iinfo(np.int64).min).min(axis=1)
+        return out
+
 
 def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k highest scores, its own row left out."""
-    rows = stored(integers(vectors).withColumn("is_query", F.coalesce(is_query, F.lit(False))), "integer-vectors")
+    rows = stored(integers(vectors).withColumn("is_query", F.coalesce(is_query, F.lit(False))).withColumn("row", F.monotonically_increasing_id()), "integer-vectors")
     n, n_query = rows.agg(F.count(F.lit(1)), F.count_if("is_query")).first()
     blocks, cells = max(1, -(-n_query // QUERY_BLOCK)), min(CELLS, max(1, -(-n // CELL)))
 
     def packed(of: DataFrame, parts: int, salt: int) -> DataFrame:
-        key = F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(parts)).cast("int")
-        return of.select(key.alias("key"), "vec_id", "v").repartition(parts, "key").mapInArrow(_pack, _PACKED)
+        key = F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(parts)).cast("int")
+        return of.select(key.alias("key"), "row", "vec_id", "v").repartition(parts, "key").mapInArrow(_pack, _PACKED)
 
     queries = packed(rows.where("is_query"), blocks, 1).withColumnRenamed("key", "block").withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))))
     others = packed(rows, cells, 2).withColumnRenamed("key", "cell").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
@@ -148,14 +165,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
 
         def done() -> Iterator[pa.RecordBatch]:
             for own in held:
-                yield pa.RecordBatch.from_arrays([pa.array(own.ids[own.query]), pa.array(own.vec), pa.array(own.score)], ["query_id", "vec_id", "score"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(own.ids[own.query, k]) for k in (0, 1)), pa.array(own.vec), pa.array(own.score)], ["query", "query_id", "vec_id", "score"])
 
         for batch in batches:
             for block, cell, dims, candidates, ids, data in zip(*(batch.column(c).to_pylist() for c in ("block", "cell", "dims", "candidates", "ids", "data")), strict=True):
                 if at != (block, cell, dims):
                     yield from done()
                     at, held = (block, cell, dims), []
-                ids = np.frombuffer(ids, np.int64)
+                ids = np.frombuffer(ids, np.int64).reshape(-1, 2)
                 v = np.frombuffer(data, np.int64).reshape(len(ids), dims)
                 if candidates:
                     for own in held:
@@ -164,8 +181,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
                     held.append(Best(ids, v, k))
         yield from done()
 
-    found = tasks.mapInArrow(run, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    found = tasks.mapInArrow(run, "query long, query_id long, vec_id long, score long")
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
