@@ -43,44 +43,62 @@ REASONS = (
     ("not_submitted", r"not yet submitted"),
     ("trade", r"trade pending|^trade"),
 )
-REGIONS = {
-    "foot": "great toe, big toe, plantar fascia, plantar, metatarsal, navicular, cuneiform, toe, heel, foot",
-    "ankle": "high ankle, ankle",
-    "lower leg": "achilles, soleus, plantaris, tibialis, calf, shin, tibia, fibula, lower leg, leg",
-    "knee": "acl, mcl, pcl, lcl, meniscus, patellar, patella, knee",
-    "thigh": "hamstring, quadriceps, quad, thigh",
-    "groin/hip": "adductor, groin, hip flexor, hip, pelvis, pelvic, glute",
-    "back": "low back, lower back, lumbar, back, disc, spine, sciatica, sacral, tailbone",
-    "neck": "neck, cervical",
-    "shoulder": "rotator cuff, ac joint, ac, labrum, shoulder, clavicle",
-    "arm": "elbow, forearm, bicep, tricep, arm",
-    "hand": "wrist, thumb, finger, metacarpal, hand",
-    "head": "concussion, migraine, head, face, facial, eye, orbital, nasal, nose, jaw, tooth, mouth, ear",
-    "core": "oblique, abdominal, abdomen, rib, chest, core, sternum",
-    "illness": "illness, non-covid, covid, flu, virus, respiratory, gastro",
-}
+# A body part and its region.
+PARTS = (
+    ("great toe", "foot"), ("big toe", "foot"), ("plantar fascia", "foot"), ("plantar", "foot"), ("metatarsal", "foot"),
+    ("navicular", "foot"), ("cuneiform", "foot"), ("toe", "foot"), ("heel", "foot"), ("foot", "foot"),
+    ("high ankle", "ankle"), ("ankle", "ankle"),
+    ("achilles", "lower leg"), ("soleus", "lower leg"), ("plantaris", "lower leg"), ("tibialis", "lower leg"),
+    ("calf", "lower leg"), ("shin", "lower leg"), ("tibia", "lower leg"), ("fibula", "lower leg"),
+    ("lower leg", "lower leg"), ("leg", "lower leg"),
+    ("acl", "knee"), ("mcl", "knee"), ("pcl", "knee"), ("lcl", "knee"), ("meniscus", "knee"), ("patellar", "knee"),
+    ("patella", "knee"), ("knee", "knee"),
+    ("hamstring", "thigh"), ("quadriceps", "thigh"), ("quad", "thigh"), ("thigh", "thigh"),
+    ("adductor", "groin/hip"), ("groin", "groin/hip"), ("hip flexor", "groin/hip"), ("hip", "groin/hip"),
+    ("pelvis", "groin/hip"), ("pelvic", "groin/hip"), ("glute", "groin/hip"),
+    ("low back", "back"), ("lower back", "back"), ("lumbar", "back"), ("back", "back"), ("disc", "back"),
+    ("spine", "back"), ("sciatica", "back"), ("sacral", "back"), ("tailbone", "back"),
+    ("neck", "neck"), ("cervical", "neck"),
+    ("rotator cuff", "shoulder"), ("ac joint", "shoulder"), ("ac", "shoulder"), ("labrum", "shoulder"),
+    ("shoulder", "shoulder"), ("clavicle", "shoulder"),
+    ("elbow", "arm"), ("forearm", "arm"), ("bicep", "arm"), ("tricep", "arm"), ("arm", "arm"),
+    ("wrist", "hand"), ("thumb", "hand"), ("finger", "hand"), ("metacarpal", "hand"), ("hand", "hand"),
+    ("concussion", "head"), ("migraine", "head"), ("head", "head"), ("face", "head"), ("facial", "head"), ("eye", "head"),
+    ("orbital", "head"), ("nasal", "head"), ("nose", "head"), ("jaw", "head"), ("tooth", "head"), ("mouth", "head"),
+    ("ear", "head"),
+    ("oblique", "core"), ("abdominal", "core"), ("abdomen", "core"), ("rib", "core"), ("chest", "core"), ("core", "core"),
+    ("sternum", "core"),
+    ("illness", "illness"), ("non-covid", "illness"), ("covid", "illness"), ("flu", "illness"), ("virus", "illness"),
+    ("respiratory", "illness"), ("gastro", "illness"),
+)
+# A word's beginning and the injury it tells; the first that a text has wins.
 INJURIES = (
-    ("surgery", "surgery|repair|procedure|reconstruction|arthroscopy|meniscectomy"),
+    ("surgery", "surgery"), ("repair", "surgery"), ("procedure", "surgery"), ("reconstruction", "surgery"),
+    ("arthroscopy", "surgery"), ("meniscectomy", "surgery"),
     ("herniation", "herniation"),
-    ("tear", "rupture|tear|torn"),
-    ("fracture", "fracture|break"),
+    ("rupture", "tear"), ("tear", "tear"), ("torn", "tear"),
+    ("fracture", "fracture"), ("break", "fracture"),
     ("stress reaction", "stress reaction"),
-    ("dislocation", "dislocation|dislocated|displacement|subluxation"),
+    ("dislocation", "dislocation"), ("dislocated", "dislocation"), ("displacement", "dislocation"),
+    ("subluxation", "dislocation"),
     ("cartilage", "cartilage"),
-    ("sprain", "sprain|hyperextension"),
-    ("strain", "strain|strained"),
-    ("contusion", "contusion|bruise"),
-    ("tendinopathy", "tendinitis|tendinopathy|tendinosis|tendonitis"),
-    ("inflammation", "bursitis|fasciitis|inflammation"),
+    ("sprain", "sprain"), ("hyperextension", "sprain"),
+    ("strain", "strain"), ("strained", "strain"),
+    ("contusion", "contusion"), ("bruise", "contusion"),
+    ("tendinitis", "tendinopathy"), ("tendinopathy", "tendinopathy"), ("tendinosis", "tendinopathy"),
+    ("tendonitis", "tendinopathy"),
+    ("bursitis", "inflammation"), ("fasciitis", "inflammation"), ("inflammation", "inflammation"),
     ("impingement", "impingement"),
-    ("spasms", "spasm"),
-    ("soreness", "soreness|sore"),
+    ("spasm", "spasms"),
+    ("soreness", "soreness"), ("sore", "soreness"),
     ("tightness", "tightness"),
-    ("soreness", "irritation|discomfort"),
+    ("irritation", "soreness"), ("discomfort", "soreness"),
     ("concussion", "concussion"),
-    ("illness", "illness|infection"),
-    ("management", "injury management|load management|management|rest"),
-    ("recovery", "injury recovery|recovery|rehab|return to competition|reconditioning"),
+    ("illness", "illness"), ("infection", "illness"),
+    ("injury management", "management"), ("load management", "management"), ("management", "management"),
+    ("rest", "management"),
+    ("injury recovery", "recovery"), ("recovery", "recovery"), ("rehab", "recovery"),
+    ("return to competition", "recovery"), ("reconditioning", "recovery"),
 )
 MOVES = {"Waive": "waive", "AwardOnWaivers": "claim", "Trade": "trade"}
 
@@ -115,14 +133,13 @@ def earliest_word(text: Column, words: list[str]) -> Column:
 def injury_reason(df: DataFrame, text: str) -> DataFrame:
     """df with category, side, part, region and injury, read off the text; null where it doesn't say."""
     low = F.trim(F.regexp_replace(F.trim(F.regexp_replace(F.lower(F.col(text)), r"\s+", " ")), "^-+|-+$", ""))
-    words = {w: region for region, names in REGIONS.items() for w in names.split(", ")}
-    region = F.create_map(*(F.lit(v) for pair in words.items() for v in pair))
+    region = F.create_map(*(F.lit(v) for pair in PARTS for v in pair))
     d = df.withColumn("_low", low).withColumn("category", F.when(F.coalesce(F.col("_low"), F.lit("")) != "", first_class(F.col("_low"), REASONS)))
     hurt = F.col("category") == "injury"
     d = d.withColumn("_body", F.when(hurt, F.regexp_replace("_low", r"^injury/illness\s*-?\s*", "")))
     d = d.withColumn("side", F.nullif(F.regexp_extract("_body", r"\b(left|right|bilateral)\b", 1), F.lit("")))
-    d = d.withColumn("part", F.when(hurt, earliest_word(F.col("_body"), list(words)))).withColumn("region", region[F.col("part")])
-    kind = F.when(hurt, first_class(F.col("_body"), tuple((n, rf"\b(?:{p})") for n, p in INJURIES), None))
+    d = d.withColumn("part", F.when(hurt, earliest_word(F.col("_body"), [w for w, _ in PARTS]))).withColumn("region", region[F.col("part")])
+    kind = F.when(hurt, first_class(F.col("_body"), tuple((kind, rf"\b{word}") for word, kind in INJURIES), None))
     return d.withColumn("injury", F.coalesce(kind, F.when(F.col("region") == "illness", "illness"))).drop("_low", "_body")
 
 
