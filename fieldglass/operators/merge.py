@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldglass.operators.windows import latest
+from fieldglass.sources.lake import settled
 
 
 def insert_ignore(old: DataFrame, new: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
@@ -56,7 +57,8 @@ def surrogate_ids(new: DataFrame, highest: int, order: str, name: str) -> DataFr
     Numbers come from the counts of rows in each partition of the sorted table, so no task sees all rows."""
     from pyspark.sql.window import Window
 
-    ranged = new.repartitionByRange(F.col(order)).withColumn("_part", F.spark_partition_id()).persist()
+    # Stored with its partition, so that counts and numbers are of the same rows whatever is computed again.
+    ranged = settled(new.repartitionByRange(F.col(order)).withColumn("_part", F.spark_partition_id()))
     sizes = sorted(ranged.groupBy("_part").count().collect())
     starts, total = {}, 0
     for part, n in sizes:

@@ -9,7 +9,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LAMBDAS = (500.0, 1000.0, 2000.0, 3000.0, 4500.0, 6500.0, 9000.0, 13000.0)
+from fieldglass.sources.lake import settled
+
+# Penalties that are tried.
+LAMBDAS = (250.0, 500.0, 1000.0, 2000.0, 3000.0, 5000.0, 8000.0, 12000.0)
 MOST_UNKNOWNS = 6000
 
 
@@ -40,40 +43,41 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{k}").alias("r")) for k, (a, b) in enumerate(pairs)))))
 
 
-def normal_cells(obs: DataFrame, fold: str, columns: str, y: str, w: str) -> tuple[DataFrame, DataFrame]:
-    """Cells of X'WX and X'Wy by fold, for 0/1 rows whose columns are an array of indexes.
+def sums_by_fold(obs: DataFrame, fold: str, columns: str, targets: dict[str, tuple[Column, Column]]) -> tuple[DataFrame, DataFrame]:
+    """Sums for regressions on 0/1 rows, whose columns are an array: cells (fold, i, j with i <= j, and by target the weight
+    and, where i = j, the weighted value) and totals (fold, and by target weight, weighted value and its square).
 
-    A row of n columns makes n * n products, added up before the shuffle: the design matrix is never laid out."""
-    i = obs.select(fold, columns, y, w, F.explode(columns).alias("i"))
-    cells = i.select(fold, "i", w, F.explode(columns).alias("j")).groupBy(fold, "i", "j").agg(F.sum(w).alias("value"))
-    right = i.groupBy(fold, "i").agg(F.sum(F.col(w) * F.col(y)).alias("value"))
-    return cells, right
+    targets: value and weight by name.  Rows of the same columns are added up first, in one shuffle, and stored; only sums
+    of these make cells, for all targets at once.  The design matrix is never laid out."""
+    sums = [F.sum(x).alias(f"{s}_{k}") for k, (y, w) in targets.items() for s, x in (("w", w), ("wy", w * y), ("wyy", w * y * y))]
+    units = settled(obs.groupBy(fold, F.array_sort(columns).alias("columns")).agg(*sums))
+    i = units.select("*", F.posexplode("columns").alias("at", "i"))
+    pairs = i.select("*", F.explode(F.slice("columns", F.col("at") + 1, F.size("columns"))).alias("j"))
+    cells = pairs.groupBy(fold, "i", "j").agg(*(x for k in targets for x in (F.sum(f"w_{k}").alias(f"w_{k}"), F.sum(F.when(F.col("i") == F.col("j"), F.col(f"wy_{k}"))).alias(f"wy_{k}"))))
+    return cells, units.groupBy(fold).agg(*(F.sum(f"{s}_{k}").alias(f"{s}_{k}") for k in targets for s in ("w", "wy", "wyy")))
 
 
-def _dense(cells: DataFrame, right: DataFrame, fold: str, n: int) -> dict[object, tuple[np.ndarray, np.ndarray]]:
-    out: dict = {}
-    for of, vector in ((cells, False), (right, True)):
-        got = of.toPandas()
-        for name, part in got.groupby(fold):
-            a, b = out.setdefault(name, (np.zeros((n, n)), np.zeros(n)))
-            if vector:
-                b[part["i"]] = part["value"]
-            else:
-                a[part["i"], part["j"]] = part["value"]
-    return out
+def _dense(cells: DataFrame, n: int, target: str) -> tuple[np.ndarray, np.ndarray]:
+    got = cells.select("i", "j", F.col(f"w_{target}").cast("double").alias("w"), F.col(f"wy_{target}").cast("double").alias("wy")).toArrow()
+    i, j, w, wy = (got[c].to_numpy() for c in ("i", "j", "w", "wy"))
+    a, b = np.zeros((n, n)), np.zeros(n)
+    a[i, j] = a[j, i] = w
+    b[i[i == j]] = wy[i == j]
+    return a, b
 
 
-def ridge(obs: DataFrame, n: int, columns: str, y: str, w: str, fold: str, lambdas=LAMBDAS, light: dict[int, float] | None = None) -> tuple[np.ndarray, float, dict[float, float]]:
-    """(coefficients, lambda, squared errors by lambda): weighted ridge on 0/1 rows, lambda by folds.
+def fit(cells: DataFrame, totals: DataFrame, n: int, fold: str, target: str, lambdas=LAMBDAS, light: dict[int, float] | None = None) -> tuple[np.ndarray, float, dict[float, float]]:
+    """(coefficients, lambda, squared errors by lambda) of one target of ``sums_by_fold``, whose columns are 0 to n - 1.
 
-    light: penalties of single columns instead of lambda.  Ties go to the first lambda."""
+    light: penalties of single columns instead of lambda.  Ties go to the first lambda.  The driver holds the cells of all
+    folds added up and those of one fold at a time, n * n numbers each."""
     if n > MOST_UNKNOWNS:
         raise ValueError(f"{n} unknowns; at most {MOST_UNKNOWNS} are solved on the driver")
-    mean = obs.agg(F.sum(F.col(y) * F.col(w)) / F.sum(w)).first()[0] or 0.0
-    centred = obs.withColumn(y, F.col(y) - F.lit(mean))
-    parts = _dense(*normal_cells(centred, fold, columns, y, w), fold, n)
-    square = {r[0]: r[1] for r in centred.groupBy(fold).agg(F.sum(F.col(w) * F.col(y) * F.col(y))).collect()}
-    a, b = sum(p[0] for p in parts.values()), sum(p[1] for p in parts.values())
+    sums = {r[fold]: [float(r[f"{s}_{target}"] or 0) for s in ("w", "wy", "wyy")] for r in totals.collect()}
+    weight = sum(s[0] for s in sums.values())
+    mean = sum(s[1] for s in sums.values()) / weight if weight else 0.0
+    a, b = _dense(cells.groupBy("i", "j").agg(*(F.sum(f"{s}_{target}").alias(f"{s}_{target}") for s in ("w", "wy"))), n, target)
+    b -= mean * a.diagonal()
 
     def solve(a: np.ndarray, b: np.ndarray, lam: float) -> np.ndarray:
         pull = np.full(n, lam)
@@ -81,44 +85,168 @@ def ridge(obs: DataFrame, n: int, columns: str, y: str, w: str, fold: str, lambd
             pull[k] = v
         return np.linalg.solve(a + np.diag(pull), b)
 
-    errors = {}
-    for lam in lambdas:
-        total = 0.0
-        for name, (fa, fb) in parts.items():
+    errors = dict.fromkeys(lambdas, 0.0)
+    for name, (w, wy, wyy) in sums.items():
+        fa, fb = _dense(cells.where(F.col(fold).eqNullSafe(F.lit(name))), n, target)
+        fb -= mean * fa.diagonal()
+        square = wyy - 2 * mean * wy + mean * mean * w
+        for lam in lambdas:
             beta = solve(a - fa, b - fb, lam)
-            total += square[name] - 2 * beta @ fb + beta @ fa @ beta
-        errors[lam] = total
+            errors[lam] += square - 2 * beta @ fb + beta @ fa @ beta
     best = min(errors, key=errors.get)
     return solve(a, b, best), best, errors
 
 
+def ridge(obs: DataFrame, n: int, columns: str, y: str, w: str, fold: str, lambdas=LAMBDAS, light: dict[int, float] | None = None) -> tuple[np.ndarray, float, dict[float, float]]:
+    """``fit`` of one target of 0/1 rows whose columns are an array of indexes: weighted ridge, lambda by folds."""
+    cells, totals = sums_by_fold(obs, fold, columns, {"y": (F.col(y), F.col(w))})
+    return fit(settled(cells), totals, n, fold, "y", lambdas, light)
+
+
+TALLIES = ("fgm", "fga", "fg3m", "fta", "ftm", "orb", "drb", "tov")
+ATTACK, DEFENCE, HOME = 0, 1, 2
+
+
+def two_ways(stints: DataFrame, tallies: tuple[str, ...] = ()) -> DataFrame:
+    """(game, attack, defend, home, pts, poss): two rows a stint, one for each side with possessions; with tallies, the
+    attacking side's as o_* and the other's as d_*, 0 where unknown."""
+    of = lambda side, as_: [F.coalesce(F.col(f"{side}_{c}"), F.lit(0)).alias(f"{as_}_{c}") for c in tallies]
+    sides = [
+        F.struct(F.col(f"{o}_ids").alias("attack"), F.col(f"{d}_ids").alias("defend"), F.lit(home).alias("home"), F.coalesce(F.col(f"{o}_pts"), F.lit(0)).alias("pts"), F.col(f"{o}_poss").cast("double").alias("poss"), *of(o, "o"), *of(d, "d"))
+        for o, d, home in (("home", "away", True), ("away", "home", False))
+    ]
+    kept = [c for c in ("game", "factors_match") if c in stints.columns]
+    return stints.select(*kept, F.inline(F.array(*sides))).where("poss > 0")
+
+
+def _numbered(cells: DataFrame, players: DataFrame, n: int) -> DataFrame:
+    """Cells of roles as cells of numbers: attackers from 0, defenders from n, home at 2 * n."""
+    for c in ("i", "j"):
+        # At most MOST_UNKNOWNS players, counted by the caller.
+        number = F.broadcast(players.select(F.col("player").alias(f"_{c}"), F.col("k").alias("_k")))
+        named = cells.join(number, F.col(f"{c}.player") == F.col(f"_{c}"), "left")
+        k = F.when(F.col(f"{c}.role") == HOME, 2 * n).otherwise(F.col("_k") + F.col(f"{c}.role") * n)
+        cells = named.withColumn(c, k.cast("int")).drop(f"_{c}", "_k")
+    return cells.where("i IS NOT NULL AND j IS NOT NULL")
+
+
+def _role_sums(ways: DataFrame, players: DataFrame, n: int, targets: dict[str, tuple[Column, Column]]) -> tuple[DataFrame, DataFrame]:
+    role = lambda k, c: F.transform(c, lambda p: F.struct(F.lit(k).alias("role"), p.alias("player")))
+    attack = role(ATTACK, F.col("attack"))
+    kind = next(f.dataType.elementType for f in ways.schema.fields if f.name == "attack")
+    home = F.array(F.struct(F.lit(HOME).alias("role"), F.lit(None).cast(kind).alias("player")))
+    columns = F.concat(attack, role(DEFENCE, F.col("defend")), F.when(F.col("home"), home).otherwise(F.filter(attack, lambda x: F.lit(False))))
+    cells, totals = sums_by_fold(ways.withColumn("_columns", columns), "fold", "_columns", targets)
+    return settled(_numbered(cells, players, n)), totals
+
+
+def _counted(players: DataFrame) -> int:
+    n = players.count()
+    if 2 * n + 1 > MOST_UNKNOWNS:
+        raise ValueError(f"{n} players; at most {(MOST_UNKNOWNS - 1) // 2} are solved on the driver")
+    return n
+
+
 def player_impact(stints: DataFrame, players: DataFrame, folds: DataFrame, lambdas=LAMBDAS) -> DataFrame:
     """(player, offence, defence, total) from stints (game, home_ids, away_ids: arrays of five; home_pts, away_pts,
     home_poss, away_poss): two rows a stint, points per 100 possessions, by ridge with folds of games.
 
-    players (player, k) numbers the players from 0, folds (game, fold) deals out the games."""
-    n = players.count()
-    if 2 * n + 1 > MOST_UNKNOWNS:
-        raise ValueError("too many players for one fit")
-    sides = F.inline(
-        F.array(
-            *(
-                F.struct(F.col(f"{o}_ids").alias("attack"), F.col(f"{d}_ids").alias("defend"), F.col(f"{o}_pts").alias("pts"), F.col(f"{o}_poss").cast("double").alias("w"), F.lit(home).alias("home"))
-                for o, d, home in (("home", "away", True), ("away", "home", False))
-            )
-        )
-    )
-    rows = stints.withColumn("stint", F.monotonically_increasing_id()).select("stint", "game", sides).where("w > 0")
-    number = F.map_from_entries(F.collect_list(F.struct("player", "k")))
-    named = rows.crossJoin(F.broadcast(players.agg(number.alias("number"))))  # one row: the map of the players, counted above
-    of = lambda c, shift: F.transform(c, lambda p: F.col("number")[p] + shift)
-    columns = F.concat(of("attack", 0), of("defend", n), F.when(F.col("home"), F.array(F.lit(2 * n))).otherwise(F.array().cast("array<int>")))
-    obs = named.select("game", columns.alias("columns"), (F.col("pts") * 100.0 / F.col("w")).alias("y"), "w").join(folds, "game")
-    beta, lam, _ = ridge(obs, 2 * n + 1, "columns", "y", "w", "fold", lambdas, {2 * n: 1.0})
+    players (player, k) numbers the players from 0, others are left out of the fit; folds (game, fold) deals out the games."""
+    n = _counted(players)
+    ways = two_ways(stints).join(folds, "game")
+    cells, totals = _role_sums(ways, players, n, {"net": (F.col("pts") * 100.0 / F.col("poss"), F.col("poss"))})
+    beta, lam, _ = fit(cells, totals, 2 * n + 1, "fold", "net", lambdas, {2 * n: 1.0})
     rated = stints.sparkSession.createDataFrame([(k, float(beta[k]), float(-beta[n + k])) for k in range(n)], "k int, offence double, defence double")
     return players.join(rated, "k").select("player", "offence", "defence", (F.col("offence") + F.col("defence")).alias("total"), F.lit(lam).alias("lambda"))
 
 
+# Penalties that are tried for factors, and how well points must be told by them to be split.
+FACTOR_LAMBDAS = (50.0, 100.0, 250.0, 500.0, 1000.0, 2000.0, 4000.0, 8000.0, 16000.0)
+LEAST_FACTOR_R2, LEAST_TEAM_GAMES, LEAST_POSSESSIONS = 0.80, 50, 40
+#: Factors and whether more of one is good (1) or bad (-1) for the attacking side; ft carries no points.
+FACTOR_SIGNS = {"ts": 1, "tov": -1, "orb": 1, "ft": 1}
+WORTH = ("ts", "tov", "orb")
+
+
+def shooting_tries(of: str = "o") -> Column:
+    return F.col(f"{of}_fga") + 0.44 * F.col(f"{of}_fta")
+
+
+def factor_rates() -> dict[str, tuple[Column, Column]]:
+    """Value and weight of each factor in rows of ``two_ways``; no weight where a rate has no base."""
+    tries, rebounds = shooting_tries(), F.col("o_orb") + F.col("d_drb")
+    parts = {"ts": (F.col("pts") / 2, tries), "tov": (F.col("o_tov"), F.col("poss")), "orb": (F.col("o_orb"), rebounds), "ft": (F.col("o_ftm"), F.col("o_fga"))}
+    return {k: (F.when(base != 0, part / base).otherwise(0.0), base.cast("double")) for k, (part, base) in parts.items()}
+
+
+def team_games(ways: DataFrame, key: list[str]) -> DataFrame:
+    """Rows of ``two_ways`` added up by game and side, with the rates efg, ts, tov, orb and ft and points per 100
+    possessions (y, of weight poss).  Left out are sides with under 40 possessions or without tries or rebounds."""
+    summed = ways.groupBy(*key, "home").agg(*(F.sum(c).alias(c) for c in ("pts", "poss", *(f"o_{t}" for t in TALLIES), "d_drb")))
+    whole = summed.where((F.col("poss") >= LEAST_POSSESSIONS) & (F.col("o_fga") != 0) & (F.col("o_orb") + F.col("d_drb") != 0))
+    rates = {k: value for k, (value, _) in factor_rates().items()}
+    efg = (F.col("o_fgm") + 0.5 * F.col("o_fg3m")) / F.col("o_fga")
+    return whole.select(*key, "home", efg.alias("efg"), *(v.alias(k) for k, v in rates.items()), (F.col("pts") * 100.0 / F.col("poss")).alias("y"), "poss")
+
+
+def wls(df: DataFrame, by: str, x: list[str], y: str, w: str) -> dict | None:
+    """Weighted least squares of y on x and a constant: betas (the constant first), r2, the r2 of each value of ``by`` under
+    the betas of all others, weighted deviations of x, and the number of rows; None without rows.
+
+    One aggregate gives sums of products by ``by``; what the driver gets is those, never rows."""
+    names = ["_one", *x, y, w]
+    d = df.select(by, *x, y, w).withColumn("_one", F.lit(1.0))
+    k, got = len(names), {}
+    for r in gram(d, [by], names, F.col(w)).collect():
+        a = got.setdefault(r[by], np.zeros((k, k)))
+        a[r["i"], r["j"]] = a[r["j"], r["i"]] = float(r["value"] or 0)
+    if not got:
+        return None
+    p = len(x) + 1
+
+    def betas(a: np.ndarray) -> np.ndarray:
+        return np.linalg.lstsq(a[:p, :p], a[:p, p], rcond=None)[0]
+
+    def r2(a: np.ndarray, b: np.ndarray) -> float:
+        about = a[p, p] - a[0, p] ** 2 / a[0, 0]
+        return float(1 - (a[p, p] - 2 * b @ a[:p, p] + b @ a[:p, :p] @ b) / about) if about > 0 else float("nan")
+
+    total = sum(got.values())
+    b = betas(total)
+    held = {name: r2(a, betas(total - a)) for name, a in got.items()} if len(got) > 1 else {}
+    weight, squares = total[0, 0], total[0, p + 1]
+    sd = [float(np.sqrt(max(0.0, (total[i, i] - total[0, i] ** 2 / weight) / (weight - squares / weight)))) for i in range(1, p)]
+    return {"betas": b, "r2": r2(total, b), "held": held, "sd": sd, "n": df.count()}
+
+
+def six_factors(stints: DataFrame, players: DataFrame, folds: DataFrame, lambdas=FACTOR_LAMBDAS) -> DataFrame:
+    """(player, o_ts, d_ts, ...: each factor's effect in percent, good when positive; o_ts_pts, d_ts_pts, ...: its worth in
+    points per 100 possessions; r2) from stints with home_* and away_* ``TALLIES``; games whose factors_match is false have
+    no part.  No rows if team games are fewer than 50 or tell under 0.8 of the points."""
+    n = _counted(players)
+    ways = two_ways(stints, TALLIES)
+    if "factors_match" in ways.columns:
+        ways = ways.where("factors_match IS NULL OR factors_match").drop("factors_match")
+    ways = settled(ways.join(folds, "game"))
+    worth = wls(team_games(ways, ["game", "fold"]), "fold", list(WORTH), "y", "poss")
+    names = [c for k in FACTOR_SIGNS for c in (f"o_{k}", f"d_{k}", *((f"o_{k}_pts", f"d_{k}_pts") if k in WORTH else ()))]
+    schema = ", ".join(["k int", *(f"{c} double" for c in names), "r2 double"])
+    rows = []
+    if worth and worth["n"] >= LEAST_TEAM_GAMES and worth["r2"] >= LEAST_FACTOR_R2:
+        points = dict(zip(WORTH, worth["betas"][1:], strict=True))
+        cells, totals = _role_sums(ways, players, n, factor_rates())
+        columns = []
+        for k, sign in FACTOR_SIGNS.items():
+            beta, _, _ = fit(cells, totals, 2 * n + 1, "fold", k, lambdas, {2 * n: 1.0})
+            own, other = beta[:n], beta[n : 2 * n]
+            columns += [100 * sign * own, -100 * sign * other]
+            if k in points:
+                columns += [points[k] * own, -points[k] * other]
+        rows = [(at, *(float(c[at]) for c in columns), worth["r2"]) for at in range(n)]
+    rated = stints.sparkSession.createDataFrame(rows, schema)
+    return players.join(rated, "k").select("player", *names, "r2")
+
+
 def let(value: Column, of) -> Column:
     """of(value), with value computed once inside a higher-order function."""
     return F.element_at(F.transform(F.array(value), of), 1)

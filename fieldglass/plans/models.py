@@ -54,6 +54,45 @@ def ridge_impact(t):
     return R.player_impact(_stints(t), players, folds)
 
 
+def _tallied(t):
+    """``_stints`` with tallies of either side, whose possessions and points follow from them."""
+    b = box(t).select("game", "line", (F.col("team") % 40).cast("int").alias("p"), "mp", "orb", "tov")
+    ids = lambda shift: F.transform(F.sequence(F.lit(0), F.lit(4)), lambda k: ((F.col("p") * 7 + k * 3 + shift) % 40).cast("bigint"))
+    s = b.select("game", ids(0).alias("home_ids"), ids(1).alias("away_ids"), "mp", "line", "orb", "tov")
+    for k, side in enumerate(("home", "away")):
+        x = F.col("mp") * (7 + 4 * k) + F.col("line")
+        of = lambda n, side=side: F.col(f"{side}_{n}")
+        s = s.withColumns({f"{side}_fga": 12 + x % 9, f"{side}_fta": x % 5, f"{side}_orb": (F.col("orb") + k) % 5, f"{side}_drb": 5 + x % 6, f"{side}_tov": (F.col("tov") + 3 * k) % 7, f"{side}_fgm": 3 + (x * 5) % 8})
+        s = s.withColumns({f"{side}_fg3m": of("fgm") % 4, f"{side}_ftm": F.floor(of("fta") * (x % 3) / 2)})
+        s = s.withColumns({f"{side}_pts": 2 * of("fgm") + of("fg3m") + of("ftm"), f"{side}_poss": of("fga") + F.floor(0.44 * of("fta")) - of("orb") + of("tov")})
+    return s
+
+
+@query()
+def six_factor_impact(t):
+    players = t("orders").sparkSession.range(40).select(F.col("id").alias("player"), F.col("id").cast("int").alias("k"))
+    return R.six_factors(_tallied(t), players, games(t).select("game", (F.col("game") % 5).alias("fold")))
+
+
+#: Models of points per 100 possessions from team games.
+FACTOR_MODELS = {"four": ("efg", "tov", "orb", "ft"), "six": ("ts", "tov", "orb"), "six+ft": ("ts", "tov", "orb", "ft")}
+
+
+@query()
+def wls_multi(t):
+    """Betas by model and term, with the model's r2, its r2 of seasons left out (mean and least) and the term's deviation."""
+    ways = R.two_ways(_tallied(t), R.TALLIES).join(games(t).select("game", "season"), "game")
+    sides = R.settled(R.team_games(ways, ["season", "game"]))
+    rows = []
+    for model, terms in FACTOR_MODELS.items():
+        got = R.wls(sides, "season", list(terms), "y", "poss")
+        if got:
+            held = list(got["held"].values()) or [float("nan")]
+            tail = (got["r2"], sum(held) / len(held), min(held), got["n"])
+            rows += [(model, term, float(b), sd, *tail) for term, b, sd in zip(("constant", *terms), got["betas"], (None, *got["sd"]), strict=True)]
+    return sides.sparkSession.createDataFrame(rows, "model string, term string, beta double, sd double, r2 double, held_mean double, held_least double, n long")
+
+
 @query(f"WITH {BOX} SELECT season, round(100.0::DOUBLE * sum(pts) / sum(mp), 2) AS rate FROM box GROUP BY 1")
 def league_rate(t):
     return box(t).groupBy("season").agg(F.round(100.0 * F.sum("pts") / F.sum("mp"), 2).alias("rate"))
