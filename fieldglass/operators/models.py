@@ -43,16 +43,20 @@ def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"r{k}").alias("r")) for k, (a, b) in enumerate(pairs)))))
 
 
-def sums_by_fold(obs: DataFrame, fold: str, columns: str, targets: dict[str, tuple[Column, Column]]) -> tuple[DataFrame, DataFrame]:
-    """Sums for regressions on 0/1 rows, whose columns are an array: cells (fold, i, j with i <= j, and by target the weight
-    and, where i = j, the weighted value) and totals (fold, and by target weight, weighted value and its square).
+def unit_sums(obs: DataFrame, by: list[str], targets: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """Weight, weighted value and its weighted square by target, of the rows that are alike; stored, as all that follows
+    is made from these sums.
 
-    targets: value and weight by name.  Rows of the same columns are added up first, in one shuffle, and stored; only sums
-    of these make cells, for all targets at once.  The design matrix is never laid out."""
+    targets: value and weight by name."""
     sums = [F.sum(x).alias(f"{s}_{k}") for k, (y, w) in targets.items() for s, x in (("w", w), ("wy", w * y), ("wyy", w * y * y))]
-    units = settled(obs.groupBy(fold, F.array_sort(columns).alias("columns")).agg(*sums))
-    i = units.select("*", F.posexplode("columns").alias("at", "i"))
-    pairs = i.select("*", F.explode(F.slice("columns", F.col("at") + 1, F.size("columns"))).alias("j"))
+    return settled(obs.groupBy(*by).agg(*sums))
+
+
+def sums_by_fold(units: DataFrame, fold: str, columns: Column, targets: dict[str, tuple[Column, Column]]) -> tuple[DataFrame, DataFrame]:
+    """Sums for regressions on 0/1 rows, whose columns are an array, from ``unit_sums``: cells (fold, i, j with i <= j, and by
+    target the weight and, where i = j, the weighted value) and totals by fold.  The design matrix is never laid out."""
+    i = units.withColumn("_columns", F.sort_array(columns)).select("*", F.posexplode("_columns").alias("at", "i"))
+    pairs = i.select("*", F.explode(F.slice("_columns", F.col("at") + 1, F.size("_columns"))).alias("j"))
     cells = pairs.groupBy(fold, "i", "j").agg(*(x for k in targets for x in (F.sum(f"w_{k}").alias(f"w_{k}"), F.sum(F.when(F.col("i") == F.col("j"), F.col(f"wy_{k}"))).alias(f"wy_{k}"))))
     return cells, units.groupBy(fold).agg(*(F.sum(f"{s}_{k}").alias(f"{s}_{k}") for k in targets for s in ("w", "wy", "wyy")))
 
@@ -99,7 +103,8 @@ def fit(cells: DataFrame, totals: DataFrame, n: int, fold: str, target: str, lam
 
 def ridge(obs: DataFrame, n: int, columns: str, y: str, w: str, fold: str, lambdas=LAMBDAS, light: dict[int, float] | None = None) -> tuple[np.ndarray, float, dict[float, float]]:
     """``fit`` of one target of 0/1 rows whose columns are an array of indexes: weighted ridge, lambda by folds."""
-    cells, totals = sums_by_fold(obs, fold, columns, {"y": (F.col(y), F.col(w))})
+    target = {"y": (F.col(y), F.col(w))}
+    cells, totals = sums_by_fold(unit_sums(obs, [fold, columns], target), fold, F.col(columns), target)
     return fit(settled(cells), totals, n, fold, "y", lambdas, light)
 
 
@@ -136,7 +141,7 @@ def _role_sums(ways: DataFrame, players: DataFrame, n: int, targets: dict[str, t
     kind = next(f.dataType.elementType for f in ways.schema.fields if f.name == "attack")
     home = F.array(F.struct(F.lit(HOME).alias("role"), F.lit(None).cast(kind).alias("player")))
     columns = F.concat(attack, role(DEFENCE, F.col("defend")), F.when(F.col("home"), home).otherwise(F.filter(attack, lambda x: F.lit(False))))
-    cells, totals = sums_by_fold(ways.withColumn("_columns", columns), "fold", "_columns", targets)
+    cells, totals = sums_by_fold(unit_sums(ways, ["fold", "attack", "defend", "home"], targets), "fold", columns, targets)
     return settled(_numbered(cells, players, n)), totals
 
 
