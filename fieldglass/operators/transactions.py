@@ -1,4 +1,4 @@
-"""Pages of moves whose sentences follow fixed forms."""
+"""Pages of moves: sentences that follow fixed forms, and entries whose teams, players and picks are marked."""
 
 from __future__ import annotations
 
@@ -9,6 +9,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
+
+from fieldglass.operators.classify import transaction_class
 
 # Kinds of moves, their sentences with {P} for the player and {T} for teams, any of which may be missing, and
 # what the teams are, in order.  The first form that begins a sentence wins.
@@ -105,3 +108,69 @@ def sentence_moves(pages: DataFrame, key: str, html: str) -> DataFrame:
     return plain.select(key, "txn_date", "block_no", "line_no", _reading(F.col("_form"), F.col("_teams")).alias("_r"), "name", "player_id", "raw_text").select(
         key, "txn_date", "block_no", "line_no", "_r.kind", "name", "player_id", "_r.from_team", "_r.to_team", "_r.nba_team", "_r.detail", "raw_text"
     )
+
+
+# What is marked in an entry: teams by direction, players, picks, and notes of what a pick became.
+TEAM = r'data-attr-(from|to)="([A-Z]{3})"'
+LINKED = r'<a href="/players/[a-z]/([a-z0-9]+)\.html">([^<]+)</a>'
+PICK = r"(?i)(?:(\d{4})\s+)?(1st|2nd|first|second)[- ]round\s+(?:draft\s+)?pick"
+NOTE = r"(?i)\([^)]*?\s+(?:was|were)\s+later\s+(?:selected|drafted)[^)]*\)"
+
+
+def _either(*patterns: str) -> Column:
+    """One pattern of several, without their groups, each with its own case rule."""
+    return F.lit("|".join(re.sub(r"(?<!\\)\((?!\?)", "(?:", p if not p.startswith("(?i)") else f"(?i:{p[4:]})") for p in patterns))
+
+
+def entries(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """(key, transaction_id, txn_date, txn_type, raw_text, markup) of pages with an li for each date and a p for each entry.
+
+    Numbers run by date within a page; an entry without text takes a number but has no row."""
+    dated = r"(?s)<li>\s*<span>([A-Z][a-z]+) (\d{1,2}), (\d{4})</span>(.*?)</li>"
+    blocks = pages.select(key, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(dated), F.lit(0))).alias("_b", "_block"))
+    part = lambda k: F.regexp_extract("_block", dated, k)
+    each = F.posexplode(F.regexp_extract_all(part(4), F.lit("(?s)<p>(.*?)</p>"), F.lit(1))).alias("_p", "markup")
+    rows = blocks.select(key, "_b", _day(part(3), part(1), part(2), list(MONTHS)).alias("txn_date"), each).where("txn_date IS NOT NULL")
+    number = (F.row_number().over(Window.partitionBy(key, "txn_date").orderBy("_b", "_p")) - 1).cast("string")
+    label = F.concat(F.lit("T"), F.date_format("txn_date", "yyyyMMdd"), F.lit("_"), F.lpad(number, F.greatest(F.length(number), F.lit(3)), F.lit("0")))
+    text = _one_line(_untagged(F.col("markup")))
+    return rows.select(key, label.alias("transaction_id"), "txn_date", transaction_class(text).alias("txn_type"), text.alias("raw_text"), "markup").where("raw_text <> ''")
+
+
+def entry_items(entries_: DataFrame, key: str) -> DataFrame:
+    """(key, transaction_id, item_no, item_type, player_id, raw_name, from_team, to_team, pick_year, pick_round, detail): players,
+    picks and cash of each of ``entries``, and players that a pick became, which move nowhere.
+
+    The marks of an entry are rows in order.  A mark's sender is the last one before it, else the first after; its receiver
+    the first after, else the last before; behind the first "for" of a trade the two change places.  detail is the words of
+    the pick or of the note itself."""
+    mark = _either(TEAM, LINKED, PICK, r"(?i)\bcash\b", r"(?i)\bfor\b")
+    alone = lambda m: F.array(F.struct(m.alias("mark"), F.lit(None).cast("string").alias("note")))
+    inside = lambda m: F.transform(F.regexp_extract_all(m, mark, F.lit(0)), lambda x: F.struct(x.alias("mark"), m.alias("note")))
+    found = F.regexp_extract_all(F.col("markup"), F.concat(_either(NOTE), F.lit("|"), mark), F.lit(0))
+    marks = F.flatten(F.transform(found, lambda m: F.when(m.startswith("("), inside(m)).otherwise(alone(m))))
+    rows = entries_.select(key, "transaction_id", "txn_type", F.posexplode(marks).alias("item_no", "_m")).select(key, "transaction_id", "txn_type", "item_no", "_m.*")
+    team = lambda way: F.when(F.regexp_extract("mark", TEAM, 1) == way, F.regexp_extract("mark", TEAM, 2))
+    word = F.lower("mark")
+    kind = (
+        F.when(F.col("mark").rlike(LINKED), F.when(F.col("note").isNotNull(), "pick_became").otherwise("player"))
+        .when(F.col("mark").rlike(PICK), "pick").when(word == "cash", "cash")
+    )
+    entry = Window.partitionBy(key, "transaction_id")
+    order = entry.orderBy("item_no")
+    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+    last = lambda way: F.last(team(way), True).over(before)
+    first = lambda way: F.first(team(way), True).over(after)
+    near = rows.select(
+        "*", kind.alias("item_type"), F.coalesce(last("from"), first("from")).alias("_gives"), F.coalesce(first("to"), last("to")).alias("_gets"),
+        F.min(F.when((word == "for") & (F.col("txn_type") == "trade"), F.col("item_no"))).over(entry).alias("_turn"),
+        F.min(F.when(word == "cash", F.col("item_no"))).over(entry).alias("_cash"),
+    )
+    turned, moves = F.coalesce(F.col("item_no") > F.col("_turn"), F.lit(False)), F.col("item_type") != "pick_became"
+    pick = lambda k: F.nullif(F.regexp_extract("mark", PICK, k), F.lit(""))
+    said = F.when(F.col("item_type") == "cash", "cash considerations").when(F.col("item_type") == "pick", _one_line(F.col("mark"))).when(~moves, _one_line(_untagged(F.col("note"))))
+    return near.where("item_type IS NOT NULL AND (item_type <> 'cash' OR item_no = _cash)").select(
+        key, "transaction_id", "item_no", "item_type", F.nullif(F.regexp_extract("mark", LINKED, 1), F.lit("")).alias("player_id"), F.nullif(F.regexp_extract("mark", LINKED, 2), F.lit("")).alias("raw_name"),
+        F.when(moves, F.when(turned, F.col("_gets")).otherwise(F.col("_gives"))).alias("from_team"), F.when(moves, F.when(turned, F.col("_gives")).otherwise(F.col("_gets"))).alias("to_team"),
+        pick(1).cast("int").alias("pick_year"), F.when(F.lower(pick(2)).isin("1st", "first"), 1).when(pick(2).isNotNull(), 2).alias("pick_round"), said.alias("detail"),
+    )
