@@ -54,6 +54,12 @@ def team_records(games: DataFrame, key: list[str], home: str, away: str, home_sc
     return rows.groupBy(*key, "team").agg(won.alias("wins"), (F.count(F.lit(1)) - won).alias("losses"), F.sum(F.col("own") - F.col("other")).alias("point_diff"), (won / F.count(F.lit(1))).alias("win_pct"), F.avg(F.col("own") - F.col("other")).alias("mov"))
 
 
+def career(rows: DataFrame, player: str, season: str, games: Column, points: Column) -> DataFrame:
+    """Seasons, the first and last of them, games and points of each player, from rows of any grain: box lines count one
+    game each, season rows the games they hold."""
+    return rows.groupBy(player).agg(F.count_distinct(season).alias("seasons"), F.min(season).alias("first_season"), F.max(season).alias("last_season"), F.sum(games).alias("career_gp"), F.sum(points).alias("career_pts"))
+
+
 def possessions_estimate(fga: Column, fta: Column, orb: Column, tov: Column) -> Column:
     return fga + fta * FREE_THROW_WEIGHT - orb + tov
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fieldglass.functions import text as T
-from fieldglass.operators import box_metrics, classify, contracts
+from fieldglass.operators import box_metrics, classify, contracts, transactions
 from fieldglass.operators import games as G
 from fieldglass.operators import identity as I
 from fieldglass.operators import models as R
@@ -311,6 +311,29 @@ def reason_parser(t):
     return classify.injury_reason(b, "why").drop("why")
 
 
+_LINK = """'<a href="/player/x/' || c_custkey || '">' || c_name || '</a>'"""
+_CLUBS = """'<a href="/team/1">N' || c_nationkey || '</a>'""", """'<a href="/team/2">S ' || c_mktsegment || '</a>'"""
+_MOVES = f"""'<h3>Mar 4, 2021</h3><ul><li>' || CASE c_custkey % 5 WHEN 0 THEN {_LINK} || ' signed a two-way contract with the ' || {_CLUBS[0]} || ' and ' || {_CLUBS[1]} WHEN 1 THEN 'The ' || {_CLUBS[0]} || ' recalled ' || {_LINK} || ' from the ' || {_CLUBS[1]}
+ WHEN 2 THEN 'The  placed the contract of ' || {_LINK} || ' on waivers' WHEN 3 THEN {_LINK} || ' returned to the ' || {_CLUBS[1]} || ' after an NBA call up' ELSE {_LINK} || ' went home' END || '.</li></ul>'"""
+
+
+@query("SELECT c_custkey AS id, DATE '2021-03-04' AS txn_date, ['twoway_sign', 'recall', 'gl_waive', 'return_from_callup', 'other'][(c_custkey % 5 + 1)::INT] AS kind, c_name AS name, c_custkey::VARCHAR AS player_id, CASE WHEN c_custkey % 5 = 1 THEN 'S ' || c_mktsegment END AS from_team, CASE WHEN c_custkey % 5 IN (0, 3) THEN 'S ' || c_mktsegment END AS to_team, CASE WHEN c_custkey % 5 <= 1 THEN 'N' || c_nationkey END AS nba_team FROM customer")
+def sentence_moves(t):
+    """A page of one sentence for each customer."""
+    pages = t("customer").selectExpr("c_custkey AS id", f"{_MOVES} AS html")
+    return transactions.sentence_moves(pages, "id", "html").select("id", "txn_date", "kind", "name", "player_id", "from_team", "to_team", "nba_team")
+
+
+_TRADE = """'<li><span>May 9, 2022</span><p>The <a data-attr-from="AAA" href="/t">A</a> traded <a href="/players/a/p' || c_custkey || '.html">' || c_name || '</a> to the <a data-attr-to="BBB" href="/t">B</a> for ' || CASE WHEN c_custkey % 3 = 0 THEN 'cash' ELSE 'a ' || (2020 + c_nationkey) || ' second-round pick' END || '.</p></li>'"""
+
+
+@query("SELECT c_custkey AS id, 'T20220509_000' AS transaction_id, 'player' AS item_type, 'p' || c_custkey AS player_id, 'AAA' AS from_team, 'BBB' AS to_team, NULL::INTEGER AS pick_year, NULL::INTEGER AS pick_round FROM customer UNION ALL SELECT c_custkey, 'T20220509_000', CASE WHEN c_custkey % 3 = 0 THEN 'cash' ELSE 'pick' END, NULL, 'BBB', 'AAA', CASE WHEN c_custkey % 3 <> 0 THEN (2020 + c_nationkey)::INTEGER END, CASE WHEN c_custkey % 3 <> 0 THEN 2 END FROM customer")
+def entry_items(t):
+    """A page of one trade for each customer, with what goes which way."""
+    pages = t("customer").selectExpr("c_custkey AS id", f"{_TRADE} AS html")
+    return transactions.entry_items(transactions.entries(pages, "id", "html"), "id").select("id", "transaction_id", "item_type", "player_id", "from_team", "to_team", "pick_year", "pick_round")
+
+
 @query("SELECT page_id, (generate_subscripts(h, 1) - 1)::INTEGER AS position, unnest(h) AS href FROM (SELECT page_id, regexp_extract_all(html, 'href=\"([^\"]*)\"', 1) AS h FROM pages)")
 def html_links(t):
     return classify.links(t("pages"), "page_id", "html")

@@ -230,3 +230,16 @@ def rate_modes(t):
     r = box(t).groupBy("team", "season").agg(F.count_distinct("game").alias("gp"), F.sum("mp").alias("mp"), F.sum("pts").alias("pts"), F.sum(F.col("tov") + 10).alias("poss"))
     rate = lambda m: shots.per(F.col("pts"), m, F.col("gp"), F.col("mp"), F.col("poss"))
     return r.select("team", "season", rate("total").alias("total"), F.round(rate("game"), 3).alias("per_game"), F.round(rate("36"), 3).alias("per_36"), F.round(rate("100"), 3).alias("per_100"))
+
+
+@query(f"WITH {BOX} SELECT player, count(DISTINCT season) AS seasons, min(season) AS first_season, max(season) AS last_season, count(*) AS career_gp, sum(pts)::BIGINT AS career_pts FROM box WHERE mp > 1 GROUP BY 1")
+def career_box(t):
+    """Careers of box lines that were played, of seasons of all kinds."""
+    return S.career(box(t).where("mp > 1"), "player", "season", F.lit(1), F.col("pts"))
+
+
+@query(f"WITH {BOX}, s AS (SELECT player, season, kind, count(DISTINCT game) AS gp, sum(pts)::BIGINT AS pts FROM box GROUP BY ALL) SELECT player, count(DISTINCT season) AS seasons, min(season) AS first_season, max(season) AS last_season, sum(gp)::BIGINT AS career_gp, sum(pts)::BIGINT AS career_pts FROM s WHERE kind = 'F' GROUP BY 1")
+def career_regular(t):
+    """Careers of season rows of the regular kind alone."""
+    s = box(t).groupBy("player", "season", "kind").agg(F.count_distinct("game").alias("gp"), F.sum("pts").alias("pts"))
+    return S.career(s.where("kind = 'F'"), "player", "season", F.col("gp"), F.col("pts"))
