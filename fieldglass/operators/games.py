@@ -163,6 +163,38 @@ def possession_values(poss: DataFrame, key: list[str]) -> DataFrame:
 STINT = "game_id string, period int, start_s double, end_s double, seconds double, home_ids array<long>, away_ids array<long>, home_pts int, away_pts int, home_poss int, away_poss int, reliable boolean, reasons string"
 
 
+BOX_TALLIES = ("fgm", "fga", "fg3m", "fg3a", "ftm", "fta", "orb", "drb", "tov", "ast", "stl", "blk")
+CHECKED = ("fga", "fgm", "fg3a", "fta")
+
+
+def with_tallies(actions: DataFrame) -> DataFrame:
+    """actions with own and other: the names of ``BOX_TALLIES`` that each adds to its team's and to the other team's line.
+
+    Takes kind (2pt, 3pt, freethrow, rebound, turnover), sub_kind, result, person, and assist, block and steal (who did it,
+    or null).  Rebounds of no person aren't counted, turnovers of a team are."""
+    kind, made = F.lower("kind"), F.coalesce(F.lower(F.regexp_replace("result", "^[ :]+|[ :]+$", "")) == "made", F.lit(False))
+    shot, three, by = kind.isin("2pt", "3pt"), kind == "3pt", lambda c: F.coalesce(F.col(c) != 0, F.lit(False))
+    rebound, sub = (kind == "rebound") & by("person"), F.lower("sub_kind")
+    own = {
+        "fgm": shot & made, "fga": shot, "fg3m": three & made, "fg3a": three, "ftm": (kind == "freethrow") & made, "fta": kind == "freethrow",
+        "orb": rebound & (sub == "offensive"), "drb": rebound & (sub == "defensive"), "tov": kind == "turnover", "ast": shot & made & by("assist"),
+    }
+    other = {"stl": (kind == "turnover") & by("steal"), "blk": shot & ~made & by("block")}
+    names = lambda tests: F.array_compact(F.array(*(F.when(test, name) for name, test in tests.items())))
+    return actions.withColumns({"own": names(own), "other": names(other)})
+
+
+def factors_match(stints_: DataFrame, team_box: DataFrame) -> DataFrame:
+    """(game_id, factors_match): whether tries and baskets of either side in the stints are those of team_box (game_id, side,
+    and ``CHECKED``; missing ones are 0).  Games without a team box aren't judged."""
+    sides = F.inline(F.array(*(F.struct(F.lit(s).alias("side"), *(F.col(f"{s}_{c}").alias(f"_{c}") for c in CHECKED)) for s in ("home", "away"))))
+    sums = stints_.select("game_id", sides).groupBy("game_id", "side").agg(*(F.sum(f"_{c}").alias(f"_{c}") for c in CHECKED))
+    same = F.lit(True)
+    for c in CHECKED:
+        same = same & (F.coalesce(F.col(f"_{c}"), F.lit(0)) == F.coalesce(F.col(c), F.lit(0)))
+    return team_box.join(sums, ["game_id", "side"], "left").groupBy("game_id").agg(F.bool_and(same).alias("factors_match"))
+
+
 class _Floor:
     """Who is on the floor of one game, and the stints that follow from it."""
 
@@ -175,6 +207,7 @@ class _Floor:
         self.stints: list[dict] = []
         self.on: dict[str, set] = {"home": set(), "away": set()}
         self.pts, self.poss = Counter(), Counter()
+        self.line: Counter = Counter()
 
     def inferred(self, period: int) -> dict[str, set]:
         """The first five of each side to act, or to be taken out, before they are brought in; the rest from the last
@@ -197,15 +230,15 @@ class _Floor:
 
     def cut(self, period: int, start: float, end: float) -> None:
         seconds = max(0.0, end - start)
-        if seconds or self.pts or self.poss:
+        if seconds or self.pts or self.poss or self.line:
             for side in self.on.values():
                 if len(side) != 5:
                     self.reasons["not five"] += 1
                 for p in side:
                     self.played[p] += seconds
                     self.left[p] = self.left.get(p, 0) - seconds
-            self.stints.append({"period": period, "start_s": start, "end_s": end, "seconds": seconds, "home_ids": sorted(self.on["home"]), "away_ids": sorted(self.on["away"]), "home_pts": self.pts["home"], "away_pts": self.pts["away"], "home_poss": self.poss["home"], "away_poss": self.poss["away"]})
-        self.pts, self.poss = Counter(), Counter()
+            self.stints.append({"period": period, "start_s": start, "end_s": end, "seconds": seconds, "home_ids": sorted(self.on["home"]), "away_ids": sorted(self.on["away"]), "home_pts": self.pts["home"], "away_pts": self.pts["away"], "home_poss": self.poss["home"], "away_poss": self.poss["away"], **{f"{s}_{c}": self.line[s, c] for s in ("home", "away") for c in BOX_TALLIES}})
+        self.pts, self.poss, self.line = Counter(), Counter(), Counter()
 
     def walk(self) -> None:
         for period in sorted({a.period for a in self.actions}):
@@ -223,6 +256,10 @@ class _Floor:
                     self.poss[holder] += 1
                 if a.points and side:
                     self.pts[side] += int(a.points)
+                team = getattr(a, "team", None)
+                if team in ("home", "away"):
+                    self.line.update((team, c) for c in getattr(a, "own", ()))
+                    self.line.update(("away" if team == "home" else "home", c) for c in getattr(a, "other", ()))
                 if a.kind == "substitution" and side:
                     self.cut(period, start, now)
                     start = now
@@ -256,16 +293,20 @@ def stints(actions: DataFrame, box: DataFrame) -> DataFrame:
     """Stints of every game between substitutions, with points and possessions, checked against the box.
 
     actions: game_id, order_number, period, seconds_left, kind, sub_kind, person, points, possession (home or away).
-    box: game_id, person, team (home or away), starter, seconds, team_points."""
+    box: game_id, person, team (home or away), starter, seconds, team_points.
+
+    Actions ``with_tallies`` and their team (home or away) give the box line of either side beside, as home_fgm and so on."""
+    tallied = {"team", "own", "other"} <= set(actions.columns)
+    schema = STINT + "".join(f", {s}_{c} int" for s in ("home", "away") for c in BOX_TALLIES if tallied)
 
     def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        columns = [x.split()[0] for x in STINT.split(", ")]
+        columns = [x.split()[0] for x in schema.split(", ")]
         if a.empty or b.empty:
             return pd.DataFrame(columns=columns)
         return pd.DataFrame(_walked(a["game_id"].iloc[0], _plain(a.sort_values("order_number")), _plain(b)), columns=columns)
 
     box = box.toDF(*box.columns)  # both may come from one table
-    return actions.groupBy("game_id").cogroup(box.groupBy("game_id")).applyInPandas(run, STINT)
+    return actions.groupBy("game_id").cogroup(box.groupBy("game_id")).applyInPandas(run, schema)
 
 
 def units(stints_: DataFrame, key: list[str]) -> DataFrame:

@@ -173,6 +173,24 @@ def stints(t):
     return G.stints(*_floor(t)).withColumn("home_ids", F.array_join(F.col("home_ids").cast("array<string>"), "-")).withColumn("away_ids", F.array_join(F.col("away_ids").cast("array<string>"), "-"))
 
 
+def _tally_floor(t):
+    """``_floor`` with kinds of play and who helped, so that actions have box lines."""
+    actions, box_ = _floor(t)
+    n = F.col("order_number")
+    kind = F.when(F.col("kind") == "substitution", "substitution").otherwise(F.element_at(F.array(*(F.lit(x) for x in ("2pt", "3pt", "freethrow", "rebound", "turnover"))), (n % 5 + 1).cast("int")))
+    sub = F.when(F.col("kind") == "substitution", F.col("sub_kind")).otherwise(F.when(n % 2 == 0, "offensive").otherwise("defensive"))
+    made = F.when(n % 3 == 0, ": Made").otherwise("Missed")
+    a = actions.withColumns({"sub_kind": sub, "kind": kind, "result": made, "team": F.col("possession"), "assist": n % 4, "block": n % 7, "steal": n % 2})
+    return G.with_tallies(a), box_
+
+
+@query("WITH a AS (SELECT user_id::VARCHAR AS game_id, event_id AS n, (json_extract_string(props, '$.k')::BIGINT) % 14 AS person FROM events WHERE event_type <> 'signup'), b AS (SELECT game_id, n, person, CASE WHEN person < 7 THEN 1 ELSE 0 END AS home FROM a) SELECT game_id, count(*) FILTER (home = 1 AND n % 5 < 2) AS home_fga, count(*) FILTER (home = 1 AND n % 5 < 2 AND n % 3 = 0) AS home_fgm, count(*) FILTER (home = 0 AND n % 5 = 2) AS away_fta, count(*) FILTER (home = 1 AND n % 5 = 3 AND n % 2 = 0 AND person <> 0) AS home_orb, count(*) FILTER (home = 0 AND n % 5 = 4 AND n % 2 <> 0) AS home_stl, count(*) FILTER (home = 0 AND n % 5 < 2 AND n % 3 = 0 AND n % 4 <> 0) AS away_ast, count(*) FILTER (home = 1 AND n % 5 < 2 AND n % 3 <> 0 AND n % 7 <> 0) AS away_blk FROM b WHERE game_id IN (SELECT user_id::VARCHAR FROM events) GROUP BY 1")
+def stint_tallies(t):
+    """Box lines of the stints of a game, added up: every action is in one stint."""
+    s = G.stints(*_tally_floor(t))
+    return s.groupBy("game_id").agg(*(F.sum(c).alias(c) for c in ("home_fga", "home_fgm", "away_fta", "home_orb", "home_stl", "away_ast", "away_blk")))
+
+
 @query()
 def stint_units(t):
     return G.units(G.stints(*_floor(t)), ["game_id"])

@@ -170,3 +170,28 @@ def test_ridge_against_dense_algebra(spark):
     slow = {l: sum((w[fold == f] * (y[fold == f] - x[fold == f] @ solve(fold != f, l)) ** 2).sum() for f in range(5)) for l in (10.0, 100.0)}  # noqa: E741
     assert errors == pytest.approx(slow) and lam == min(slow, key=slow.get)
     assert beta == pytest.approx(solve(np.full(300, True), lam))
+
+
+def test_box_lines_of_stints_and_whether_they_match(spark):
+    plays = [
+        # order, period, left, kind, sub, result, person, assist, block, steal, points, team
+        (1, 1, 700.0, "3pt", None, ": Made", 1, 2, None, None, 3, "home"),
+        (2, 1, 690.0, "2pt", None, "Missed", 11, None, 3, None, 0, "away"),
+        (3, 1, 689.0, "rebound", "offensive", None, 0, None, None, None, 0, "away"),
+        (4, 1, 680.0, "turnover", "bad pass", None, 12, None, None, 4, 0, "away"),
+        (5, 1, 660.0, "substitution", "out", None, 5, None, None, None, 0, "home"),
+        (6, 1, 660.0, "substitution", "in", None, 6, None, None, None, 0, "home"),
+        (7, 1, 640.0, "freethrow", "1 of 1", "Made", 6, None, None, None, 1, "home"),
+        (8, 1, 630.0, "rebound", "defensive", None, 13, None, None, None, 0, "away"),
+        (9, 1, 620.0, "turnover", "shot clock", None, 0, None, None, None, 0, "home"),
+    ]
+    a = spark.createDataFrame([("g", *p, p[-1]) for p in plays], "game_id string, order_number long, period int, seconds_left double, kind string, sub_kind string, result string, person long, assist long, block long, steal long, points int, team string, possession string")
+    people = [("g", p, "home" if p < 10 else "away", p not in (6, 7, 16), 0.0, None) for p in (1, 2, 3, 4, 5, 6, 11, 12, 13, 14, 15, 16)]
+    box = spark.createDataFrame(people, "game_id string, person long, team string, starter boolean, seconds double, team_points int")
+    got = games.stints(games.with_tallies(a), box)
+    lines = [{c: r[c] for c in r.asDict() if c.split("_")[-1] in games.BOX_TALLIES and r[c]} for r in got.orderBy("start_s", "end_s").collect()]
+    assert [x for x in lines if x] == [{"home_fgm": 1, "home_fga": 1, "home_fg3m": 1, "home_fg3a": 1, "home_ast": 1, "home_stl": 1, "home_blk": 1, "away_fga": 1, "away_tov": 1}, {"home_ftm": 1, "home_fta": 1, "home_tov": 1, "away_drb": 1}]
+    teams = "game_id string, side string, fga int, fgm int, fg3a int, fta int"
+    right, wrong = (spark.createDataFrame([("g", "home", 1, 1, 1, 1), ("g", "away", n, None, None, None)], teams) for n in (1, 2))
+    assert [games.factors_match(got, x).collect()[0]["factors_match"] for x in (right, wrong)] == [True, False]
+    assert "home_fgm" not in games.stints(a.drop("team"), box).columns
