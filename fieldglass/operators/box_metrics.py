@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -32,6 +34,34 @@ def _between(pair: tuple[float, float], at: Column) -> Column:
     return F.lit(pair[0]) + (at - 1.0) / 4.0 * (pair[1] - pair[0])
 
 
+def raw_value(stat: Callable[[str], Column], pos: Column, role: Column, coefficients: dict, roles: dict, constants: tuple[float, float]) -> Column:
+    """The regression's value before a team's own level: stat gives a total per 100 possessions, points in context."""
+    out = sum((_between(v, pos) * stat(k) for k, v in coefficients.items()), F.lit(0.0))
+    out = out + sum((_between(v, role) * stat(k) for k, v in roles.items()), F.lit(0.0))
+    out = out + F.when(pos < 3, (3.0 - pos) * (constants[0] / 2)).otherwise(0.0)
+    return out + (3.0 - role) * (constants[1] / 2)
+
+
+#: Totals that the regression takes.
+STATS = tuple(dict.fromkeys((*OVERALL, *OVERALL_ROLE)))
+
+
+def arc_values(windows: DataFrame, params: DataFrame, league: DataFrame, player: str, season: str) -> DataFrame:
+    """windows with bpm, obpm and dbpm, and ts_rel, scoring efficiency over the season's.
+
+    windows: player, season, win_poss and win_<total> for each of STATS (as ``joins.trailing_window`` makes them); params:
+    each player's pos, role, context and the adjustments bpm_adj and obpm_adj that the season's own value has over its raw
+    one; league: the season's ts.  Windows without params or possessions are left out."""
+    d = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    w = windows.join(params.select(player, season, "pos", "role", "context", "bpm_adj", "obpm_adj"), [player, season]).join(league.select(season, F.col("ts").alias("_ts")), season, "left").where("win_poss > 0")
+    tsa, per100 = d("win_fga") + 0.44 * d("win_fta"), lambda c: 100.0 * c / d("win_poss")
+    stat = lambda k: per100(d(f"win_{k}")) - F.col("context") * per100(tsa) if k == "pts" else per100(d(f"win_{k}"))
+    of = lambda adj, *c: raw_value(stat, F.col("pos"), F.col("role"), *c) + F.col(adj)
+    w = w.withColumn("bpm", of("bpm_adj", OVERALL, OVERALL_ROLE, OVERALL_CONSTANTS)).withColumn("obpm", of("obpm_adj", OFFENCE, OFFENCE_ROLE, OFFENCE_CONSTANTS))
+    rel = d("win_pts") / F.nullif(2.0 * tsa, F.lit(0.0)) - F.coalesce("_ts", F.lit(0.55))
+    return w.select(*windows.columns, "bpm", "obpm", (F.col("bpm") - F.col("obpm")).alias("dbpm"), rel.alias("ts_rel"))
+
+
 def box_plus_minus(players: DataFrame, teams: DataFrame, key: list[str], player: str) -> DataFrame:
     """(key, player, pos_est, role_est, bpm, obpm, dbpm, vorp) of players with minutes.
 
@@ -61,12 +91,9 @@ def box_plus_minus(players: DataFrame, teams: DataFrame, key: list[str], player:
     p = whole.select(*key, F.explode(F.arrays_zip("_all", "pos", "role")).alias("_one")).select(*key, "_one._all.*", "_one.pos", "_one.role")
     context = F.col("t_rate") - POINTS_BASELINE
 
-    def raw(coefficients: dict, roles: dict, constants: tuple[float, float]) -> Column:
+    def raw(*of) -> Column:
         stat = lambda k: per100(d(k)) - context * per100(F.col("tsa")) if k == "pts" else per100(d(k))
-        out = sum((_between(v, F.col("pos")) * stat(k) for k, v in coefficients.items()), F.lit(0.0))
-        out = out + sum((_between(v, F.col("role")) * per100(d(k)) for k, v in roles.items()), F.lit(0.0))
-        out = out + F.when(F.col("pos") < 3, (3.0 - F.col("pos")) * (constants[0] / 2)).otherwise(0.0)
-        return out + (3.0 - F.col("role")) * (constants[1] / 2)
+        return raw_value(stat, F.col("pos"), F.col("role"), *of)
 
     p = p.withColumn("raw_bpm", raw(OVERALL, OVERALL_ROLE, OVERALL_CONSTANTS)).withColumn("raw_obpm", raw(OFFENCE, OFFENCE_ROLE, OFFENCE_CONSTANTS))
     ortg = 100.0 * d("pts_team") / d("poss")

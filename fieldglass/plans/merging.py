@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fieldglass.operators import merge as M
 from fieldglass.operators import identity as I
 from fieldglass.plans.registry import GAMES, games, query
-from fieldglass.sources import lake
+from fieldglass.sources import lake, schedule
 
 _OLD = "old AS (SELECT game, entity, kind, cents, day FROM games WHERE game % 3 <> 0), new AS (SELECT game, entity, 'N' AS kind, CASE WHEN game % 7 = 0 THEN NULL ELSE cents + 1 END AS cents, day FROM games WHERE game % 2 = 0)"
 
@@ -111,3 +111,18 @@ def wide_metrics(t):
 def merge_chain(t):
     edges = t("part").where("p_partkey % 4 <> 1 AND p_partkey > 1").select(F.col("p_partkey").alias("merged"), F.floor(F.col("p_partkey") / 2).cast("bigint").alias("survivor"))
     return I.survivors(edges)
+
+
+@query(f"WITH {GAMES} SELECT CASE WHEN game % 4 = 0 THEN 'x' ELSE '00' || (game % 6)::VARCHAR || lpad((season % 100)::VARCHAR, 2, '0') || lpad(game::VARCHAR, 9, '0') END AS game_id, CASE WHEN game % 4 = 0 THEN CASE WHEN month(day) >= 10 THEN season ELSE season - 1 END ELSE 2000 + season % 100 END AS y, day AS game_date, CASE WHEN game % 4 = 0 THEN 'other' ELSE CASE game % 6 WHEN 1 THEN 'preseason' WHEN 2 THEN 'regular' WHEN 3 THEN 'allstar' WHEN 4 THEN 'playoff' WHEN 5 THEN 'playin' ELSE 'other' END END AS season_type, CASE kind WHEN 'O' THEN 'scheduled' WHEN 'F' THEN 'final' ELSE '?' END AS status, 'C' || (entity % 10)::VARCHAR || ' ' AS home_name, cents % 150 AS home_score FROM games WHERE entity % 5 > 0".replace("SELECT CASE", "SELECT game_id, y::VARCHAR || '-' || lpad(((y + 1) % 100)::VARCHAR, 2, '0') AS season, season_type, game_date, status, home_name, home_score FROM (SELECT CASE", 1) + ")")
+def schedule_rows(t):
+    """Payloads of a day's games each, written as JSON and read back; games of every fifth customer have no date."""
+    g = games(t)
+    id_ = F.when(F.col("game") % 4 == 0, "x").otherwise(F.concat(F.lit("00"), F.col("game") % 6, F.lpad((F.col("season") % 100).cast("string"), 2, "0"), F.lpad(F.col("game").cast("string"), 9, "0")))
+    day = F.when(F.col("entity") % 5 > 0, F.concat(F.col("day").cast("string"), F.lit("T00:00:00Z"))).otherwise("TBD")
+    team = F.struct(F.concat(F.lit("C"), F.col("entity") % 10).alias("teamCity"), (F.col("cents") % 150).cast("int").alias("score"))
+    status = F.when(F.col("kind") == "O", 1).when(F.col("kind") == "F", 3)
+    one = F.struct(id_.alias("gameId"), day.alias("gameDateEst"), status.alias("gameStatus"), team.alias("homeTeam"))
+    days = g.groupBy("day").agg(F.collect_list(one).alias("games"))
+    payload = F.to_json(F.struct(F.struct(F.array(F.struct(F.col("day").cast("string").alias("gameDate"), "games")).alias("gameDates")).alias("leagueSchedule")))
+    got = schedule.rows(days.select(payload.alias("payload")), "payload")
+    return got.select("game_id", "season", "season_type", "game_date", "status", "home_name", F.col("home_score").cast("bigint").alias("home_score"))

@@ -26,7 +26,7 @@ def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = _folder(spark)
     rows = _events(spark, sf_dir).select("user_id", "event_id", "event_type")
     tables.merge_into(rows, f"{at}/table", ["user_id"], "event_id", f"{at}/checkpoint").awaitTermination()
-    return tables.current(spark, f"{at}/table")
+    return tables.current(spark, f"{at}/table", ["user_id"], "event_id")
 
 
 def _kept(stream: DataFrame, at: str) -> DataFrame:

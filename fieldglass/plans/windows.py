@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fieldglass.operators import box_metrics as B
 from fieldglass.operators import joins as J
 from fieldglass.operators import windows as W
 from fieldglass.plans.registry import BOX, DAYS, GAMES, box, games, query, user_days
@@ -46,6 +47,52 @@ def career_arc(t):
     return _windows(t).join(mean, "entity").select("entity", "game", "rn", "n", F.round(F.col("win_cents") / F.col("n") - F.col("season_mean"), 2).alias("above"))
 
 
+def _between(pair, at: str) -> str:
+    return f"({pair[0]}::DOUBLE + ({at} - 1) / 4.0::DOUBLE * {pair[1] - pair[0]}::DOUBLE)"
+
+
+def _raw_sql(of: dict, roles: dict, constants: tuple[float, float]) -> str:
+    stat = lambda k: "(100.0::DOUBLE * pts / poss - context * 100.0::DOUBLE * tsa / poss)" if k == "pts" else f"(100.0::DOUBLE * {k} / poss)"
+    sums = [*(f"{_between(v, 'pos')} * {stat(k)}" for k, v in of.items()), *(f"{_between(v, 'role')} * {stat(k)}" for k, v in roles.items())]
+    return " + ".join([*sums, f"CASE WHEN pos < 3 THEN (3 - pos) * {constants[0] / 2}::DOUBLE ELSE 0 END", f"(3 - role) * {constants[1] / 2}::DOUBLE"])
+
+
+_MINUTES = 200
+#: Totals of a player's game, from the box line's minutes, line number and marks.
+_TOTALS = {k: f"sum((mp * {a} + line * {b} + orb) % {m})" for k, a, b, m in (("pts", 7, 3, 31), ("fg3m", 5, 1, 4), ("ast", 3, 2, 9), ("tov", 2, 5, 5), ("orb", 11, 1, 4), ("drb", 13, 2, 8), ("stl", 17, 1, 3), ("blk", 19, 3, 3), ("pf", 23, 1, 6), ("fga", 29, 1, 20), ("fta", 31, 1, 8))}
+_ARC = (
+    f"WITH {BOX}, g AS (SELECT player, game, season, day, sum(mp)::BIGINT AS mp, sum(mp * 2 + 1)::BIGINT AS poss, " + ", ".join(f"{v}::BIGINT AS {k}" for k, v in _TOTALS.items()) + " FROM box GROUP BY ALL)"
+    ", c AS (SELECT player, game, season, row_number() OVER w AS rn, " + ", ".join(f"sum({k}) OVER w AS {k}" for k in ("mp", "poss", *_TOTALS)) + " FROM g WINDOW w AS (PARTITION BY player ORDER BY day, game ROWS UNBOUNDED PRECEDING))"
+    ", w AS (SELECT i.player, i.game, i.season, i.rn, i.rn - coalesce(k.rn, 0) AS n, " + ", ".join(f"(i.{k} - coalesce(k.{k}, 0))::DOUBLE AS {k}" for k in ("mp", "poss", *_TOTALS)) + f" FROM c i ASOF LEFT JOIN c k ON i.player = k.player AND i.mp - {_MINUTES} >= k.mp WHERE i.mp >= {_MINUTES})"
+    ", ts AS (SELECT season, sum(pts)::DOUBLE / (2.0::DOUBLE * (sum(fga) + 0.44::DOUBLE * sum(fta))) AS ts FROM g GROUP BY 1)"
+    ", p AS (SELECT *, 1 + player % 5 AS pos, 1 + (player + season) % 5 AS role, (player % 7 - 3) / 10.0::DOUBLE AS context, fga + 0.44::DOUBLE * fta AS tsa FROM w JOIN ts USING (season) WHERE (player + season) % 9 > 0)"
+    f", v AS (SELECT player, game, season, rn, n, {_raw_sql(B.OVERALL, B.OVERALL_ROLE, B.OVERALL_CONSTANTS)} + (player % 11 + 1) / 13.0::DOUBLE AS bpm, {_raw_sql(B.OFFENCE, B.OFFENCE_ROLE, B.OFFENCE_CONSTANTS)} - (player % 3 + 1) / 17.0::DOUBLE AS obpm, pts / nullif(2.0::DOUBLE * tsa, 0) - ts AS ts_rel FROM p)"
+)
+
+
+def _arcs(t):
+    g = box(t).groupBy("player", "game", "season", "day").agg(F.sum("mp").alias("mp"), F.sum(F.col("mp") * 2 + 1).alias("poss"), *(F.expr(v).alias(k) for k, v in _TOTALS.items()))
+    w = J.trailing_window(g.withColumn("size", F.col("mp")), ["player"], ["day", "game"], "size", _MINUTES, ["poss", *_TOTALS])
+    w = w.select("player", "game", "season", F.col("rn").cast("bigint").alias("rn"), F.col("n").cast("bigint").alias("n"), "win_poss", *(f"win_{k}" for k in _TOTALS))
+    of = F.col("player")
+    params = g.select("player", "season").distinct().where((of + F.col("season")) % 9 > 0)
+    params = params.select("*", (1 + of % 5).alias("pos"), (1 + (of + F.col("season")) % 5).alias("role"), ((of % 7 - 3) / 10.0).alias("context"), ((of % 11 + 1) / 13.0).alias("bpm_adj"), (-(of % 3 + 1) / 17.0).alias("obpm_adj"))
+    league = g.groupBy("season").agg((F.sum("pts") / (2.0 * (F.sum("fga") + 0.44 * F.sum("fta")))).alias("ts"))
+    return B.arc_values(w, params, league, "player", "season").select("player", "game", "season", "rn", "n", "bpm", "obpm", "ts_rel")
+
+
+@query(f"{_ARC} SELECT player, game, season, rn, n, round(bpm, 2) AS bpm, round(obpm, 2) AS obpm, round(ts_rel, 4) AS ts_rel FROM v")
+def arc_values(t):
+    """Box plus-minus of every trailing window of 200 minutes, at the season's adjustment."""
+    return _arcs(t).withColumns({c: F.round(c, k) for c, k in (("bpm", 2), ("obpm", 2), ("ts_rel", 4))})
+
+
+@query(f"{_ARC} SELECT count(*) AS pairs, round(sqrt(avg((a.bpm - b.bpm) * (a.bpm - b.bpm))) / sqrt(2.0::DOUBLE), 4) AS noise FROM v a JOIN v b ON a.player = b.player AND a.season = b.season AND a.rn - a.n = b.rn")
+def arc_noise(t):
+    """The noise of a window, from windows of one season that end where others begin."""
+    return J.adjacent_noise(_arcs(t), ["player", "season"], "rn", "n", "bpm").withColumn("noise", F.round("noise", 4))
+
+
 @query("WITH l AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'), r AS (SELECT user_id, ts, max(event_id) AS seen FROM events WHERE event_type = 'view' GROUP BY ALL) SELECT l.event_id, l.user_id, r.seen FROM l ASOF LEFT JOIN r ON l.user_id = r.user_id AND l.ts >= r.ts")
 def asof_two_table(t):
     e = t("events")

@@ -6,8 +6,9 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
+from graphlib import TopologicalSorter
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,6 +102,68 @@ def archived(spark: SparkSession, hot: DataFrame, path: str, season: str, done:
     return hot.where(~F.col(season).isin(*done) | F.col(season).isNull())
 
 
+def _files(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop, on which folders are renamed whichever store holds them."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    at = hadoop.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def swapped(df: DataFrame, path: str) -> int:
+    """df written beside path, counted there and only then put in its place; the old table stays as path.old until the
+    next swap.  Returns the rows.
+
+    df may read from path.  A swap that ended between the two renames is taken up again by ``restored``."""
+    spark = df.sparkSession
+    new, old = f"{path}.new", f"{path}.old"
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(new)
+    given, kept = seen.get["rows"], spark.read.parquet(new).count()
+    if given != kept:
+        raise ValueError(f"{new} has {kept} rows, not {given}")
+    fs, at = _files(spark, path)
+    if fs.exists(at):
+        fs.delete(_files(spark, old)[1], True)
+        fs.rename(at, _files(spark, old)[1])
+    if not fs.rename(_files(spark, new)[1], at):
+        raise OSError(f"{new} can't be renamed to {path}")
+    return kept
+
+
+def restored(spark: SparkSession, path: str) -> DataFrame:
+    """The table at path; if a swap ended before its last rename, the table it had put aside."""
+    (fs, at), (_, old) = _files(spark, path), _files(spark, f"{path}.old")
+    if not fs.exists(at) and fs.exists(old):
+        fs.rename(old, at)
+    return spark.read.parquet(path)
+
+
+def copied(spark: SparkSession, source: str, target: str, parents: dict[str, dict[str, str]], key: dict[str, str]) -> dict[str, int]:
+    """Tables copied from one folder to another, parents before children; rows by table.  parents: for each table its
+    columns that refer to others, {table: {column: parent}}; key: the parents' key columns.  A row that refers to a parent
+    that isn't there is an error, and then nothing from this table on is replaced."""
+    out = {}
+    for name in TopologicalSorter({t: set(of.values()) - {t} for t, of in parents.items()}).static_order():
+        df = table(spark, source, name)
+        for column, parent in parents.get(name, {}).items():
+            there = (df if parent == name else table(spark, target, parent)).select(F.col(key[parent]).alias(column))
+            lost = df.where(F.col(column).isNotNull()).join(there, column, "left_anti").limit(1).count()
+            if lost:
+                raise ValueError(f"{name}.{column} refers to rows that {parent} lacks")
+        out[name] = swapped(df, f"{target}/{name}.parquet")
+    return out
+
+
+def report_csv(df: DataFrame, path: str, confidence: str, tie: list[str]) -> None:
+    """df as CSV, least confidence first: files in order, each sorted, by ranges and not through one task."""
+    df.orderBy(F.col(confidence).asc_nulls_first(), *tie).write.mode("overwrite").option("header", True).csv(path)
+
+
+def combined(spark: SparkSession, path: str, order: list[str]) -> DataFrame:
+    """The partitions of a product as one table in order, columns that some lack null."""
+    return merged(spark, path).orderBy(*order)
+
+
 def manifest(df: DataFrame, season: str, entity: str) -> DataFrame:
     """One row of JSON: rows and distinct entities by season."""
     by = df.groupBy(season).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(entity).alias("entities"))

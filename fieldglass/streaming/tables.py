@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldglass.operators.merge import upsert
+from fieldglass.operators.windows import latest
 
 
 def deduplicated(stream: DataFrame, key: list[str], time: str, late: str) -> DataFrame:
@@ -22,31 +23,45 @@ def windowed_counts(stream: DataFrame, time: str, late: str, size: str, by: list
     return w.agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total")).select(F.col("window.start").alias("start"), *by, "n", "total")
 
 
-def merge_into(stream: DataFrame, path: str, key: list[str], version: str, checkpoint: str):
-    """Every micro-batch merged into the table at path by key, the highest version last.  A batch writes a new version of
-    the table beside the old one, whose number is the batch's: a batch that is run again writes the same."""
+#: Batches that a table keeps as they came before one writes it whole.
+COMPACT = 32
+
+
+def merge_into(stream: DataFrame, path: str, key: list[str], version: str, checkpoint: str, compact: int = COMPACT):
+    """Every micro-batch merged into the table at path by key, the highest version last, and of equal ones the later batch.
+
+    A batch writes its own rows only, one for each key, as ``rows/batch=number``; every compact-th one writes the whole
+    table so far as ``whole/batch=number``, from which reading begins.  So what a batch writes doesn't grow with the table.
+    A batch that is run again writes the same."""
     spark = stream.sparkSession
 
     def apply(batch: DataFrame, number: int) -> None:
-        old = current(spark, path, number)
-        new = batch if old is None else upsert(old, batch.join(old.select(*key, F.col(version).alias("_have")), key, "left").where(F.col("_have").isNull() | (F.col(version) >= F.col("_have"))).drop("_have"), key, [F.col(version).desc()])
-        if old is None:
-            new = upsert(batch.limit(0), batch, key, [F.col(version).desc()])
-        new.write.mode("overwrite").parquet(f"{path}/v{number:09d}")
+        # The highest version first; nulls are last, as they never replace a version.
+        latest(batch, key, [F.col(version).desc()]).write.mode("overwrite").parquet(f"{path}/rows/batch={number:09d}")
+        if number % compact == compact - 1:
+            current(spark, path, key, version, number).write.mode("overwrite").parquet(f"{path}/whole/batch={number:09d}")
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def current(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """The table's latest whole version, or the latest before a batch."""
+def _batches(spark: SparkSession, path: str) -> list[str]:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     at = hadoop.Path(path)
     fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(at):
+    found = fs.listStatus(at) if fs.exists(at) else []
+    return sorted(s.getPath().getName() for s in found if fs.exists(hadoop.Path(s.getPath(), "_SUCCESS")))
+
+
+def current(spark: SparkSession, path: str, key: list[str], version: str, through: int | None = None) -> DataFrame | None:
+    """The table through a batch, or as it is: of each key, the last batch's row among those of the highest version."""
+    last = f"batch={through:09d}" if through is not None else "batch=:"
+    whole = [x for x in _batches(spark, f"{path}/whole") if x < last][-1:]
+    rows = [x for x in _batches(spark, f"{path}/rows") if x <= last and x > (whole or [""])[0]]
+    parts = [*(f"{path}/whole/{x}" for x in whole), *(f"{path}/rows/{x}" for x in rows)]
+    if not parts:
         return None
-    found = sorted(s.getPath().getName() for s in fs.listStatus(at) if fs.exists(hadoop.Path(s.getPath(), "_SUCCESS")))
-    found = [x for x in found if before is None or x < f"v{before:09d}"]
-    return spark.read.parquet(f"{path}/{found[-1]}") if found else None
+    each = [spark.read.parquet(p).withColumn("_batch", F.lit(k)) for k, p in enumerate(parts)]
+    return latest(reduce(DataFrame.unionByName, each), key, [F.col(version).desc(), F.col("_batch").desc()]).drop("_batch")
 
 
 RUNS = "key long, run int, value string, n long, first_id long, last_id long"

@@ -95,8 +95,15 @@ def test_streams_end_as_batches_do(spark, tmp_path):
         spark.createDataFrame(rows[part * 10 : part * 10 + 10], schema).coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/in")
     source = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"file://{tmp_path}/in")
     tables.merge_into(source(), f"file://{tmp_path}/table", ["key"], "version", f"file://{tmp_path}/ck").awaitTermination()
-    got = sorted(tuple(r) for r in tables.current(spark, f"file://{tmp_path}/table").collect())
-    assert got == sorted(max((r for r in rows if r[1] == k), key=lambda r: r[3]) for k in range(3))
+    want = sorted(max((r for r in rows if r[1] == k), key=lambda r: r[3]) for k in range(3))
+    assert sorted(tuple(r) for r in tables.current(spark, f"file://{tmp_path}/table", ["key"], "version").collect()) == want
+    # Written whole by every second batch, the same table, also as it was after each batch.
+    tables.merge_into(source(), f"file://{tmp_path}/t2", ["key"], "version", f"file://{tmp_path}/ck3", compact=2).awaitTermination()
+    assert sorted(x.name for x in (tmp_path / "t2" / "whole").iterdir()) == ["batch=000000001", "batch=000000003"]
+    for at in (None, 3, 2, 1, 0):
+        one, two = (sorted(tuple(r) for r in tables.current(spark, f"file://{tmp_path}/{t}", ["key"], "version", at).collect()) for t in ("table", "t2"))
+        assert one == two and (at is not None or one == want)
+    assert tables.current(spark, f"file://{tmp_path}/nothing", ["key"], "version") is None
 
     q = tables.folded_runs(source(), "key", "id", "v").writeStream.format("memory").queryName("runs").outputMode("append").option("checkpointLocation", f"file://{tmp_path}/ck2").trigger(availableNow=True).start()
     q.awaitTermination()
