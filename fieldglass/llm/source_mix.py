@@ -5,8 +5,10 @@ count is the Poisson quantile, at that rate, of a uniform number hashed from the
 gets the same count on any cluster, and counts of different documents are independent.  Documents are exploded by their
 counts and dealt out by a second hash, by which the rows of every partition are then sorted.
 
-The sources' sizes are one aggregate of a row for each source.  The quantile steps of the listed sources, bounded by the
-weights given, are a literal in the plan: nothing is joined, so a source with a third of all rows is no hot key.
+The sources' sizes are one aggregate of a row for each source.  The quantile steps of the listed sources are a literal in
+the plan: nothing is joined, so a source with a third of all rows is no hot key.  A count at a rate beyond ``PIECE`` is the
+sum of counts at equal parts of it, each from a number of its own, which is Poisson at the whole rate: steps are no more
+than some hundreds for each weight given, however rare its source.
 
 Defined results: sources without a target weight (null among them) keep rate 1; a listed source without documents yields
 none; repeated rows get the same count each; null texts are replicated as they are; a weight of 0 drops its source.
@@ -26,6 +28,8 @@ SEED = 20
 TARGETS = {"src0": 0.10} | {f"src{k}": 0.9 * w / sum(range(1, 20)) for k, w in zip(range(1, 20), range(19, 0, -1), strict=True)}
 #: Quantiles beyond this tail probability are not told apart; a 52-bit uniform number doesn't reach them.
 TAIL = 2.0**-53
+#: The highest rate that one uniform number is inverted at.
+PIECE = 256.0
 
 
 def steps(rate: float) -> list[float]:
@@ -63,16 +67,22 @@ def mix(
     them.  Columns of docs with these two names are replaced: give other names to keep them."""
     of = rates(docs, targets, size)
     drawn = free(docs, "_u")
+    parts = {s: max(1, math.ceil(r / PIECE)) for s, r in of.items()}
     id_ = F.coalesce(F.col(key).cast("string"), F.lit(""))
     rest = [c for c in docs.columns if c not in (copy, shuffle_key)]
-    # A document's count is the number of steps that its uniform number reaches: as many copies as are left of the array.
-    reached = F.array(F.lit(0.0))
+    n_copies, n_drawn = F.lit(1), F.lit(1)
     if of:
-        known = F.create_map(*(x for s, r in of.items() for x in (F.lit(s), F.array(*map(F.lit, steps(r))).cast("array<double>"))))
-        reached = F.when(F.col("source").isin(*of), F.filter(known[F.col("source")], lambda x: x <= F.col(drawn))).otherwise(reached)
+        of_source = lambda values: F.create_map(*(x for s in of for x in (F.lit(s), values(s))))[F.col("source")]
+        n_drawn = F.coalesce(of_source(lambda s: F.lit(parts[s])), n_drawn)
+        below = of_source(lambda s: F.array(*map(F.lit, steps(of[s] / parts[s]))).cast("array<double>"))
+        # A number's count is the number of steps that it reaches.
+        reached = F.aggregate(drawn, F.lit(0), lambda k, u: k + F.size(F.filter(below, lambda x: x <= u)))
+        n_copies = F.when(F.col("source").isin(*of), reached).otherwise(n_copies)
+    numbers = F.transform(F.sequence(F.lit(0), n_drawn - 1), lambda j: uniform(F.when(j == 0, str(seed)).otherwise(F.concat(F.lit(f"{seed}-"), j.cast("string"))), id_))
     copies = (
-        docs.withColumn(drawn, uniform(F.lit(str(seed)), id_))
-        .select(*rest, F.posexplode(reached).alias(copy, drawn))
+        docs.withColumn(drawn, numbers)
+        .select(*rest, n_copies.alias(drawn))
+        .select(*rest, F.explode(F.when(F.col(drawn) > 0, F.sequence(F.lit(0), F.col(drawn) - 1))).alias(copy))
         .select(*rest, copy, F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), id_, F.col(copy).cast("string"))).alias(shuffle_key))
     )
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -22,6 +22,18 @@ def test_shares_come_out_as_aimed_and_counts_are_poisson(spark):
     assert 3 < copies < 7  # mean and variance are 5
 
 
+def test_high_rates_are_drawn_in_parts(spark):
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.when(F.col("id") < 300, "rare").otherwise("big").alias("source"))
+    n = [r["count"] for r in M.mix(docs, {"rare": 1.0}, size=300 * 700.0).where("source = 'rare'").groupBy("doc_id").count().collect()]
+    mean = sum(n) / len(n)
+    assert len(n) == 300 and abs(mean - 700) < 8 and 500 < sum((x - mean) ** 2 for x in n) / len(n) < 950
+    assert len(M.steps(M.PIECE)) < 500
+    # Below PIECE a count is the one number's quantile.
+    u = {r["doc_id"]: r["u"] for r in docs.select("doc_id", M.uniform(F.lit(str(M.SEED)), F.col("doc_id").cast("string")).alias("u")).collect()}
+    got = {r["doc_id"]: r["count"] for r in M.mix(docs, {"rare": 1.0}, size=900).where("source = 'rare'").groupBy("doc_id").count().collect()}
+    assert got == {k: c for k in range(300) if (c := sum(x <= u[k] for x in M.steps(3.0)))}
+
+
 def test_copies_are_whole_and_order_is_mixed(documents):
     rng = random.Random(1)
     rows = [(k, None if k % 9 == 0 else f"t{k}", "en", rng.choice(["a", "b", None]), 1) for k in range(400)] + [(7, "t7", "en", "a", 1)]
