@@ -11,8 +11,9 @@ integers.  In its first block, a query's k-th best score comes from the products
 bounds.
 
 Queries are a stated set and meet all rows in blocks: rows are packed into blocks, every block of queries meets every cell
-of candidate blocks in one task, in which the k best so far carry over from block to block.  A task holds one block of
-either at a time.  Cells number ``CELLS`` at most, so a query has at most ``CELLS * k`` rows left for the last ranking.
+of candidate blocks in one task, in which the k best so far carry over from block to block.  A task holds a block of
+``QUERY_BLOCK`` queries, in parts of ``BLOCK`` rows, and one part of the candidates at a time; so a candidate travels once
+for every ``QUERY_BLOCK`` queries, which is what the search shuffles.  Cells number ``CELLS`` at most, so a query has at most ``CELLS * k`` rows left for the last ranking.
 
 Defined results: vectors that are null, or hold a null or a component that isn't finite, take no part, nor do rows without
 a vec_id; each of several rows with one vec_id is a query and a candidate of its own, against all rows but itself; only
@@ -33,7 +34,7 @@ from pyspark.sql.window import Window
 from fieldglass.llm._shared import stored
 
 SEGMENTS = (4, 16)
-QUERY_BLOCK = 1024
+QUERY_BLOCK = 16384
 BLOCK = 2048
 CELL = 8192
 CELLS = 64

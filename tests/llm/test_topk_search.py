@@ -22,6 +22,7 @@ def brute(rows, k):
 def test_same_as_brute_force(spark, monkeypatch, dims, k):
     monkeypatch.setattr(S, "BLOCK", 50)
     monkeypatch.setattr(S, "CELL", 150)
+    monkeypatch.setattr(S, "QUERY_BLOCK", 16 if dims == 64 else 1000)
     rng = random.Random(dims)
     centre = [[rng.gauss(0, 1) for _ in range(dims)] for _ in range(4)]
     rows = [(i, [float(c + rng.gauss(0, 0.3)) for c in rng.choice(centre)], 0) for i in range(400)]
