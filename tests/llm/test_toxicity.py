@@ -35,6 +35,16 @@ def test_documents_kept_out_are_told_apart(spark, documents, corpus):
     assert by[5000]["predicted"] == by[5001]["predicted"] == by[5002]["predicted"] == 0 and by[None]["predicted"] == 1
 
 
+def test_labels_of_the_least_hashes(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(X, "LABELLED", 300)
+    labels = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit(0).alias("quality"), (F.col("id") % 2).cast("int").alias("toxic"))
+    counted, fitted = X.labelled(labels)
+    want = {r[0] for r in labels.orderBy(F.xxhash64("doc_id")).limit(300).select("doc_id").collect()}
+    assert {*counted.ids.tolist(), *fitted.ids.tolist()} == want and len(counted.ids) + len(fitted.ids) == 300
+
+
 def test_counts_are_those_of_all_documents(spark, documents):
     import numpy as np
 
