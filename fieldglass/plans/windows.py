@@ -81,10 +81,11 @@ def _arcs(t):
     return B.arc_values(w, params, league, "player", "season").select("player", "game", "season", "rn", "n", "bpm", "obpm", "ts_rel")
 
 
-@query(f"{_ARC} SELECT player, game, season, rn, n, round(bpm, 2) AS bpm, round(obpm, 2) AS obpm, round(ts_rel, 4) AS ts_rel FROM v")
+@query(f"{_ARC} SELECT player, game, season, rn, n, " + ", ".join(f"CASE WHEN round({c}, {k}) = 0 THEN 0 ELSE round({c}, {k}) END AS {c}" for c, k in (("bpm", 2), ("obpm", 2), ("ts_rel", 4))) + " FROM v")
 def arc_values(t):
     """Box plus-minus of every trailing window of 200 minutes, at the season's adjustment."""
-    return _arcs(t).withColumns({c: F.round(c, k) for c, k in (("bpm", 2), ("obpm", 2), ("ts_rel", 4))})
+    zero = lambda x: F.when(x == 0, 0.0).otherwise(x)  # of either sign
+    return _arcs(t).withColumns({c: zero(F.round(c, k)) for c, k in (("bpm", 2), ("obpm", 2), ("ts_rel", 4))})
 
 
 @query(f"{_ARC} SELECT count(*) AS pairs, round(sqrt(avg((a.bpm - b.bpm) * (a.bpm - b.bpm))) / sqrt(2.0::DOUBLE), 4) AS noise FROM v a JOIN v b ON a.player = b.player AND a.season = b.season AND a.rn - a.n = b.rn")
