@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from fieldglass.llm.conversation_repair import op11_conversation_repair
 from fieldglass.llm.fingerprint import op7_fingerprint
 from fieldglass.llm.language_id import op9_language_id
 from fieldglass.llm.ngram_join import op8_ngram_join, op8_ngram_links
@@ -13,7 +14,7 @@ from fieldglass.llm.topk_search import op5_topk_search
 from fieldglass.llm.toxicity import op3_toxicity
 from fieldglass.llm.warc import op6_warc
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_secret_scan, op3_toxicity, op4_source_mix, op5_topk_search, op6_warc, op7_fingerprint, op8_ngram_join, op8_ngram_links, op9_language_id, op10_token_ids)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_secret_scan, op3_toxicity, op4_source_mix, op5_topk_search, op6_warc, op7_fingerprint, op8_ngram_join, op8_ngram_links, op9_language_id, op10_token_ids, op11_conversation_repair)}
 
 _targets = ", ".join(f"('{s}', {w!r}::DOUBLE)" for s, w in TARGETS.items())
 ORACLE_SQL = {
