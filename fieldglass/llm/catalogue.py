@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from fieldglass.llm.conversation_repair import op11_conversation_repair
+from fieldglass.llm.embedding_dedup import op12_embedding_dedup
 from fieldglass.llm.fingerprint import op7_fingerprint
 from fieldglass.llm.language_id import op9_language_id
 from fieldglass.llm.ngram_join import op8_ngram_join, op8_ngram_links
@@ -15,7 +16,7 @@ from fieldglass.llm.toxicity import op3_toxicity
 from fieldglass.llm.vector_codes import op13_vector_codes
 from fieldglass.llm.warc import op6_warc
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_secret_scan, op3_toxicity, op4_source_mix, op5_topk_search, op6_warc, op7_fingerprint, op8_ngram_join, op8_ngram_links, op9_language_id, op10_token_ids, op11_conversation_repair, op13_vector_codes)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_secret_scan, op3_toxicity, op4_source_mix, op5_topk_search, op6_warc, op7_fingerprint, op8_ngram_join, op8_ngram_links, op9_language_id, op10_token_ids, op11_conversation_repair, op12_embedding_dedup, op13_vector_codes)}
 
 # The parts' distances to the entries and the entries' next values, for each round of op13.
 _nearest = "SELECT r, p, x, arg_min(e, d * 64 + e) AS e, min(d) AS d FROM (SELECT r, p, x, e, (list_dot_product(x, x) - 2 * list_dot_product(x, c) + list_dot_product(c, c))::BIGINT AS d FROM parts JOIN {books} USING (p)) GROUP BY r, p, x"
