@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from types import SimpleNamespace
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from fieldglass.functions.shots import LIVE_TURNOVERS, is_clutch, is_garbage, score_state
+from fieldglass.functions.text import SUFFIX_RANK, fold_accents
+from fieldglass.operators.folds import folded
 
 # Event types that open a possession, those that say nothing, those between a basket and its free throw, and
 # the part of a free throw's kind that tells its place.
@@ -105,17 +108,10 @@ def fold_game(events: list) -> list[dict]:
     return game.rows
 
 
-def _plain(pdf: pd.DataFrame) -> list:
-    return list(pdf.astype(object).where(pdf.notna(), None).itertuples(index=False))
-
-
 def possessions(events: DataFrame) -> DataFrame:
     """A row for each possession of every game; see fold_game."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(fold_game(_plain(pdf.sort_values("action_id"))), columns=[x.split()[0] for x in POSSESSION.split(", ")])
-
-    return events.groupBy("game_id").applyInPandas(run, POSSESSION)
+    own = events.select("game_id", "action_id", "period", "secs", "kind", "sub_kind", "team", "value", "result", "text")
+    return folded(own, "game_id", ["action_id"], fold_game, POSSESSION)
 
 
 def possession_context(poss: DataFrame, games: DataFrame) -> DataFrame:
@@ -195,118 +191,228 @@ def factors_match(stints_: DataFrame, team_box: DataFrame) -> DataFrame:
     return team_box.join(sums, ["game_id", "side"], "left").groupBy("game_id").agg(F.bool_and(same).alias("factors_match"))
 
 
+# Kinds of action that tell that a person is on the floor.
+ACTING = ("2pt", "3pt", "freethrow", "rebound", "turnover", "steal", "block", "foul", "jumpball")
+HELPERS = ("assist", "steal", "block")
+
+
+def actors(a) -> list:
+    """Who an action shows to be on the floor, whoever it belongs to first: a technical foul shows nobody."""
+    own = [a.person] if a.kind in ACTING and a.person and not (a.kind == "foul" and "technical" in (a.sub_kind or "")) else []
+    return own + [who for c in HELPERS if (who := getattr(a, c, None))]
+
+
+def _candidates(a) -> list:
+    """Who a substitution may bring in."""
+    several = getattr(a, "candidates", None)
+    return list(several) if several is not None else [a.person]
+
+
+def coming_acts(actions: list) -> dict[int, tuple[dict, dict]]:
+    """For each substitution of a period with several candidates, by its place: where each of them next acts or goes out,
+    and where each set of candidates next comes in.  One pass from the end, which holds every person's next act."""
+    out, acts, sets = {}, {}, {}
+    for at in range(len(actions) - 1, -1, -1):
+        a = actions[at]
+        if a.kind != "substitution":
+            for place, who in reversed(list(enumerate(actors(a)))):
+                acts[who] = at, place
+        elif a.sub_kind == "out":
+            acts[a.person] = at, 0
+        else:
+            several = _candidates(a)
+            if len(several) > 1:
+                out[at] = {c: acts[c] for c in several if c in acts}, dict(sets)
+            sets[frozenset(several)] = at
+    return out
+
+
 class _Floor:
     """Who is on the floor of one game, and the stints that follow from it."""
 
     def __init__(self, actions: list, box: list) -> None:
-        self.actions, self.left = actions, {p.person: float(p.seconds or 0) for p in box}
+        self.actions, self.due = actions, {p.person: float(p.seconds or 0) for p in box}
         self.team = {p.person: p.team for p in box}
         self.starters = {s: [p.person for p in box if p.team == s and p.starter] for s in ("home", "away")}
-        self.reasons: Counter = Counter()
+        self.faults: Counter = Counter()
         self.played: Counter = Counter()
         self.stints: list[dict] = []
         self.on: dict[str, set] = {"home": set(), "away": set()}
         self.pts, self.poss = Counter(), Counter()
         self.line: Counter = Counter()
 
-    def inferred(self, period: int) -> dict[str, set]:
+    def left(self, person) -> float:
+        """Seconds in the box that aren't accounted for yet."""
+        return self.due.get(person, 0.0) - self.played[person]
+
+    def inferred(self, own: list) -> dict[str, set]:
         """The first five of each side to act, or to be taken out, before they are brought in; the rest from the last
         five, those with most minutes to come first."""
         seen: dict[str, list] = {"home": [], "away": []}
         late = set()
-        for a in self.actions:
-            side = self.team.get(a.person)
-            if a.period != period or side is None or a.kind == "foul" and "technical" in (a.sub_kind or ""):
-                continue
+        for a in own:
             if a.kind == "substitution" and a.sub_kind == "in":
-                if a.person not in seen[side]:
-                    late.add(a.person)
-            elif a.person not in late and a.person not in seen[side] and len(seen[side]) < 5:
-                seen[side].append(a.person)
-        for side, own in seen.items():
-            spare = sorted(self.on[side] - set(own) - late, key=lambda p: (-self.left.get(p, 0), p))
-            own += spare[: 5 - len(own)]
-        return {side: set(own) for side, own in seen.items()}
+                late.add(a.person)
+                continue
+            for who in [a.person] if a.kind == "substitution" else actors(a):
+                side = seen.get(self.team.get(who))
+                if side is not None and who not in late and who not in side and len(side) < 5:
+                    side.append(who)
+        for side, five in seen.items():
+            spare = sorted(self.on[side] - set(five) - late, key=lambda p: (-self.left(p), p))
+            five += spare[: 5 - len(five)]
+        return {side: set(five) for side, five in seen.items()}
 
     def cut(self, period: int, start: float, end: float) -> None:
         seconds = max(0.0, end - start)
+        for side in self.on.values():
+            for p in side:
+                self.played[p] += seconds
         if seconds or self.pts or self.poss or self.line:
-            for side in self.on.values():
-                if len(side) != 5:
-                    self.reasons["not five"] += 1
-                for p in side:
-                    self.played[p] += seconds
-                    self.left[p] = self.left.get(p, 0) - seconds
             self.stints.append({"period": period, "start_s": start, "end_s": end, "seconds": seconds, "home_ids": sorted(self.on["home"]), "away_ids": sorted(self.on["away"]), "home_pts": self.pts["home"], "away_pts": self.pts["away"], "home_poss": self.poss["home"], "away_poss": self.poss["away"], **{f"{s}_{c}": self.line[s, c] for s in ("home", "away") for c in BOX_TALLIES}})
         self.pts, self.poss, self.line = Counter(), Counter(), Counter()
 
+    def incoming(self, a, side: str, ahead: tuple[dict, dict] | None):
+        """Whom a substitution brings in.  Of several off the floor, the one who acts or goes out first, unless the same
+        ones come in again before that; without such evidence the one with most minutes to come."""
+        several = _candidates(a)
+        off = [c for c in several if c not in self.on[side]]
+        if len(off) > 1:
+            acts, sets = ahead
+            first = min(((acts[c], c) for c in off if c in acts), default=None)
+            again = sets.get(frozenset(off))
+            if first and (again is None or first[0][0] < again):
+                return first[1]
+            return max(off, key=self.left)
+        if not off and len(several) > 1:
+            self.faults["ambiguous"] += 1
+        return off[0] if off else a.person
+
     def walk(self) -> None:
         for period in sorted({a.period for a in self.actions}):
             own = [a for a in self.actions if a.period == period]
             full = all(len(x) == 5 for x in self.starters.values())
-            self.on = {s: set(x) for s, x in self.starters.items()} if period == 1 and full else self.inferred(period)
+            self.on = {s: set(x) for s, x in self.starters.items()} if period == 1 and full else self.inferred(own)
+            ahead = coming_acts(own)
             length = 720.0 if period <= 4 else 300.0
             now = start = 0.0
             holder = None
-            for a in own:
+            for at, a in enumerate(own):
                 now = max(now, min(length, length - float(a.seconds_left))) if a.seconds_left is not None else now
-                side = self.team.get(a.person)
+                team = getattr(a, "team", None)
+                side = self.team.get(a.person) or (team if a.kind == "substitution" and team in self.on else None)
                 if a.possession and a.possession != holder:
                     holder = a.possession
                     self.poss[holder] += 1
                 if a.points and side:
                     self.pts[side] += int(a.points)
-                team = getattr(a, "team", None)
-                if team in ("home", "away"):
-                    self.line.update((team, c) for c in getattr(a, "own", ()))
-                    self.line.update(("away" if team == "home" else "home", c) for c in getattr(a, "other", ()))
-                if a.kind == "substitution" and side:
-                    self.cut(period, start, now)
-                    start = now
-                    if a.sub_kind == "out":
-                        if a.person not in self.on[side]:
-                            self.reasons["unresolved substitution"] += 1
-                        self.on[side].discard(a.person)
-                    else:
-                        self.on[side].add(a.person)
-                elif side and a.person not in self.on[side] and not (a.kind == "foul" and "technical" in (a.sub_kind or "")):
-                    self.reasons["off the floor"] += 1
+                if team in self.on:
+                    self.line.update((team, c) for c in getattr(a, "own", None) or ())
+                    self.line.update(("away" if team == "home" else "home", c) for c in getattr(a, "other", None) or ())
+                if a.kind == "substitution":
+                    if not _candidates(a):
+                        self.faults["unplaced"] += 1
+                    elif side:
+                        self.cut(period, start, now)
+                        start = now
+                        if a.sub_kind == "out":
+                            self.on[side].discard(a.person)
+                        else:
+                            self.on[side].add(self.incoming(a, side, ahead.get(at)))
+                    continue
+                for who in actors(a):
+                    on = self.on.get(self.team.get(who))
+                    self.faults["off the floor"] += on is not None and who not in on
+                self.faults["not five"] += any(len(x) != 5 for x in self.on.values())
             self.cut(period, start, length)
 
-
-def _walked(game_id: str, actions: list, box: list) -> list[dict]:
-    floor = _Floor(actions, box)
+    def reasons(self, box: list) -> list[str]:
+        """Why the stints aren't to be relied on."""
+        n = self.faults
+        texts = {"ambiguous": "{} substitutions of players of one name", "unplaced": "{} incoming names without a player", "off the floor": "{} actions off the floor", "not five": "not five a side at {} actions"}
+        out = [text.format(n[k]) for k, text in texts.items() if n[k]]
+        people = [p for p in self.due.keys() | self.played.keys() if self.due.get(p, 0) > 0 or self.played[p] > 0]
+        close = sum(abs(self.played[p] - self.due.get(p, 0)) <= 30 for p in people)
+        if people and close < 0.9 * len(people):
+            out.append(f"minutes match {close}/{len(people)}")
+        for side in ("home", "away"):
+            final = next((p.team_points for p in box if p.team == side and p.team_points is not None), None)
+            if final is not None and final != sum(s[f"{side}_pts"] for s in self.stints):
+                return [*out, "points"]
+        return out
+
+
+def _walked(rows: list) -> list[dict]:
+    box, actions = [r.box for r in rows if r.box], [r.action for r in rows if r.action]
+    if not box or not actions:
+        return []
+    plain = lambda of: [SimpleNamespace(**x) for x in of]
+    box = plain(box)
+    floor = _Floor(plain(actions), box)
     floor.walk()
-    due = {p.person: float(p.seconds or 0) for p in box if (p.seconds or 0) > 0}
-    close = sum(abs(floor.played[p] - s) <= 30 for p, s in due.items())
-    if due and close < 0.9 * len(due):
-        floor.reasons["minutes"] += 1
-    for side in ("home", "away"):
-        final = next((p.team_points for p in box if p.team == side and p.team_points is not None), None)
-        if final is not None and final != sum(s[f"{side}_pts"] for s in floor.stints):
-            floor.reasons["points"] += 1
-    reasons = ", ".join(sorted(floor.reasons))
-    return [{"game_id": game_id, **s, "reliable": not reasons, "reasons": reasons} for s in floor.stints]
+    reasons = "; ".join(floor.reasons(box))
+    return [{"game_id": rows[0].game_id, **s, "reliable": not reasons, "reasons": reasons} for s in floor.stints]
 
 
 def stints(actions: DataFrame, box: DataFrame) -> DataFrame:
     """Stints of every game between substitutions, with points and possessions, checked against the box.
 
-    actions: game_id, order_number, period, seconds_left, kind, sub_kind, person, points, possession (home or away).
+    actions: game_id, order_number, period, seconds_left, kind, sub_kind, person, points, possession (home or away), and where
+    known assist, steal and block (who did it) and candidates (who a substitution may bring in; see ``with_incoming``).
     box: game_id, person, team (home or away), starter, seconds, team_points.
 
-    Actions ``with_tallies`` and their team (home or away) give the box line of either side beside, as home_fgm and so on."""
+    Only some kinds of action show that a person is on the floor; see ``actors``.  Actions ``with_tallies`` and their team
+    (home or away) give the box line of either side beside, as home_fgm and so on."""
     tallied = {"team", "own", "other"} <= set(actions.columns)
     schema = STINT + "".join(f", {s}_{c} int" for s in ("home", "away") for c in BOX_TALLIES if tallied)
-
-    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        columns = [x.split()[0] for x in schema.split(", ")]
-        if a.empty or b.empty:
-            return pd.DataFrame(columns=columns)
-        return pd.DataFrame(_walked(a["game_id"].iloc[0], _plain(a.sort_values("order_number")), _plain(b)), columns=columns)
-
-    box = box.toDF(*box.columns)  # both may come from one table
-    return actions.groupBy("game_id").cogroup(box.groupBy("game_id")).applyInPandas(run, schema)
+    whole = lambda df: F.struct(*(F.col(c) for c in df.columns if c != "game_id"))
+    lines = box.select("game_id", whole(box).alias("box"))
+    plays = actions.select("game_id", "order_number", (F.lower("sub_kind") == "in").alias("late"), whole(actions).alias("action"))
+    return folded(plays.unionByName(lines, allowMissingColumns=True), "game_id", ["order_number", "late"], _walked, schema)
+
+
+def _words(x) -> Column:
+    """Letters and single spaces, lower-case, accents and suffixes gone."""
+    letters = F.regexp_replace(F.lower(fold_accents(F.coalesce(x, F.lit("")))), r"[^\p{L} ]", " ")
+    return F.array_join(F.filter(F.split(letters, " "), lambda w: ~w.isin("", *SUFFIX_RANK)), " ")
+
+
+def _suffixes(x) -> Column:
+    return F.filter(F.split(F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), r"\.", " "), r"\s+"), lambda w: w.isin(*SUFFIX_RANK))
+
+
+REPLACED = "replaced by"
+
+
+def with_incoming(actions: DataFrame, players: DataFrame) -> DataFrame:
+    """actions with candidates; in games whose substitutions have no "in" rows, one for each "X replaced by Y", whose
+    candidates are the side's players who go by Y: by the whole name or the surname, or the surname and the first initial; if
+    there are none, by the surname's last word; of several, those of Y's suffix, if any.  None fit: candidates are empty.
+
+    actions as for ``stints``, with team and text; players: game_id, team, person, name, first, family."""
+    sub = F.lower("kind") == "substitution"
+    two_rows = actions.where(sub).groupBy("game_id").agg(F.max((F.lower("sub_kind") == "in").cast("int")).alias("_in"))
+    old = actions.where(sub & F.contains("text", F.lit(REPLACED))).join(two_rows.where("coalesce(_in, 0) = 0").select("game_id"), "game_id", "left_semi")
+    shown = F.substring_index("text", REPLACED, -1)
+    asked = old.select("game_id", "team", "order_number", _words(shown).alias("_who"), _suffixes(shown).alias("_suffix"))
+    roster = players.select("game_id", "team", "person", _words(F.col("name")).alias("_name"), _words(F.col("family")).alias("_family"), _words(F.col("first")).alias("_first"), _suffixes(F.col("family")).alias("_own"))
+    pairs = asked.join(roster, ["game_id", "team"])
+    word = F.split("_who", " ")
+    rest = F.array_join(F.slice(word, 2, F.greatest(F.size(word) - 1, F.lit(0))), " ")
+    whole = (F.col("_name") == F.col("_who")) | (F.col("_family") == F.col("_who"))
+    initial = (F.col("_family") != "") & (F.size(word) > 1) & (rest == F.col("_family")) & (F.substring(word[0], 1, 1) == F.substring("_first", 1, 1))
+    last = F.substring_index("_family", " ", -1) == F.substring_index("_who", " ", -1)
+    rank = F.when((F.col("_who") != "") & (whole | initial), 1).when((F.col("_who") != "") & last, 2)
+    fits = pairs.withColumn("_rank", rank).where("_rank IS NOT NULL").withColumn("_same", F.arrays_overlap("_suffix", "_own").cast("int"))
+    best = fits.groupBy("game_id", "order_number").agg(F.min("_rank").alias("_best"), F.collect_list(F.struct("_rank", "_same", "person")).alias("_all"))
+    named = best.withColumn("_all", F.filter("_all", lambda x: x["_rank"] == F.col("_best")))
+    alike = F.filter("_all", lambda x: x["_same"] == 1)
+    kept = F.when((F.size("_all") > 1) & (F.size(alike) > 0), alike).otherwise(F.col("_all"))
+    candidates = named.select("game_id", "order_number", F.array_sort(F.transform(kept, lambda x: x["person"])).alias("candidates"))
+    person = actions.schema["person"].dataType
+    incoming = old.join(candidates, ["game_id", "order_number"], "left").withColumns({"sub_kind": F.lit("in"), "candidates": F.coalesce("candidates", F.array().cast(T.ArrayType(person)))})
+    incoming = incoming.withColumn("person", F.get("candidates", 0))
+    return actions.withColumn("candidates", F.lit(None).cast(T.ArrayType(person))).unionByName(incoming)
 
 
 def units(stints_: DataFrame, key: list[str]) -> DataFrame:

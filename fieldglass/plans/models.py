@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fieldglass.functions import text as T
-from fieldglass.operators import box_metrics, classify, contracts, transactions
+from fieldglass.operators import box_metrics, classify, contracts, older_feed, transactions
 from fieldglass.operators import games as G
 from fieldglass.operators import identity as I
 from fieldglass.operators import models as R
@@ -163,7 +163,7 @@ def role_possessions(t):
 def _floor(t):
     e = t("events").select(F.col("user_id").cast("string").alias("game_id"), "event_id", "event_type", F.get_json_object("props", "$.k").cast("bigint").alias("k"), F.minute("ts").alias("m"), (F.floor(F.hour("ts") / 6) + 1).cast("int").alias("period"))
     person = F.col("k") % 14
-    actions = e.select("game_id", F.col("event_id").alias("order_number"), "period", (720.0 - F.col("m") * 12.0).alias("seconds_left"), F.when(F.col("event_type") == "signup", "substitution").otherwise("shot").alias("kind"), F.when(F.col("k") % 3 == 0, "out").otherwise("in").alias("sub_kind"), person.alias("person"), F.when(F.col("event_type") == "purchase", 2).otherwise(0).alias("points"), F.when(person < 7, "home").otherwise("away").alias("possession"))
+    actions = e.select("game_id", F.col("event_id").alias("order_number"), "period", (720.0 - F.col("m") * 12.0).alias("seconds_left"), F.when(F.col("event_type") == "signup", "substitution").otherwise("2pt").alias("kind"), F.when(F.col("k") % 3 == 0, "out").otherwise("in").alias("sub_kind"), person.alias("person"), F.when(F.col("event_type") == "purchase", 2).otherwise(0).alias("points"), F.when(person < 7, "home").otherwise("away").alias("possession"))
     box_ = e.select("game_id").distinct().crossJoin(e.sparkSession.range(14)).select("game_id", F.col("id").alias("person"), F.when(F.col("id") < 7, "home").otherwise("away").alias("team"), (F.col("id") % 7 < 5).alias("starter"), F.lit(1200.0).alias("seconds"), F.lit(None).cast("int").alias("team_points"))
     return actions, box_
 
@@ -196,6 +196,45 @@ def stint_units(t):
     return G.units(G.stints(*_floor(t)), ["game_id"])
 
 
+_OLDER = """e AS (
+  SELECT event_id AS n, strftime(ts, '%Y-%m-%d') || '-' || user_id % 8 AS game_id, user_id % 8 AS g, (hour(ts) // 6 + 1)::INTEGER AS period, 720.0::DOUBLE - ((hour(ts) % 6) * 3600 + minute(ts) * 60 + second(ts)) // 30 AS secs,
+         event_type IN ('signup', 'error') AS sub, event_type IN ('signup', 'view') AS home, json_extract_string(props, '$.k')::BIGINT % 5 + 1 AS inc FROM events),
+b AS (SELECT *, sum(CASE WHEN sub AND home THEN inc ELSE 0 END) OVER w AS h, sum(CASE WHEN sub AND NOT home THEN inc ELSE 0 END) OVER w AS a, row_number() OVER (PARTITION BY game_id ORDER BY n) AS place FROM e WINDOW w AS (PARTITION BY game_id ORDER BY n)),
+edges AS (
+  SELECT game_id, g, period, n, 0 AS o, 720.0::DOUBLE AS s, h - CASE WHEN sub AND home THEN inc ELSE 0 END AS h, a - CASE WHEN sub AND NOT home THEN inc ELSE 0 END AS a FROM b QUALIFY row_number() OVER (PARTITION BY game_id, period ORDER BY n) = 1
+  UNION ALL SELECT game_id, g, period, n, 1, secs, h, a FROM b WHERE sub),
+cut AS (SELECT *, coalesce(lead(s) OVER (PARTITION BY game_id, period ORDER BY n, o), 0.0) AS t, coalesce(lead(n) OVER (PARTITION BY game_id ORDER BY n, o), (SELECT max(n) FROM e WHERE e.game_id = edges.game_id)) AS end_n FROM edges)"""
+_SIX = "(SELECT string_agg(x::VARCHAR, '-' ORDER BY x) FROM (SELECT unnest(range({0}, {0} + 6)) AS x) WHERE x <> {0} + (5 + {1}) % 6)"
+
+
+@query(f"WITH {_OLDER} SELECT game_id, period, s AS start_secs, t AS end_secs, n AS start_action, end_n AS end_action, {_SIX.format(0, 'h')} AS home_ids, {_SIX.format(10, 'a')} AS away_ids, false AS failed FROM cut WHERE g <> 7 AND t < s UNION ALL SELECT DISTINCT game_id, NULL::INTEGER, NULL::DOUBLE, NULL::DOUBLE, NULL::BIGINT, NULL::BIGINT, NULL, NULL, true FROM e WHERE g = 7")
+def older_stints(t):
+    """Stints of the older feed: a day's events of some users are a game of six against six, of whom one sits and comes in by
+    a surname that three share; in every eighth game somebody on the bench is said to act first."""
+    from pyspark.sql.window import Window
+
+    k = F.get_json_object("props", "$.k").cast("bigint")
+    sub, home = F.col("event_type").isin("signup", "error"), F.col("event_type").isin("signup", "view")
+    e = t("events").select(
+        F.concat_ws("-", F.date_format("ts", "yyyy-MM-dd"), (F.col("user_id") % 8).cast("string")).alias("game_id"), F.col("event_id").alias("action_id"), (F.floor(F.hour("ts") / 6) + 1).cast("int").alias("period"),
+        (720 - F.floor(((F.hour("ts") % 6) * 3600 + F.minute("ts") * 60 + F.second("ts").cast("int")) / 30)).cast("double").alias("secs"), sub.alias("sub"), F.when(home, "home").otherwise("away").alias("team"), (k % 5 + 1).alias("inc"),
+    )
+    before = Window.partitionBy("game_id", "team").orderBy("action_id").rowsBetween(Window.unboundedPreceding, -1)
+    bench = (5 + F.coalesce(F.sum(F.when(F.col("sub"), F.col("inc")).otherwise(0)).over(before), F.lit(0))) % 6
+    first = F.row_number().over(Window.partitionBy("game_id").orderBy("action_id")) == 1
+    acting = F.when(F.endswith("game_id", F.lit("-7")) & first, F.col("bench")).otherwise((F.col("bench") + F.col("inc")) % 6)
+    names = F.array(*(F.lit(x) for x in ("Al Smith", "Jo Smith", "Cy Smith", "Di Šmid Jr.", "Ed O'Neal", "Flo Lee-Day")))
+    text = F.concat(F.lit("SUB: "), F.regexp_replace(F.get(names, F.col("bench").cast("int")), r"^\S+ ", ""), F.lit(" FOR X"))
+    plays = e.withColumn("bench", bench).withColumn("person", acting).withColumn("text", text).withColumn("person", F.col("person") + F.when(F.col("team") == "home", 0).otherwise(10))
+    side = lambda k, team: F.struct((F.lit(k) + F.col("id")).alias("person"), F.lit(team).alias("team"), (F.col("id") < 5).alias("starter"), F.get(names, F.col("id").cast("int")).alias("name"))
+    roster = F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(5).cast("bigint")), lambda i: i)
+    box_ = e.select("game_id").distinct().withColumn("id", F.explode(roster)).select("game_id", F.inline(F.array(side(0, "home"), side(10, "away"))))
+    ids = lambda c: F.array_join(F.col(c).cast("array<string>"), "-").alias(c)
+    got = older_feed.older_stints(plays, box_)
+    return got.select("game_id", "period", "start_secs", "end_secs", "start_action", "end_action", ids("home_ids"), ids("away_ids"), F.col("problem").isNotNull().alias("failed")).where("NOT failed").unionByName(
+        got.where("problem IS NOT NULL").select("game_id", F.lit(True).alias("failed")).distinct(), allowMissingColumns=True)
+
+
 _EVENTS = "e AS (SELECT user_id::VARCHAR AS player_id, ts::DATE AS date, event_id AS seq, CASE event_type WHEN 'signup' THEN 'sign' WHEN 'purchase' THEN 'trade' WHEN 'error' THEN 'waive' END AS kind, 'T' || (event_id % 5) AS team FROM events WHERE event_type IN ('signup', 'purchase', 'error'))"
 
 

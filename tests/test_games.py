@@ -88,7 +88,7 @@ BOX = "game_id string, person long, team string, starter boolean, seconds double
 
 def test_stints_of_a_game_that_agrees_with_its_box(spark):
     box = [("g", p, "home", p < 5, {0: 360.0, 5: 360.0}.get(p, 720.0), 2) for p in range(6)] + [("g", p, "away", True, 720.0, 0) for p in range(10, 15)]
-    actions = [("g", 1, 1, 700.0, "shot", None, 0, 2, "home"), ("g", 2, 1, 360.0, "substitution", "out", 0, 0, None), ("g", 3, 1, 360.0, "substitution", "in", 5, 0, None), ("g", 4, 1, 300.0, "shot", None, 10, 0, "away")]
+    actions = [("g", 1, 1, 700.0, "2pt", None, 0, 2, "home"), ("g", 2, 1, 360.0, "substitution", "out", 0, 0, None), ("g", 3, 1, 360.0, "substitution", "in", 5, 0, None), ("g", 4, 1, 300.0, "2pt", None, 10, 0, "away")]
     a, b = spark.createDataFrame(actions, ACTION), spark.createDataFrame(box, BOX)
     got = games.stints(a, b).orderBy("start_s").collect()
     assert [(r["seconds"], r["home_ids"], r["home_pts"], r["home_poss"], r["away_poss"], r["reliable"]) for r in got] == [(360.0, [0, 1, 2, 3, 4], 2, 1, 0, True), (360.0, [1, 2, 3, 4, 5], 0, 0, 1, True)]
