@@ -25,13 +25,14 @@ POSSESSION = "game_id string, period int, poss_num int, off_team string, start_a
 _AFTER = {"made_fg": "after_score", "made_ft": "after_score", "def_rebound": "def_rebound"}
 
 
-class _Game:
-    """One game's possessions, event by event."""
+class Game:
+    """One game's possessions, event by event; what it holds can be kept between events."""
 
     def __init__(self, game_id: str) -> None:
         self.game_id, self.rows = game_id, []
         self.period, self.number, self.now = None, 0, None
         self.shooter, self.start_type, self.live = None, "period_start", False
+        self.last = None
 
     def open(self, e) -> None:
         self.number += 1
@@ -94,17 +95,28 @@ class _Game:
                     self.close(e, "made_ft")
 
 
+    def fold(self, events: list, ended: bool) -> int:
+        """Events in order; how many are done with.  A basket waits for the next event that could be its free throw, unless
+        the game has ended."""
+        following, ahead = [None] * len(events), None
+        for k in range(len(events) - 1, -1, -1):
+            following[k] = ahead
+            if (events[k].kind or "").lower() not in PASSED_OVER:
+                ahead = events[k]
+        for k, (e, after) in enumerate(zip(events, following, strict=True)):
+            if after is None and not ended and (e.kind or "").lower() == "made shot":
+                return k
+            self.event(e, after)
+            self.last = SimpleNamespace(action_id=e.action_id, secs=e.secs)
+        if ended and self.last:
+            self.close(self.last, "period_end")
+        return len(events)
+
+
 def fold_game(events: list) -> list[dict]:
     """Possessions of one game's events (game_id, action_id, period, secs, kind, sub_kind, team, value, result, text)."""
-    following, ahead = [None] * len(events), None
-    for k in range(len(events) - 1, -1, -1):
-        following[k] = ahead
-        if (events[k].kind or "").lower() not in PASSED_OVER:
-            ahead = events[k]
-    game = _Game(events[0].game_id)
-    for e, after in zip(events, following, strict=True):
-        game.event(e, after)
-    game.close(events[-1], "period_end")
+    game = Game(events[0].game_id)
+    game.fold(events, True)
     return game.rows
 
 
@@ -342,16 +354,31 @@ class _Floor:
         return out
 
 
-def _walked(rows: list) -> list[dict]:
-    box, actions = [r.box for r in rows if r.box], [r.action for r in rows if r.action]
+def walked(game_id: str, actions: list[dict], box: list[dict]) -> list[dict]:
+    """Stints of one game's actions in order, and its box."""
     if not box or not actions:
         return []
-    plain = lambda of: [SimpleNamespace(**x) for x in of]
-    box = plain(box)
-    floor = _Floor(plain(actions), box)
+    lines = [SimpleNamespace(**x) for x in box]
+    floor = _Floor([SimpleNamespace(**x) for x in actions], lines)
     floor.walk()
-    reasons = "; ".join(floor.reasons(box))
-    return [{"game_id": rows[0].game_id, **s, "reliable": not reasons, "reasons": reasons} for s in floor.stints]
+    reasons = "; ".join(floor.reasons(lines))
+    return [{"game_id": game_id, **s, "reliable": not reasons, "reasons": reasons} for s in floor.stints]
+
+
+def _walked(rows: list) -> list[dict]:
+    return walked(rows[0].game_id, [r.action for r in rows if r.action], [r.box for r in rows if r.box])
+
+
+def stint_rows(actions: DataFrame, box: DataFrame, *more: str) -> DataFrame:
+    """Actions and box lines under each other: game_id, more, what actions are ordered by, and either as a struct."""
+    whole = lambda df: F.struct(*(F.col(c) for c in df.columns if c not in ("game_id", *more)))
+    plays = actions.select("game_id", *more, "order_number", (F.lower("sub_kind") == "in").alias("late"), whole(actions).alias("action"))
+    return plays.unionByName(box.select("game_id", *more, whole(box).alias("box")), allowMissingColumns=True)
+
+
+def stint_schema(actions: DataFrame) -> str:
+    tallied = {"team", "own", "other"} <= set(actions.columns)
+    return STINT + "".join(f", {s}_{c} int" for s in ("home", "away") for c in BOX_TALLIES if tallied)
 
 
 def stints(actions: DataFrame, box: DataFrame) -> DataFrame:
@@ -363,12 +390,7 @@ def stints(actions: DataFrame, box: DataFrame) -> DataFrame:
 
     Only some kinds of action show that a person is on the floor; see ``actors``.  Actions ``with_tallies`` and their team
     (home or away) give the box line of either side beside, as home_fgm and so on."""
-    tallied = {"team", "own", "other"} <= set(actions.columns)
-    schema = STINT + "".join(f", {s}_{c} int" for s in ("home", "away") for c in BOX_TALLIES if tallied)
-    whole = lambda df: F.struct(*(F.col(c) for c in df.columns if c != "game_id"))
-    lines = box.select("game_id", whole(box).alias("box"))
-    plays = actions.select("game_id", "order_number", (F.lower("sub_kind") == "in").alias("late"), whole(actions).alias("action"))
-    return folded(plays.unionByName(lines, allowMissingColumns=True), "game_id", ["order_number", "late"], _walked, schema)
+    return folded(stint_rows(actions, box), "game_id", ["order_number", "late"], _walked, stint_schema(actions))
 
 
 def _words(x) -> Column:

@@ -120,12 +120,21 @@ def position_estimate(t):
     return box_metrics.position_estimate(p, "h", "w", "r", "m").select("id", F.round("size", 4).alias("size"), F.round("pos_score", 4).alias("pos_score"), "position", F.round("confidence", 4).alias("confidence"))
 
 
-def _feed(t):
-    """Events of a user as a game of two sides: types stand for kinds of play."""
-    e = t("events")
+def play_columns() -> list:
+    """Events as plays of two sides: types stand for kinds of play."""
     kind = F.create_map(*(F.lit(x) for p in (("click", "Made Shot"), ("view", "Missed Shot"), ("purchase", "Rebound"), ("signup", "Turnover"), ("error", "Free Throw")) for x in p))[F.col("event_type")]
     k = F.get_json_object("props", "$.k").cast("int")
-    return e.select(F.col("user_id").cast("string").alias("game_id"), F.col("event_id").alias("action_id"), (F.floor(F.hour("ts") / 6) + 1).cast("int").alias("period"), F.lit(720.0 - F.minute("ts") * 12.0).alias("secs"), kind.alias("kind"), F.when(k % 2 == 0, "Bad Pass").otherwise("1 of 1").alias("sub_kind"), F.when(F.col("event_id") % 2 == 0, "H").otherwise("A").alias("team"), (k % 2 + 2).cast("int").alias("value"), F.lit(None).cast("string").alias("result"), F.when(k % 3 == 0, "MISS").otherwise("make").alias("text"))
+    return [F.col("event_id").alias("action_id"), (F.floor(F.hour("ts") / 6) + 1).cast("int").alias("period"), F.lit(720.0 - F.minute("ts") * 12.0).alias("secs"), kind.alias("kind"), F.when(k % 2 == 0, "Bad Pass").otherwise("1 of 1").alias("sub_kind"), F.when(F.col("event_id") % 2 == 0, "H").otherwise("A").alias("team"), (k % 2 + 2).cast("int").alias("value"), F.lit(None).cast("string").alias("result"), F.when(k % 3 == 0, "MISS").otherwise("make").alias("text")]
+
+
+def game_of_day():
+    """A game of the day: the events of every eighth user."""
+    return F.concat_ws("-", F.date_format("ts", "yyyy-MM-dd"), (F.col("user_id") % 8).cast("string"))
+
+
+def _feed(t):
+    """Events of a user as a game."""
+    return t("events").select(F.col("user_id").cast("string").alias("game_id"), *play_columns())
 
 
 @query()
@@ -216,7 +225,7 @@ def older_stints(t):
     k = F.get_json_object("props", "$.k").cast("bigint")
     sub, home = F.col("event_type").isin("signup", "error"), F.col("event_type").isin("signup", "view")
     e = t("events").select(
-        F.concat_ws("-", F.date_format("ts", "yyyy-MM-dd"), (F.col("user_id") % 8).cast("string")).alias("game_id"), F.col("event_id").alias("action_id"), (F.floor(F.hour("ts") / 6) + 1).cast("int").alias("period"),
+        game_of_day().alias("game_id"), F.col("event_id").alias("action_id"), (F.floor(F.hour("ts") / 6) + 1).cast("int").alias("period"),
         (720 - F.floor(((F.hour("ts") % 6) * 3600 + F.minute("ts") * 60 + F.second("ts").cast("int")) / 30)).cast("double").alias("secs"), sub.alias("sub"), F.when(home, "home").otherwise("away").alias("team"), (k % 5 + 1).alias("inc"),
     )
     before = Window.partitionBy("game_id", "team").orderBy("action_id").rowsBetween(Window.unboundedPreceding, -1)
