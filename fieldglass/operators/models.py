@@ -1,11 +1,13 @@
-"""Regressions from sums: normal equations are aggregates, and only their small solution is found on the driver.
+"""Regressions from sums: normal equations are aggregates, whose solution is found on the driver or, if they are large, by
+conjugate gradients on the table of their cells.
 
-The unknowns of one fit are players or factors of one league window, some thousands at most, and their number is checked
-before cells come to the driver; rows never do."""
+The unknowns of one fit are players or factors of one league window.  Their number is checked before cells come to the
+driver: beyond ``MOST_UNKNOWNS`` only vectors do, of a number for each unknown.  Rows never do."""
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,11 @@ from fieldglass.sources.lake import settled
 
 # Penalties that are tried.
 LAMBDAS = (250.0, 500.0, 1000.0, 2000.0, 3000.0, 5000.0, 8000.0, 12000.0)
+#: Unknowns that are solved for on the driver, whose matrix takes 8 bytes for each pair.
 MOST_UNKNOWNS = 6000
+#: Numbers in the vectors that conjugate gradients carry on at once, and the residual, to that of no step, that ends them.
+AT_ONCE = 4_000_000
+RESIDUAL = 1e-11
 
 
 def simple_wls(df: DataFrame, key: list[str], x: str, y: str, w: str) -> DataFrame:
@@ -74,9 +80,9 @@ def fit(cells: DataFrame, totals: DataFrame, n: int, fold: str, target: str, lam
     """(coefficients, lambda, squared errors by lambda) of one target of ``sums_by_fold``, whose columns are 0 to n - 1.
 
     light: penalties of single columns instead of lambda.  Ties go to the first lambda.  The driver holds the cells of all
-    folds added up and those of one fold at a time, n * n numbers each."""
+    folds added up and those of one fold at a time, n * n numbers each; see ``_fit_by_steps`` for more unknowns."""
     if n > MOST_UNKNOWNS:
-        raise ValueError(f"{n} unknowns; at most {MOST_UNKNOWNS} are solved on the driver")
+        return _fit_by_steps(cells, totals, n, fold, target, lambdas, light or {})
     sums = {r[fold]: [float(r[f"{s}_{target}"] or 0) for s in ("w", "wy", "wyy")] for r in totals.collect()}
     weight = sum(s[0] for s in sums.values())
     mean = sum(s[1] for s in sums.values()) / weight if weight else 0.0
@@ -101,6 +107,90 @@ def fit(cells: DataFrame, totals: DataFrame, n: int, fold: str, target: str, lam
     return solve(a, b, best), best, errors
 
 
+class _Cells:
+    """The cells of a target as a table, both halves, and what is needed of them as vectors: by fold, the diagonal and the
+    weighted values."""
+
+    def __init__(self, cells: DataFrame, n: int, fold: str, target: str) -> None:
+        w, wy = (F.col(f"{c}_{target}").cast("double").alias(c) for c in ("w", "wy"))
+        own = cells.select(F.col(fold).alias("fold"), "i", "j", w, wy)
+        half = own.select("fold", "i", "j", "w")
+        self.n, self.spark = n, cells.sparkSession
+        self.both = settled(half.unionByName(half.where("i <> j").select("fold", F.col("j").alias("i"), F.col("i").alias("j"), "w")))
+        self.diagonal, self.values = {}, {}
+        got = own.where("i = j").groupBy("fold", "i").agg(F.sum("w").alias("w"), F.sum("wy").alias("wy")).toArrow()
+        folds, i = got["fold"].to_pylist(), got["i"].to_numpy()
+        for f in set(folds):
+            at = np.array([x == f for x in folds])
+            for of, c in ((self.diagonal, "w"), (self.values, "wy")):
+                of[f] = np.zeros(n)
+                of[f][i[at]] = got[c].to_numpy()[at]
+
+    def times(self, x: np.ndarray, counts: list[Column]) -> np.ndarray:
+        """The cells times the columns of x; counts: which folds' cells count for each.  One join and one aggregate."""
+        names = [f"x{k}" for k in range(x.shape[1])]
+        vectors = self.spark.createDataFrame(pa.table({"j": np.arange(self.n, dtype=np.int32)} | dict(zip(names, x.T, strict=True))))
+        sums = [F.sum(F.when(test, F.col("w") * F.col(c))).alias(c) for c, test in zip(names, counts, strict=True)]
+        got = self.both.join(vectors, "j").groupBy("i").agg(*sums).toArrow()
+        out = np.zeros_like(x)
+        for k, c in enumerate(names):
+            out[got["i"].to_numpy(), k] = got[c].fill_null(0.0).to_numpy()
+        return out
+
+
+def conjugate_gradients(times, b: np.ndarray, scale: np.ndarray, residual: float = RESIDUAL) -> np.ndarray:
+    """x with times(x) = b for several systems at once, a column each; times may give any symmetric positive definite
+    products.  scale: about their diagonals.  A column is done when its residual is that small a part of b."""
+    x, r = np.zeros_like(b), b.copy()
+    size = np.sqrt((b * b).sum(0))
+    z = r / scale
+    p, rz = z.copy(), (r * z).sum(0)
+    while (on := np.sqrt((r * r).sum(0)) > residual * size).any():
+        ap = times(p)
+        step = np.where(on, rz / np.where(on, (p * ap).sum(0), 1.0), 0.0)
+        x += step * p
+        r -= step * ap
+        z = r / scale
+        before, rz = rz, (r * z).sum(0)
+        p = np.where(on, z + np.where(on, rz / np.where(before == 0, 1.0, before), 0.0) * p, 0.0)
+    return x
+
+
+def _fit_by_steps(cells: DataFrame, totals: DataFrame, n: int, fold: str, target: str, lambdas, light: dict[int, float]) -> tuple[np.ndarray, float, dict[float, float]]:
+    """``fit`` by conjugate gradients: the fits of all folds and lambdas go on together, as many as ``AT_ONCE`` numbers hold,
+    and each step is one product of the cells' table with their vectors."""
+    sums = {r[fold]: [float(r[f"{s}_{target}"] or 0) for s in ("w", "wy", "wyy")] for r in totals.collect()}
+    weight = sum(s[0] for s in sums.values())
+    mean = sum(s[1] for s in sums.values()) / weight if weight else 0.0
+    of = _Cells(cells, n, fold, target)
+    zero = np.zeros(n)
+    diagonal = {f: of.diagonal.get(f, zero) for f in sums}
+    right = {f: of.values.get(f, zero) - mean * diagonal[f] for f in sums}
+    here = lambda f: F.col("fold").eqNullSafe(F.lit(f))
+    fits = [(True, f, lam) for lam in lambdas for f in sums] + [(False, None, lam) for lam in lambdas]
+    errors, whole = dict.fromkeys(lambdas, 0.0), {}
+    width = max(1, AT_ONCE // n)
+    for at in range(0, len(fits), width):
+        some = fits[at : at + width]
+        pull = np.stack([np.full(n, lam) for _, _, lam in some], axis=1)
+        for k, v in light.items():
+            pull[k] = v
+        others = lambda parts, held, f: sum(v for g, v in parts.items() if not held or g != f) + zero
+        b = np.stack([others(right, held, f) for held, f, _ in some], axis=1)
+        scale = pull + np.stack([others(diagonal, held, f) for held, f, _ in some], axis=1)
+        counts = [~here(f) if held else F.lit(True) for held, f, _ in some]
+        beta = conjugate_gradients(lambda x, c=counts, p=pull: of.times(x, c) + p * x, b, scale)
+        mine = of.times(beta, [here(f) if held else F.lit(False) for held, f, _ in some])
+        for k, (held, f, lam) in enumerate(some):
+            if held:
+                w, wy, wyy = sums[f]
+                errors[lam] += wyy - 2 * mean * wy + mean * mean * w - 2 * beta[:, k] @ right[f] + beta[:, k] @ mine[:, k]
+            else:
+                whole[lam] = beta[:, k]
+    best = min(errors, key=errors.get)
+    return whole[best], best, errors
+
+
 def ridge(obs: DataFrame, n: int, columns: str, y: str, w: str, fold: str, lambdas=LAMBDAS, light: dict[int, float] | None = None) -> tuple[np.ndarray, float, dict[float, float]]:
     """``fit`` of one target of 0/1 rows whose columns are an array of indexes: weighted ridge, lambda by folds."""
     target = {"y": (F.col(y), F.col(w))}
@@ -127,9 +217,9 @@ def two_ways(stints: DataFrame, tallies: tuple[str, ...] = ()) -> DataFrame:
 def _numbered(cells: DataFrame, players: DataFrame, n: int) -> DataFrame:
     """Cells of roles as cells of numbers: attackers from 0, defenders from n, home at 2 * n."""
     for c in ("i", "j"):
-        # At most MOST_UNKNOWNS players, counted by the caller.
-        number = F.broadcast(players.select(F.col("player").alias(f"_{c}"), F.col("k").alias("_k")))
-        named = cells.join(number, F.col(f"{c}.player") == F.col(f"_{c}"), "left")
+        number = players.select(F.col("player").alias(f"_{c}"), F.col("k").alias("_k"))
+        few = F.broadcast(number) if n <= MOST_UNKNOWNS else number
+        named = cells.join(few, F.col(f"{c}.player") == F.col(f"_{c}"), "left")
         k = F.when(F.col(f"{c}.role") == HOME, 2 * n).otherwise(F.col("_k") + F.col(f"{c}.role") * n)
         cells = named.withColumn(c, k.cast("int")).drop(f"_{c}", "_k")
     return cells.where("i IS NOT NULL AND j IS NOT NULL")
@@ -145,19 +235,12 @@ def _role_sums(ways: DataFrame, players: DataFrame, n: int, targets: dict[str, t
     return settled(_numbered(cells, players, n)), totals
 
 
-def _counted(players: DataFrame) -> int:
-    n = players.count()
-    if 2 * n + 1 > MOST_UNKNOWNS:
-        raise ValueError(f"{n} players; at most {(MOST_UNKNOWNS - 1) // 2} are solved on the driver")
-    return n
-
-
 def player_impact(stints: DataFrame, players: DataFrame, folds: DataFrame, lambdas=LAMBDAS) -> DataFrame:
     """(player, offence, defence, total) from stints (game, home_ids, away_ids: arrays of five; home_pts, away_pts,
     home_poss, away_poss): two rows a stint, points per 100 possessions, by ridge with folds of games.
 
     players (player, k) numbers the players from 0, others are left out of the fit; folds (game, fold) deals out the games."""
-    n = _counted(players)
+    n = players.count()
     ways = two_ways(stints).join(folds, "game")
     cells, totals = _role_sums(ways, players, n, {"net": (F.col("pts") * 100.0 / F.col("poss"), F.col("poss"))})
     beta, lam, _ = fit(cells, totals, 2 * n + 1, "fold", "net", lambdas, {2 * n: 1.0})
@@ -228,7 +311,7 @@ def six_factors(stints: DataFrame, players: DataFrame, folds: DataFrame, lambdas
     """(player, o_ts, d_ts, ...: each factor's effect in percent, good when positive; o_ts_pts, d_ts_pts, ...: its worth in
     points per 100 possessions; r2) from stints with home_* and away_* ``TALLIES``; games whose factors_match is false have
     no part.  No rows if team games are fewer than 50 or tell under 0.8 of the points."""
-    n = _counted(players)
+    n = players.count()
     ways = two_ways(stints, TALLIES)
     if "factors_match" in ways.columns:
         ways = ways.where("factors_match IS NULL OR factors_match").drop("factors_match")
