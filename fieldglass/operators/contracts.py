@@ -20,7 +20,8 @@ def fold_contracts(events: list[tuple]) -> list[tuple]:
     for day, kind, team in events:
         if kind not in ("waive", "trade", "claim", "sign", "convert_to_standard", "twoway_sign", "convert_to_twoway"):
             continue
-        before = now or (done[-1] if done else None)
+        closed = done[-1] if done else None  # the last spell that had ended before
+        before = now or closed
         if now:
             now[3] = day
             done.append(now)
@@ -30,8 +31,8 @@ def fold_contracts(events: list[tuple]) -> list[tuple]:
         if kind == "trade":
             type_ = now[0] if now else "standard"
         elif kind == "claim":
-            recent = before and before[3] and day - before[3] <= timedelta(days=CLAIM_DAYS)
-            type_ = before[0] if recent else "standard"
+            # A claim goes by the spell that ended before, never by the one that it ends.
+            type_ = closed[0] if closed and day - closed[3] <= timedelta(days=CLAIM_DAYS) else "standard"
         else:
             type_ = "two_way" if "twoway" in kind else "standard"
         now = [type_, team or (before[1] if before and kind not in ("trade", "claim") else None), day, None]

@@ -101,3 +101,10 @@ def percentile_rank(df: DataFrame, group: list[str], value: str, higher_is_worse
     share = F.round(100.0 * below / F.nullif(F.count(F.lit(1)).over(w) - 1, F.lit(0)), 0)
     share = F.greatest(F.lit(0.0), F.least(F.lit(100.0), share))
     return df.withColumn("percentile", (100.0 - share) if higher_is_worse else share)
+
+
+def sampled(df: DataFrame, key: list[str], n: int, seed: int = 7) -> DataFrame:
+    """Exactly n rows (all, if there are fewer), the same ones however the rows are dealt out: those of the least hashes of
+    seed and key.  Each task keeps its n least before anything travels."""
+    text = F.concat_ws(":", F.lit(str(seed)), *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key))
+    return df.withColumn("_order", F.md5(text)).orderBy("_order", *key).limit(n).drop("_order")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from fieldglass.operators import merge as M
 from fieldglass.operators import identity as I
-from fieldglass.plans.registry import GAMES, games, query
+from fieldglass.plans.registry import BOX, GAMES, box, games, query
 from fieldglass.sources import lake, schedule
 
 _OLD = "old AS (SELECT game, entity, kind, cents, day FROM games WHERE game % 3 <> 0), new AS (SELECT game, entity, 'N' AS kind, CASE WHEN game % 7 = 0 THEN NULL ELSE cents + 1 END AS cents, day FROM games WHERE game % 2 = 0)"
@@ -126,3 +128,20 @@ def schedule_rows(t):
     payload = F.to_json(F.struct(F.struct(F.array(F.struct(F.col("day").cast("string").alias("gameDate"), "games")).alias("gameDates")).alias("leagueSchedule")))
     got = schedule.rows(days.select(payload.alias("payload")), "payload")
     return got.select("game_id", "season", "season_type", "game_date", "status", "home_name", F.col("home_score").cast("bigint").alias("home_score"))
+
+
+_HOT_COLD = """SELECT season, g.kind, count(DISTINCT g.game) AS games, count(*) AS lines, sum(pts)::BIGINT AS pts
+FROM (SELECT game, season, kind FROM {cold}.games UNION ALL SELECT game, season, kind FROM {hot}.games) g JOIN {cold}.lines l ON l.game = g.game GROUP BY season, g.kind"""
+
+
+@query(f"WITH {BOX} SELECT season, kind, count(DISTINCT game) AS games, count(*) AS lines, sum(pts)::BIGINT AS pts FROM box GROUP BY season, kind")
+def hot_and_cold_schemas(t):
+    """SQL over two named stores: the last seasons are hot, the others archived by season."""
+    g = games(t).select("game", "season", "kind")
+    spark, at = g.sparkSession, f"{lake.shared_folder(g.sparkSession)}/fieldglass/stores-{uuid.uuid4().hex}"
+    lake.write_product(g.where("season >= 1997"), f"{at}/hot/games")
+    lake.write_product(g.where("season < 1997"), f"{at}/cold/games", ["season"])
+    lake.write_product(box(t).select("game", "pts"), f"{at}/cold/lines")
+    lake.catalogued(spark, "hot", {"games": f"{at}/hot/games"})
+    lake.catalogued(spark, "cold", {x: f"{at}/cold/{x}" for x in ("games", "lines")})
+    return spark.sql(_HOT_COLD.format(hot="hot", cold="cold").replace("::BIGINT", ""))

@@ -244,13 +244,25 @@ def older_stints(t):
         got.where("problem IS NOT NULL").select("game_id", F.lit(True).alias("failed")).distinct(), allowMissingColumns=True)
 
 
-_EVENTS = "e AS (SELECT user_id::VARCHAR AS player_id, ts::DATE AS date, event_id AS seq, CASE event_type WHEN 'signup' THEN 'sign' WHEN 'purchase' THEN 'trade' WHEN 'error' THEN 'waive' END AS kind, 'T' || (event_id % 5) AS team FROM events WHERE event_type IN ('signup', 'purchase', 'error'))"
-
-
-@query(f"WITH {_EVENTS}, w AS (SELECT *, lead(date) OVER o AS next_date FROM e WINDOW o AS (PARTITION BY player_id ORDER BY date, seq)) SELECT player_id, 'standard' AS type, team, date AS start_date, next_date AS end_date FROM w WHERE kind <> 'waive'")
+_SPELL_KINDS = (("signup", "sign"), ("purchase", "trade"), ("error", "waive"), ("click", "claim"), ("view", "twoway_sign"))
+_EVENTS = "e AS (SELECT user_id::VARCHAR AS player_id, ts::DATE AS date, event_id AS seq, CASE event_type " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _SPELL_KINDS) + " END AS kind, 'T' || (event_id % 5) AS team FROM events)"
+
+
+# Spells begin with every event but a waiver and end with the next one.  A trade carries the kind of the spell that it ends on;
+# a claim looks at the spell that had ended before: the one that a waiver ended, or the one before the open one.
+@query(f"""WITH RECURSIVE {_EVENTS}, n AS (SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY date, seq) AS k FROM e),
+f AS (
+  SELECT player_id, k, date, kind, team, CASE WHEN kind = 'waive' THEN NULL WHEN kind = 'twoway_sign' THEN 'two_way' ELSE 'standard' END AS open, NULL::VARCHAR AS last, NULL::DATE AS last_end FROM n WHERE k = 1
+  UNION ALL
+  SELECT n.player_id, n.k, n.date, n.kind, n.team,
+         CASE n.kind WHEN 'waive' THEN NULL WHEN 'sign' THEN 'standard' WHEN 'twoway_sign' THEN 'two_way' WHEN 'trade' THEN coalesce(f.open, 'standard')
+              ELSE CASE WHEN f.last IS NOT NULL AND n.date - f.last_end <= 7 THEN f.last ELSE 'standard' END END,
+         coalesce(f.open, f.last), CASE WHEN f.open IS NULL THEN f.last_end ELSE n.date END
+  FROM f JOIN n ON n.player_id = f.player_id AND n.k = f.k + 1)
+SELECT player_id, open AS type, team, date AS start_date, lead(date) OVER (PARTITION BY player_id ORDER BY k) AS end_date FROM f QUALIFY open IS NOT NULL""")
 def contract_intervals(t):
-    kind = F.create_map(*(F.lit(x) for p in (("signup", "sign"), ("purchase", "trade"), ("error", "waive")) for x in p))[F.col("event_type")]
-    e = t("events").where(kind.isNotNull()).select(F.col("user_id").cast("string").alias("player_id"), F.to_date("ts").alias("date"), F.col("event_id").alias("seq"), kind.alias("kind"), F.concat(F.lit("T"), F.col("event_id") % 5).alias("team"))
+    kind = F.create_map(*(F.lit(x) for p in _SPELL_KINDS for x in p))[F.col("event_type")]
+    e = t("events").select(F.col("user_id").cast("string").alias("player_id"), F.to_date("ts").alias("date"), F.col("event_id").alias("seq"), kind.alias("kind"), F.concat(F.lit("T"), F.col("event_id") % 5).alias("team"))
     return contracts.intervals(e)
 
 

@@ -279,3 +279,9 @@ def set_ops(t):
 def top_k(t):
     """A report of the 25 highest balances."""
     return _balances(t).select("id", "v").orderBy(F.col("v").desc(), "id").limit(25)
+
+
+@query("SELECT o_orderkey AS game, o_custkey AS entity, o_orderstatus AS kind FROM orders ORDER BY md5('7:' || o_orderkey), o_orderkey LIMIT 300")
+def sample_rows(t):
+    """A sample of exactly 300 games."""
+    return W.sampled(games(t), ["game"], 300).select("game", "entity", "kind")

@@ -42,6 +42,21 @@ def optional_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast(t) for c, t in columns.items() if c not in df.columns})
 
 
+def catalogued(spark: SparkSession, schema: str, tables: dict[str, str]) -> None:
+    """Parquet tables by name under a schema of the session's catalogue, so that SQL reads ``schema.name``; columns that some
+    files lack are null.  A schema stands for one store, as hot or cold; tables of the same name are replaced."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
+    for name, path in tables.items():
+        spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{name}`")
+        spark.catalog.createTable(f"`{schema}`.`{name}`", path, "parquet", spark.read.option("mergeSchema", True).parquet(path).schema)
+
+
+def uncatalogued(spark: SparkSession, *schemas: str) -> None:
+    """Schemas taken out of the catalogue again; their files stay."""
+    for schema in schemas:
+        spark.sql(f"DROP SCHEMA IF EXISTS `{schema}` CASCADE")
+
+
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 

@@ -101,6 +101,9 @@ def test_contracts():
     day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(n)
     assert contracts.fold_contracts([(day(0), "twoway_sign", "A"), (day(5), "waive", "A"), (day(12), "claim", "B")]) == [("two_way", "A", day(0), day(5)), ("two_way", "B", day(12), None)]
     assert contracts.fold_contracts([(day(0), "twoway_sign", "A"), (day(5), "waive", "A"), (day(13), "claim", "B")])[-1][0] == "standard"
+    # A claim that ends a spell goes by the one before it, if that ended within a week.
+    assert contracts.fold_contracts([(day(0), "twoway_sign", "A"), (day(31), "claim", "B")]) == [("two_way", "A", day(0), day(31)), ("standard", "B", day(31), None)]
+    assert contracts.fold_contracts([(day(0), "twoway_sign", "A"), (day(3), "sign", "A"), (day(5), "claim", "B")])[-1] == ("two_way", "B", day(5), None)
     assert contracts.fold_contracts([(day(0), "sign", "A"), (day(3), "trade", "B"), (day(4), "convert_to_twoway", None)]) == [("standard", "A", day(0), day(3)), ("standard", "B", day(3), day(4)), ("two_way", "B", day(4), None)]
 
 
