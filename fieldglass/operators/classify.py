@@ -1,11 +1,7 @@
-"""Ordered text classifiers: transactions, moves, injury reasons; and tables out of pages."""
+"""Ordered text classifiers: transactions, moves, injury reasons; and links of pages."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from html.parser import HTMLParser
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -143,45 +139,6 @@ def injury_reason(df: DataFrame, text: str) -> DataFrame:
     return d.withColumn("injury", F.coalesce(kind, F.when(F.col("region") == "illness", "illness"))).drop("_low", "_body")
 
 
-class _Cells(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.table, self.row, self.rows, self.cell = -1, -1, [], None
-
-    def handle_starttag(self, tag, attrs) -> None:
-        if tag == "table":
-            self.table, self.row = self.table + 1, -1
-        elif tag == "tr":
-            self.row, self.at = self.row + 1, -1
-        elif tag in ("td", "th") and self.row >= 0:
-            self.at, self.cell = self.at + 1, []
-
-    def handle_data(self, data) -> None:
-        if self.cell is not None:
-            self.cell.append(data)
-
-    def handle_endtag(self, tag) -> None:
-        if tag in ("td", "th") and self.cell is not None:
-            self.rows.append((self.table, self.row, self.at, " ".join("".join(self.cell).split())))
-            self.cell = None
-
-
-def table_cells(pages: DataFrame, key: str, html: str) -> DataFrame:
-    """(key, table_no, row_no, cell_no, text) of every table cell of every page, those in comments too."""
-    kind = pages.schema[key].dataType.simpleString()
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for k, page in zip(pdf[key], pdf[html], strict=True):
-                parser = _Cells()
-                parser.feed((page or "").replace("<!--", "").replace("-->", ""))
-                rows += [(k, *x) for x in parser.rows]
-            yield pd.DataFrame(rows, columns=[key, "table_no", "row_no", "cell_no", "text"])
-
-    return pages.select(key, html).mapInPandas(run, f"{key} {kind}, table_no int, row_no int, cell_no int, text string")
-
-
 def links(pages: DataFrame, key: str, html: str) -> DataFrame:
     """(key, position, href) of every link."""
     found = F.regexp_extract_all(F.col(html), F.lit(r'href="([^"]*)"'), F.lit(1))

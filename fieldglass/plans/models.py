@@ -10,7 +10,8 @@ from fieldglass.operators import games as G
 from fieldglass.operators import identity as I
 from fieldglass.operators import models as R
 from fieldglass.operators.classify import TRANSACTIONS
-from fieldglass.plans.registry import BOX, GAMES, box, games, query
+from fieldglass.plans.registry import BOX, GAMES, TWO, box, games, query, two_teams
+from fieldglass.sources import pages
 
 
 @query("WITH s AS (SELECT l_returnflag AS flag, l_quantity::DOUBLE AS x, l_extendedprice / 1000 AS y, (1 + l_linenumber)::DOUBLE AS w FROM lineitem), a AS (SELECT flag, count(*) AS n, sum(w) AS w, sum(w*x) AS x, sum(w*y) AS y, sum(w*x*x) AS xx, sum(w*x*y) AS xy, sum(w*y*y) AS yy FROM s GROUP BY 1) SELECT flag, n, round((xy - x*y/w) / (xx - x*x/w), 6) AS slope, round((y - (xy - x*y/w) / (xx - x*x/w) * x) / w, 4) AS intercept, round(pow(xy - x*y/w, 2) / ((xx - x*x/w) * (yy - y*y/w)), 6) AS r2 FROM a")
@@ -417,9 +418,37 @@ def html_links(t):
     return classify.links(t("pages"), "page_id", "html")
 
 
-@query()
+def _box_pages(t):
+    """Box pages of the games of two teams: a table for either, the away one within a comment; who had no rebound didn't
+    play, and a line that parts the table follows whoever had more than five turnovers."""
+    lines = two_teams(t)
+    cell = lambda stat, x: F.concat(F.lit(f'<td data-stat="{stat}">'), x, F.lit("</td>"))
+    text = lambda c: F.col(c).cast("string")
+    played = F.concat(cell("mp", F.concat(text("mp"), F.lit(":0"), text("orb"))), cell("pts", text("pts")), cell("orb", text("orb")))
+    body = F.when(F.col("orb") == 0, F.concat(F.lit('<td data-stat="reason" colspan="3">Line '), text("line"), F.lit("</td>"))).otherwise(played)
+    row = F.concat(F.lit('<tr><th data-stat="player" data-append-csv="'), text("player"), F.lit('">P <i>'), text("player"), F.lit("</i></th>"), body, F.lit("</tr>"), F.when(F.col("tov") > 5, '<tr class="over thead"><th>Reserves</th></tr>').otherwise(""))
+    side = F.when(F.col("team") == F.col("home"), "HOM").otherwise("AWY")
+    # A game has at most seven lines.
+    rows = lines.groupBy("game", side.alias("side")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "player", "pts", "mp", row.alias("row")))), lambda x: x["row"]), "").alias("rows"))
+    table = F.concat(F.lit('<table id="box-'), F.col("side"), F.lit('-game-basic"><thead><tr><th rowspan=1>Who</th><th colspan=3>What</th></tr></thead><tbody>'), F.col("rows"), F.lit("</tbody></table>"))
+    hidden = F.when(F.col("side") == "AWY", F.concat(F.lit("<!-- "), table, F.lit(" -->"))).otherwise(table)
+    return rows.groupBy("game").agg(F.concat(F.lit("<html><body>"), F.array_join(F.array_sort(F.collect_list(hidden)), "<hr>"), F.lit("</body></html>")).alias("html")).withColumn("home", F.lit("HOM"))
+
+
+_PAGES = f"WITH {TWO}, p AS (SELECT *, CASE WHEN team = home THEN 'HOM' ELSE 'AWY' END AS side, row_number() OVER w AS n, coalesce(sum((tov > 5)::INTEGER) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS parts, sum((orb <> 0)::INTEGER) OVER w AS nth FROM two WINDOW w AS (PARTITION BY game, team ORDER BY line, player, pts, mp))"
+
+
+@query(f"{_PAGES} SELECT game, 'box-' || side || '-game-basic' AS table_id, (n + parts)::INTEGER AS row_no, 'P ' || player AS text, true AS header FROM p UNION ALL SELECT game, 'box-' || side || '-game-basic', (n + parts + 1)::INTEGER, 'Reserves', true FROM p WHERE tov > 5 UNION ALL SELECT DISTINCT game, 'box-' || side || '-game-basic', 0, 'Who', true FROM p")
 def html_table_cells(t):
-    return classify.table_cells(t("pages"), "page_id", "html")
+    """The first cells of all rows of the box pages' tables."""
+    return pages.cells(_box_pages(t), ["game"], "html").where("col_no = 0").select("game", "table_id", "row_no", "text", "header")
+
+
+@query(f"{_PAGES} SELECT game, side AS team, CASE side WHEN 'HOM' THEN 'AWY' ELSE 'HOM' END AS opponent, side = 'HOM' AS is_home, player::VARCHAR AS player, orb <> 0 AND parts = 0 AND nth <= 5 AS started, orb <> 0 AS played, CASE WHEN orb = 0 THEN 'Line ' || line END AS dnp_reason, CASE WHEN orb <> 0 THEN (mp * 60 + orb)::INTEGER END AS seconds_played, CASE WHEN orb <> 0 THEN orb::INTEGER END AS orb, CASE WHEN orb <> 0 THEN pts::INTEGER END AS pts FROM p")
+def box_page_lines(t):
+    """Players' lines read off the box pages."""
+    lines = pages.box_lines(pages.cells(_box_pages(t), ["game", "home"], "html"), ["game"], "home")
+    return lines.select("game", "team", "opponent", "is_home", "player", "started", "played", "dnp_reason", "seconds_played", "orb", "pts")
 
 
 @query("SELECT doc_id, length(text) AS n FROM documents WHERE text IS NOT NULL")
