@@ -11,7 +11,7 @@ from fieldglass.operators import identity as I
 from fieldglass.operators import models as R
 from fieldglass.operators.classify import TRANSACTIONS
 from fieldglass.plans.registry import BOX, GAMES, TWO, box, games, query, two_teams
-from fieldglass.sources import pages
+from fieldglass.sources import feeds, pages
 
 
 @query("WITH s AS (SELECT l_returnflag AS flag, l_quantity::DOUBLE AS x, l_extendedprice / 1000 AS y, (1 + l_linenumber)::DOUBLE AS w FROM lineitem), a AS (SELECT flag, count(*) AS n, sum(w) AS w, sum(w*x) AS x, sum(w*y) AS y, sum(w*x*x) AS xx, sum(w*x*y) AS xy, sum(w*y*y) AS yy FROM s GROUP BY 1) SELECT flag, n, round((xy - x*y/w) / (xx - x*x/w), 6) AS slope, round((y - (xy - x*y/w) / (xx - x*x/w) * x) / w, 4) AS intercept, round(pow(xy - x*y/w, 2) / ((xx - x*x/w) * (yy - y*y/w)), 6) AS r2 FROM a")
@@ -473,3 +473,38 @@ def clock_parse(t):
     return x.select(F.col("l_orderkey").alias("game"), F.col("l_linenumber").cast("bigint").alias("line"), T.iso_clock_seconds(iso).alias("seconds"))
 
 
+
+
+@query(f"WITH {TWO} SELECT game, player::VARCHAR AS person, team = home AS is_home, CASE WHEN team = home THEN home ELSE away END::VARCHAR AS team, CASE WHEN team = home THEN away ELSE home END::VARCHAR AS opponent, 'P ' || player AS name, line <= 3 AS started, orb <> 0 AS played, CASE WHEN orb = 0 THEN CASE WHEN tov = 0 THEN 'Did Not Play' ELSE 'Line ' || line END END AS dnp_reason, CASE WHEN orb <> 0 THEN (mp * 60 + orb)::INTEGER END AS seconds_played, CASE WHEN orb <> 0 THEN pts::INTEGER END AS pts, tov::INTEGER AS tov, (tov - orb)::INTEGER AS plus_minus FROM two")
+def feed_box_lines(t):
+    """Box lines of payloads without a fixed schema, one for each game of two teams; who had no rebound didn't play."""
+    played = F.col("orb") != 0
+    minutes = F.when(played, F.concat(F.col("mp").cast("string"), F.lit(":0"), F.col("orb").cast("string"))).otherwise("")
+    stats = F.struct(minutes.alias("minutes"), F.when(played, F.col("pts")).alias("points"), F.col("tov").alias("turnovers"), (F.col("tov") - F.col("orb")).cast("double").alias("plusMinusPoints"))
+    comment = F.when(F.col("tov") != 0, F.concat(F.lit(" Line "), F.col("line").cast("string")))
+    one = F.struct(F.col("player").alias("personId"), F.lit("P").alias("firstName"), F.col("player").cast("string").alias("familyName"), F.when(F.col("line") <= 3, "G").otherwise(" ").alias("position"), comment.alias("comment"), stats.alias("statistics"))
+    team = lambda c: F.struct(F.first(c).cast("string").alias("teamTricode"), F.collect_list(F.when(F.col("team") == F.col(c), one)).alias("players")).alias(f"{c}Team")
+    # A game has at most seven lines.
+    payloads = two_teams(t).groupBy("game").agg(F.to_json(F.struct(F.struct(team("home"), team("away")).alias("boxScoreTraditional"))).alias("payload"))
+    lines = feeds.traditional_lines(payloads, ["game"], "payload")
+    return lines.select("game", "person", "is_home", "team", "opponent", "name", "started", "played", "dnp_reason", "seconds_played", "pts", "tov", "plus_minus")
+
+
+_ACTS = """a AS (SELECT strftime(ts, '%Y-%m-%d') || '-' || user_id % 8 AS game, event_id AS n, event_type AS e, json_extract_string(props, '$.k')::BIGINT AS k FROM events),
+s AS (SELECT *, k % 10 + 1 AS person, n % 3 = 0 AS made, CASE e WHEN 'click' THEN 2 WHEN 'view' THEN 3 WHEN 'purchase' THEN 1 ELSE 0 END AS pts FROM a)"""
+
+
+@query(f"WITH {_ACTS} SELECT game, n AS action_id, person, CASE WHEN e IN ('click', 'view') THEN CASE WHEN made THEN 'Made Shot' ELSE 'Missed Shot' END WHEN e = 'purchase' THEN 'Free Throw' WHEN e = 'signup' THEN 'Turnover' ELSE 'Foul' END AS kind, CASE WHEN e IN ('click', 'view') THEN CASE WHEN k % 2 = 0 THEN 'Running Layup Shot' ELSE 'Layup Shot' END WHEN e = 'purchase' THEN 'Free Throw 1 of 2' WHEN e = 'signup' THEN CASE WHEN k % 2 = 0 THEN '3 Second Violation' ELSE 'Bad Pass' END ELSE 'Loose Ball' END AS sub_kind, CASE WHEN person <= 5 THEN 'h' ELSE 'v' END AS location, CASE WHEN e IN ('click', 'view', 'purchase') THEN CASE WHEN made THEN 'Made' ELSE 'Missed' END ELSE '' END AS result, CASE WHEN made AND pts > 0 THEN (sum(CASE WHEN made THEN pts ELSE 0 END) OVER (PARTITION BY game, person ORDER BY n))::BIGINT END AS points_total FROM s")
+def feed_actions(t):
+    """Actions of payloads in the older feed's words: a day's events of some users each are a game."""
+    k, kind = F.get_json_object("props", "$.k").cast("bigint"), F.col("event_type")
+    person, shot = k % 10 + 1, kind.isin("click", "view")
+    types = F.create_map(*(F.lit(x) for p in (("click", "2pt"), ("view", "3pt"), ("purchase", "freethrow"), ("signup", "turnover"), ("error", "foul")) for x in p))[kind]
+    sub = F.when(shot, "layup").when(kind == "purchase", "1of2").when(kind == "signup", F.when(k % 2 == 0, "3-second-violation").otherwise("bad pass")).otherwise("personal")
+    more = F.when(shot & (k % 2 == 0), "running").when(kind == "error", "loose ball")
+    result = F.when(F.col("event_id") % 3 == 0, ": Made").otherwise("Missed")
+    act = F.struct(F.col("event_id").alias("orderNumber"), (-F.col("event_id")).alias("actionNumber"), types.alias("actionType"), sub.alias("subType"), more.alias("descriptor"), result.alias("shotResult"), person.alias("personId"), F.when(person <= 5, 10).otherwise(20).alias("teamId"))
+    # A game is an eighth of a day; its payload is one text, as the feed sends it.
+    payloads = t("events").groupBy(game_of_day().alias("game")).agg(F.to_json(F.struct(F.struct(F.collect_list(act).alias("actions")).alias("game"))).alias("payload")).withColumn("home", F.lit(10))
+    got = feeds.translated(payloads, ["game"], "payload", "home")
+    return got.select("game", "action_id", "person", "kind", "sub_kind", "location", "result", "points_total")
