@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from fieldglass.functions import text as T
-from fieldglass.operators import box_metrics, classify, contracts, older_feed, transactions
+from fieldglass.operators import box_metrics, classify, contracts, older_feed, service_years, transactions
 from fieldglass.operators import games as G
 from fieldglass.operators import identity as I
 from fieldglass.operators import models as R
@@ -508,3 +510,49 @@ def feed_actions(t):
     payloads = t("events").groupBy(game_of_day().alias("game")).agg(F.to_json(F.struct(F.struct(F.collect_list(act).alias("actions")).alias("game"))).alias("payload")).withColumn("home", F.lit(10))
     got = feeds.translated(payloads, ["game"], "payload", "home")
     return got.select("game", "action_id", "person", "kind", "sub_kind", "location", "result", "points_total")
+
+
+_CAREERS = f"""{GAMES},
+days AS (SELECT entity AS player, season || '-' || lpad(((season + 1) % 100)::VARCHAR, 2, '0') AS season, 'T' || game % 3 AS team, day, year(day) AS y FROM (SELECT game, entity, day, year(day) - CASE WHEN month(day) < 7 THEN 1 ELSE 0 END AS season FROM games WHERE kind = 'F')),
+spells AS (SELECT entity AS player, CASE WHEN priority = '1-URGENT' THEN 'standard' ELSE 'two_way' END AS type, 'T' || game % 3 AS team, day AS s, day + 200 AS e, year(day) - CASE WHEN month(day) < 7 THEN 1 ELSE 0 END AS y FROM games WHERE priority IN ('1-URGENT', '2-HIGH')),
+bounds AS (SELECT y || '-' || lpad(((y + 1) % 100)::VARCHAR, 2, '0') AS season, y, make_date(y, 10, 20) AS a, make_date(y + 1, 6, 10) AS b FROM (SELECT unnest(range(1991, 1999)) AS y)),
+each AS (SELECT d.player, b.season, d.team, EXISTS (SELECT 1 FROM spells s WHERE s.type = 'two_way' AND s.player = d.player AND s.team = d.team AND s.s <= d.day AND s.e >= d.day AND s.s <= b.b AND s.e >= b.a) AS tw FROM days d JOIN bounds b USING (season)),
+g AS (SELECT player, season, count(*) FILTER (NOT tw) AS std_games, count(*) FILTER (tw) AS tw_games FROM each GROUP BY 1, 2),
+here AS (SELECT s.player, b.season, s.type, s.team FROM spells s JOIN bounds b ON b.y = s.y AND s.s <= b.b AND s.e >= b.a),
+tm AS (SELECT player, season, list_sort(list(DISTINCT team)) AS teams FROM (SELECT player, season, team FROM each WHERE tw UNION SELECT player, season, team FROM here WHERE type = 'two_way') GROUP BY 1, 2),
+r AS (SELECT k.player, k.season, coalesce(std_games, 0) AS std_games, coalesce(tw_games, 0) AS tw_games, coalesce(teams, []) AS teams, CASE WHEN std_games > 0 THEN 'games' WHEN EXISTS (SELECT 1 FROM here h WHERE h.player = k.player AND h.season = k.season AND h.type = 'standard') THEN 'contract' END AS how
+      FROM (SELECT DISTINCT player, season FROM days JOIN bounds USING (season)) k LEFT JOIN g USING (player, season) LEFT JOIN tm USING (player, season))"""
+
+
+def _careers(t):
+    """Careers of entities: finished games are days, urgent and high ones contracts of 200 days."""
+    g = games(t)
+    team = F.concat(F.lit("T"), (F.col("game") % 3).cast("string"))
+    days = g.where("kind = 'F'").select(F.col("entity").alias("player"), service_years.league_year(F.col("day")).alias("season"), team.alias("team"), "day")
+    type_ = F.when(F.col("priority") == "1-URGENT", service_years.STANDARD).otherwise(service_years.TWO_WAY)
+    spells = g.where("priority IN ('1-URGENT', '2-HIGH')").select(F.col("entity").alias("player"), type_.alias("type"), team.alias("team"), F.col("day").alias("start"), F.date_add("day", 200).alias("end"))
+    spark = g.sparkSession
+    year = F.col("id").cast("int")
+    bounds = spark.range(1991, 1999).select(service_years.season_of_year(year).alias("season"), F.make_date(year, F.lit(10), F.lit(20)).alias("first"), F.make_date(year + 1, F.lit(6), F.lit(10)).alias("last"))
+    return service_years.service(days, spells, spark.createDataFrame([], "player bigint, team string"), bounds, "1997-98", date(1998, 1, 1))
+
+
+@query(f"WITH {_CAREERS} SELECT player, season, std_games, tw_games, array_to_string(teams, ',') AS tw_teams, how FROM r")
+def service_seasons(t):
+    """Seasons of service with what they count for."""
+    return _careers(t)[0].select("player", "season", "std_games", "tw_games", F.array_join("tw_teams", ",").alias("tw_teams"), "how")
+
+
+@query(f"""WITH {_CAREERS},
+c AS (SELECT player, list_sort(list(season) FILTER (season < '1997-98' AND how IS NOT NULL)) AS counted, count(*) FILTER (season < '1997-98' AND how IS NOT NULL) AS yos, count(*) FILTER (season <= '1997-98' AND how IS NOT NULL) AS yos_next,
+      count(*) FILTER (len(teams) > 0) AS tw_seasons, coalesce(bool_or(season < '1997-98' AND how = 'contract' AND std_games = 0 AND tw_games = 0), false) AS idle, coalesce(bool_or(season < '1997-98' AND how IS NULL AND len(teams) > 0), false) AS only_tw FROM r GROUP BY 1),
+x AS (SELECT player, string_agg(team, ',' ORDER BY team) AS blocked FROM (SELECT player, team FROM (SELECT player, unnest(teams) AS team FROM r) GROUP BY 1, 2 HAVING count(*) >= 3) GROUP BY 1),
+p AS (SELECT DISTINCT player FROM (SELECT player FROM days UNION SELECT player FROM spells))
+SELECT player, coalesce(yos, 0) AS yos, coalesce(yos_next, 0) AS yos_next, coalesce(tw_seasons, 0) AS tw_seasons, coalesce(blocked, '') AS blocked,
+       CASE WHEN coalesce(yos, 0) <= 2 THEN 'eligible' WHEN yos = 3 THEN 'one_year' WHEN yos = 4 AND idle THEN 'exception' ELSE 'ineligible' END AS status,
+       CASE WHEN yos BETWEEN 1 AND 5 THEN 'medium' ELSE 'high' END AS confidence,
+       ((yos BETWEEN 1 AND 5)::INTEGER + (yos BETWEEN 1 AND 5 AND counted[-1][:4]::INTEGER - counted[1][:4]::INTEGER + 1 > yos)::INTEGER + (yos = 4 AND idle)::INTEGER + only_tw::INTEGER) AS n_notes
+FROM p LEFT JOIN c USING (player) LEFT JOIN x USING (player)""".replace("AS n_notes", "AS n_notes_").replace("SELECT player, coalesce(yos, 0) AS yos", "SELECT * EXCLUDE n_notes_, coalesce(n_notes_, 0) AS n_notes FROM (SELECT player, coalesce(yos, 0) AS yos") + ")")
+def service_years_assessed(t):
+    """What the seasons of service make a player eligible for; all of these are before contract records begin."""
+    return _careers(t)[1].select("player", "yos", "yos_next", "tw_seasons", F.array_join("blocked", ",").alias("blocked"), "status", "confidence", F.size("notes").alias("n_notes"))
