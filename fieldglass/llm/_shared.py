@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a numpy kernel works on at once; temporaries take some tens of bytes per byte.
@@ -90,6 +90,11 @@ def free(df: DataFrame, name: str) -> str:
     return name
 
 
+def quoted(name: str) -> Column:
+    """The column of that name, whatever signs it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """batch in runs of rows whose text in column is about limit bytes; a longer text is a run of its own."""
     sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)

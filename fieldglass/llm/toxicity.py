@@ -17,11 +17,16 @@ The backoff is the same in both models but for factors of the stem, so the log-r
 has is that of its stem, and of such a stem a constant.  Scoring thus needs the words and stems of labelled documents
 alone, one number each, and no bucket is shared: what is broadcast grows with the vocabulary of at most ``LABELLED``
 documents.
-Labels of at most ``LABELLED`` rows, those of the least hashes if there are more, are broadcast as sorted ids; a
-sixteenth part of these rows, kept out of the counts, fits the curve.
-
-Defined results: null and empty texts have no evidence and get the curve's value there; repeated rows get the same score;
-of several labels of a doc_id the highest counts, null ones don't; without labels of both classes every score is 0.
+Labels of at most ``LABELLED`` rows, those of the least hashes if there are more, are broadcast as sorted ids.  All of them
+count, and all fit the curve, by halves: the evidence of the documents of one half comes from models of the other half's
+labels, so no document tells of itself, however few there are.  The curve is found by Newton's method, whose sums are
+aggregates of the stored evidence.  No evidence counts against what it tells of: a term whose weight would be negative is
+left out.  If a half lacks a class, only the other half's documents fit; if neither has evidence of both classes, the curve
+is the difference of the mean log-likelihoods as it is, with the odds of the labels.
+
+Defined results: null and empty texts have no evidence and get the curve's value there; very long texts are worked on whole,
+a text at a time; repeated rows get the same score; of several labels of a doc_id the highest counts, null ones don't; without
+labels of both classes every score is 0; columns of docs named as the query's own are replaced, others are kept as they are.
 """
 
 from __future__ import annotations
@@ -34,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldglass.llm import _kernels as K
-from fieldglass.llm._shared import Tables, slices
+from fieldglass.llm._shared import Tables, quoted, slices
 
 STEM = 6
 DISCOUNT = 0.75
@@ -42,8 +47,9 @@ MARGIN = 2.0
 LABELLED = 1_000_000
 CUT = 0.3
 _CLASSES = ("toxic", "ordinary")
-_COUNTS = "word long, stem long, total long, toxic long, ordinary long"
-_TYPES = [("word", pa.int64()), ("stem", pa.int64()), ("total", pa.int64()), ("toxic", pa.int64()), ("ordinary", pa.int64())]
+#: Counts by half of the labels and class: ordinary and toxic ones of the first half, then of the second.
+_KINDS = ("ordinary_0", "toxic_0", "ordinary_1", "toxic_1")
+_COUNTS = ", ".join(f"{c} long" for c in ("word", "stem", "total", *_KINDS))
 
 
 def expressions(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -57,11 +63,11 @@ def expressions(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Labels:
-    """Labels by doc_id: 1 toxic, 0 ordinary, -1 none."""
+    """Kinds of label by doc_id, by their place in ``_KINDS``; -1 none."""
 
-    def __init__(self, ids: np.ndarray, toxic: np.ndarray) -> None:
+    def __init__(self, ids: np.ndarray, toxic: np.ndarray, half: np.ndarray) -> None:
         order = np.argsort(ids, kind="stable")
-        self.ids, self.toxic = ids[order], toxic[order].astype(np.int8)
+        self.ids, self.kind = ids[order], (toxic + 2 * half)[order].astype(np.int8)
 
     def of(self, doc_ids: pa.Array) -> np.ndarray:
         if not len(self.ids):
@@ -69,24 +75,23 @@ class Labels:
         ids = doc_ids.fill_null(0).to_numpy(zero_copy_only=False)
         k = np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
         known = (self.ids[k] == ids) & doc_ids.is_valid().to_numpy(zero_copy_only=False)
-        return np.where(known, self.toxic[k], -1)
+        return np.where(known, self.kind[k], -1)
 
 
-def labelled(labels: DataFrame) -> tuple[Labels, Labels]:
-    """Labels for counting, and those that fit the curve, of at most LABELLED rows of labels (doc_id, toxic)."""
+def labelled(labels: DataFrame) -> Labels:
+    """Labels of at most LABELLED rows of labels (doc_id, toxic), dealt out in halves."""
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     n = known.count()
     if n > LABELLED:
         # A threshold that ten deviations more than LABELLED hashes are under, so that no more than these are sorted.
         share = min(1.0, (LABELLED + 10 * LABELLED**0.5) / n)
         known = known.where(F.xxhash64("doc_id") < F.lit(int(share * 2**64) - 2**63 - 1))
-    got = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(16))).toArrow()
-    ids, toxic, fits = (got.column(c).to_numpy() for c in ("doc_id", "toxic", "part"))
-    return Labels(ids[fits > 0], toxic[fits > 0]), Labels(ids[fits == 0], toxic[fits == 0])
+    got = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2))).toArrow()
+    return Labels(*(got.column(c).to_numpy() for c in ("doc_id", "toxic", "half")))
 
 
 def counts(docs: DataFrame, labels: Labels) -> DataFrame:
-    """_COUNTS: how often each word occurs in all documents, in those labelled toxic and in those labelled ordinary."""
+    """_COUNTS: how often each word occurs in all documents, and in those of each kind of label."""
     shared = docs.sparkSession.sparkContext.broadcast(labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,15 +101,15 @@ def counts(docs: DataFrame, labels: Labels) -> DataFrame:
             word, stem, kind, n = (np.concatenate([x[k] for x in held]) for k in range(4))
             distinct, first, which = np.unique(word, return_index=True, return_inverse=True)
             total = np.bincount(which, n, len(distinct))
-            each = [np.bincount(which[kind == k], n[kind == k], len(distinct)) for k in (1, 0)]
+            each = [np.bincount(which[kind == k], n[kind == k], len(distinct)) for k in range(len(_KINDS))]
             held.clear()
-            return pa.RecordBatch.from_arrays([K.i64(distinct), K.i64(stem[first]), *(pa.array(x.astype(np.int64)) for x in (total, *each))], [x for x, _ in _TYPES])
+            return pa.RecordBatch.from_arrays([K.i64(distinct), K.i64(stem[first]), *(pa.array(x.astype(np.int64)) for x in (total, *each))], ["word", "stem", "total", *_KINDS])
 
         for batch in batches:
             for part in slices(batch, "text", 1 << 23):
                 word, stem, at = expressions(part.column("text"))
                 kind = np.repeat(shared.value.of(part.column("doc_id")), np.diff(at))
-                for k in (-1, 0, 1):
+                for k in range(-1, len(_KINDS)):
                     own = word[kind == k]
                     distinct, first, n = np.unique(own, return_index=True, return_counts=True)
                     held.append((distinct, stem[kind == k][first], np.full(len(distinct), k), n))
@@ -116,7 +121,7 @@ def counts(docs: DataFrame, labels: Labels) -> DataFrame:
             yield rows()
 
     each = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _COUNTS)
-    return each.groupBy("word").agg(F.min("stem").alias("stem"), *(F.sum(c).alias(c) for c in ("total", "toxic", "ordinary")))
+    return each.groupBy("word").agg(F.min("stem").alias("stem"), *(F.sum(c).alias(c) for c in ("total", *_KINDS)))
 
 
 def _sorted(got: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -134,12 +139,13 @@ def _found(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.n
 class Model:
     """The log-ratios of the two models by word, exactly, and the curve."""
 
-    def __init__(self, counted: DataFrame) -> None:
+    def __init__(self, counted: DataFrame, halves: tuple[int, ...] = (0, 1)) -> None:
+        """counted: stored ``counts``; halves: those whose labels count."""
+        of = {c: sum(F.col(f"{c}_{h}") for h in halves) for c in _CLASSES}
         with Tables(counted.sparkSession) as own:
-            self._learn(counted, own)
+            self._learn(counted.select("word", "stem", "total", *(x.alias(c) for c, x in of.items())), own)
 
-    def _learn(self, counted: DataFrame, own: Tables) -> None:
-        kept = own.stored(counted, "word-counts")
+    def _learn(self, kept: DataFrame, own: Tables) -> None:
         by_stem = kept.groupBy("stem").agg(F.sum("total").alias("stem_total"), *(F.count_if(F.col(c) > 0).alias(f"stem_{c}") for c in _CLASSES))
         stems = own.stored(by_stem.where("stem_toxic + stem_ordinary > 0"), "stem-counts")
         n = kept.agg(F.sum("total").alias("total"), *(F.sum(c).alias(c) for c in _CLASSES), *(F.count_if(F.col(c) > 0).alias(f"{c}_words") for c in _CLASSES)).first()
@@ -175,42 +181,77 @@ class Model:
     def score(self, evidence: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.curve[0] + evidence @ self.curve[1:], -40, 40)))
 
-    def fit(self, evidence: np.ndarray, toxic: np.ndarray, times: np.ndarray) -> None:
-        """A logistic curve by Newton's method, with a slight pull to 0."""
-        x = np.column_stack((np.ones(len(evidence)), evidence))
-        w = np.zeros(4)
-        for _ in range(50):
-            p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
-            pull = np.diag([1e-6, 1e-2, 1e-2, 1e-2])
-            step = np.linalg.solve((x * (times * p * (1 - p))[:, None]).T @ x + pull + 1e-9 * np.eye(4), x.T @ (times * (toxic - p)) - pull @ w)
+    def fit(self, told: DataFrame) -> None:
+        """The curve from evidence (x, y, z, toxic), by Newton's method with a slight pull to 0; without evidence of both
+        classes, the mean difference as it is, with the odds of the labels."""
+        n, toxic = told.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+        if not 0 < toxic < n:
+            self.curve = np.array([np.log(self.odds), 1.0, 0, 0])
+            return
+        terms = [1, 2, 3]
+        while True:
+            w = self._newton(told, terms)
+            if w.min() >= 0:
+                break
+            terms.remove(1 + int(w.argmin()))
+        self.curve = np.concatenate(([self.start], w))
+
+    def _newton(self, told: DataFrame, terms: list[int]) -> np.ndarray:
+        """Weights of the evidence, 0 of that which isn't among terms; start gets the constant."""
+        on = [0, *terms]
+        x = [F.lit(1.0), F.col("x"), F.col("y"), F.col("z")]
+        pull = np.array([1e-6, 1e-2, 1e-2, 1e-2])[on]
+        w = np.zeros(len(on))
+        for _ in range(40):
+            level = sum(F.lit(float(v)) * x[k] for v, k in zip(w, on, strict=True))
+            p = 1 / (1 + F.exp(-F.greatest(F.least(level, F.lit(40.0)), F.lit(-40.0))))
+            row = told.select("*", p.alias("p")).agg(
+                *(F.sum((F.col("toxic") - F.col("p")) * x[i]).alias(f"g{i}") for i in on),
+                *(F.sum(F.col("p") * (1 - F.col("p")) * x[i] * x[j]).alias(f"h{i}_{j}") for i in on for j in on if i <= j),
+            ).first()
+            slope = np.array([row[f"g{i}"] for i in on])
+            bend = np.array([[row[f"h{min(i, j)}_{max(i, j)}"] for j in on] for i in on])
+            step = np.linalg.solve(bend + np.diag(pull) + 1e-9 * np.eye(len(on)), slope - pull * w)
             w += step
-            if np.abs(step).max() < 1e-8:
+            if np.abs(step).max() < 1e-5:
                 break
-        self.curve = w
+        self.start = w[0]
+        return np.array([w[on.index(k)] if k in on else 0.0 for k in (1, 2, 3)])
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """The models of docs (doc_id, text) by labels (doc_id, toxic)."""
-    for_counts, for_curve = labelled(labels)
-    model = Model(counts(docs, for_counts))
-    if model.known and len(for_curve.ids):
-        chosen = docs.sparkSession.sparkContext.broadcast((for_curve, model))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            labels, model = chosen.value
-            for batch in batches:
-                kind = labels.of(batch.column("doc_id"))
-                own = batch.filter(pa.array(kind >= 0))
-                for part in slices(own, "text"):
-                    x = model.evidence(part.column("text"))
-                    yield pa.RecordBatch.from_arrays([*map(pa.array, x.T.copy()), pa.array(labels.of(part.column("doc_id")).astype(np.int32))], ["x", "y", "z", "toxic"])
-
-        # At most a row of numbers for each of LABELLED / 16 doc_ids: repeats are added up.
-        got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "x double, y double, z double, toxic int").groupBy("x", "y", "z", "toxic").count().toArrow()
-        model.fit(np.stack([got.column(c).to_numpy() for c in ("x", "y", "z")], axis=1), got.column("toxic").to_numpy(), got.column("count").to_numpy())
+    known = labelled(labels)
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    with Tables(docs.sparkSession) as own:
+        kept = own.stored(counts(keyed, known), "word-counts")
+        told = [own.stored(told_by(keyed, known, half, Model(kept, (1 - half,))), f"evidence-{half}") for half in (0, 1)]
+        model = Model(kept)
+        if model.known:
+            model.odds = max(int((known.kind % 2 == 1).sum()), 1) / max(int((known.kind % 2 == 0).sum()), 1)
+            model.fit(told[0].unionByName(told[1]))
     return model
 
 
+def told_by(docs: DataFrame, labels: Labels, half: int, model: Model) -> DataFrame:
+    """(x, y, z, toxic): the evidence of the labelled documents of a half by a model of the other half's labels; none if
+    that knows only one class."""
+    if not model.known:
+        return docs.sparkSession.createDataFrame([], "x double, y double, z double, toxic int")
+    chosen = docs.sparkSession.sparkContext.broadcast((labels, model))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labels, model = chosen.value
+        for batch in batches:
+            kind = labels.of(batch.column("doc_id"))
+            own = batch.filter(pa.array((kind >= 0) & (kind // 2 == half)))
+            for part in slices(own, "text"):
+                x = model.evidence(part.column("text"))
+                yield pa.RecordBatch.from_arrays([*map(pa.array, x.T.copy()), pa.array((labels.of(part.column("doc_id")) % 2).astype(np.int32))], ["x", "y", "z", "toxic"])
+
+    return docs.mapInArrow(run, "x double, y double, z double, toxic int")
+
+
 def rate(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
     """docs' columns, or those in keep, with score and predicted added; columns of these names are replaced."""
     rest = [c for c in keep or docs.columns if c not in ("score", "predicted")]
@@ -223,7 +264,8 @@ def rate(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFr
                 score = own.score(own.evidence(part.column("text"))) if own.known else np.zeros(part.num_rows)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), pa.array(score)], [*rest, "score"])
 
-    scored = docs.select(*dict.fromkeys([*rest, "text"])).mapInArrow(run, docs.select(*rest).schema.add("score", "double"))
+    own = docs.select(*map(quoted, dict.fromkeys([*rest, "text"])))
+    scored = own.mapInArrow(run, own.select(*map(quoted, rest)).schema.add("score", "double"))
     return scored.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
 
 

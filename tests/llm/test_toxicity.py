@@ -40,17 +40,18 @@ def test_labels_of_the_least_hashes(spark, monkeypatch):
 
     monkeypatch.setattr(X, "LABELLED", 300)
     labels = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit(0).alias("quality"), (F.col("id") % 2).cast("int").alias("toxic"))
-    counted, fitted = X.labelled(labels)
+    known = X.labelled(labels)
     want = {r[0] for r in labels.orderBy(F.xxhash64("doc_id")).limit(300).select("doc_id").collect()}
-    assert {*counted.ids.tolist(), *fitted.ids.tolist()} == want and len(counted.ids) + len(fitted.ids) == 300
+    assert set(known.ids.tolist()) == want and len(known.ids) == 300
+    assert all((known.kind // 2 == h).sum() > 100 for h in (0, 1)) and (known.kind % 2 == known.ids % 2).all()
 
 
 def test_counts_are_those_of_all_documents(spark, documents):
     import numpy as np
 
     docs = documents(["a b a", "b c", "c c"])
-    got = X.counts(docs, X.Labels(np.array([0, 1]), np.array([1, 0]))).collect()
-    assert sorted((r["total"], r["toxic"], r["ordinary"]) for r in got) == [(2, 1, 1), (2, 2, 0), (3, 0, 1)]
+    got = X.counts(docs, X.Labels(np.array([0, 1]), np.array([1, 0]), np.array([0, 1]))).collect()
+    assert sorted((r["total"], r["toxic_0"], r["toxic_1"], r["ordinary_0"], r["ordinary_1"]) for r in got) == [(2, 1, 0, 0, 1), (2, 2, 0, 0, 0), (3, 0, 0, 0, 1)]
 
 
 def test_tables_without_documents_or_labels(spark, documents):
@@ -69,7 +70,7 @@ def test_ratios_are_those_of_exact_counts(spark, documents):
 
     rng = random.Random(9)
     texts = [" ".join(rng.choice(["common", "commonly", "commons", "rare", f"only{k}", "commonest", "z"]) for _ in range(20)) for k in range(60)]
-    model = X.Model(X.counts(documents(texts), X.Labels(np.arange(40), np.arange(40) % 4 == 0)))
+    model = X.Model(X.counts(documents(texts), X.Labels(np.arange(40), (np.arange(40) % 4 == 0).astype(int), np.arange(40) % 3 % 2)))
     words = {c: Counter(w for k in range(40) if (k % 4 == 0) == (c == "toxic") for w in texts[k].split()) for c in ("toxic", "ordinary")}
     total = Counter(w for x in texts for w in x.split())
     stems = Counter()
@@ -92,6 +93,40 @@ def test_mild_words_count_for_and_ordinary_words_against(spark, documents):
     import pyarrow as pa
 
     texts = ["mild " * 3 + "plain " * 2 + "both " * 5, "mild " * 1 + "plain " * 4 + "both " * 5] * 20
-    model = X.Model(X.counts(documents(texts), X.Labels(np.arange(40), np.arange(40) % 2 == 0)))
+    model = X.Model(X.counts(documents(texts), X.Labels(np.arange(40), (np.arange(40) % 2 == 0).astype(int), np.arange(40) % 3 % 2)))
     mild, plain, empty = model.evidence(pa.array(["mild mild both", "plain plain both", ""]))
     assert 0 < mild[0] < X.MARGIN and plain[0] < 0 and empty[0] == 0
+
+
+def auc(pairs):
+    """Of (score, label): how often a toxic document scores higher."""
+    toxic, ordinary = ([s for s, t in pairs if t == k] for k in (1, 0))
+    return sum((a > b) + (a == b) / 2 for a in toxic for b in ordinary) / (len(toxic) * len(ordinary))
+
+
+@pytest.mark.parametrize("few", [20, 60])
+def test_few_labels(spark, documents, corpus, few):
+    """Twenty labels, of which some are toxic, tell toxic documents apart; the rest are told by these."""
+    rows, labels = corpus
+    known = [x for x in labels if x[2]][: few // 4] + [x for x in labels if not x[2]][: 3 * few // 4]
+    got = {r["doc_id"]: r["score"] for r in X.rate(documents(rows), X.train(documents(rows), spark.createDataFrame(known, LABELS))).collect()}
+    assert auc([(got[i], t) for i, _, t in labels if (i, 0, t) not in known]) > 0.9
+
+
+def test_a_half_without_a_class(spark, documents, corpus):
+    """One toxic label is in one half, so only that half has evidence; one of each class leaves none of both."""
+    rows, labels = corpus
+    ordinary = [x for x in labels if not x[2]]
+    for known in ([labels[0], *ordinary[:30]], [labels[0], ordinary[0]]):
+        model = X.train(documents(rows), spark.createDataFrame(known, LABELS))
+        assert model.known and model.curve[1:].min() >= 0 and model.curve[1:].max() > 0
+        got = {r["doc_id"]: r["score"] for r in X.rate(documents(rows), model).collect()}
+        assert auc([(got[i], t) for i, _, t in labels]) > 0.6
+
+
+def test_long_texts_and_clashing_columns(spark, documents, corpus):
+    rows, labels = corpus
+    long = (7000, "plain words " * 100_000 + "rotten scoundrel blockhead " * 20_000, "en", "s", 0)
+    docs = documents([*rows, long]).selectExpr("*", "'x' AS score", "1 AS predicted", "2 AS toxic", "3 AS word", "4 AS x", "5 AS `a.b`")
+    got = {r["doc_id"]: r for r in X.rate(docs, X.train(docs, spark.createDataFrame(labels, LABELS))).collect()}
+    assert got[7000]["predicted"] == 1 and got[7000]["toxic"] == 2 and got[7000]["x"] == 4 and got[7000]["a.b"] == 5 and isinstance(got[1]["score"], float)
