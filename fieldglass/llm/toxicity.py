@@ -114,7 +114,7 @@ def counts(docs: DataFrame, labels: Labels) -> DataFrame:
                     distinct, first, n = np.unique(own, return_index=True, return_counts=True)
                     held.append((distinct, stem[kind == k][first], np.full(len(distinct), k), n))
                     size += len(distinct)
-                if size > 1 << 21:
+                if size > 1 << 19:
                     yield rows()
                     size = 0
         if held:
@@ -256,16 +256,18 @@ def rate(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFr
     """docs' columns, or those in keep, with score and predicted added; columns of these names are replaced."""
     rest = [c for c in keep or docs.columns if c not in ("score", "predicted")]
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain names on the way: Arrow functions look columns up by name and take a dot for a field.
+    plain = {c: "text" if c == "text" else f"c{k}" for k, c in enumerate(dict.fromkeys([*rest, "text"]))}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 own = shared.value
                 score = own.score(own.evidence(part.column("text"))) if own.known else np.zeros(part.num_rows)
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), pa.array(score)], [*rest, "score"])
+                yield pa.RecordBatch.from_arrays([*(part.column(plain[c]) for c in rest), pa.array(score)], [*(plain[c] for c in rest), "score"])
 
-    own = docs.select(*map(quoted, dict.fromkeys([*rest, "text"])))
-    scored = own.mapInArrow(run, own.select(*map(quoted, rest)).schema.add("score", "double"))
+    own = docs.select(*(quoted(c).alias(n) for c, n in plain.items()))
+    scored = own.mapInArrow(run, own.select(*(plain[c] for c in rest)).schema.add("score", "double")).toDF(*rest, "score")
     return scored.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
 
 
