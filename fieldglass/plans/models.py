@@ -453,12 +453,13 @@ def box_page_lines(t):
     return lines.select("game", "team", "opponent", "is_home", "player", "started", "played", "dnp_reason", "seconds_played", "orb", "pts")
 
 
-@query("SELECT doc_id, length(text) AS n FROM documents WHERE text IS NOT NULL")
+@query("SELECT doc_id, length(text) AS n, md5(text) AS digest FROM documents WHERE text IS NOT NULL")
 def mojibake(t):
     """Texts broken as Latin-1 and repaired again, where that can be done."""
     d = t("documents").where("text IS NOT NULL")
     broken = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
-    return d.select("doc_id", F.length(T.repair_mojibake(broken)).cast("bigint").alias("n"))
+    whole = d.select("doc_id", T.repair_mojibake(broken).alias("text"))
+    return whole.select("doc_id", F.length("text").cast("bigint").alias("n"), F.md5("text").alias("digest"))
 
 
 @query("SELECT l_orderkey AS game, l_linenumber::BIGINT AS line, (l_quantity::BIGINT * 60 + l_linenumber)::BIGINT AS seconds, (6 * 12 + l_linenumber)::BIGINT AS inches, CASE WHEN l_linenumber <= 4 THEN l_linenumber * 720 - 30 ELSE 2880 + (l_linenumber - 4) * 300 - 30 END::BIGINT AS elapsed FROM lineitem")
