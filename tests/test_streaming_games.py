@@ -126,3 +126,10 @@ def test_stints_of_a_stream_are_those_of_the_batch(spark, tmp_path, state_store)
     key = lambda df: sorted(map(repr, df.where("game_id <> 'end'").select(*names).collect()))
     want = G.stints(spark.createDataFrame(plays, action).drop("at_time"), spark.createDataFrame(lines, box).drop("at_time"))
     assert key(spark.read.parquet(f"{tmp_path}/out")) == key(want) and want.count() > 20
+
+
+def test_the_query_shares_every_possession_with_the_batch(spark):
+    from fieldglass.plans.catalogue import QUERIES
+
+    n, apart = QUERIES["stream_possessions"](spark, "/root/testdata/sf0.001").selectExpr("sum(n)", "sum(apart)").first()
+    assert n > 500 and apart == 0
