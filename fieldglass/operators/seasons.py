@@ -93,15 +93,27 @@ def weighted_shares(df: DataFrame, key: list[str], weight: str, tests: dict[str,
     return df.groupBy(*key).agg(*(x for name, t in tests.items() for x in ((F.sum(F.when(t, F.col(weight)).otherwise(0)) / F.nullif(F.sum(F.when(t.isNotNull(), F.col(weight)).otherwise(0)), F.lit(0))).alias(f"{name}_share"), F.sum(F.when(t.isNotNull(), F.col(weight)).otherwise(0)).alias(f"{name}_known"))))
 
 
+def subsets(members: Column, sizes: tuple[int, ...]) -> Column:
+    """All subsets of these sizes of a sorted array of distinct members, each sorted.
+
+    Subsets of one size come from those of the size before, by each later member: no more are made than are asked for."""
+    at = F.sequence(F.lit(0), F.size(members) - 1)
+    grown, kept = F.transform(at, lambda i: F.array(i)), []
+    for size in range(1, max(sizes) + 1):
+        if size > 1:
+            grown = F.flatten(F.transform(grown, lambda s: F.transform(F.filter(at, lambda i: i > F.element_at(s, -1)), lambda i: F.concat(s, F.array(i)))))
+        if size in sizes:
+            kept.append(grown)
+    return F.transform(F.concat(*kept), lambda s: F.transform(s, lambda i: F.get(members, i)))
+
+
 def lattice(units: DataFrame, key: list[str], members: str, values: list[str], sizes: tuple[int, ...] = (2, 3, 4, 5)) -> DataFrame:
-    """Sums over every subset of these sizes of every unit's members (an array of at most 5).
+    """Sums over every subset of these sizes of every unit's members (an array of any length; repeats count once).
 
-    Subsets are the bit masks of the sorted members, made in the JVM; sums combine before the shuffle."""
+    Subsets are made in the JVM, row by row; sums combine before the shuffle."""
     sorted_ = F.array_sort(F.array_distinct(members))
-    masks = F.filter(F.sequence(F.lit(1), F.pow(F.lit(2), F.size("_m")).cast("int") - 1), lambda x: F.bit_count(x).isin(*sizes))
-    each = units.select(*key, *values, sorted_.alias("_m")).where("size(_m) > 0").withColumn("_mask", F.explode(masks))
-    inside = F.filter("_m", lambda x, i: F.getbit(F.col("_mask").cast("long"), i) == 1)
-    each = each.withColumn("unit", F.array_join(inside.cast("array<string>"), "-")).withColumn("size", F.bit_count("_mask"))
+    each = units.select(*key, *values, sorted_.alias("_m")).where("size(_m) > 0").withColumn("_s", F.explode(subsets(F.col("_m"), sizes)))
+    each = each.withColumn("unit", F.array_join(F.col("_s").cast("array<string>"), "-")).withColumn("size", F.size("_s"))
     return each.groupBy(*key, "unit", "size").agg(*(F.sum(v).alias(v) for v in values))
 
 

@@ -152,19 +152,23 @@ def weighted_shares(t):
     return got.select("team", F.round("r_share", 6).alias("r_share"), "r_known", F.round("o_share", 6).alias("o_share"), "o_known")
 
 
-_UNIT = "u AS (SELECT game, max(season) AS season, sum(pts)::BIGINT AS pts, list_slice(list_sort(list(DISTINCT player)), 1, 5) AS m FROM box GROUP BY game)"
+_UNIT = "u AS (SELECT game, max(season) AS season, sum(pts)::BIGINT AS pts, list_sort(list(DISTINCT player)) AS m FROM box GROUP BY game)"
 
 
-@query(f"WITH {BOX}, {_UNIT}, k AS (SELECT unnest(range(1, 32)) AS mask), e AS (SELECT season, pts, mask, list_filter(list_transform(range(1, 6), lambda i: CASE WHEN (mask >> (i - 1)) & 1 = 1 THEN m[i] END), lambda x: x IS NOT NULL) AS s FROM u, k WHERE mask < (1 << len(m))) SELECT season, array_to_string(s, '-') AS unit, len(s)::BIGINT AS size, sum(pts)::BIGINT AS pts FROM e WHERE len(s) BETWEEN 2 AND 5 GROUP BY ALL")
+def _units(t):
+    return box(t).groupBy("game").agg(F.max("season").alias("season"), F.sum("pts").alias("pts"), F.array_sort(F.collect_set("player")).alias("m"))
+
+
+@query(f"WITH {BOX}, {_UNIT}, e AS (SELECT season, pts, m, unnest(range(1, 1 << len(m))) AS mask FROM u), s AS (SELECT season, pts, list_filter(list_transform(range(1, len(m) + 1), lambda i: CASE WHEN (mask >> (i - 1)) & 1 = 1 THEN m[i] END), lambda x: x IS NOT NULL) AS s FROM e WHERE bit_count(mask) BETWEEN 2 AND 5) SELECT season, array_to_string(s, '-') AS unit, len(s)::BIGINT AS size, sum(pts)::BIGINT AS pts FROM s GROUP BY ALL")
 def combination_lattice(t):
-    u = box(t).groupBy("game").agg(F.max("season").alias("season"), F.sum("pts").alias("pts"), F.slice(F.array_sort(F.collect_set("player")), 1, 5).alias("m"))
-    return S.lattice(u, ["season"], "m", ["pts"]).withColumn("size", F.col("size").cast("bigint"))
+    """All subsets of two to five of all the players of a game."""
+    return S.lattice(_units(t), ["season"], "m", ["pts"]).withColumn("size", F.col("size").cast("bigint"))
 
 
 @query(f"WITH {BOX}, {_UNIT} SELECT season, array_to_string(m, '-') AS unit, count(*) AS games, sum(pts)::BIGINT AS pts FROM u GROUP BY ALL")
 def unit_aggregation(t):
-    u = box(t).groupBy("game").agg(F.max("season").alias("season"), F.sum("pts").alias("pts"), F.slice(F.array_sort(F.collect_set("player")), 1, 5).alias("m"))
-    return u.groupBy("season", F.array_join(F.col("m").cast("array<string>"), "-").alias("unit")).agg(F.count(F.lit(1)).alias("games"), F.sum("pts").alias("pts"))
+    """Games and points of every unit, which is all the players of a game."""
+    return _units(t).groupBy("season", F.array_join(F.col("m").cast("array<string>"), "-").alias("unit")).agg(F.count(F.lit(1)).alias("games"), F.sum("pts").alias("pts"))
 
 
 @query(f"WITH {BOX}, v AS (SELECT player, flag AS to_, count(*) AS votes FROM box GROUP BY ALL), r AS (SELECT *, sum(votes) OVER (PARTITION BY player)::BIGINT AS total, row_number() OVER (PARTITION BY player ORDER BY votes DESC, to_) AS rn FROM v) SELECT player, to_ AS flag, votes, total, round(least(1.0, 0.5 + votes / 20.0::DOUBLE), 4) AS confidence FROM r WHERE rn = 1 AND votes >= total * 0.5")

@@ -1,10 +1,13 @@
 """Whole jobs against brute force: every probe day, every line, every pair that evidence brings together."""
 
+import collections
+import itertools
 import random
 from collections import defaultdict
 
 from fieldglass.operators import identity as I
 from fieldglass.operators import joins as J
+from fieldglass.operators import seasons as S
 from fieldglass.operators import windows as W
 from fieldglass.plans.catalogue import QUERIES
 
@@ -89,3 +92,16 @@ def test_token_pairs_are_all_pairs_over_the_threshold(spark):
                     want.append((a, b))
         got = I.token_pairs(table, "id", "s", least).collect()
         assert sorted((r["a"], r["b"]) for r in got) == sorted(want)
+
+
+def test_lattice_of_units_of_any_length(spark):
+    rng = random.Random(5)
+    units = [(rng.randrange(2), [rng.randrange(12) for _ in range(n)], rng.randrange(9)) for n in (0, 1, 2, 5, 7, 11) for _ in range(3)] + [(0, None, 4)]
+    got = S.lattice(spark.createDataFrame(units, "k int, m array<int>, v int"), ["k"], "m", ["v"], (1, 2, 5)).collect()
+    want = collections.Counter()
+    for k, m, v in units:
+        for size in (1, 2, 5):
+            for s in itertools.combinations(sorted(set(m or [])), size):
+                want[k, "-".join(map(str, s)), size] += v
+    assert {(r["k"], r["unit"], r["size"]): r["v"] for r in got} == dict(want)
+    assert len(got) == len(want)
