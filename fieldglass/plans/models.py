@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from fieldglass.functions import text as T
-from fieldglass.operators import box_metrics, classify, contracts, older_feed, service_years, transactions
+from fieldglass.operators import box_metrics, classify, contracts, older_feed, quota, service_years, transactions
 from fieldglass.operators import games as G
 from fieldglass.operators import identity as I
 from fieldglass.operators import models as R
@@ -291,6 +291,42 @@ def quota_ledger(t):
     return a.select("entity", "used", F.greatest(F.lit(0).cast("bigint"), 5 - F.col("used")).alias("left_"), "limit_game")
 
 
+# A player is one of four of a team; games up to June are played, later ones to come; a quota is of 12 games.
+_ROSTERED = "ros AS (SELECT *, team * 10 + player % 4 AS p, 'T' || team AS club FROM box)"
+
+
+@query(f"""WITH {BOX}, {_ROSTERED},
+sched AS (SELECT season, game, max(day) AS day, club, bool_and(month(day) <= 6) AS final FROM ros GROUP BY season, game, club),
+bounds AS (SELECT season, min(day) AS f, max(day) AS l FROM sched GROUP BY 1),
+sg AS (SELECT season, p, day, CASE WHEN tov % 3 = 0 THEN 'T' || (team + 1) ELSE club END AS club, CASE WHEN status = 'O' THEN 'feed' ELSE 'page' END AS source FROM ros WHERE flag = 'R' AND mp <= 12),
+sign AS (SELECT season, p, day, club, source FROM sg QUALIFY row_number() OVER (PARTITION BY season, p ORDER BY source, day DESC, club DESC) = 1),
+listed AS (SELECT season, p, club, min(day) AS seen, min(min(day)) OVER (PARTITION BY season) AS first_list FROM ros WHERE line = 1 GROUP BY season, p, club),
+r AS (SELECT li.*, CASE WHEN s.club = li.club THEN s.day WHEN seen > first_list AND seen > f THEN seen END AS signed, CASE WHEN s.club = li.club THEN s.source WHEN seen > first_list AND seen > f THEN 'list' ELSE 'none' END AS src, f, l
+      FROM listed li JOIN bounds USING (season) LEFT JOIN sign s USING (season, p)),
+q AS (SELECT *, CASE WHEN signed IS NULL OR signed <= f THEN 12 ELSE round_even(12 * (l - signed + 1) / (l - f + 1)::DOUBLE, 0) END::BIGINT AS quota FROM r),
+app AS (SELECT season, p, club, game, max(day) AS day, bool_or(flag <> 'N') AS active, bool_or(mp > 9) AS played, sum(mp)::BIGINT AS seconds FROM ros GROUP BY season, p, club, game),
+u AS (SELECT *, (SELECT count(*) FROM app a WHERE a.season = q.season AND a.p = q.p AND a.club = q.club AND active AND day >= coalesce(signed, f)) AS used FROM q),
+v AS (SELECT *, greatest(0, quota - used) AS rest FROM u),
+ahead AS (SELECT season, club, game, day, row_number() OVER (PARTITION BY season, club ORDER BY day, game) AS n, count(*) OVER (PARTITION BY season, club) AS total FROM sched WHERE NOT final),
+late AS (SELECT season, club, game FROM sched WHERE final QUALIFY row_number() OVER (PARTITION BY season, club ORDER BY day DESC, game DESC) <= 10),
+ln AS (SELECT season, club, count(*) AS n FROM late GROUP BY ALL),
+lp AS (SELECT season, p, club, count(*) FILTER (active) AS a, count(*) FILTER (played) AS b, sum(seconds)::BIGINT AS c FROM app JOIN late USING (season, club, game) GROUP BY ALL)
+SELECT v.season, v.p AS player, v.club AS team, signed, src AS signed_source, quota, used, rest AS left_, coalesce(t.total, 0) AS team_games_left, h.game AS limit_game, h.day AS limit_day, rest <= coalesce(t.total, 0) AS can_reach,
+       coalesce(ln.n, 0) AS recent_games, coalesce(lp.a, 0) AS recent_active, coalesce(lp.b, 0) AS recent_played, coalesce(lp.c, 0)::BIGINT AS recent_seconds
+FROM v LEFT JOIN (SELECT DISTINCT season, club, total FROM ahead) t USING (season, club) LEFT JOIN ahead h ON h.season = v.season AND h.club = v.club AND h.n = rest LEFT JOIN ln ON ln.season = v.season AND ln.club = v.club LEFT JOIN lp ON lp.season = v.season AND lp.p = v.p AND lp.club = v.club""")
+def quota_tracker(t):
+    """Quotas prorated by the day of signing, when they are used up, and the team's last ten games, of all seasons."""
+    r = box(t).withColumn("club", F.concat(F.lit("T"), "team")).withColumn("p", F.col("team") * 10 + F.col("player") % 4)
+    own = [F.col("p").alias("player"), F.col("club").alias("team")]
+    schedule = r.select("season", "game", "day", F.col("club").alias("home"), F.lit(None).cast("string").alias("away"), (F.month("day") <= 6).alias("final")).distinct()
+    signings = r.where("flag = 'R' AND mp <= 12").select("season", own[0], "day", F.when(F.col("tov") % 3 == 0, F.concat(F.lit("T"), F.col("team") + 1)).otherwise(F.col("club")).alias("team"), F.when(F.col("status") == "O", "feed").otherwise("page").alias("source"), F.when(F.col("status") == "O", 0).otherwise(1).alias("rank"))
+    seen = r.where("line = 1").select("season", *own, "day").groupBy("season", "player", "team").agg(F.min("day").alias("first_seen"))
+    listed = seen.join(seen.groupBy("season").agg(F.min("first_seen").alias("first_list")), "season")
+    appearances = r.select("season", *own, "game", "day", "flag", "mp").groupBy("season", "player", "team", "game").agg(F.max("day").alias("day"), F.bool_or(F.col("flag") != "N").alias("active"), F.bool_or(F.col("mp") > 9).alias("played"), F.sum("mp").alias("seconds"))
+    got = quota.tracker(listed, signings, appearances, schedule, 12)
+    return got.drop("first_seen", "first_list").withColumnRenamed("left", "left_")
+
+
 @query(f"WITH {GAMES}, last AS (SELECT entity, max(day) AS d FROM games GROUP BY 1) SELECT c_custkey AS id, CASE WHEN d >= DATE '2001-06-01' THEN 'rostered' WHEN d IS NOT NULL THEN 'free_agent' END AS status FROM customer LEFT JOIN last ON entity = c_custkey")
 def roster_status(t):
     last = games(t).groupBy("entity").agg(F.max("day").alias("d"))
@@ -309,19 +345,22 @@ def name_normalise_folded(t):
     return d.select("doc_id", T.name_key(F.col("name")).alias("key"), T.name_bare(F.col("name")).alias("bare"), T.name_base(F.col("name")).alias("base"))
 
 
-@query("WITH w AS (SELECT item_id AS id, list_distinct(string_split(lower(text), ' ')) AS s, item_id % 10 AS b FROM benchmark) SELECT a.id AS a, b.id AS b, round(len(list_intersect(a.s, b.s)) / len(list_distinct(list_concat(a.s, b.s)))::DOUBLE, 6) AS jaccard FROM w a JOIN w b ON a.b = b.b AND a.id < b.id")
+def _overlaps(words: str, least: float) -> str:
+    return f"w AS ({words}) SELECT a.id AS a, b.id AS b, round(len(list_intersect(a.s, b.s)) / len(list_distinct(list_concat(a.s, b.s)))::DOUBLE, 6) AS jaccard FROM w a JOIN w b ON a.id < b.id WHERE len(list_intersect(a.s, b.s)) / len(list_distinct(list_concat(a.s, b.s)))::DOUBLE >= {least}"
+
+
+@query("WITH d AS (SELECT min(p_partkey) AS id, lower(concat_ws(' ', p_name, p_brand, p_type)) AS s FROM part GROUP BY 2), " + _overlaps("SELECT id, list_distinct(string_split(s, ' ')) AS s FROM d", 0.6))
 def identity_jaccard(t):
-    """Token overlap of the pairs in the blocks of the SQL."""
-    w = t("benchmark").select(F.col("item_id").alias("id"), F.lower("text").alias("s"), (F.col("item_id") % 10).alias("block"))
-    b = w.select(F.col("id").alias("other"), F.col("s").alias("s2"), "block")
-    return w.join(b, "block").where("id < other").select(F.col("id").alias("a"), F.col("other").alias("b"), F.round(T.token_jaccard(F.col("s"), F.col("s2")), 6).alias("jaccard"))
+    """Token overlap of 0.6 or more between the distinct descriptions of all parts, each by its least part."""
+    d = t("part").groupBy(F.lower(F.concat_ws(" ", "p_name", "p_brand", "p_type")).alias("s")).agg(F.min("p_partkey").alias("id"))
+    return I.token_pairs(d, "id", "s", 0.6).withColumn("jaccard", F.round("jaccard", 6))
 
 
-@query()
+@query("WITH " + _overlaps("SELECT item_id AS id, list_distinct(string_split(lower(text), ' ')) AS s FROM benchmark", 0.05))
 def identity_jaccard_tokens(t):
-    """All pairs that share a token; no pair of these passages has more than a tenth of its tokens in common."""
+    """Token overlap of 0.05 or more between all passages; no two of them have more than a tenth of their tokens in common."""
     w = t("benchmark").select(F.col("item_id").alias("id"), F.lower("text").alias("s"))
-    return I.token_pairs(w, "id", "s", 0.0).withColumn("jaccard", F.round("jaccard", 6))
+    return I.token_pairs(w, "id", "s", 0.05).withColumn("jaccard", F.round("jaccard", 6))
 
 
 def _people(t, prefix: str):
