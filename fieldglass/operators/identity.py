@@ -59,6 +59,55 @@ def token_pairs(df: DataFrame, id_: str, text: str, least: float) -> DataFrame:
     return both.select("a", "b", T.token_jaccard(F.col("s1"), F.col("s2")).alias("jaccard")).where(F.col("jaccard") >= least)
 
 
+def sole_players(names: DataFrame, playing: DataFrame) -> DataFrame:
+    """(key, player): the one player of each name key, or, of several namesakes, the one who is playing; keys of which
+    neither is one are left out.
+
+    names: key, player, with a row for each alias as well.  playing: player.  One aggregate by key, of least and greatest
+    players, which combines before the shuffle: a name of any number of players is a row."""
+    at_work = playing.where("player IS NOT NULL").select("player").distinct().withColumn("_on", F.lit(True))
+    n = names.where("key IS NOT NULL AND key <> '' AND player IS NOT NULL").join(at_work, "player", "left")
+    on = F.when(F.col("_on"), F.col("player"))
+    of = n.groupBy("key").agg(F.min("player").alias("_a"), F.max("player").alias("_b"), F.min(on).alias("_c"), F.max(on).alias("_d"))
+    player = F.when(F.col("_a") == F.col("_b"), F.col("_a")).when(F.col("_c") == F.col("_d"), F.col("_c"))
+    return of.select("key", player.alias("player")).where("player IS NOT NULL")
+
+
+def match_names(mentions: DataFrame, key: str, names: DataFrame, playing: DataFrame) -> DataFrame:
+    """Mentions with the player whom their name key can mean alone, by sole_players; null if none or several can."""
+    sole = sole_players(names, playing).select(F.col("key").alias("_key"), "player")
+    return mentions.join(sole, F.col(key) == F.col("_key"), "left").drop("_key")
+
+
+def staged_links(staged: DataFrame, names: DataFrame, linked: DataFrame, roster: DataFrame) -> DataFrame:
+    """A decision for each source_id that is staged: link or review, with player and why:
+    linked: the source_id has a player already (link);
+    roster, no_roster: the only player of that name without a source_id, whom the latest roster has in the same team, or
+        of whom it or the page names none (link);
+    other_team: the roster has that player in another team (review);
+    unknown: no player of that name is without a source_id (review);  namesakes: several are, their number in candidates (review).
+
+    staged: source_id, key, team, occurrences, of which those of one source_id are put together (greatest key and team, sum of
+    occurrences; nulls count once).  names: key, player.  linked: source_id, player.  roster: player, team, day, of which the
+    last day of all counts.  Teams are compared as they are."""
+    s = staged.groupBy("source_id").agg(F.max("key").alias("key"), F.max("team").alias("team"), F.sum(F.coalesce("occurrences", F.lit(1))).alias("occurrences"))
+    free = names.join(linked.select("player"), "player", "left_anti").where("key IS NOT NULL AND player IS NOT NULL")
+    sole = free.groupBy("key").agg(F.min("player").alias("_player"), F.count_distinct("player").alias("candidates"))
+    last = roster.agg(F.max("day").alias("day"))
+    on = roster.join(F.broadcast(last), "day").groupBy(F.col("player").alias("_player")).agg(F.max("team").alias("_team"))
+    known = linked.groupBy("source_id").agg(F.min("player").alias("_linked"))
+    r = s.join(known, "source_id", "left").join(sole, "key", "left").join(on, "_player", "left")
+    n = F.coalesce("candidates", F.lit(0))
+    why = (
+        F.when(F.col("_linked").isNotNull(), "linked").when(n == 0, "unknown").when(n > 1, "namesakes")
+        .when(F.col("_team").isNull(), "no_roster").when(F.col("team").isNotNull() & (F.col("team") != F.col("_team")), "other_team").otherwise("roster")
+    )
+    r = r.withColumn("why", why).withColumn("candidates", n)
+    link = F.col("why").isin("linked", "roster", "no_roster")
+    player = F.when(F.col("why") == "linked", F.col("_linked")).when(link | (F.col("why") == "other_team"), F.col("_player"))
+    return r.select("source_id", "key", "team", "occurrences", F.when(link, "link").otherwise("review").alias("decision"), player.alias("player"), "why", "candidates")
+
+
 def score(pairs: DataFrame) -> DataFrame:
     """Candidate pairs with sim, score and decision: block, review, propose or auto_link.
 

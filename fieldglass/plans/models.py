@@ -10,6 +10,7 @@ from fieldglass.functions import text as T
 from fieldglass.operators import box_metrics, classify, contracts, older_feed, quota, service_years, transactions
 from fieldglass.operators import games as G
 from fieldglass.operators import identity as I
+from fieldglass.operators import lineup_measures as lineup_measures_
 from fieldglass.operators import models as R
 from fieldglass.operators.classify import TRANSACTIONS
 from fieldglass.plans.registry import BOX, GAMES, TWO, box, games, query, two_teams
@@ -363,6 +364,74 @@ def identity_jaccard_tokens(t):
     return I.token_pairs(w, "id", "s", 0.05).withColumn("jaccard", F.round("jaccard", 6))
 
 
+_DESCRIBED = "named AS (SELECT p_partkey AS player, lower(concat_ws(' ', p_name, p_brand, p_type)) AS key FROM part UNION ALL SELECT p_partkey, lower(concat_ws(' ', p_name, p_brand)) FROM part WHERE p_size > 45)"
+
+
+def _described(t):
+    """Parts by their descriptions, and large ones by a shorter alias too."""
+    key = lambda *c: F.lower(F.concat_ws(" ", *c)).alias("key")
+    p = t("part")
+    return p.select(F.col("p_partkey").alias("player"), key("p_name", "p_brand", "p_type")).unionByName(p.where("p_size > 45").select(F.col("p_partkey").alias("player"), key("p_name", "p_brand")))
+
+
+@query(f"""WITH {_DESCRIBED}, playing AS (SELECT DISTINCT l_partkey AS player, true AS is_on FROM lineitem WHERE l_quantity >= 49),
+k AS (SELECT key, min(player) AS a, max(player) AS b, min(player) FILTER (is_on) AS c, max(player) FILTER (is_on) AS d, count(DISTINCT player) AS n FROM named LEFT JOIN playing USING (player) GROUP BY 1)
+SELECT m.player AS mention, m.key, CASE WHEN n = 1 THEN a WHEN c = d THEN c END AS player FROM named m LEFT JOIN k USING (key)""")
+def name_match(t):
+    """Each description to the one part it can mean, namesakes told apart by whether they appear in a large line."""
+    playing = t("lineitem").where("l_quantity >= 49").select(F.col("l_partkey").alias("player"))
+    mentions = _described(t).select(F.col("player").alias("mention"), "key")
+    return I.match_names(mentions, "key", _described(t), playing)
+
+
+@query(f"""WITH {_DESCRIBED}, ln AS (SELECT l_partkey AS source_id, lower(concat_ws(' ', p_name, p_brand, p_type)) AS key, l_suppkey % 5 AS team FROM lineitem JOIN part ON p_partkey = l_partkey),
+s AS (SELECT source_id, max(key) AS key, max(team) AS team, count(*) AS occurrences FROM ln GROUP BY 1),
+linked AS (SELECT p_partkey AS source_id, p_partkey AS player FROM part WHERE p_size % 10 = 0),
+sole AS (SELECT key, min(player) AS p, count(DISTINCT player) AS n FROM named WHERE player NOT IN (SELECT player FROM linked) GROUP BY 1),
+ros AS (SELECT l_partkey AS p, max(l_suppkey % 5) AS rt FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM lineitem JOIN orders ON o_orderkey = l_orderkey) GROUP BY 1),
+d AS (SELECT s.*, linked.player AS lp, sole.p, coalesce(n, 0) AS n, rt FROM s LEFT JOIN linked USING (source_id) LEFT JOIN sole USING (key) LEFT JOIN ros ON ros.p = sole.p),
+w AS (SELECT *, CASE WHEN lp IS NOT NULL THEN 'linked' WHEN n = 0 THEN 'unknown' WHEN n > 1 THEN 'namesakes' WHEN rt IS NULL THEN 'no_roster' WHEN team <> rt THEN 'other_team' ELSE 'roster' END AS why FROM d)
+SELECT source_id, key, team, occurrences, CASE WHEN why IN ('linked', 'roster', 'no_roster') THEN 'link' ELSE 'review' END AS decision, CASE WHEN why = 'linked' THEN lp WHEN why IN ('roster', 'no_roster', 'other_team') THEN p END AS player, why, n AS candidates FROM w""")
+def staged_links(t):
+    """Parts that lines name, linked by description unless the last year's lines have them in another team."""
+    part = t("part").select(F.col("p_partkey").alias("player"), F.col("p_size"), F.lower(F.concat_ws(" ", "p_name", "p_brand", "p_type")).alias("key"))
+    ln = t("lineitem").select("l_orderkey", F.col("l_partkey").alias("player"), (F.col("l_suppkey") % 5).alias("team"))
+    staged = ln.join(part, "player").select(F.col("player").alias("source_id"), "key", "team", F.lit(None).cast("bigint").alias("occurrences"))
+    linked = part.where("p_size % 10 = 0").select(F.col("player").alias("source_id"), "player")
+    roster = ln.join(t("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.year("o_orderdate").alias("day")), "l_orderkey").select("player", "team", "day")
+    return I.staged_links(staged, _described(t), linked, roster)
+
+
+_MATES = """ppl AS (SELECT c_custkey AS person, CASE WHEN c_custkey % 17 <> 0 THEN c_custkey // 2 END AS player, CASE c_custkey % 13 WHEN 0 THEN NULL WHEN 1 THEN 0 ELSE 70 + c_custkey % 7 END AS height, CASE WHEN c_custkey % 11 <> 0 THEN replace(substr(c_mktsegment, 1, 1), 'B', 'C') END AS position FROM customer),
+st AS (SELECT season, mp AS seconds, (player % 3) AS home, 3 + team % 3 AS away, list_transform(range(0, 5), lambda i: entity + i * 3) AS hf, list_transform(range(0, 5), lambda i: entity // 3 + i * 4) AS af, tov AS hp, orb AS ap, line AS hq, 1 + tov % 4 AS aq FROM box WHERE flag <> 'N'),
+sd AS (SELECT season, seconds, home AS team, hf AS five, hp AS pf, ap AS pa, hq AS qf, aq AS qa FROM st UNION ALL SELECT season, seconds, away, af, ap, hp, aq, hq FROM st),
+fv AS (SELECT season, team, five, sum(seconds) AS sec, sum(pf) AS pf, sum(pa) AS pa, sum(qf) AS qf, sum(qa) AS qa FROM sd GROUP BY ALL),
+ea AS (SELECT fv.*, person, ppl.player, CASE WHEN height <> 0 THEN height END AS height, position FROM (SELECT *, unnest(five) AS person FROM fv) fv LEFT JOIN ppl USING (person)),
+tg AS (SELECT season, team, five, count(height) AS hs, max(height) AS top, list({'player': player, 'position': position}) AS m FROM ea GROUP BY ALL),
+mt AS (SELECT ea.*, hs = 5 AS measured, height = top AS tall, list_filter(m, lambda x: x.player IS NOT NULL AND x.player <> ea.player) AS mates FROM ea JOIN tg USING (season, team, five) WHERE ea.player IS NOT NULL),
+pl AS (SELECT *, len(mates) = 4 AND len(list_filter(mates, lambda x: x.position IS NOT NULL)) = 4 AS placed, len(list_filter(mates, lambda x: x.position = 'C')) > 0 AS c FROM mt),
+own AS (SELECT season, team, player, sum(sec)::BIGINT AS seconds, sum(pf)::BIGINT AS pts_for, sum(pa)::BIGINT AS pts_against, sum(qf)::BIGINT AS poss_for, sum(qa)::BIGINT AS poss_against, coalesce(sum(sec) FILTER (placed), 0) AS ps, coalesce(sum(sec) FILTER (placed AND c), 0) AS cs, coalesce(sum(sec) FILTER (measured), 0) AS ms, coalesce(sum(sec) FILTER (measured AND tall), 0) AS ts FROM pl GROUP BY ALL),
+tt AS (SELECT season, team, sum(pf) AS f, sum(pa) AS a, sum(qf) AS q, sum(qa) AS r FROM fv GROUP BY ALL),
+rt AS (SELECT own.*, 100 * pts_for / poss_for::DOUBLE - 100 * pts_against / poss_against::DOUBLE AS net, CASE WHEN q - poss_for > 20 AND r - poss_against > 20 THEN 100 * (f - pts_for) / (q - poss_for)::DOUBLE - 100 * (a - pts_against) / (r - poss_against)::DOUBLE END AS off FROM own JOIN tt USING (season, team))"""
+
+
+@query(f"WITH {BOX}, {_MATES} SELECT season, team, player, seconds, pts_for, pts_against, poss_for, poss_against, round(net, 6) AS on_net, round(off, 6) AS off_net, round(net - off, 6) AS on_off, round(cs / nullif(ps, 0)::DOUBLE, 6) AS with_centre, round(ps / seconds::DOUBLE, 6) AS position_coverage, round(ts / nullif(ms, 0)::DOUBLE, 6) AS tallest, round(ms / seconds::DOUBLE, 6) AS height_coverage FROM rt")
+def lineup_measures(t):
+    """Each line as a stint of two fives: every third, and every fourth, of the customers by the order's own."""
+    b = box(t)
+    five = lambda first, step: F.transform(F.sequence(F.lit(0), F.lit(4)), lambda i: first + i * step)
+    stints = b.select(
+        "season", F.col("mp").alias("seconds"), (F.col("player") % 3).alias("home"), (3 + F.col("team") % 3).alias("away"), five(F.col("entity"), 3).alias("home_ids"), five(F.floor(F.col("entity") / 3), 4).alias("away_ids"),
+        F.col("tov").alias("home_pts"), F.col("orb").alias("away_pts"), F.col("line").alias("home_poss"), (1 + F.col("tov") % 4).alias("away_poss"), (F.col("flag") != "N").alias("reliable"),
+    )
+    k = F.col("c_custkey")
+    people = t("customer").select(
+        k.alias("person"), F.when(k % 17 != 0, F.floor(k / 2)).alias("player"), F.when(k % 13 == 0, None).when(k % 13 == 1, 0).otherwise(70 + k % 7).alias("height"), F.when(k % 11 != 0, F.translate(F.substring("c_mktsegment", 1, 1), "B", "C")).alias("position"),
+    )
+    got = lineup_measures_.player_measures(stints, people).drop("on_ortg", "on_drtg")
+    return got.select(*(F.round(c, 6).alias(c) if d == "double" else c for c, d in got.dtypes))
+
+
 def _people(t, prefix: str):
     c = t("customer")
     name = F.concat(F.lit("Ann "), F.translate(F.right("c_name", F.lit(4)), "0123456789", "abcdefghij"), F.when(F.col("c_custkey") % 5 == 0, " Jr.").otherwise(""))
