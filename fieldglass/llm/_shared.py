@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Bytes of text that a numpy kernel works on at once; temporaries take some tens of bytes per byte.
 SLICE_BYTES = 1 << 18
@@ -95,6 +96,24 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def columns(names: Iterable[str]) -> list[Column]:
+    """The columns of these names, each once."""
+    return [quoted(n) for n in dict.fromkeys(names)]
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: StructType) -> DataFrame:
+    """df.mapInArrow(run, schema) for columns of any names: they travel under plain ones, as Spark looks a name with a dot
+    up as a field."""
+    given, made = df.columns, schema.names
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in run(batch.rename_columns(given) for batch in batches):
+            yield out.select(made).rename_columns([f"_{k}" for k in range(len(made))])
+
+    plain = StructType([StructField(f"_{k}", f.dataType, f.nullable) for k, f in enumerate(schema.fields)])
+    return df.toDF(*(f"_{k}" for k in range(len(given)))).mapInArrow(named, plain).toDF(*made)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """batch in runs of rows whose text in column is about limit bytes; a longer text is a run of its own."""
     sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldglass.llm._kernels import mix
-from fieldglass.llm._shared import slices, texts
+from fieldglass.llm._shared import columns, map_batches, slices, texts
 
 LEVEL = 3
 SKETCH = 64
@@ -130,7 +130,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def fingerprints(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """docs' columns, or those in keep, with fingerprint added."""
+    """docs' columns, map_batches, or those in keep, with fingerprint added."""
     rest = [c for c in keep or docs.columns if c != "fingerprint"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +139,7 @@ def fingerprints(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
                 out = [text_of(x) for x in sketches(texts(part.column("text")))]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), pa.array(out, pa.string())], [*rest, "fingerprint"])
 
-    return docs.select(*dict.fromkeys([*rest, "text"])).mapInArrow(run, docs.select(*rest).schema.add("fingerprint", "string"))
+    return map_batches(docs.select(*columns([*rest, "text"])), run, docs.select(*columns(rest)).schema.add("fingerprint", "string"))
 
 
 def edited(text: str, after: str) -> str:

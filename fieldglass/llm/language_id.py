@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldglass.llm._shared import Tables, create, new_path, opened, slices, texts
+from fieldglass.llm._shared import Tables, columns, create, map_batches, new_path, opened, slices, texts
 
 BITS = 14
 ORDERS = 3
@@ -203,8 +203,8 @@ def identify(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Da
                 names, share = score_texts(texts(part.column("text")), shared.value)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in rest), pa.array(names, pa.string()), pa.array(share)], [*rest, "lang_pred", "score"])
 
-    schema = docs.select(*rest).schema.add("lang_pred", "string").add("score", "double")
-    return docs.select(*dict.fromkeys([*rest, "text"])).mapInArrow(run, schema)
+    schema = docs.select(*columns(rest)).schema.add("lang_pred", "string").add("score", "double")
+    return map_batches(docs.select(*columns([*rest, "text"])), run, schema)
 
 
 def held_out() -> Column:

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from fieldglass.llm import _kernels as K
-from fieldglass.llm._shared import IdMap, Tables, slices, stored
+from fieldglass.llm._shared import IdMap, Tables, map_batches, slices, stored
 from fieldglass.llm.components import components
 
 #: Rows of subsets that cost as much as one entry in a list and its share of the scan.
@@ -528,7 +528,7 @@ def with_sets(docs: DataFrame, words: int, column: str, held: tuple[str, IdMap]
                 own = pa.array(name.view(np.int64), mask=np.diff(at) == 0)
                 yield pa.RecordBatch.from_arrays([*part.columns, own], [*part.schema.names, column])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(column, LongType())]))
+    return map_batches(docs, run, StructType([*docs.schema.fields, StructField(column, LongType())]))
 
 
 def link_counts(docs: DataFrame, words: int, percent: int) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldglass.llm._shared import IdMap, Tables, free, stored, texts
+from fieldglass.llm._shared import IdMap, Tables, columns, free, map_batches, quoted, stored, texts
 
 # The kinds in their order, their patterns and least lengths.
 KINDS = ("assign", "access", "hex", "owned")
@@ -65,10 +65,14 @@ def candidates(text: str) -> list[tuple[int, int, int, int, int]]:
     out = [(0, m.start(), m.end(), m.start(1), m.end(1)) for m in _ASSIGN.finditer(text) if m.end(1) - m.start(1) >= ASSIGN_LENGTH]
     out += [(1, m.start(), m.end(), m.start(), m.end()) for m in _ACCESS.finditer(text)]
     out += [(2, m.start(), m.end(), m.start(), m.end()) for m in _HEX.finditer(text)]
-    found = sorted((s, e) for _, s, e, _, _ in out)
+    found, at, taken = sorted((s, e) for _, s, e, _, _ in out), 0, 0
     for m in _OWNED.finditer(text):
         token = m.group()
-        if _DIGIT.search(token) and _ALPHA.search(token) and not any(s < m.end() and m.start() < e for s, e in found) and looks_random(token):
+        # Of the spans that begin before this token ends, the last end: one pass over both in order.
+        while at < len(found) and found[at][0] < m.end():
+            taken = max(taken, found[at][1])
+            at += 1
+        if taken <= m.start() and _DIGIT.search(token) and _ALPHA.search(token) and looks_random(token):
             out.append((3, m.start(), m.end(), m.start(), m.end()))
     return sorted(out, key=lambda x: (x[1], x[0]))
 
@@ -90,17 +94,21 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def scan(docs: DataFrame, key: list[str], owner: str = "source", repository: tuple[str, ...] = ("source", "lang"), store=stored) -> DataFrame:
     """A row for each of docs: its columns in key, and spans, an array of (start, kind, end, vstart, vend, class, owners,
     repositories) by start, then kind; kind is an index of KINDS.  Positions are code points.  store keeps the candidates."""
-    given = docs.select(*key, F.col(owner).cast("string").alias("_owner"), F.concat_ws("\0", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in repository)).alias("_repo"), "text")
-    schema = given.drop("text").schema
-    found = store(given.mapInArrow(_find, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema), f"spans array<struct<{', '.join(x.replace(' ', ':') for x in _SPAN.split(', '))}>>"])).withColumn("_row", F.monotonically_increasing_id()), "secret-candidates")
-    each = found.where(F.size("spans") > 0).select("_row", "_owner", "_repo", F.explode("spans").alias("s"))
-    holders = each.select("s.hash", F.coalesce("_owner", F.lit("")).alias("_owner"), "_repo").distinct()
+    by, repo, row = (free(docs, name) for name in ("_owner", "_repo", "_row"))
+    # A null is told from every text, the empty one too.
+    known = lambda c: F.coalesce(F.concat(F.lit("="), quoted(c).cast("string")), F.lit(""))
+    given = docs.select(*columns(key), known(owner).alias(by), F.concat_ws("\0", *map(known, repository)).alias(repo), "text")
+    schema = T.StructType([*given.drop("text").schema.fields, T.StructField("spans", T.ArrayType(T.StructType.fromDDL(_SPAN)))])
+    found = store(map_batches(given, _find, schema).withColumn(row, F.monotonically_increasing_id()), "secret-candidates")
+    each = found.where(F.size("spans") > 0).select(F.col(row).alias("_row"), F.col(by).alias("_owner"), F.col(repo).alias("_repo"), F.explode("spans").alias("s"))
+    holders = each.select("s.hash", "_owner", "_repo").distinct()
     counts = holders.groupBy("hash").agg(F.count_distinct("_owner").alias("owners"), F.count_distinct("_repo").alias("repositories"))
     judged = each.select("_row", "s.*").join(counts, "hash").withColumn(
         "class", F.when((F.col("owners") >= WIDELY) | (F.col("owners") > 1) & (F.col("repositories") >= REPOSITORIES), "example").when((F.col("owners") == 1) & F.col("random"), "live").otherwise("unclear")
     ).where((F.col("kind") < len(KINDS) - 1) | (F.col("class") == "live"))
     spans = judged.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "vstart", "vend", "class", "owners", "repositories"))).alias("spans"))
-    return found.drop("spans").join(spans, "_row", "left").select(*key, F.coalesce("spans", F.expr("cast(array() as " + spans.schema["spans"].dataType.simpleString() + ")")).alias("spans"))
+    spans = spans.withColumnRenamed("_row", row)
+    return found.drop("spans").join(spans, row, "left").select(*columns(key), F.coalesce("spans", F.expr("cast(array() as " + spans.schema["spans"].dataType.simpleString() + ")")).alias("spans"))
 
 
 def _joined(spans: Column) -> Column:
@@ -113,7 +121,7 @@ def summary(scanned: DataFrame, key: list[str]) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"] < len(KINDS) - 1)
     count = lambda test: F.expr(f"cast(size(filter(spans, s -> s.{test})) as long)")
     return scanned.select(
-        *key,
+        *columns(key),
         *(count(f"kind = {k}").alias(f"n_{name}") for k, name in enumerate(KINDS[:-1])),
         F.sha2(_joined(base), 256).alias("base_sha256"),
         _joined(F.col("spans")).alias("spans"),
@@ -133,7 +141,7 @@ def redact(docs: DataFrame, mark: str = "<SECRET>") -> DataFrame:
         found = scan(keyed, [key], store=lambda df, name: own.stored(df, name)).select(key, F.filter("spans", lambda s: s["class"] != "example").alias(cuts_)).where(F.size(cuts_) > 0)
         cuts = stored(found.dropDuplicates([key]), "secret-cuts")
     held = docs.sparkSession.sparkContext.broadcast(IdMap(cuts.select(key)))
-    columns = docs.columns
+    names = docs.columns
 
     @F.pandas_udf(T.BooleanType())
     def touched(keys: pd.Series) -> pd.Series:
@@ -149,14 +157,14 @@ def redact(docs: DataFrame, mark: str = "<SECRET>") -> DataFrame:
                         parts += [text[at:start], mark]
                     at = max(at, end)
                 out.append("".join([*parts, text[at:]]) if parts else text)
-            yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(out, pa.string())).select(columns)
+            yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(out, pa.string())).select(names)
 
     marked = keyed.withColumn(touched_, touched(F.col(key)))
     # A merge join, so that marking and cutting are in different tasks: in one they would hold a Python process each.
-    changed = marked.where(touched_).join(cuts.hint("merge"), key, "left").select(*columns, cuts_).mapInArrow(cut, docs.schema)
-    if "n_chars" in columns:
+    changed = map_batches(marked.where(touched_).join(cuts.hint("merge"), key, "left").select(*columns(names), cuts_), cut, docs.schema)
+    if "n_chars" in names:
         changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return marked.where(~F.col(touched_)).select(columns).unionByName(changed.select(columns))
+    return marked.where(~F.col(touched_)).select(*columns(names)).unionByName(changed.select(*columns(names)))
 
 
 def op2_secret_scan(spark, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldglass.llm._shared import ChunkIds, slices, texts
+from fieldglass.llm._shared import ChunkIds, columns, map_batches, slices, texts
 
 SPACE = "▁"
 UNKNOWN = 10.0
@@ -157,13 +157,13 @@ def _decoded(batches: Iterator[pa.RecordBatch], path: str, rest: list[str]) -> I
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """docs' columns with ids (array<int>) added; a column of that name is replaced."""
     rest = [c for c in docs.columns if c != "ids"]
-    return docs.select(*dict.fromkeys([*rest, "text"])).mapInArrow(lambda x: _encoded(x, path, rest), docs.select(*rest).schema.add("ids", T.ArrayType(T.IntegerType())))
+    return map_batches(docs.select(*columns([*rest, "text"])), lambda x: _encoded(x, path, rest), docs.select(*columns(rest)).schema.add("ids", T.ArrayType(T.IntegerType())))
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """encoded's columns with decoded (string) added, the text of ids."""
     rest = [c for c in encoded.columns if c != "decoded"]
-    return encoded.select(*rest).mapInArrow(lambda x: _decoded(x, path, rest), encoded.select(*rest).schema.add("decoded", "string"))
+    return map_batches(encoded.select(*columns(rest)), lambda x: _decoded(x, path, rest), encoded.select(*columns(rest)).schema.add("decoded", "string"))
 
 
 def checked(docs: DataFrame, path: str) -> DataFrame:

@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldglass.llm._shared import free
+from fieldglass.llm._shared import columns, free
 
 SEED = 20
 #: The mixture that the registered query makes: an over-full source brought down, the next ones raised by rank.
@@ -70,6 +70,7 @@ def mix(
     parts = {s: max(1, math.ceil(r / PIECE)) for s, r in of.items()}
     id_ = F.coalesce(F.col(key).cast("string"), F.lit(""))
     rest = [c for c in docs.columns if c not in (copy, shuffle_key)]
+    own = columns(rest)
     n_copies, n_drawn = F.lit(1), F.lit(1)
     if of:
         of_source = lambda values: F.create_map(*(x for s in of for x in (F.lit(s), values(s))))[F.col("source")]
@@ -81,9 +82,9 @@ def mix(
     numbers = F.transform(F.sequence(F.lit(0), n_drawn - 1), lambda j: uniform(F.when(j == 0, str(seed)).otherwise(F.concat(F.lit(f"{seed}-"), j.cast("string"))), id_))
     copies = (
         docs.withColumn(drawn, numbers)
-        .select(*rest, n_copies.alias(drawn))
-        .select(*rest, F.explode(F.when(F.col(drawn) > 0, F.sequence(F.lit(0), F.col(drawn) - 1))).alias(copy))
-        .select(*rest, copy, F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), id_, F.col(copy).cast("string"))).alias(shuffle_key))
+        .select(*own, n_copies.alias(drawn))
+        .select(*own, F.explode(F.when(F.col(drawn) > 0, F.sequence(F.lit(0), F.col(drawn) - 1))).alias(copy))
+        .select(*own, copy, F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), id_, F.col(copy).cast("string"))).alias(shuffle_key))
     )
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return copies.repartition(n, shuffle_key).sortWithinPartitions(shuffle_key)

@@ -101,3 +101,37 @@ def test_repeated_rows_and_empty_table(documents):
     assert C.summary(C.scan(documents([]), ["doc_id"]), ["doc_id"]).count() == 0
     twice = documents([(1, "token: aaaaaaaaaaaa1", "en", "a", 20)] * 2)
     assert [r["n_assign"] for r in C.summary(C.scan(twice, ["doc_id"]), ["doc_id"]).collect()] == [1, 1]
+
+
+def test_a_null_owner_is_not_the_empty_one(documents):
+    token = "token = " + KEY
+    got = {r["doc_id"]: r["spans"][0] for r in C.scan(documents([(1, token, "en", None, 0), (2, token, "en", "", 0), (3, "token = " + KEY[::-1], None, "", 0), (4, "token = " + KEY[::-1], "", "", 0)]), ["doc_id"]).collect()}
+    assert (got[1]["owners"], got[1]["class"], got[2]["owners"]) == (2, "unclear", 2)
+    assert (got[3]["owners"], got[3]["repositories"], got[3]["class"]) == (1, 2, "live")
+
+
+def test_names_that_the_scan_uses_itself(documents):
+    docs = documents([(1, "token = " + KEY, "en", "a", 0)])
+    for name in ("_owner", "_repo", "_row", "a.b", "a`b"):
+        (got,) = C.summary(C.scan(docs.withColumnRenamed("doc_id", name), [name]), [name]).collect()
+        assert got[name] == 1 and got["n_live"] == 1
+
+
+def test_a_long_text_of_many_spans_is_searched_in_one_pass():
+    import random
+    import time
+
+    rng = random.Random(8)
+    parts = []
+    for _ in range(40000):
+        token = "".join(rng.choice("ghkmnpqrstuvwxyzGHKMNP23456789") for _ in range(rng.randrange(14, 30)))
+        parts.append(rng.choice(["token=" + token, token, "0123456789abcdef0" + token, "AKIA" + "Z9" * 8, "and"]))
+    text = " ".join(parts)
+    began = time.monotonic()
+    got = C.candidates(text)
+    # A look at every span for every token took minutes.
+    assert time.monotonic() - began < 20
+    some = " ".join(parts[:600])
+    fixed = [(s, e) for _, s, e in base(some)]
+    owned = [(m.start(), m.end()) for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", some) if C.looks_random(m[0]) and re.search("[A-Za-z]", m[0]) and not any(s < m.end() and m.start() < e for s, e in fixed)]
+    assert owned == [(s, e) for k, s, e, _, _ in C.candidates(some) if k == 3] and len(got) > 20000
