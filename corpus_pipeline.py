@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldglass.llm import language_id, ngram_join, secret_scan, sentencepiece_codec, source_mix
-from fieldglass.llm._shared import IdMap, Tables, free, stored
+from fieldglass.llm._shared import IdMap, Tables, columns, free, quoted, stored
 
 #: A score below one half means that no language has the odds on its side.
 LEAST_SCORE = 0.5
@@ -31,7 +31,7 @@ WORDS, PERCENT = 5, 80
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     judged = language_id.identify(docs, language_id.train(docs))
-    return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(docs.columns)
+    return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).select(*columns(docs.columns))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,13 +49,13 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
         return pd.Series(held.value.may_hold(ids.fillna(0).to_numpy(np.int64)) & ids.notna().to_numpy())
 
     # Only rows that the map holds are joined; texts of the others stay where they are.
-    loose = docs.withColumn(touched_, touched(F.col("doc_id").cast("long"))).where(~F.col(touched_)).select(docs.columns)
+    loose = docs.withColumn(touched_, touched(F.col("doc_id").cast("long"))).where(~F.col(touched_)).select(*columns(docs.columns))
     # Rows of one doc_id can have different texts: what goes is decided by doc_id and set.
     named = ngram_join.with_sets(docs.withColumn(id_, F.col("doc_id").cast("long")), WORDS, set_, (id_, ids_held))
     kept = named.join(spare, [id_, set_], "left_anti")
     # Rows with the same doc_id and set are copies, without shingles those with the same text: the one of the least hash stays.
-    hashed = F.xxhash64(*(f.name for f in docs.schema.fields if "map<" not in f.dataType.simpleString()))
-    single = kept.groupBy(id_, F.coalesce(set_, F.xxhash64("text")).alias(set_)).agg(F.min_by(F.struct(*docs.columns), hashed).alias("row"))
+    hashed = F.xxhash64(*(quoted(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString()))
+    single = kept.groupBy(id_, F.coalesce(set_, F.xxhash64("text")).alias(set_)).agg(F.min_by(F.struct(*columns(docs.columns)), hashed).alias("row"))
     return loose.unionByName(single.select("row.*"))
 
 
@@ -64,7 +64,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return source_mix.mix(docs, source_mix.TARGETS, copy=free(docs, "copy"), shuffle_key=free(docs, "shuffle_key")).select(docs.columns)
+    return source_mix.mix(docs, source_mix.TARGETS, copy=free(docs, "copy"), shuffle_key=free(docs, "shuffle_key")).select(*columns(docs.columns))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
