@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import difflib
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -92,10 +93,15 @@ def name_base(x: Column) -> Column:
     return F.regexp_replace(name_key(x), _SUFFIX, "")
 
 
+@lru_cache(maxsize=1 << 16)
+def _ratio(x: str, y: str) -> float:
+    return difflib.SequenceMatcher(None, x, y).ratio()
+
+
 @F.pandas_udf(DoubleType())
 def matching_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity of candidate pairs."""
-    return pd.Series([None if x is None or y is None else difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
+    return pd.Series([None if x is None or y is None else _ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
 def token_jaccard(a: Column, b: Column) -> Column:
