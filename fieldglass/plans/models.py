@@ -450,7 +450,7 @@ def identity_score(t):
 
 @query()
 def rank_candidates(t):
-    return I.best_candidates(I.scored_pairs(*_both(t)), "id", "c_id").select("id", "c_id", "place", "score")
+    return I.best_pairs(*_both(t)).select("id", "c_id", "place", "score")
 
 
 @query("WITH o AS (SELECT s_suppkey AS source_id, right(s_name, 3) AS name_key, CASE WHEN s_suppkey % 3 > 0 THEN s_nationkey END AS birthdate FROM supplier), r AS (SELECT c_custkey AS player_id, right(c_name, 3) AS name_key, c_nationkey AS birthdate FROM customer WHERE c_custkey % 2 = 0), ids AS (SELECT s_suppkey AS source_id, s_suppkey * 2 AS player_id FROM supplier WHERE s_suppkey % 4 = 0), n AS (SELECT r.*, ids.player_id IS NOT NULL AS taken FROM r LEFT JOIN (SELECT DISTINCT player_id FROM ids) ids USING (player_id)), j AS (SELECT o.*, count(*) FILTER (NOT taken) AS free, count(*) FILTER (taken) AS tk, min(player_id) FILTER (NOT taken) AS cand, min(n.birthdate) FILTER (NOT taken) AS cb FROM o LEFT JOIN n USING (name_key) GROUP BY o.source_id, o.name_key, o.birthdate), a AS (SELECT j.*, ids.player_id AS linked, CASE WHEN ids.player_id IS NOT NULL THEN 'already' WHEN free = 1 AND birthdate = cb THEN 'link' WHEN free = 1 AND birthdate IS NULL THEN 'stage' WHEN free > 1 THEN 'stage' WHEN free = 0 AND tk > 0 THEN 'stage' ELSE 'create' END AS action FROM j LEFT JOIN ids USING (source_id)) SELECT source_id, name_key, birthdate, action, CASE WHEN action = 'stage' THEN CASE WHEN free = 1 THEN 0.6 WHEN free > 1 THEN 0.4 ELSE 0.3 END ELSE 1.0 END::DOUBLE AS confidence, CASE WHEN action = 'already' THEN linked WHEN action = 'link' OR (free = 1 AND action = 'stage') THEN cand END AS player_id FROM a")
