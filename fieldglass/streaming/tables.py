@@ -68,20 +68,23 @@ RUNS = "key long, run int, value string, n long, first_id long, last_id long"
 
 
 def folded_runs(stream: DataFrame, key: str, order: str, value: str) -> DataFrame:
-    """Runs of equal values of each key, in order of arrival, closed by the next value: possession by change of side.
+    """Runs of equal values (null is one too) of each key, closed by the next value: possession by change of side.  Batches
+    follow in order of arrival, the rows of one by order.
 
-    State is one open run for each key."""
+    State is one open run for each key; a task holds one key's rows of a batch at a time."""
 
     def fold(k: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         run, now, n, first, last = state.get if state.exists else (0, None, 0, None, None)
         out = []
-        for pdf in batches:
-            for i, v in pdf.sort_values(order)[[order, value]].itertuples(index=False):
-                if now is not None and v != now:
-                    out.append((k[0], run, now, n, first, last))
-                    run, n, first = run + 1, 0, None
-                now, n, last = v, n + 1, int(i)
-                first = last if first is None else first
+        # A key's rows come in several frames, in no order across them.
+        pdf = pd.concat(list(batches), ignore_index=True).sort_values(order, kind="stable")
+        ids, values = pdf[order].to_list(), [None if pd.isna(v) else v for v in pdf[value]]
+        for i, v in zip(ids, values, strict=True):
+            if n and v != now:
+                out.append((k[0], run, now, n, first, last))
+                run, n, first = run + 1, 0, None
+            now, n, last = v, n + 1, int(i)
+            first = last if first is None else first
         state.update((run, now, n, first, last))
         yield pd.DataFrame(out, columns=[x.split()[0] for x in RUNS.split(", ")])
 
