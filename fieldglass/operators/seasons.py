@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fieldglass.sources.lake import settled
+
 FREE_THROW_WEIGHT = 0.44
 
 
@@ -107,14 +109,32 @@ def subsets(members: Column, sizes: tuple[int, ...]) -> Column:
     return F.transform(F.concat(*kept), lambda s: F.transform(s, lambda i: F.get(members, i)))
 
 
+def _subset_rows(units: DataFrame, key: list[str], values: list[str], sizes: tuple[int, ...]) -> DataFrame:
+    each = units.where("size(_m) > 0").withColumn("_s", F.explode(subsets(F.col("_m"), sizes)))
+    return each.select(*key, F.array_join(F.col("_s").cast("array<string>"), "-").alias("unit"), F.size("_s").alias("size"), *values)
+
+
 def lattice(units: DataFrame, key: list[str], members: str, values: list[str], sizes: tuple[int, ...] = (2, 3, 4, 5)) -> DataFrame:
     """Sums over every subset of these sizes of every unit's members (an array of any length; repeats count once).
 
-    Subsets are made in the JVM, row by row; sums combine before the shuffle."""
-    sorted_ = F.array_sort(F.array_distinct(members))
-    each = units.select(*key, *values, sorted_.alias("_m")).where("size(_m) > 0").withColumn("_s", F.explode(subsets(F.col("_m"), sizes)))
-    each = each.withColumn("unit", F.array_join(F.col("_s").cast("array<string>"), "-")).withColumn("size", F.size("_s"))
-    return each.groupBy(*key, "unit", "size").agg(*(F.sum(v).alias(v) for v in values))
+    Subsets are made in the JVM, row by row.  Units of one key that share a subset of two or more share a pair, so hashes of
+    pairs are looked through first: subsets of a unit none of whose pairs comes again are rows as they are, and only those of
+    the others are shuffled and added up.  Pairs of one hash count as the same, which adds up more than need be."""
+    own = units.select(*key, *values, F.array_sort(F.array_distinct(members)).alias("_m"))
+    sums = lambda of, n: _subset_rows(of, key, values, n).groupBy(*key, "unit", "size").agg(*(F.sum(v).alias(v) for v in values))
+    small, large = tuple(n for n in sizes if n < 2), tuple(n for n in sizes if n >= 2)
+    if not large:
+        return sums(own, small)
+    own = settled(own.withColumn("_u", F.monotonically_increasing_id()))
+    pair = F.transform(subsets(F.col("_m"), (2,)), lambda s: F.xxhash64(*key, s))
+    pairs = own.where("size(_m) > 1").select("_u", F.explode(pair).alias("_pair"))
+    # Few come again, so that there is nothing to combine before the shuffle.
+    again = settled(pairs.select("_pair").repartition("_pair").groupBy("_pair").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_pair"))
+    shared = settled(pairs.join(again, "_pair", "left_semi").select("_u").distinct())
+    added = sums(own.join(shared, "_u", "left_semi"), large)
+    alone = _subset_rows(own.join(shared, "_u", "left_anti"), key, values, large)
+    out = added.unionByName(alone.select(*key, "unit", "size", *(F.col(v).cast(added.schema[v].dataType).alias(v) for v in values)))
+    return out.unionByName(sums(own, small)) if small else out
 
 
 def majority(votes: DataFrame, of: str, to: str, share: float = 0.8) -> DataFrame:
