@@ -18,7 +18,7 @@ def sides(stints: DataFrame) -> DataFrame:
     return stints.where("reliable").select("season", "seconds", F.inline(F.array(side("home", "away"), side("away", "home"))))
 
 
-def player_measures(stints: DataFrame, people: DataFrame) -> DataFrame:
+def player_measures(stints: DataFrame, people: DataFrame, parts: int | None = None) -> DataFrame:
     """By (season, team, player): seconds, points and possessions on the floor, ratings by 100 possessions on (on_ortg, on_drtg,
     on_net) and off (off_net, on_off; null up to LEAST_OFF possessions of either side), and shares of seconds
     with_centre: another of the five is a centre, of the stints in which the positions of four others are known;
@@ -26,14 +26,16 @@ def player_measures(stints: DataFrame, people: DataFrame) -> DataFrame:
     and how much of the seconds these stints are (position_coverage, height_coverage).  Persons without a player count for
     nobody; unresolved(stints, people) lists them.
 
-    people: person, player, height, position; a height of 0 isn't known.  Stints with the same five of one team are added up
-    first, so that what is exploded, joined and put together again grows with the fives, not with the stints."""
-    fives = sides(stints).groupBy("season", "team", "five").agg(*(F.sum(c).alias(c) for c in SUMS))
+    people: person, player, height, position; a height of 0 isn't known.  Sides are dealt out once, by their five: stints with
+    the same five of one team are added up there, and who the five are is looked up once for all teams and seasons, so that
+    only the fives themselves are exploded and put together again, never with their sums.  parts: into how many, if not as many as Spark finds fit."""
+    floor = sides(stints)
+    fives = floor.repartition(*([parts] if parts else []), "five").groupBy("season", "team", "five").agg(*(F.sum(c).alias(c) for c in SUMS))
     who = people.select(F.col("person").alias("_person"), "player", F.when(F.col("height") != 0, F.col("height")).alias("height"), "position")
-    each = fives.select("*", F.posexplode("five").alias("_at", "_person")).join(who, "_person", "left")
+    each = floor.select("five").distinct().select("five", F.posexplode("five").alias("_at", "_person")).join(who, "_person", "left")
     # The five comes together again by its own key: five rows a group.
     member = F.struct("_at", "player", "height", "position")
-    five = each.groupBy("season", "team", "five", *SUMS).agg(F.collect_list(member).alias("_m"))
+    five = fives.join(each.groupBy("five").agg(F.collect_list(member).alias("_m")), "five")
     known = F.size(F.filter("_m", lambda m: m["height"].isNotNull()))
     on = five.withColumn("_tallest", F.array_max(F.transform("_m", lambda m: m["height"]))).withColumn("_heights", (known == 5) & (F.size("_m") == 5))
     on = on.select("season", "team", *SUMS, "_m", "_tallest", "_heights", F.explode("_m").alias("_p")).where("_p.player IS NOT NULL")
@@ -46,7 +48,7 @@ def player_measures(stints: DataFrame, people: DataFrame) -> DataFrame:
     own = on.groupBy("season", "team", F.col("_p.player").alias("player")).agg(
         *(F.sum(c).alias(c) for c in SUMS), seconds_if(placed, "_placed"), seconds_if(centre, "_centre"), seconds_if(F.col("_heights"), "_measured"), seconds_if(tallest, "_tall")
     )
-    team = fives.groupBy("season", "team").agg(*(F.sum(c).alias(f"_{c}") for c in SUMS))
+    team = floor.groupBy("season", "team").agg(*(F.sum(c).alias(f"_{c}") for c in SUMS))
     r = own.join(team, ["season", "team"])
     rate = lambda p, q: F.when(q != 0, 100 * p / q)
     off = {c: F.col(f"_{c}") - F.col(c) for c in SUMS}

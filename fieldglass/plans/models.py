@@ -13,7 +13,7 @@ from fieldglass.operators import identity as I
 from fieldglass.operators import lineup_measures as lineup_measures_
 from fieldglass.operators import models as R
 from fieldglass.operators.classify import TRANSACTIONS
-from fieldglass.plans.registry import BOX, GAMES, TWO, box, games, query, two_teams
+from fieldglass.plans.registry import BOX, GAMES, TWO, box, games, line_parts, query, two_teams
 from fieldglass.sources import feeds, pages
 
 
@@ -428,7 +428,7 @@ def lineup_measures(t):
     people = t("customer").select(
         k.alias("person"), F.when(k % 17 != 0, F.floor(k / 2)).alias("player"), F.when(k % 13 == 0, None).when(k % 13 == 1, 0).otherwise(70 + k % 7).alias("height"), F.when(k % 11 != 0, F.translate(F.substring("c_mktsegment", 1, 1), "B", "C")).alias("position"),
     )
-    got = lineup_measures_.player_measures(stints, people).drop("on_ortg", "on_drtg")
+    got = lineup_measures_.player_measures(stints, people, line_parts(t)).drop("on_ortg", "on_drtg")
     return got.select(*(F.round(c, 6).alias(c) if d == "double" else c for c, d in got.dtypes))
 
 

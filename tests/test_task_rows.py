@@ -12,6 +12,10 @@ FOLDER, duck = as_sql.FOLDER, as_sql.duck
 LINES = ("overtime_from_minutes", "rank_with_ties", "games_from_lines", "rate_modes", "disagreement", "both_ends_shots", "feed_box_lines", "box_page_lines", "career_regular", "arc_values", "quota_tracker", "player_season", "lineup_measures")
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def largest(df):
     return max(df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect())
 
@@ -35,3 +39,8 @@ def test_parts_leave_the_rows_as_they_are(spark, duck, small_tasks, name):
 
 def test_tables_that_the_cores_hold_are_left_to_spark(spark):
     assert registry.line_parts(lambda name: table(spark, FOLDER, name)) is None
+
+
+def test_fives_are_put_together_without_their_sums(spark):
+    got = [x for x in plan(QUERIES["lineup_measures"](spark, FOLDER)).splitlines() if "collect_list" in x]
+    assert got and all("keys=[five" in x for x in got)
