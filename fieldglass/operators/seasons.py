@@ -17,12 +17,17 @@ def conditional_pivot(df: DataFrame, key: list[str], column: str, values: list[s
     return df.groupBy(*key).agg(*(F.coalesce(F.sum(F.when(F.col(column) == v, t)), F.lit(0)).alias(f"{v}_{name}") for v in values for name, t in totals.items()))
 
 
-def player_season(box: DataFrame, key: list[str], stats: list[str], game: str, team: str, day: str) -> DataFrame:
-    """Games, sums, first and last day, number of teams, and the alphabetically last team."""
-    return box.groupBy(*key).agg(
+def player_season(box: DataFrame, key: list[str], stats: list[str], game: str, team: str, day: str, parts: int | None = None) -> DataFrame:
+    """Games, sums, first and last day, number of teams, and the alphabetically last team.
+
+    Rows are dealt out once, by key, and the first of each team is marked there: two distinct counts in one aggregate would
+    send every row three times, and again.  parts: into how many, if not as many as Spark finds fit."""
+    first = F.row_number().over(Window.partitionBy(*key, team).orderBy(game)) == 1
+    rows = box.select(*dict.fromkeys([*key, *stats, game, team, day])).repartition(*([parts] if parts else []), *key).withColumn("_first", first & F.col(team).isNotNull())
+    return rows.groupBy(*key).agg(
         F.count_distinct(game).alias("gp"),
         *(F.sum(s).alias(s) for s in stats),
-        F.count_distinct(team).alias("teams"),
+        F.count_if("_first").alias("teams"),
         F.max(team).alias("last_team"),
         F.min(day).alias("first_day"),
         F.max(day).alias("last_day"),

@@ -44,3 +44,7 @@ def test_tables_that_the_cores_hold_are_left_to_spark(spark):
 def test_fives_are_put_together_without_their_sums(spark):
     got = [x for x in plan(QUERIES["lineup_measures"](spark, FOLDER)).splitlines() if "collect_list" in x]
     assert got and all("keys=[five" in x for x in got)
+
+
+def test_player_season_sends_each_row_once(spark):
+    assert "Expand" not in plan(QUERIES["player_season"](spark, FOLDER))
