@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 from fieldglass.operators import box_metrics as B
 from fieldglass.operators import joins as J
 from fieldglass.operators import windows as W
-from fieldglass.plans.registry import BOX, DAYS, GAMES, box, games, query, user_days
+from fieldglass.plans.registry import BOX, DAYS, GAMES, box, by_player, games, query, user_days
 
 _RUN = f"WITH {GAMES}, run AS (SELECT *, row_number() OVER w AS rn, sum(cents) OVER w AS c FROM games WINDOW w AS (PARTITION BY entity ORDER BY day, game ROWS UNBOUNDED PRECEDING))"
 _LEAST = 50_000_000
@@ -71,7 +71,7 @@ _ARC = (
 
 
 def _arcs(t):
-    g = box(t).groupBy("player", "game", "season", "day").agg(F.sum("mp").alias("mp"), F.sum(F.col("mp") * 2 + 1).alias("poss"), *(F.expr(v).alias(k) for k, v in _TOTALS.items()))
+    g = by_player(t).groupBy("player", "game", "season", "day").agg(F.sum("mp").alias("mp"), F.sum(F.col("mp") * 2 + 1).alias("poss"), *(F.expr(v).alias(k) for k, v in _TOTALS.items()))
     w = J.trailing_window(g.withColumn("size", F.col("mp")), ["player"], ["day", "game"], "size", _MINUTES, ["poss", *_TOTALS])
     w = w.select("player", "game", "season", F.col("rn").cast("bigint").alias("rn"), F.col("n").cast("bigint").alias("n"), "win_poss", *(f"win_{k}" for k in _TOTALS))
     of = F.col("player")
