@@ -68,39 +68,42 @@ def box_plus_minus(players: DataFrame, teams: DataFrame, key: list[str], player:
     players: key, player, mp and totals; teams: key, team_mp, poss, opp_poss, pts, opp_pts, gp, league_ortg and totals as
     t_*.  key names one team in one season and kind of season; its roster is one array, some dozens at most."""
     d = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
-    over = lambda a, b: F.coalesce(a / F.nullif(b, F.lit(0.0)), F.lit(0.0))
-    p = players.where("mp > 0").join(teams, key).where("team_mp > 0 AND poss > 0")
-    p = p.withColumn("share", d("mp") / (d("team_mp") / 5.0))
-    p = p.withColumn("tsa", d("fga") + 0.44 * d("fta")).withColumn("t_tsa", d("t_fga") + 0.44 * d("t_fta"))
-    p = p.withColumn("t_rate", F.coalesce(d("pts_team") / F.nullif(F.col("t_tsa"), F.lit(0.0)), F.lit(POINTS_BASELINE)))
-    level = F.col("t_rate") - THRESHOLD_OFFSET
-    above, t_above = (over(d("pts"), F.col("tsa")) - level) * F.col("tsa"), d("pts_team") - level * F.col("t_tsa")
-    pct = lambda k: over(d(k), d(f"t_{k}") * F.col("share"))
-    per100 = lambda c: over(100.0 * c, d("poss") * F.col("share"))
+    over = lambda a, b: F.when(b != 0, a / b).otherwise(0.0)
+    of_team = ("t_bpm", "t_obpm", "t_season")
+    t = teams.where("team_mp > 0 AND poss > 0").withColumn("t_tsa", d("t_fga") + 0.44 * d("t_fta"))
+    t = t.withColumn("t_rate", F.coalesce(d("pts_team") / F.nullif(F.col("t_tsa"), F.lit(0.0)), F.lit(POINTS_BASELINE)))
+    ortg = 100.0 * d("pts_team") / d("poss")
+    net = ortg - 100.0 * d("opp_pts") / F.coalesce(F.nullif(d("opp_poss"), F.lit(0.0)), d("poss"))
+    t = t.withColumns({"t_bpm": net, "t_obpm": ortg - d("league_ortg"), "t_season": F.coalesce(F.nullif(d("gp"), F.lit(0.0)), F.lit(82.0)) / 82.0})
+    # Totals are doubles without nulls from here on, which keeps the code of the steps after the join short.
+    t_totals = [f"t_{k}" for k in POSITION if k != "one"]
+    t = t.select(*key, *of_team, "t_rate", "t_tsa", *(d(c).alias(c) for c in ("team_mp", "poss", "pts_team", *t_totals)))
+    p = players.where("mp > 0").select(*key, player, *(d(c).alias(c) for c in dict.fromkeys(("mp", "trb", *STATS)))).join(t, key)
+    p = p.withColumn("share", F.col("mp") / (F.col("team_mp") / 5.0)).withColumn("tsa", F.col("fga") + 0.44 * F.col("fta")).withColumn("t_per", F.col("poss") * F.col("share"))
+    level, context = F.col("t_rate") - THRESHOLD_OFFSET, F.col("t_rate") - POINTS_BASELINE
+    above, t_above = (over(F.col("pts"), F.col("tsa")) - level) * F.col("tsa"), F.col("pts_team") - level * F.col("t_tsa")
+    pct = lambda k: over(F.col(k), F.col(f"t_{k}") * F.col("share"))
+    per100 = lambda c: over(100.0 * F.col(c), F.col("t_per"))
     raw_pos = F.lit(POSITION["one"]) + sum((F.lit(POSITION[k]) * pct(k) for k in ("trb", "stl", "pf", "ast", "blk")), F.lit(0.0))
     raw_role = F.lit(ROLE["one"]) + F.lit(ROLE["ast"]) * pct("ast") + F.lit(ROLE["threshold"]) * over(above, t_above * F.col("share"))
-    pulled = lambda raw, prior: (raw * d("mp") + prior * PRIOR_MINUTES) / (d("mp") + PRIOR_MINUTES)
-    p = p.withColumn("_pos", pulled(raw_pos, PRIOR_POSITION)).withColumn("_role", pulled(raw_role, PRIOR_ROLE))
+    pulled = lambda raw, prior: (raw * F.col("mp") + prior * PRIOR_MINUTES) / (F.col("mp") + PRIOR_MINUTES)
+    per = [(per100(k) - context * per100("tsa") if k == "pts" else per100(k)).alias(k) for k in STATS]
     roster = Window.partitionBy(*key)
+    # The JVM compiles no step of over 8,000 bytes of code and runs it many times slower, as Spark does what a list collects:
+    # rates are made before, of each row, and ordered, which keeps them apart.
+    p = p.select(*key, player, "mp", "share", pulled(raw_pos, PRIOR_POSITION).alias("pos"), pulled(raw_role, PRIOR_ROLE).alias("role"), *per, *of_team)
+    one = F.struct(player, "mp", "share", "pos", "role", *STATS)
     # A team's roster as one array: its estimates are brought to the target together, once, and laid out again.
-    rest = [c for c in p.columns if c not in (*key, player)]
-    whole = p.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(player, *rest))).alias("_all"))
-    minutes = F.transform("_all", lambda x: F.coalesce(x["mp"].cast("double"), F.lit(0.0)))
+    whole = p.sortWithinPartitions(*key, player).groupBy(*key).agg(F.sort_array(F.collect_list(one)).alias("_all"), *(F.first(c).alias(c) for c in of_team))
     for c in ("pos", "role"):
-        whole = whole.withColumn(c, clamp_normalise(F.col(f"_all._{c}"), minutes, TARGET))
-    p = whole.select(*key, F.explode(F.arrays_zip("_all", "pos", "role")).alias("_one")).select(*key, "_one._all.*", "_one.pos", "_one.role")
-    context = F.col("t_rate") - POINTS_BASELINE
-
-    def raw(*of) -> Column:
-        stat = lambda k: per100(d(k)) - context * per100(F.col("tsa")) if k == "pts" else per100(d(k))
-        return raw_value(stat, F.col("pos"), F.col("role"), *of)
-
-    p = p.withColumn("raw_bpm", raw(OVERALL, OVERALL_ROLE, OVERALL_CONSTANTS)).withColumn("raw_obpm", raw(OFFENCE, OFFENCE_ROLE, OFFENCE_CONSTANTS))
-    ortg = 100.0 * d("pts_team") / d("poss")
-    net = ortg - 100.0 * d("opp_pts") / F.coalesce(F.nullif(d("opp_poss"), F.lit(0.0)), d("poss"))
-    for c, target in (("bpm", net), ("obpm", ortg - d("league_ortg"))):
-        p = p.withColumn(c, F.col(f"raw_{c}") + (target - F.sum(F.col(f"raw_{c}") * F.col("share")).over(roster)) / F.sum("share").over(roster))
-    vorp = (F.col("bpm") + 2.0) * F.col("share") * (F.coalesce(F.nullif(d("gp"), F.lit(0.0)), F.lit(82.0)) / 82.0)
+        whole = whole.withColumn(c, clamp_normalise(F.col(f"_all.{c}"), F.col("_all.mp"), TARGET))
+    p = whole.select(*key, *of_team, F.explode(F.arrays_zip("_all", "pos", "role")).alias("_one"))
+    p = p.select(*key, *of_team, *(F.col(f"_one._all.{c}").alias(c) for c in (player, "share", *STATS)), "_one.pos", "_one.role")
+    for c, of in (("bpm", (OVERALL, OVERALL_ROLE, OVERALL_CONSTANTS)), ("obpm", (OFFENCE, OFFENCE_ROLE, OFFENCE_CONSTANTS))):
+        p = p.withColumn(f"raw_{c}", raw_value(F.col, F.col("pos"), F.col("role"), *of))
+    for c in ("bpm", "obpm"):
+        p = p.withColumn(c, F.col(f"raw_{c}") + (F.col(f"t_{c}") - F.sum(F.col(f"raw_{c}") * F.col("share")).over(roster)) / F.sum("share").over(roster))
+    vorp = (F.col("bpm") + 2.0) * F.col("share") * F.col("t_season")
     r = lambda c: F.round(c, 2)
     return p.select(*key, player, r(F.col("pos")).alias("pos_est"), r(F.col("role")).alias("role_est"), r(F.col("bpm")).alias("bpm"), r(F.col("obpm")).alias("obpm"), r(F.col("bpm") - F.col("obpm")).alias("dbpm"), r(vorp).alias("vorp"))
 

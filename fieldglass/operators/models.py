@@ -343,17 +343,22 @@ def let(value: Column, of) -> Column:
 def clamp_normalise(values: Column, weights: Column, target: float = 3.0, low: float = 1.0, high: float = 5.0, rounds: int = 12) -> Column:
     """An array shifted as a whole and clamped, so that its weighted mean comes to target.
 
-    One shift is built up, round by round, from what the mean of the clamped values lacks; the values themselves are
-    clamped once, at the end.  Weights without a sum count as a sum of 1."""
-    add = lambda a, x: a + x
+    One shift is built up, round by round, from what the mean of the clamped values lacks, until that is within 1e-9; the
+    values themselves are clamped once, at the end.  Weights without a sum count as a sum of 1."""
     clamped = lambda x, by: F.greatest(F.lit(low), F.least(F.lit(high), x + by))
 
-    def shifted(total: Column) -> Column:
-        def step(by: Column, _: Column) -> Column:
-            lacks = F.lit(target) - F.aggregate(F.zip_with(values, weights, lambda v, w: clamped(v, by) * w), F.lit(0.0), add) / total
-            # Within 1e-9 of the target it stays as it is.
-            return by + let(lacks, lambda x: F.when(F.abs(x) < 1e-9, F.lit(0.0)).otherwise(x))
+    def shift(pairs: Column, total: Column) -> Column:
+        def step(at: Column, _: Column) -> Column:
+            lacks = F.lit(target) - F.aggregate(pairs, F.lit(0.0), lambda a, x: a + clamped(x["v"], at["by"]) * x["w"]) / total
+            more = let(lacks, lambda x: F.when(F.abs(x) < 1e-9, F.struct(at["by"].alias("by"), F.lit(True).alias("done"))).otherwise(F.struct((at["by"] + x).alias("by"), F.lit(False).alias("done"))))
+            return F.when(at["done"], at).otherwise(more)
 
-        return let(F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.lit(0.0), step), lambda by: F.transform(values, lambda v: clamped(v, by)))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.struct(F.lit(0.0).alias("by"), F.lit(False).alias("done")), step, lambda at: at["by"])
 
-    return let(F.aggregate(weights, F.lit(0.0), add), lambda total: shifted(F.when(total == 0, F.lit(1.0)).otherwise(total)))
+    def shifted(pairs: Column) -> Column:
+        total = F.aggregate(pairs, F.lit(0.0), lambda a, x: a + x["w"])
+        by = let(F.when(total == 0, F.lit(1.0)).otherwise(total), lambda whole: shift(pairs, whole))
+        return let(by, lambda by: F.transform(pairs, lambda x: clamped(x["v"], by)))
+
+    # Values and weights are put together once, not anew in every round.
+    return let(F.zip_with(values, weights, lambda v, w: F.struct(v.alias("v"), w.alias("w"))), shifted)

@@ -110,12 +110,13 @@ def _season_box(t):
 @query()
 def bpm_like(t):
     stats = ["pts", "fg3m", "ast", "tov", "orb", "drb", "trb", "stl", "blk", "pf", "fga", "fta", "fgm"]
-    s = _season_box(t)
+    s, n = _season_box(t), line_parts(t)
+    s = s.repartition(n, "season", "team") if n else s
     players = s.groupBy("season", "team", "who").agg(F.sum("mp").alias("mp"), *(F.sum(c).alias(c) for c in stats))
     team = s.groupBy("season", "team").agg(F.sum("mp").alias("team_mp"), F.sum("pts").alias("pts_team"), F.count_distinct("game").alias("gp"), *(F.sum(c).alias(f"t_{c}") for c in stats))
     team = team.withColumn("poss", F.col("t_fga") + 0.44 * F.col("t_fta") - F.col("t_orb") + F.col("t_tov")).withColumn("opp_poss", F.col("poss")).withColumn("opp_pts", F.col("pts_team") - 2)
     league = team.groupBy("season").agg((100.0 * F.sum("pts_team") / F.sum("poss")).alias("league_ortg"))
-    return box_metrics.box_plus_minus(players, team.join(league, "season"), ["season", "team"], "who")
+    return box_metrics.box_plus_minus(players, team.join(F.broadcast(league), "season"), ["season", "team"], "who")
 
 
 @query("WITH p AS (SELECT p_partkey AS id, (72 + p_size % 15)::DOUBLE AS h, (180 + p_size * 2)::DOUBLE AS w, 1 + (p_partkey % 41) / 10.0::DOUBLE AS r, (p_partkey % 3) * 800 AS m FROM part), s AS (SELECT *, greatest(1.0, least(5.0, 1.0 + (h - 73) / 2.5 + (w - (190 + 6.5 * (h - 73))) / 75))::DOUBLE AS size FROM p), c AS (SELECT *, (0.45::DOUBLE * size + 0.55::DOUBLE * r) AS score FROM s) SELECT id, round(size, 4) AS size, round(score, 4) AS pos_score, CASE WHEN score < 1.9::DOUBLE THEN 'PG' WHEN score < 2.7::DOUBLE THEN 'SG' WHEN score < 3.5::DOUBLE THEN 'SF' WHEN score < 4.3::DOUBLE THEN 'PF' ELSE 'C' END AS position, round(greatest(0.05, least(1.0, least(abs(score - 1.9::DOUBLE), abs(score - 2.7::DOUBLE), abs(score - 3.5::DOUBLE), abs(score - 4.3::DOUBLE)) / 0.35::DOUBLE) * CASE WHEN m >= 1000 THEN 1 ELSE 0.7::DOUBLE END * CASE WHEN abs(size - r) > 1 THEN 0.7::DOUBLE ELSE 1 END), 4) AS confidence FROM c")

@@ -54,3 +54,21 @@ def test_player_season_sends_each_row_once(spark):
 def test_windows_over_players_have_as_many_parts(spark, small_tasks, name):
     n = registry.line_parts(lambda of: table(spark, FOLDER, of))
     assert f", {n}), REPARTITION_BY_NUM" in "".join(x for x in plan(QUERIES[name](spark, FOLDER)).splitlines() if "hashpartitioning(player" in x)
+
+
+def test_bpm_like_deals_rosters_out_by_team_with_the_same_rows(spark, small_tasks):
+    n = registry.line_parts(lambda of: table(spark, FOLDER, of))
+    got = QUERIES["bpm_like"](spark, FOLDER)
+    assert f", {n}), REPARTITION_BY_NUM" in "".join(x for x in plan(got).splitlines() if "hashpartitioning(season" in x)
+    registry.ROWS_A_TASK = 10**9
+    whole = QUERIES["bpm_like"](spark, FOLDER)
+    assert got.exceptAll(whole).isEmpty() and whole.exceptAll(got).isEmpty()
+
+
+def test_steps_of_bpm_like_are_short_enough_for_the_jvm_to_compile(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        steps = QUERIES["bpm_like"](spark, FOLDER)._jdf.queryExecution().debug().codegenToSeq()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(steps.apply(k)._3().maxMethodCodeSize() for k in range(steps.size())) < 8000
