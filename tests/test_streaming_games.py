@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import Row
 from fieldglass.operators import games as G
 from fieldglass.streaming import games as S
 
@@ -133,3 +134,43 @@ def test_the_query_shares_every_possession_with_the_batch(spark):
 
     n, apart = QUERIES["stream_possessions"](spark, "/root/testdata/sf0.001").selectExpr("sum(n)", "sum(apart)").first()
     assert n > 500 and apart == 0
+
+
+class _Kept:
+    """A state that counts how often it is read."""
+
+    def __init__(self, *_):
+        self.value, self.reads = None, 0
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        self.reads += 1
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def appendList(self, values):
+        self.value = (self.value or []) + values
+
+
+class _Handle:
+    getListState = getValueState = _Kept
+
+    def registerTimer(self, at):
+        pass
+
+
+class _Watermark:
+    def getCurrentWatermarkInMs(self):
+        return -1
+
+
+def test_rows_that_wait_are_few_entries_and_are_not_read_before_the_watermark():
+    waits = S._Possessions(1000)
+    waits.init(_Handle())
+    rows = [Row(**(dict.fromkeys(waits.names) | {"at": k, "action_id": k})) for k in range(5000)]
+    assert not list(waits.handleInputRows(("g",), iter(rows), _Watermark()))
+    assert len(waits.waiting.value) == 3 and waits.waiting.reads == 0
