@@ -50,7 +50,7 @@ def test_player_season_sends_each_row_once(spark):
     assert "Expand" not in plan(QUERIES["player_season"](spark, FOLDER))
 
 
-@pytest.mark.parametrize("name", ("disagreement", "arc_values"))
+@pytest.mark.parametrize("name", ("disagreement", "arc_values", "career_regular"))
 def test_windows_over_players_have_as_many_parts(spark, small_tasks, name):
     n = registry.line_parts(lambda of: table(spark, FOLDER, of))
     assert f", {n}), REPARTITION_BY_NUM" in "".join(x for x in plan(QUERIES[name](spark, FOLDER)).splitlines() if "hashpartitioning(player" in x)
