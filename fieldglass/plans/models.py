@@ -542,7 +542,7 @@ def _box_pages(t):
     rows = lines.groupBy("game", side.alias("side")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "player", "pts", "mp", row.alias("row")))), lambda x: x["row"]), "").alias("rows"))
     table = F.concat(F.lit('<table id="box-'), F.col("side"), F.lit('-game-basic"><thead><tr><th rowspan=1>Who</th><th colspan=3>What</th></tr></thead><tbody>'), F.col("rows"), F.lit("</tbody></table>"))
     hidden = F.when(F.col("side") == "AWY", F.concat(F.lit("<!-- "), table, F.lit(" -->"))).otherwise(table)
-    return rows.groupBy("game").agg(F.concat(F.lit("<html><body>"), F.array_join(F.array_sort(F.collect_list(hidden)), "<hr>"), F.lit("</body></html>")).alias("html")).withColumn("home", F.lit("HOM"))
+    return rows.groupBy("game").agg(F.concat(F.lit("<html><body>"), F.array_join(F.array_sort(F.collect_list(hidden)), "<hr>"), F.lit("</body></html>")).alias("html"), F.max("side").alias("home"))
 
 
 _PAGES = f"WITH {TWO}, p AS (SELECT *, CASE WHEN team = home THEN 'HOM' ELSE 'AWY' END AS side, row_number() OVER w AS n, coalesce(sum((tov > 5)::INTEGER) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS parts, sum((orb <> 0)::INTEGER) OVER w AS nth FROM two WINDOW w AS (PARTITION BY game, team ORDER BY line, player, pts, mp))"
@@ -557,7 +557,8 @@ def html_table_cells(t):
 @query(f"{_PAGES} SELECT game, side AS team, CASE side WHEN 'HOM' THEN 'AWY' ELSE 'HOM' END AS opponent, side = 'HOM' AS is_home, player::VARCHAR AS player, orb <> 0 AND parts = 0 AND nth <= 5 AS started, orb <> 0 AS played, CASE WHEN orb = 0 THEN 'Line ' || line END AS dnp_reason, CASE WHEN orb <> 0 THEN (mp * 60 + orb)::INTEGER END AS seconds_played, CASE WHEN orb <> 0 THEN orb::INTEGER END AS orb, CASE WHEN orb <> 0 THEN pts::INTEGER END AS pts FROM p")
 def box_page_lines(t):
     """Players' lines read off the box pages."""
-    lines = pages.box_lines(pages.cells(_box_pages(t), ["game", "home"], "html"), ["game"], "home")
+    cells, n = pages.cells(_box_pages(t), ["game", "home"], "html"), line_parts(t)
+    lines = pages.box_lines(cells.repartition(n, "game") if n else cells, ["game"], "home")
     return lines.select("game", "team", "opponent", "is_home", "player", "started", "played", "dnp_reason", "seconds_played", "orb", "pts")
 
 

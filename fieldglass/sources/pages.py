@@ -151,7 +151,7 @@ def box_lines(page_cells: DataFrame, key: list[str], home: str) -> DataFrame:
 
     The first five who played above the line that parts a table are its starters."""
     box = page_cells.withColumn("team", F.regexp_extract("table_id", BOX_TABLE, 1)).where("team <> '' AND first AND part = 'body'")
-    of_row = [*key, home, "team", "row_no"]
+    of_row = [*key, "team", "row_no", home]  # in the windows' order: cells that come dealt out by key are sorted once
     value = lambda test, x: F.max(F.when(test, x))
     a = F.col("attributes")
     player = _stat("player") & F.col("header")

@@ -56,6 +56,13 @@ def test_windows_over_players_have_as_many_parts(spark, small_tasks, name):
     assert f", {n}), REPARTITION_BY_NUM" in "".join(x for x in plan(QUERIES[name](spark, FOLDER)).splitlines() if "hashpartitioning(player" in x)
 
 
+def test_cells_of_box_pages_are_dealt_out_and_sorted_once_by_game(spark, small_tasks):
+    n = registry.line_parts(lambda of: table(spark, FOLDER, of))
+    later = plan(QUERIES["box_page_lines"](spark, FOLDER)).split("BatchEvalPythonUDTF")[0].splitlines()
+    assert [f", {n}), REPARTITION_BY_NUM" in x for x in later if "Exchange" in x] == [True]
+    assert sum("+- Sort [" in x for x in later) == 1
+
+
 def test_bpm_like_deals_rosters_out_by_team_with_the_same_rows(spark, small_tasks):
     n = registry.line_parts(lambda of: table(spark, FOLDER, of))
     got = QUERIES["bpm_like"](spark, FOLDER)
